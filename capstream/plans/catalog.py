@@ -180,3 +180,17 @@ for _p in ("postgres", "mysql"):
             clerk_totals(_events(spark, d, p), p, ("count", "sum")), p
         ).select("hash_key", F.col("fields")["Count"].alias("count_text"), F.col("fields")["Sum"].alias("sum_text"))
     )
+
+
+# ---------------------------------------------------------------------------
+# Streaming runs (file replay, availableNow) checked against the batch SQL
+# ---------------------------------------------------------------------------
+
+from capstream.plans import streams as ST  # noqa: E402
+
+register("g8_stream_hash_upsert_postgres", _hash_sql("postgres"))(
+    lambda spark, d: ST.stream_hash_store(spark, d, "postgres"))
+register("g1_stream_complete_counts_mysql", _totals_sql("mysql", False))(
+    lambda spark, d: ST.stream_complete_counts(spark, d, "mysql"))
+register("g2_stream_append_events_postgres", S.events_sql("postgres"))(
+    lambda spark, d: ST.stream_append_events(spark, d, "postgres"))
