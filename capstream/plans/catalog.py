@@ -8,8 +8,6 @@ rounded in both so the comparison does not depend on summation order.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,15 +18,7 @@ from capstream.operators.aggregate import clerk_totals
 from capstream.plans import standins as S
 from capstream.sources.envelope import _ROW_FIELDS, _SOURCE_FIELDS, _TX_FIELDS, MYSQL, POSTGRES, _field
 
-QueryFn = Callable[[SparkSession, str], DataFrame]
-QUERIES: dict[str, tuple[QueryFn, str | None]] = {}
-
-
-def register(name: str, sql: str | None):
-    def deco(fn: QueryFn) -> QueryFn:
-        QUERIES[name] = (fn, sql)
-        return fn
-    return deco
+from capstream.plans.registry import QUERIES, register  # noqa: F401
 
 
 # ---------------------------------------------------------------------------
@@ -194,3 +184,7 @@ register("g1_stream_complete_counts_mysql", _totals_sql("mysql", False))(
     lambda spark, d: ST.stream_complete_counts(spark, d, "mysql"))
 register("g2_stream_append_events_postgres", S.events_sql("postgres"))(
     lambda spark, d: ST.stream_append_events(spark, d, "postgres"))
+
+
+# The other query families register themselves on import.
+from capstream.plans import series_queries  # noqa: E402,F401

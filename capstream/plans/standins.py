@@ -125,3 +125,26 @@ SELECT CASE WHEN op = 'd' THEN NULL ELSE purchase END AS {p}_purchase,
        CASE WHEN op = 'd' THEN NULL ELSE store END AS {p}_store,
        CASE WHEN op = 'd' THEN NULL ELSE name END AS {p}_customer
 FROM ({ROWS_SQL[prefix]}) r"""
+
+
+# --- time series and key/value stand-ins (from ``events``) ---------------------
+
+def series_by_type(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One series per event type: ``series, ts, value, event_id``."""
+    return table(spark, sf_dir, "events").select(
+        F.col("event_type").alias("series"), "ts", "value", "event_id")
+
+
+def series_by_user(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One series per (event type, user) with labels ``event_type`` and ``user``."""
+    e = table(spark, sf_dir, "events")
+    return e.select(
+        F.concat_ws(":", "event_type", F.col("user_id").cast("string")).alias("series"),
+        F.create_map(F.lit("event_type"), F.col("event_type"),
+                     F.lit("user"), F.col("user_id").cast("string")).alias("labels"),
+        "ts", "value", "event_id")
+
+
+def bucket_sql(ts: str, bucket_ms: int) -> str:
+    us = int(bucket_ms) * 1000
+    return f"make_timestamp(CAST(floor(epoch_us({ts}) / {us}) AS BIGINT) * {us})"
