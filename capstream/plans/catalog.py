@@ -188,3 +188,4 @@ register("g2_stream_append_events_postgres", S.events_sql("postgres"))(
 
 # The other query families register themselves on import.
 from capstream.plans import series_queries  # noqa: E402,F401
+from capstream.plans import log_queries  # noqa: E402,F401

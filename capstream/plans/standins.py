@@ -148,3 +148,87 @@ def series_by_user(spark: SparkSession, sf_dir: str) -> DataFrame:
 def bucket_sql(ts: str, bucket_ms: int) -> str:
     us = int(bucket_ms) * 1000
     return f"make_timestamp(CAST(floor(epoch_us({ts}) / {us}) AS BIGINT) * {us})"
+
+
+# --- log stand-ins ----------------------------------------------------------------
+
+# fixed values: units and methods cycled through the synthetic event log lines
+_DUR_UNITS = ("ms", "s", "us", "ns", "m", "h")
+_BYTE_UNITS = ("B", "KB", "MB", "KiB")
+_METHODS = ("GET", "POST", "PUT", "DELETE")
+_LEVEL_OF_TYPE = (("error", "ERROR"), ("view", "debug"), ("click", "info"), ("signup", "Warning"))
+
+
+def _cycle(values, idx: Column) -> Column:
+    return F.element_at(F.array(*[F.lit(v) for v in values]), (F.pmod(idx, F.lit(len(values))) + 1).cast("int"))
+
+
+def event_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One log line per event: a JSON, logfmt or plain line (by ``event_id mod 3``)
+    with level, user, value, k, latency, size, method and msg.
+
+    Labels: ``service_name`` (``svc-<type>``), ``cluster`` (``c<user mod 4>``) and,
+    on one user in five, ``region``.
+    """
+    e = spread(table(spark, sf_dir, "events"))
+    k = F.get_json_object("props", "$.k").cast("bigint")
+    lvl = None
+    for t, l in _LEVEL_OF_TYPE:
+        lvl = F.when(F.col("event_type") == t, F.lit(l)) if lvl is None else lvl.when(F.col("event_type") == t, F.lit(l))
+    latency = F.concat(k.cast("string"), _cycle(_DUR_UNITS, k))
+    size = F.concat((k * 3).cast("string"), _cycle(_BYTE_UNITS, F.col("user_id")))
+    method = _cycle(_METHODS, F.col("event_id"))
+    msg = F.concat(F.col("event_type"), F.lit(" by user "), F.col("user_id").cast("string"))
+    js = F.to_json(F.struct(lvl.alias("level"), F.col("user_id").alias("user"), F.col("value"), k.alias("k"),
+                            latency.alias("latency"), size.alias("size"), method.alias("method"), msg.alias("msg")))
+    lf = F.concat_ws(" ", F.concat(F.lit("level="), lvl), F.concat(F.lit("user="), F.col("user_id").cast("string")),
+                     F.concat(F.lit("value="), F.col("value").cast("string")), F.concat(F.lit("k="), k.cast("string")),
+                     F.concat(F.lit("latency="), latency), F.concat(F.lit("size="), size),
+                     F.concat(F.lit("method="), method), F.concat(F.lit('msg="'), msg, F.lit('"')))
+    plain = F.concat(F.coalesce(F.concat(F.upper(lvl), F.lit(" ")), F.lit("")), F.lit("user "),
+                     F.col("user_id").cast("string"), F.lit(" did "), F.col("event_type"), F.lit(" in "), latency)
+    fmt = F.pmod(F.col("event_id"), F.lit(3))
+    line = F.when(fmt == 0, js).when(fmt == 1, lf).otherwise(plain)
+    labels = F.map_filter(F.create_map(
+        F.lit("service_name"), F.concat(F.lit("svc-"), F.col("event_type")),
+        F.lit("cluster"), F.concat(F.lit("c"), F.pmod(F.col("user_id"), F.lit(4)).cast("string")),
+        F.lit("region"), F.when(F.pmod(F.col("user_id"), F.lit(5)) == 0,
+                                F.concat(F.lit("eu-"), F.pmod(F.col("user_id"), F.lit(2)).cast("string")))),
+        lambda _k, v: v.isNotNull())
+    return e.select("event_id", "ts", labels.alias("labels"), line.alias("line"), lvl.alias("level"))
+
+
+def document_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every line of every document; ``ts`` = 2024-01-01 + doc_id minutes + line number seconds.
+
+    Labels: ``service_name`` = ``docs``, ``lang``, ``source``.
+    """
+    d = spread(table(spark, sf_dir, "documents"))
+    x = d.select("doc_id", "lang", "source", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
+    ln = (F.col("pos") + 1).cast("bigint")
+    ts = F.timestamp_add("SECOND", F.col("doc_id") * 60 + ln, F.expr("TIMESTAMP_NTZ'2024-01-01 00:00:00'"))
+    labels = F.create_map(F.lit("service_name"), F.lit("docs"), F.lit("lang"), F.col("lang"),
+                          F.lit("source"), F.col("source"))
+    return x.select("doc_id", ln.alias("ln"), ts.alias("ts"), labels.alias("labels"), "line")
+
+
+DOC_LINES_SQL = """
+SELECT doc_id, lang, source, CAST(ln AS BIGINT) AS ln, line,
+       TIMESTAMP '2024-01-01 00:00:00' + to_seconds(doc_id * 60 + ln) AS ts
+FROM (SELECT doc_id, lang, source, generate_subscripts(parts, 1) AS ln, unnest(parts) AS line
+      FROM (SELECT doc_id, lang, source, string_split(text, chr(10)) AS parts FROM documents))"""
+
+# The event log in SQL terms: the values each line carries, for the oracle.
+EVENT_LOG_SQL = """
+SELECT event_id, ts, event_type, user_id, value, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k,
+       event_id % 3 AS fmt,
+       CASE event_type WHEN 'error' THEN 'ERROR' WHEN 'view' THEN 'debug' WHEN 'click' THEN 'info'
+            WHEN 'signup' THEN 'Warning' END AS level,
+       CASE event_type WHEN 'error' THEN 'error' WHEN 'view' THEN 'debug' WHEN 'click' THEN 'info'
+            WHEN 'signup' THEN 'warn' ELSE 'logs' END AS detected_level,
+       'svc-' || event_type AS service_name, 'c' || (user_id % 4) AS cluster,
+       CASE WHEN user_id % 5 = 0 THEN 'eu-' || (user_id % 2) END AS region,
+       (['ms', 's', 'us', 'ns', 'm', 'h'])[CAST(json_extract_string(props, '$.k') AS BIGINT) % 6 + 1] AS dur_unit,
+       (['B', 'KB', 'MB', 'KiB'])[user_id % 4 + 1] AS byte_unit,
+       (['GET', 'POST', 'PUT', 'DELETE'])[event_id % 4 + 1] AS method
+FROM events"""
