@@ -11,6 +11,8 @@ import re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from capstream.functions.common import let
+
 # --- fixed values: quantity units, in whole base units ---------------------------------
 # durations in nanoseconds
 DURATION_UNITS = {"ns": 1.0, "us": 1e3, "µs": 1e3, "ms": 1e6, "s": 1e9, "m": 60e9, "h": 3600e9}
@@ -57,16 +59,18 @@ def parse_quantity(c: Column | str, kind: str, unit: str | None = None) -> Colum
     scale = units[unit or DEFAULT_UNIT[kind]]
     alt = _alternation(units)
     part = f"([0-9]+(?:\\.[0-9]+)?)\\s*({alt})"
-    s = F.trim(c)
-    whole = s.rlike(f"^({part})+$")
-    parts = F.regexp_extract_all(s, F.lit(part), 0)
     umap = _unit_map(units)
-    total = F.aggregate(
-        parts, F.lit(0.0),
-        lambda acc, x: acc + F.regexp_extract(x, "^([0-9.]+)", 1).cast("double")
-        * F.element_at(umap, F.regexp_extract(x, f"({alt})$", 1)))
-    return (F.when(whole, total / F.lit(scale))
-            .when(s.rlike("^[0-9]+(\\.[0-9]+)?$"), s.cast("double")))
+
+    def body(s: Column) -> Column:
+        whole = s.rlike(f"^({part})+$")
+        parts = F.regexp_extract_all(s, F.lit(part), 0)
+        total = F.aggregate(
+            parts, F.lit(0.0),
+            lambda acc, x: acc + F.regexp_extract(x, "^([0-9.]+)", 1).cast("double")
+            * F.element_at(umap, F.regexp_extract(x, f"({alt})$", 1)))
+        return (F.when(whole, total / F.lit(scale))
+                .when(s.rlike("^[0-9]+(\\.[0-9]+)?$"), s.cast("double")))
+    return let(F.trim(c), body)
 
 
 LOGFMT_PAIR = r'([A-Za-z_][A-Za-z0-9_.\-]*)=("(?:[^"\\]|\\.)*"|\S*)'
@@ -75,18 +79,21 @@ LOGFMT_PAIR = r'([A-Za-z_][A-Za-z0-9_.\-]*)=("(?:[^"\\]|\\.)*"|\S*)'
 def logfmt_map(line: Column | str) -> Column:
     """``k=v k2="quoted value"`` -> map; quotes removed, ``\\"`` unescaped; first key wins."""
     line = F.col(line) if isinstance(line, str) else line
-    keys = F.regexp_extract_all(line, F.lit(LOGFMT_PAIR), 1)
-    vals = F.regexp_extract_all(line, F.lit(LOGFMT_PAIR), 2)
-    uniq = F.array_distinct(keys)
-    picked = F.transform(uniq, lambda k: F.element_at(vals, F.array_position(keys, k).cast("int")))
-    clean = F.transform(picked, lambda v: F.regexp_replace(F.regexp_replace(v, r'^"(.*)"$', "$1"), r'\\"', '"'))
-    return F.map_from_arrays(uniq, clean)
+
+    def body(text: Column) -> Column:
+        keys = F.regexp_extract_all(text, F.lit(LOGFMT_PAIR), 1)
+        vals = F.regexp_extract_all(text, F.lit(LOGFMT_PAIR), 2)
+        uniq = F.array_distinct(keys)
+        picked = F.transform(uniq, lambda k: F.element_at(vals, F.array_position(keys, k).cast("int")))
+        clean = F.transform(picked, lambda v: F.regexp_replace(F.regexp_replace(v, r'^"(.*)"$', "$1"), r'\\"', '"'))
+        return F.map_from_arrays(uniq, clean)
+    return let(line, body)
 
 
 def json_map(line: Column | str) -> Column:
     """Top-level members of a JSON object as text (nested values as JSON text); NULL if not an object."""
     line = F.col(line) if isinstance(line, str) else line
-    return F.when(F.trim(line).startswith("{"), F.from_json(line, "map<string,string>"))
+    return let(line, lambda t: F.when(F.trim(t).startswith("{"), F.from_json(t, "map<string,string>")))
 
 
 def parse_fields(line: Column | str, fmt: str) -> Column:
@@ -96,26 +103,27 @@ def parse_fields(line: Column | str, fmt: str) -> Column:
     error is dropped.
     """
     empty = F.create_map().cast("map<string,string>")
+    line = F.col(line) if isinstance(line, str) else line
     if fmt == "json":
-        m = json_map(line)
-    elif fmt == "logfmt":
-        m = logfmt_map(line)
-    elif fmt == "mixed":
-        m = F.coalesce(json_map(line), logfmt_map(line))
-    else:
-        raise ValueError("fmt must be json, logfmt or mixed")
-    return F.coalesce(m, empty)
+        return F.coalesce(json_map(line), empty)
+    if fmt == "logfmt":
+        return F.coalesce(logfmt_map(line), empty)
+    if fmt == "mixed":
+        return let(line, lambda t: F.coalesce(json_map(t), logfmt_map(t), empty))
+    raise ValueError("fmt must be json, logfmt or mixed")
 
 
 def normalize_level(c: Column | str) -> Column:
     """raw level text -> info, debug, warn, error, critical or logs."""
     c = F.col(c) if isinstance(c, str) else c
-    s = F.trim(c)
-    out = None
-    for name, rx in LEVEL_CLASSES:
-        cond = s.rlike("(?i)" + rx)
-        out = F.when(cond, F.lit(name)) if out is None else out.when(cond, F.lit(name))
-    return out.otherwise(F.lit(DEFAULT_LEVEL))
+
+    def body(s: Column) -> Column:
+        out = None
+        for name, rx in LEVEL_CLASSES:
+            cond = s.rlike("(?i)" + rx)
+            out = F.when(cond, F.lit(name)) if out is None else out.when(cond, F.lit(name))
+        return out.otherwise(F.lit(DEFAULT_LEVEL))
+    return let(F.trim(c), body)
 
 
 def detect_level(line: Column | str, fields: Column | None = None) -> Column:

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from capstream.schema import AFTER_DDL, ENVELOPE_DDL, EVENT_FIELDS
+from capstream.schema import AFTER_DDL, ENVELOPE_DDL, EVENT_FIELDS, SCHEMA_BLOCK_DDL
 
 
 def envelope_column(value: Column | str = "value", schema: str = ENVELOPE_DDL) -> Column:
@@ -70,22 +70,22 @@ def envelope_meta(df: DataFrame, alias: str = "data") -> DataFrame:
     )
 
 
-def schema_fields(df: DataFrame, alias: str = "data") -> DataFrame:
+def schema_fields(df: DataFrame, alias: str = "data", keep: tuple[str, ...] = ()) -> DataFrame:
     """One row per field of the embedded schema (``schema.fields[].fields[]``).
 
     Top-level fields without children (``op``, ``ts_ms``...) appear once with
     NULL child columns (``explode_outer``).
     """
-    top = df.select(F.col(f"{alias}.schema.name").alias("envelope"),
+    top = df.select(*keep, F.col(f"{alias}.schema.name").alias("envelope"),
                     F.explode(f"{alias}.schema.fields").alias("f"))
     return top.select(
-        "envelope",
+        *keep, "envelope",
         F.col("f.field").alias("parent_field"),
         F.col("f.type").alias("parent_type"),
         F.col("f.name").alias("parent_name"),
         F.explode_outer("f.fields").alias("c"),
     ).select(
-        "envelope", "parent_field", "parent_type", "parent_name",
+        *keep, "envelope", "parent_field", "parent_type", "parent_name",
         F.col("c.field").alias("field"),
         F.col("c.type").alias("type"),
         F.col("c.name").alias("logical_name"),
@@ -95,6 +95,26 @@ def schema_fields(df: DataFrame, alias: str = "data") -> DataFrame:
     )
 
 
+SCHEMA_FIELD_COLUMNS = ("envelope", "parent_field", "parent_type", "parent_name", "field", "type",
+                        "logical_name", "optional", "default_value", "allowed")
+
+
+def schema_field_counts(df: DataFrame, value: str = "value") -> DataFrame:
+    """B11 summary: each embedded-schema field with the number of messages carrying it.
+
+    Every message repeats its table's schema, so the schema text is cut out
+    (declared as text: kept raw, not parsed), messages are counted per
+    distinct text with a partial aggregate (a schema shared by all messages
+    is one hot key, pre-combined on every partition), and only the distinct
+    schemas are parsed and exploded.
+    """
+    texts = df.select(F.from_json(F.col(value).cast("string"), "schema string").getField("schema").alias("t"))
+    distinct = texts.groupBy("t").agg(F.count(F.lit(1)).alias("_n"))
+    parsed = distinct.select("_n", F.struct(F.from_json("t", SCHEMA_BLOCK_DDL).alias("schema")).alias("data"))
+    return (schema_fields(parsed, keep=("_n",))
+            .groupBy(*SCHEMA_FIELD_COLUMNS).agg(F.sum("_n").alias("n_messages")))
+
+
 _UNIT_FN = {"seconds": F.timestamp_seconds, "millis": F.timestamp_millis, "micros": F.timestamp_micros}
 
 

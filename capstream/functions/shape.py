@@ -43,9 +43,6 @@ def to_hash_rows(df: DataFrame, key_col: str, prefix_text: str, mapping: dict[st
     NULL keys are skipped unless ``null_key`` is given (``"None"`` reproduces
     the text a Python f-string would write, and a NULL value becomes ``"None"`` too).
     """
-    if null_key is None:
-        df = df.where(F.col(key_col).isNotNull())
-
     def val(c: str) -> Column:
         v = F.col(c).cast("string")
         return F.coalesce(v, F.lit(null_key)) if null_key is not None else v
@@ -53,8 +50,14 @@ def to_hash_rows(df: DataFrame, key_col: str, prefix_text: str, mapping: dict[st
     pairs = []
     for field_name, c in mapping.items():
         pairs += [F.lit(field_name), val(c)]
-    return df.select(hash_key(prefix_text, F.col(key_col), null_key).alias("hash_key"),
-                     F.create_map(*pairs).alias("fields"))
+    row = F.struct(hash_key(prefix_text, F.col(key_col), null_key).alias("hash_key"),
+                   F.create_map(*pairs).alias("fields"))
+    if null_key is not None:
+        return df.select(row.alias("r")).select("r.*")
+    # NULL keys are dropped by a generator (no rows for a NULL array) rather
+    # than a filter: a filter on the key would be pushed below the aggregate
+    # into the scan and parse every message a second time.
+    return df.select(F.inline(F.when(F.col(key_col).isNotNull(), F.array(row))))
 
 
 def hash_rows_for(df: DataFrame, prefix: str, null_key: str | None = None) -> DataFrame:

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from capstream.functions.common import let
 from capstream.functions.logfields import (detect_level, mask_template, normalize_level, parse_fields,
                                            parse_quantity, pattern_regex)
 from capstream.operators.timeseries import bucket_start
@@ -105,7 +106,9 @@ def field_avg(df: DataFrame, field: str, step_ms: int, kind: str | None = None,
               fields: str = "fields", unit: str | None = None) -> DataFrame:
     """average of a numeric field per step; lines where it does not parse are dropped."""
     v = field_value(F.col(fields), field, kind, unit)
-    return (df.select(ts, v.alias("_v")).where(F.col("_v").isNotNull())
+    # avg skips NULLs (unparsable values); a filter here would only be pushed
+    # into the scan and evaluate the parse a second time
+    return (df.select(ts, v.alias("_v"))
             .groupBy(bucket_start(ts, step_ms).alias("bucket_start")).agg(F.avg("_v").alias("avg")))
 
 
@@ -157,13 +160,14 @@ def detected_labels(df: DataFrame, labels: str = "labels", approx: bool = False)
 
 def _value_type(v: Column) -> Column:
     """Type vote of one value: int, float, duration, bytes, boolean, string."""
-    s = F.trim(v)
-    return (F.when(s.rlike("^-?[0-9]+$"), "int")
-            .when(s.try_cast("double").isNotNull() & s.rlike("^-?[0-9.eE+-]+$"), "float")
-            .when(parse_quantity(s, "duration").isNotNull(), "duration")
-            .when(parse_quantity(s, "bytes").isNotNull(), "bytes")
-            .when(F.lower(s).isin("true", "false"), "boolean")
-            .otherwise("string"))
+    def body(s: Column) -> Column:
+        return (F.when(s.rlike("^-?[0-9]+$"), "int")
+                .when(s.try_cast("double").isNotNull() & s.rlike("^-?[0-9.eE+-]+$"), "float")
+                .when(parse_quantity(s, "duration").isNotNull(), "duration")
+                .when(parse_quantity(s, "bytes").isNotNull(), "bytes")
+                .when(F.lower(s).isin("true", "false"), "boolean")
+                .otherwise("string"))
+    return let(F.trim(v), body)
 
 
 def detected_fields(df: DataFrame, parsers: tuple[str, ...] = ("json", "logfmt"), line: str = "line",
@@ -174,14 +178,16 @@ def detected_fields(df: DataFrame, parsers: tuple[str, ...] = ("json", "logfmt")
     otherwise, among ``parsers``). The type is the widest vote over values
     (int < float < string; duration/bytes/boolean only when unanimous).
     """
-    c = F.col(line)
-    is_obj = F.trim(c).startswith("{")
-    use_json = "json" in parsers
-    use_logfmt = "logfmt" in parsers
-    parser = (F.when(is_obj & F.lit(use_json), "json").when(~is_obj & F.lit(use_logfmt), "logfmt"))
-    fields = F.when(parser == "json", parse_fields(c, "json")).when(parser == "logfmt", parse_fields(c, "logfmt"))
-    pairs = (df.select(parser.alias("parser"), fields.alias("f")).where(F.col("f").isNotNull())
-             .select("parser", F.explode("f").alias("name", "value"))
+    use_json, use_logfmt = "json" in parsers, "logfmt" in parsers
+
+    def body(t: Column) -> Column:
+        obj = F.trim(t).startswith("{")
+        return (F.when(obj & F.lit(use_json), F.struct(F.lit("json").alias("parser"), parse_fields(t, "json").alias("f")))
+                .when(~obj & F.lit(use_logfmt),
+                      F.struct(F.lit("logfmt").alias("parser"), parse_fields(t, "logfmt").alias("f"))))
+    # explode (not a filter) drops lines no parser takes, so nothing is pushed into the scan
+    pairs = (df.select(let(F.col(line), body).alias("pf"))
+             .select(F.col("pf.parser").alias("parser"), F.explode("pf.f").alias("name", "value"))
              .where(~F.col("name").isin(*LEVEL_FIELDS)))
     # one row per (name, value, parser) first: bounded by distinct values, not lines
     dv = pairs.select("name", "value", "parser").distinct()
@@ -193,7 +199,7 @@ def detected_fields(df: DataFrame, parsers: tuple[str, ...] = ("json", "logfmt")
         F.collect_set("t").alias("_types"))
     ts = F.col("_types")
     typ = (F.when(F.size(ts) == 1, ts[0])
-           .when(F.forall(ts, lambda t: t.isin("int", "float")), "float")
+           .when(F.forall(ts, lambda x: x.isin("int", "float")), "float")
            .otherwise("string"))
     return agg.select("name", "cardinality",
                       F.when(F.col("parsers") == "", "structuredMetadata").otherwise(F.col("parsers")).alias("parsers"),

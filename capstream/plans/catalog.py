@@ -11,8 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from capstream.functions.parse import (envelope_meta, parse_envelope, parse_events, reparse_before,
-                                       schema_fields)
+from capstream.functions.parse import (SCHEMA_FIELD_COLUMNS, envelope_meta, parse_envelope, parse_events,
+                                       reparse_before, schema_field_counts, schema_fields)
 from capstream.functions.shape import HASH_PREFIX, hash_rows_for, notification_for
 from capstream.operators.aggregate import clerk_totals
 from capstream.plans import standins as S
@@ -118,11 +118,12 @@ FROM f JOIN n ON f.src = n.src"""
 
 
 register("b11_schema_fields", _schema_fields_sql())(
+    lambda spark, d: schema_field_counts(
+        S.source_messages(spark, d, "postgres").unionByName(S.source_messages(spark, d, "mysql"))))
+register("b11_schema_fields_per_message", _schema_fields_sql())(
     lambda spark, d: schema_fields(parse_envelope(
         S.source_messages(spark, d, "postgres").unionByName(S.source_messages(spark, d, "mysql"))))
-    .groupBy("envelope", "parent_field", "parent_type", "parent_name", "field", "type", "logical_name",
-             "optional", "default_value", "allowed")
-    .agg(F.count(F.lit(1)).alias("n_messages"))
+    .groupBy(*SCHEMA_FIELD_COLUMNS).agg(F.count(F.lit(1)).alias("n_messages"))
 )
 
 register("d1_clerk_count_postgres", _totals_sql("postgres", False))(
