@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -17,3 +17,18 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     keeps it to one evaluation per row.
     """
     return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def explode_rows(df: DataFrame, col: Column, aliases: tuple[str, ...], keep: tuple = (),
+                 pos: str | None = None) -> DataFrame:
+    """Same rows as ``explode``/``posexplode`` (none for a NULL or empty input).
+
+    A plain ``explode`` makes the optimizer infer ``size(col) > 0`` and push it
+    down to the scan, where an expensive ``col`` (a parsed document, a split
+    text) is computed a second time. The outer form infers nothing; the rows
+    it adds for empty input are dropped by a filter on the generated position,
+    which cannot move below the generator.
+    """
+    p = pos or "_pos"
+    out = df.select(*keep, F.posexplode_outer(col).alias(p, *aliases)).where(F.col(p).isNotNull())
+    return out if pos else out.drop(p)

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from capstream.functions.common import explode_rows
 from capstream.schema import AFTER_DDL, ENVELOPE_DDL, EVENT_FIELDS, SCHEMA_BLOCK_DDL
 
 
@@ -76,8 +77,8 @@ def schema_fields(df: DataFrame, alias: str = "data", keep: tuple[str, ...] = ()
     Top-level fields without children (``op``, ``ts_ms``...) appear once with
     NULL child columns (``explode_outer``).
     """
-    top = df.select(*keep, F.col(f"{alias}.schema.name").alias("envelope"),
-                    F.explode(f"{alias}.schema.fields").alias("f"))
+    top = explode_rows(df, F.col(f"{alias}.schema.fields"), ("f",),
+                       keep=(*keep, F.col(f"{alias}.schema.name").alias("envelope")))
     return top.select(
         *keep, "envelope",
         F.col("f.field").alias("parent_field"),

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from capstream.functions.common import let
+from capstream.functions.common import explode_rows, let
 from capstream.functions.logfields import (detect_level, mask_template, normalize_level, parse_fields,
                                            parse_quantity, pattern_regex)
 from capstream.operators.timeseries import bucket_start
@@ -141,7 +141,7 @@ def top_volume(df: DataFrame, label: str, limit: int = DEFAULT_VOLUME_LIMIT, uni
 
 
 def _pairs(df: DataFrame, labels: str) -> DataFrame:
-    return df.select(F.explode(labels).alias("name", "value"))
+    return explode_rows(df, F.col(labels), ("name", "value"))
 
 
 def detected_labels(df: DataFrame, labels: str = "labels", approx: bool = False) -> DataFrame:
@@ -186,8 +186,8 @@ def detected_fields(df: DataFrame, parsers: tuple[str, ...] = ("json", "logfmt")
                 .when(~obj & F.lit(use_logfmt),
                       F.struct(F.lit("logfmt").alias("parser"), parse_fields(t, "logfmt").alias("f"))))
     # explode (not a filter) drops lines no parser takes, so nothing is pushed into the scan
-    pairs = (df.select(let(F.col(line), body).alias("pf"))
-             .select(F.col("pf.parser").alias("parser"), F.explode("pf.f").alias("name", "value"))
+    parsed = df.select(let(F.col(line), body).alias("pf"))
+    pairs = (explode_rows(parsed, F.col("pf.f"), ("name", "value"), keep=(F.col("pf.parser").alias("parser"),))
              .where(~F.col("name").isin(*LEVEL_FIELDS)))
     # one row per (name, value, parser) first: bounded by distinct values, not lines
     dv = pairs.select("name", "value", "parser").distinct()

@@ -19,6 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from capstream.functions.common import explode_rows
 from capstream.sources.envelope import MYSQL, POSTGRES, CdcSource, epoch_micros, is_ntz, to_envelope
 
 
@@ -204,7 +205,7 @@ def document_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     Labels: ``service_name`` = ``docs``, ``lang``, ``source``.
     """
     d = spread(table(spark, sf_dir, "documents"))
-    x = d.select("doc_id", "lang", "source", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
+    x = explode_rows(d, F.split("text", "\n"), ("line",), keep=("doc_id", "lang", "source"), pos="pos")
     ln = (F.col("pos") + 1).cast("bigint")
     ts = F.timestamp_add("SECOND", F.col("doc_id") * 60 + ln, F.expr("TIMESTAMP_NTZ'2024-01-01 00:00:00'"))
     labels = F.create_map(F.lit("service_name"), F.lit("docs"), F.lit("lang"), F.col("lang"),
