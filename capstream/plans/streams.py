@@ -1,9 +1,9 @@
 """Streaming runs over the driver's tables (stream = batch checks).
 
-Each run writes a source's change messages as a replay folder of several
-files under the shared folder, streams it with one file per micro-batch (so
-state really carries across batches), drains it with ``availableNow`` and
-returns the sink's table as a batch DataFrame.
+Each run writes a source's change messages as a replay folder under the
+shared folder, streams it in several micro-batches (so state really carries
+across batches), drains it with ``availableNow`` and returns the sink's table
+as a batch DataFrame.
 """
 
 from __future__ import annotations
@@ -19,13 +19,16 @@ from capstream.sources.kafka import cdc_source, write_replay
 from capstream.streaming import sinks
 from capstream.streaming.runner import run
 
-REPLAY_FILES = 4
+MICRO_BATCHES = 4
 
 
-def replay_source(spark: SparkSession, sf_dir: str, prefix: str, files: int = REPLAY_FILES):
+def replay_source(spark: SparkSession, sf_dir: str, prefix: str, batches: int = MICRO_BATCHES):
+    """Replay folder with one file per core per micro-batch, drained in ``batches`` batches."""
+    per_batch = max(1, spark.sparkContext.defaultParallelism)
     src, _ = S.SOURCES[prefix]
-    path = write_replay(S.source_messages(spark, sf_dir, prefix), shared_path(spark, f"replay-{prefix}"), files)
-    return src.with_(kind="files", path=path, max_files_per_trigger=1)
+    path = write_replay(S.source_messages(spark, sf_dir, prefix), shared_path(spark, f"replay-{prefix}"),
+                        per_batch * batches)
+    return src.with_(kind="files", path=path, max_files_per_trigger=per_batch)
 
 
 def stream_hash_store(spark: SparkSession, sf_dir: str, prefix: str) -> DataFrame:

@@ -7,6 +7,8 @@ others are stopped.
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
@@ -106,17 +108,23 @@ def shared_job(spark: SparkSession, sources: list[CdcSource], checkpoint_root: s
     return qs
 
 
-def run(spark: SparkSession, queries: list[StreamingQuery], timeout_s: float | None = None) -> None:
-    """Wait on all queries together; the first failure stops the rest and is raised."""
+def run(spark: SparkSession, queries: list[StreamingQuery], timeout_s: float | None = None,
+        poll_s: float = 0.5) -> None:
+    """Wait on all ``queries`` together; the first failure stops the rest and is raised.
+
+    Only these queries are watched (not every query of the session), so an
+    unrelated query ending elsewhere does not end this wait.
+    """
+    deadline = None if timeout_s is None else time.monotonic() + timeout_s
     try:
-        while any(q.isActive for q in queries):
-            done = spark.streams.awaitAnyTermination(timeout_s)
-            if timeout_s is not None and not done:
-                break
-            spark.streams.resetTerminated()
+        while True:
             for q in queries:
                 if not q.isActive and q.exception() is not None:
                     raise q.exception()
+            active = [q for q in queries if q.isActive]
+            if not active or (deadline is not None and time.monotonic() >= deadline):
+                return
+            active[0].awaitTermination(poll_s)
     finally:
         for q in queries:
             if q.isActive:

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from capstream.functions.parse import parse_events
+from capstream.functions.shape import HASH_PREFIX
 from capstream.operators.aggregate import clerk_totals
 from capstream.plans import standins as S
 from capstream.sources.envelope import MYSQL, POSTGRES
@@ -126,3 +127,63 @@ def test_run_raises_first_failure(spark):
     with pytest.raises(Exception):
         run(spark, [good, bad], timeout_s=60)
     assert not good.isActive and not bad.isActive
+
+
+def test_console_sink_and_rocksdb_state(spark, sf):
+    from capstream.streaming.runner import use_rocksdb
+    src = _replay(spark, sf, "postgres", files=3)
+    prev = spark.conf.get("spark.sql.streaming.stateStore.providerClass", None)
+    use_rocksdb(spark)
+    try:
+        totals = clerk_totals(parse_events(cdc_source(spark, src), "postgres"), "postgres", ("count",))
+        q = sinks.sink_console(totals, "complete", "available_now", checkpoint=tempfile.mkdtemp() + "/ck")
+        run(spark, [q])
+        summary = progress_summary(q)
+        assert summary["batches"] >= 3 and summary["state_rows"] == len(_batch_totals(spark, sf, "postgres"))
+    finally:
+        if prev:
+            spark.conf.set("spark.sql.streaming.stateStore.providerClass", prev)
+        else:
+            spark.conf.unset("spark.sql.streaming.stateStore.providerClass")
+
+
+def test_jobs_wire_sources_to_sinks(spark, sf):
+    from capstream.streaming.runner import console_job, hash_store_job
+    srcs = [_replay(spark, sf, "postgres", files=2), _replay(spark, sf, "mysql", files=2)]
+    root = tempfile.mkdtemp()
+    writers = {p: sinks.TableHashWriter(f"{root}/store-{p}") for p in ("postgres", "mysql")}
+    qs = hash_store_job(spark, srcs, writers.__getitem__, root + "/ck", trigger="available_now")
+    qs += console_job(spark, srcs, root + "/ck", trigger_totals="available_now", trigger_events="available_now")
+    assert len(qs) == 6
+    run(spark, qs)
+    for p in ("postgres", "mysql"):
+        got = {r.hash_key: int(r.fields["Sum"]) for r in writers[p].read(spark).collect()}
+        want = {f"{HASH_PREFIX[p]}{k}": v[1] for k, v in _batch_totals(spark, sf, p).items() if k is not None}
+        assert got == want
+
+
+def test_sinks_require_checkpoints(spark):
+    df = spark.readStream.format("rate").load()
+    with pytest.raises(ValueError):
+        sinks.sink_kafka(df, "t", "k:1", checkpoint="")
+    with pytest.raises(ValueError):
+        sinks.sink_keyed_upsert(df, sinks.TableHashWriter("/nonexistent"), "mysql", checkpoint="")
+
+
+def test_jdbc_snapshot_options():
+    from capstream.sources.jdbc import jdbc_snapshot
+
+    class Reader:
+        def jdbc(self, url, table, **kw):
+            self.call = (url, table, kw)
+            return "df"
+
+    class FakeSpark:
+        read = Reader()
+
+    out = jdbc_snapshot(FakeSpark(), "jdbc:x", "customer", {"user": "u"}, num_partitions=16,
+                        lower_bound=1, upper_bound=1000)
+    url, table, kw = FakeSpark.read.call
+    assert out == "df" and (url, table) == ("jdbc:x", "customer")
+    assert kw["column"] == "id" and kw["numPartitions"] == 16 and (kw["lowerBound"], kw["upperBound"]) == (1, 1000)
+    assert kw["properties"]["fetchsize"] == "10000" and kw["properties"]["user"] == "u"
