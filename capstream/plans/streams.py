@@ -17,7 +17,7 @@ from capstream.plans import standins as S
 from capstream.session import shared_path
 from capstream.sources.kafka import cdc_source, write_replay
 from capstream.streaming import sinks
-from capstream.streaming.runner import run
+from capstream.streaming.runner import progress_summary, run
 
 MICRO_BATCHES = 4
 
@@ -61,3 +61,25 @@ def stream_append_events(spark: SparkSession, sf_dir: str, prefix: str) -> DataF
                          shared_path(spark, f"ck-events-{prefix}"), trigger="available_now")
     run(spark, [q])
     return spark.read.parquet(out)
+
+
+def measure_stream(spark: SparkSession, sf_dir: str, prefix: str = "mysql", batches: int = MICRO_BATCHES) -> dict:
+    """Clerk totals through a replay stream into the keyed store; progress figures.
+
+    The replay is written first (not timed); the timed part is the stream
+    from start to drained.
+    """
+    import time
+    src = replay_source(spark, sf_dir, prefix, batches)
+    writer = sinks.TableHashWriter(shared_path(spark, f"hash-bench-{prefix}"))
+    totals = clerk_totals(parse_events(cdc_source(spark, src), prefix), prefix, ("count", "sum"))
+    t0 = time.perf_counter()
+    q = sinks.sink_keyed_upsert(totals, writer, prefix, shared_path(spark, f"ck-bench-{prefix}"),
+                                trigger="available_now")
+    run(spark, [q])
+    secs = time.perf_counter() - t0
+    out = progress_summary(q)
+    out["seconds"] = round(secs, 3)
+    out["rows_per_s"] = round(out["input_rows"] / secs, 1) if secs else None
+    out["files_per_batch"] = src.max_files_per_trigger
+    return out
