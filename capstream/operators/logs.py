@@ -242,6 +242,48 @@ def log_patterns(df: DataFrame, step_ms: int, recent_ms: int | None = None, ts:
 
 
 RANK_STATS = ("stddev", "sum", "max", "min", "p10", "p25", "p75", "p90", "p99", "name")
+SKETCH_ACCURACY = 10_000
+SMALL_GROUP = 4 * SKETCH_ACCURACY
+
+
+def exact_percentile(df: DataFrame, keys: tuple[str, ...], value: str, q: float,
+                     accuracy: int = SKETCH_ACCURACY) -> DataFrame:
+    """Exact percentile per key with linear interpolation (as ``percentile``), skew-safe.
+
+    ``percentile`` keeps every distinct value of a group in one buffer; here
+    no group is ever gathered whole:
+
+    1. one aggregate gives each key's count and two sketch quantiles
+       (``percentile_approx``, mergeable partial state) just below and above
+       ``q``; the sketch's rank error (n/accuracy) guarantees the exact values
+       at ranks floor/ceil((n-1)q) lie between them;
+    2. rows are counted below the lower bound (an aggregate) and only rows
+       between the bounds (about 6n/accuracy per key, or a whole group smaller
+       than ``SMALL_GROUP``) are ranked exactly in a window.
+    """
+    eps = 3.0 / accuracy
+    v = df.select(*keys, F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull())
+    pos = (F.col("_n") - 1) * F.lit(q)
+    stats = (v.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("_n"),
+        F.percentile_approx("_v", max(0.0, q - eps), accuracy).alias("_lo"),
+        F.percentile_approx("_v", min(1.0, q + eps), accuracy).alias("_hi"))
+        .select(*keys, "_n", "_lo", "_hi", F.floor(pos).alias("_k0"), F.ceil(pos).alias("_k1"), pos.alias("_pos")))
+    # one row per key on the right; AQE splits a hot key's partition on the left
+    j = v.join(stats, list(keys))
+    whole = F.col("_n") < SMALL_GROUP
+    below = j.groupBy(*keys).agg(
+        F.sum(F.when(~whole & (F.col("_v") < F.col("_lo")), 1).otherwise(0)).alias("_below"))
+    cand = j.where(whole | ((F.col("_v") >= F.col("_lo")) & (F.col("_v") <= F.col("_hi"))))
+    w = Window.partitionBy(*keys).orderBy("_v")
+    ranked = (cand.withColumn("_rn", F.row_number().over(w)).join(below, list(keys))
+              .withColumn("_rank", F.col("_below") + F.col("_rn") - 1)
+              .where((F.col("_rank") == F.col("_k0")) | (F.col("_rank") == F.col("_k1"))))
+    lo_v = F.max(F.when(F.col("_rank") == F.col("_k0"), F.col("_v")))
+    hi_v = F.max(F.when(F.col("_rank") == F.col("_k1"), F.col("_v")))
+    k0, k1, p = F.first("_k0"), F.first("_k1"), F.first("_pos")
+    return ranked.groupBy(*keys).agg(
+        F.when(k0 == k1, lo_v).otherwise((k1 - p) * lo_v + (p - k0) * hi_v).alias("score"))
 
 
 def rank_series(df: DataFrame, series: str, value: str, by: str = "stddev", desc: bool = True,
@@ -249,23 +291,26 @@ def rank_series(df: DataFrame, series: str, value: str, by: str = "stddev", desc
     """one score per series, sorted (descending by default).
 
     stddev is the population form. Percentiles are exact with linear
-    interpolation (value-count map per group); ``exact=False`` uses the
-    mergeable approximate sketch for very large series. ``by='name'`` sorts by
-    the series name. An unknown ``by`` falls back to stddev.
+    interpolation (``exact_percentile``, skew-safe); ``exact=False`` uses the
+    mergeable sketch alone. ``by='name'`` sorts by the series name. An unknown
+    ``by`` falls back to stddev.
     """
     if by not in RANK_STATS:
         by = "stddev"
     v = F.col(value)
+    order = F.col("score").desc() if desc else F.col("score").asc()
     if by == "name":
         out = df.select(series).distinct().withColumn("score", F.lit(None).cast("double"))
         return out.orderBy(F.col(series).desc() if desc else F.col(series).asc())
     if by.startswith("p"):
         q = int(by[1:]) / 100.0
-        stat = F.percentile(v, q) if exact else F.percentile_approx(v, q, 10000).cast("double")
-    else:
-        stat = {"stddev": F.stddev_pop, "sum": F.sum, "max": F.max, "min": F.min}[by](v)
-    out = df.groupBy(series).agg(stat.alias("score"))
-    return out.orderBy(F.col("score").desc() if desc else F.col("score").asc(), F.col(series).asc())
+        if exact:
+            out = exact_percentile(df, (series,), value, q)
+        else:
+            out = df.groupBy(series).agg(F.percentile_approx(v, q, SKETCH_ACCURACY).cast("double").alias("score"))
+        return out.orderBy(order, F.col(series).asc())
+    stat = {"stddev": F.stddev_pop, "sum": F.sum, "max": F.max, "min": F.min}[by](v)
+    return df.groupBy(series).agg(stat.alias("score")).orderBy(order, F.col(series).asc())
 
 
 def level_counts(df: DataFrame, level_col: str = "level") -> DataFrame:

@@ -102,6 +102,9 @@ def fill_missing(rollup: DataFrame, bucket_ms: int, keys: tuple[str, ...] = (),
     chunks = bounds.select(*keys, "_lo", n.alias("_n")).select(
         *keys, "_lo", "_n",
         F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("_n") - 1) / CALENDAR_CHUNK))).alias("_c"))
+    # chunk rows are tiny (one per CALENDAR_CHUNK buckets): spread a long key's
+    # chunks over tasks before they expand
+    chunks = chunks.repartition(*keys, "_c") if keys else chunks.repartition("_c")
     cal = chunks.select(
         *keys, "_lo",
         F.explode(F.sequence(F.col("_c") * CALENDAR_CHUNK,

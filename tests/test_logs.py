@@ -111,3 +111,14 @@ def test_patterns_and_rank(spark, logs):
     assert r == [("a", 9.0), ("b", 5.0)]
     assert [x.s for x in L.rank_series(s, "s", "v", "stddev", desc=False).collect()] == ["b", "a"]
     assert [x.s for x in L.rank_series(s, "s", "v", "no-such-stat").collect()] == ["a", "b"]  # falls back
+
+
+def test_exact_percentile_matches_brute_force(spark):
+    # one group big enough for the sketch-bracketed path, one tiny, one with ties
+    big = spark.range(45_000).select(F.lit("big").alias("k"), ((F.col("id") * 7919) % 10007).cast("double").alias("v"))
+    small = spark.createDataFrame([("one", 3.0), ("ties", 1.0), ("ties", 1.0), ("ties", 2.0)], "k string, v double")
+    df = big.unionByName(small)
+    for q in (0.0, 0.1, 0.5, 0.9, 0.99, 1.0):
+        got = {r.k: r.score for r in L.exact_percentile(df, ("k",), "v", q).collect()}
+        want = {r.k: r.s for r in df.groupBy("k").agg(F.percentile("v", q).alias("s")).collect()}
+        assert got == pytest.approx(want)
