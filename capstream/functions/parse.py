@@ -36,14 +36,16 @@ def project_event(df: DataFrame, prefix: str, fields=EVENT_FIELDS, keep: tuple[s
 
 
 def parse_events(df: DataFrame, prefix: str, value: str = "value", fields=EVENT_FIELDS,
-                 keep: tuple[str, ...] = ()) -> DataFrame:
+                 keep: tuple[str, ...] = (), with_op: bool = False) -> DataFrame:
     """B1-B4 in one projection: Kafka rows -> prefixed event columns.
 
     Only the ``payload`` branch is declared, so the parser materialises just
-    what the projection needs.
+    what the projection needs. ``with_op`` adds the change kind as ``op``.
     """
-    after = envelope_column(value, f"payload struct<after struct<{AFTER_DDL}>>").getField("payload").getField("after")
-    return df.select(*keep, *[after.getField(src).alias(f"{prefix}_{dst}") for src, dst in fields])
+    payload = envelope_column(value, f"payload struct<after struct<{AFTER_DDL}>, op string>").getField("payload")
+    after = payload.getField("after")
+    extra = [payload.getField("op").alias("op")] if with_op else []
+    return df.select(*keep, *[after.getField(src).alias(f"{prefix}_{dst}") for src, dst in fields], *extra)
 
 
 def reparse_before(c: Column | str = "before") -> Column:

@@ -173,6 +173,23 @@ for _p in ("postgres", "mysql"):
     )
 
 
+register("b9_hash_rows_mysql_null_key_compat", f"""
+SELECT 'Mysql:' || COALESCE(mysql_clerk, 'None') AS hash_key,
+       CAST(mysql_purchase_count AS VARCHAR) AS count_text,
+       COALESCE(CAST(mysql_purchase_sum AS VARCHAR), 'None') AS sum_text
+FROM ({_totals_sql("mysql", True)}) t""")(
+    lambda spark, d: hash_rows_for(clerk_totals(_events(spark, d, "mysql"), "mysql", ("count", "sum")), "mysql",
+                                   null_key="None")
+    .select("hash_key", F.col("fields")["Count"].alias("count_text"), F.col("fields")["Sum"].alias("sum_text")))
+
+register("d3_clerk_totals_postgres_inserts_snapshots", f"""
+SELECT clerk AS postgres_clerk, count(purchase) AS postgres_purchase_count,
+       CAST(sum(purchase) AS BIGINT) AS postgres_purchase_sum
+FROM ({S.ORDERS_ROWS_SQL}) r WHERE op IN ('c', 'r') GROUP BY 1""")(
+    lambda spark, d: clerk_totals(parse_events(S.source_messages(spark, d, "postgres"), "postgres", with_op=True),
+                                  "postgres", ("count", "sum"), ops=("c", "r")))
+
+
 # ---------------------------------------------------------------------------
 # Streaming runs (file replay, availableNow) checked against the batch SQL
 # ---------------------------------------------------------------------------
