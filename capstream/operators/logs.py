@@ -244,6 +244,7 @@ def log_patterns(df: DataFrame, step_ms: int, recent_ms: int | None = None, ts:
 RANK_STATS = ("stddev", "sum", "max", "min", "p10", "p25", "p75", "p90", "p99", "name")
 SKETCH_ACCURACY = 10_000
 SMALL_GROUP = 4 * SKETCH_ACCURACY
+JOIN_SALTS = 32
 
 
 def exact_percentile(df: DataFrame, keys: tuple[str, ...], value: str, q: float,
@@ -257,9 +258,11 @@ def exact_percentile(df: DataFrame, keys: tuple[str, ...], value: str, q: float,
        (``percentile_approx``, mergeable partial state) just below and above
        ``q``; the sketch's rank error (n/accuracy) guarantees the exact values
        at ranks floor/ceil((n-1)q) lie between them;
-    2. rows are counted below the lower bound (an aggregate) and only rows
-       between the bounds (about 6n/accuracy per key, or a whole group smaller
-       than ``SMALL_GROUP``) are ranked exactly in a window.
+    2. the rows meet their key's bounds in a salted join (a hot key is split
+       over ``JOIN_SALTS`` tasks), rows below the lower bound are counted (an
+       aggregate) and only rows between the bounds (about 6n/accuracy per key,
+       or a whole group smaller than ``SMALL_GROUP``) are ranked exactly in a
+       window.
     """
     eps = 3.0 / accuracy
     v = df.select(*keys, F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull())
@@ -269,8 +272,12 @@ def exact_percentile(df: DataFrame, keys: tuple[str, ...], value: str, q: float,
         F.percentile_approx("_v", max(0.0, q - eps), accuracy).alias("_lo"),
         F.percentile_approx("_v", min(1.0, q + eps), accuracy).alias("_hi"))
         .select(*keys, "_n", "_lo", "_hi", F.floor(pos).alias("_k0"), F.ceil(pos).alias("_k1"), pos.alias("_pos")))
-    # one row per key on the right; AQE splits a hot key's partition on the left
-    j = v.join(stats, list(keys))
+    # Salted join: each row takes a random salt, each key's stats row is copied
+    # to every salt, so a hot key's rows spread over JOIN_SALTS tasks. Any salt
+    # a row gets (also on a retry) meets a full copy of its stats: exact.
+    salted = stats.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(JOIN_SALTS - 1))))
+    j = (v.withColumn("_salt", (F.rand(17) * JOIN_SALTS).cast("int"))
+         .join(salted, [*keys, "_salt"]).drop("_salt"))
     whole = F.col("_n") < SMALL_GROUP
     below = j.groupBy(*keys).agg(
         F.sum(F.when(~whole & (F.col("_v") < F.col("_lo")), 1).otherwise(0)).alias("_below"))
