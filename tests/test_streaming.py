@@ -187,3 +187,25 @@ def test_jdbc_snapshot_options():
     assert out == "df" and (url, table) == ("jdbc:x", "customer")
     assert kw["column"] == "id" and kw["numPartitions"] == 16 and (kw["lowerBound"], kw["upperBound"]) == (1, 1000)
     assert kw["properties"]["fetchsize"] == "10000" and kw["properties"]["user"] == "u"
+
+
+def test_command_line_hash_job_on_replay_folders(spark, sf):
+    from capstream.__main__ import build_sources, parse_args, start
+    pg, my = _replay(spark, sf, "postgres", files=2), _replay(spark, sf, "mysql", files=2)
+    store, ck = tempfile.mkdtemp() + "/store", tempfile.mkdtemp() + "/ck"
+    a = parse_args(["hash", "--source-kind", "files", "--path", f"postgres={pg.path}", "--path", f"mysql={my.path}",
+                    "--store-path", store, "--checkpoint", ck, "--trigger", "available_now"])
+    assert [s.name for s in build_sources(a)] == ["postgres", "mysql"]
+    run(spark, start(spark, a))
+    got = {r.hash_key: int(r.fields["Count"]) for r in sinks.TableHashWriter(f"{store}/mysql").read(spark).collect()}
+    want = {f"Mysql:{k}": v[0] for k, v in _batch_totals(spark, sf, "mysql").items() if k is not None}
+    assert got == want
+
+
+def test_command_line_kafka_options():
+    from capstream.__main__ import build_sources, parse_args
+    a = parse_args(["notify", "--bootstrap", "kafka:9092", "--sources", "mysql", "--tolerate-data-loss",
+                    "--checkpoint", "/ck"])
+    (s,) = build_sources(a)
+    assert kafka_options(s) == {"kafka.bootstrap.servers": "kafka:9092", "subscribe": "mysqltopic.mariadb.customer",
+                                "failOnDataLoss": "false"}
