@@ -77,7 +77,8 @@ def zrange(df: DataFrame, lo, hi, by: str = "index", key: str = "key", member: s
 
     Order is score then member. A non-negative (or all-negative) index range
     becomes ``row_number() <= k`` so Spark limits each set before the shuffle;
-    only a range mixing signs needs the set sizes.
+    a range mixing signs ranks whole sets with ``rank_within`` (no set is
+    ranked by one task) and turns negative bounds into positions with the set sizes.
     """
     if by == "score":
         out = df.where(F.col(score).between(F.lit(lo), F.lit(hi)))
@@ -96,13 +97,36 @@ def zrange(df: DataFrame, lo, hi, by: str = "index", key: str = "key", member: s
         out = df.withColumn("_rb", F.row_number().over(w)).where(F.col("_rb") <= -lo).where(F.col("_rb") >= -hi)
         sizes = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))  # one row per set
         return out.join(sizes, key).select(key, member, score, (F.col("_n") - F.col("_rb")).alias("rank"))
-    w = Window.partitionBy(key).orderBy(*fwd)
-    n = F.count(F.lit(1)).over(Window.partitionBy(key))
-    out = df.withColumn("_rn", F.row_number().over(w) - 1).withColumn("_n", n)
-    lo_i = F.when(F.lit(lo) < 0, F.col("_n") + F.lit(lo)).otherwise(F.lit(lo))
-    hi_i = F.when(F.lit(hi) < 0, F.col("_n") + F.lit(hi)).otherwise(F.lit(hi))
-    return out.where((F.col("_rn") >= lo_i) & (F.col("_rn") <= hi_i)).select(
-        key, member, score, F.col("_rn").alias("rank"))
+    ranked = rank_within(df, key, fwd)
+    sizes = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))  # one row per set
+    out = ranked.join(sizes, key)
+    lo_i = F.lit(lo) if lo >= 0 else F.col("_n") + F.lit(lo)
+    hi_i = F.lit(hi) if hi >= 0 else F.col("_n") + F.lit(hi)
+    return out.where((F.col("rank") >= lo_i) & (F.col("rank") <= hi_i)).select(key, member, score, "rank")
+
+
+RANK_PIECES = 200
+
+
+def rank_within(df: DataFrame, key: str, order: list[Column], pieces: int | None = None) -> DataFrame:
+    """Zero-based rank of every row within its key, without one task per key.
+
+    Rows are range-partitioned on ``(key, order...)``, so a key holding a third
+    of the data spans many partitions. Each ``(partition, key)`` piece is ranked
+    locally (bounded by a partition), and a piece's offset is the number of the
+    key's rows in earlier partitions (a small table: one row per piece). Both
+    uses of the range exchange are the same plan node, so the partition ids agree.
+    The order must be total (add a unique column last).
+    """
+    n = pieces or max(RANK_PIECES, df.sparkSession.sparkContext.defaultParallelism)
+    r = df.repartitionByRange(n, F.col(key), *order).withColumn("_pid", F.spark_partition_id())
+    local = r.withColumn("_rl", F.row_number().over(Window.partitionBy("_pid", key).orderBy(*order)) - 1)
+    counts = r.groupBy("_pid", key).agg(F.count(F.lit(1)).alias("_c"))
+    offsets = counts.withColumn(
+        "_off", F.sum("_c").over(Window.partitionBy(key).orderBy("_pid")
+                                 .rowsBetween(Window.unboundedPreceding, -1))).fillna(0, ["_off"])
+    return (local.join(offsets.select("_pid", key, "_off"), ["_pid", key])
+            .withColumn("rank", (F.col("_off") + F.col("_rl")).cast("bigint")).drop("_pid", "_rl", "_off"))
 
 
 # --- E8 ---------------------------------------------------------------------

@@ -155,6 +155,11 @@ register("e7_zrange_by_index_tail",
          f"(PARTITION BY key ORDER BY score DESC, member DESC) AS rb, count(*) OVER (PARTITION BY key) AS n "
          f"FROM ({_ZSETS_SQL}) z) WHERE rb <= 3")(
     lambda spark, d: V.zrange(_zsets(spark, d), -3, -1).withColumn("rank", F.col("rank").cast("bigint")))
+register("e7_zrange_by_index_mixed",
+         f"SELECT key, member, score, rn - 1 AS rank FROM (SELECT *, row_number() OVER "
+         f"(PARTITION BY key ORDER BY score, member) AS rn, count(*) OVER (PARTITION BY key) AS n "
+         f"FROM ({_ZSETS_SQL}) z) WHERE rn - 1 >= 1 AND rn - 1 <= n - 2")(
+    lambda spark, d: V.zrange(_zsets(spark, d), 1, -2))
 register("e7_zrange_by_score",
          f"SELECT key, member, score FROM ({_ZSETS_SQL}) z WHERE score BETWEEN 1000 AND 1500")(
     lambda spark, d: V.zrange(_zsets(spark, d), 1000, 1500, by="score"))

@@ -63,3 +63,12 @@ def test_distinct_counts_dedupe_first(spark, sf, capsys):
 def test_no_inferred_filter_recomputes_the_split(spark, sf, capsys):
     p = plan(L.top_volume(S.document_logs(spark, sf), "source"), capsys)
     assert "split" not in scan_filters(p)
+
+
+def test_mixed_index_range_ranks_by_range_pieces(spark, capsys):
+    from capstream.operators import serving as V
+    z = spark.range(100).select(F.lit("k").alias("key"), F.col("id").cast("string").alias("member"),
+                                F.col("id").cast("double").alias("score"))
+    p = plan(V.zrange(z, 1, -2), capsys)
+    assert "rangepartitioning" in p
+    assert not re.search(r"Window \[row_number\(\).*windowspecdefinition\(key#\d+, score", p)

@@ -76,3 +76,21 @@ def test_panel(spark):
     o = P.organize(df, exclude=["ts"], rename={"v": "value"}, order=["value"])
     assert o.columns == ["value", "k"]
     assert P.keep_fields(o, ["k"]).columns == ["k"]
+
+
+def test_rank_within_matches_row_number_with_a_hot_key(spark):
+    from pyspark.sql import Window
+    hot = spark.range(30_000).select(F.lit("hot").alias("key"), (F.col("id") % 997).cast("double").alias("score"),
+                                      F.col("id").cast("string").alias("member"))
+    cold = spark.range(500).select((F.col("id") % 7).cast("string").alias("key"), F.col("id").cast("double").alias("score"),
+                                   F.col("id").cast("string").alias("member"))
+    df = hot.unionByName(cold)
+    order = [F.col("score").asc(), F.col("member").asc()]
+    got = V.rank_within(df, "key", order, pieces=16).select("key", "member", "rank")
+    want = df.withColumn("rank", F.row_number().over(Window.partitionBy("key").orderBy(*order)) - 1) \
+        .select("key", "member", "rank")
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+    # the hot key really is split over several range partitions
+    pids = df.repartitionByRange(16, "key", *order).where(F.col("key") == "hot") \
+        .select(F.spark_partition_id().alias("p")).distinct().count()
+    assert pids > 1
