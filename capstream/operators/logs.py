@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from capstream.functions.common import explode_rows, let
 from capstream.functions.logfields import (detect_level, mask_template, normalize_level, parse_fields,
                                            parse_quantity, pattern_regex)
+from capstream.operators.serving import rank_within
 from capstream.operators.timeseries import bucket_start
 
 # --- fixed values: names left out of discovery ---------------------------------------
@@ -261,8 +262,8 @@ def exact_percentile(df: DataFrame, keys: tuple[str, ...], value: str, q: float,
     2. the rows meet their key's bounds in a salted join (a hot key is split
        over ``JOIN_SALTS`` tasks), rows below the lower bound are counted (an
        aggregate) and only rows between the bounds (about 6n/accuracy per key,
-       or a whole group smaller than ``SMALL_GROUP``) are ranked exactly in a
-       window.
+       or a whole group smaller than ``SMALL_GROUP``) are ranked exactly, in
+       range pieces (``rank_within``).
     """
     eps = 3.0 / accuracy
     v = df.select(*keys, F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull())
@@ -282,9 +283,9 @@ def exact_percentile(df: DataFrame, keys: tuple[str, ...], value: str, q: float,
     below = j.groupBy(*keys).agg(
         F.sum(F.when(~whole & (F.col("_v") < F.col("_lo")), 1).otherwise(0)).alias("_below"))
     cand = j.where(whole | ((F.col("_v") >= F.col("_lo")) & (F.col("_v") <= F.col("_hi"))))
-    w = Window.partitionBy(*keys).orderBy("_v")
-    ranked = (cand.withColumn("_rn", F.row_number().over(w)).join(below, list(keys))
-              .withColumn("_rank", F.col("_below") + F.col("_rn") - 1)
+    # candidates are ranked in range pieces too (a hot key's bracket can still be large)
+    ranked = (rank_within(cand, keys, [F.col("_v").asc()], out="_rn").join(below, list(keys))
+              .withColumn("_rank", F.col("_below") + F.col("_rn"))
               .where((F.col("_rank") == F.col("_k0")) | (F.col("_rank") == F.col("_k1"))))
     lo_v = F.max(F.when(F.col("_rank") == F.col("_k0"), F.col("_v")))
     hi_v = F.max(F.when(F.col("_rank") == F.col("_k1"), F.col("_v")))

@@ -108,25 +108,27 @@ def zrange(df: DataFrame, lo, hi, by: str = "index", key: str = "key", member: s
 RANK_PIECES = 200
 
 
-def rank_within(df: DataFrame, key: str, order: list[Column], pieces: int | None = None) -> DataFrame:
+def rank_within(df: DataFrame, key: str | tuple[str, ...], order: list[Column], pieces: int | None = None,
+                out: str = "rank") -> DataFrame:
     """Zero-based rank of every row within its key, without one task per key.
 
-    Rows are range-partitioned on ``(key, order...)``, so a key holding a third
-    of the data spans many partitions. Each ``(partition, key)`` piece is ranked
-    locally (bounded by a partition), and a piece's offset is the number of the
-    key's rows in earlier partitions (a small table: one row per piece). Both
-    uses of the range exchange are the same plan node, so the partition ids agree.
-    The order must be total (add a unique column last).
+    Rows are range-partitioned on ``(key..., order...)``, so a key holding a
+    third of the data spans many partitions. Each ``(partition, key)`` piece is
+    ranked locally (bounded by a partition), and a piece's offset is the number
+    of the key's rows in earlier partitions (a small table: one row per piece).
+    Both uses of the range exchange are the same plan node, so the partition
+    ids agree. The order must be total (add a unique column last).
     """
+    keys = (key,) if isinstance(key, str) else tuple(key)
     n = pieces or max(RANK_PIECES, df.sparkSession.sparkContext.defaultParallelism)
-    r = df.repartitionByRange(n, F.col(key), *order).withColumn("_pid", F.spark_partition_id())
-    local = r.withColumn("_rl", F.row_number().over(Window.partitionBy("_pid", key).orderBy(*order)) - 1)
-    counts = r.groupBy("_pid", key).agg(F.count(F.lit(1)).alias("_c"))
+    r = df.repartitionByRange(n, *[F.col(k) for k in keys], *order).withColumn("_pid", F.spark_partition_id())
+    local = r.withColumn("_rl", F.row_number().over(Window.partitionBy("_pid", *keys).orderBy(*order)) - 1)
+    counts = r.groupBy("_pid", *keys).agg(F.count(F.lit(1)).alias("_c"))
     offsets = counts.withColumn(
-        "_off", F.sum("_c").over(Window.partitionBy(key).orderBy("_pid")
+        "_off", F.sum("_c").over(Window.partitionBy(*keys).orderBy("_pid")
                                  .rowsBetween(Window.unboundedPreceding, -1))).fillna(0, ["_off"])
-    return (local.join(offsets.select("_pid", key, "_off"), ["_pid", key])
-            .withColumn("rank", (F.col("_off") + F.col("_rl")).cast("bigint")).drop("_pid", "_rl", "_off"))
+    return (local.join(offsets.select("_pid", *keys, "_off"), ["_pid", *keys])
+            .withColumn(out, (F.col("_off") + F.col("_rl")).cast("bigint")).drop("_pid", "_rl", "_off"))
 
 
 # --- E8 ---------------------------------------------------------------------
