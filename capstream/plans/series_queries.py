@@ -180,6 +180,21 @@ register("e8_hash_getall",
          f"FROM ({_TOTALS_PG}) t")(lambda spark, d: V.hash_getall(_hashes(spark, d)))
 register("e8_hash_len", f"SELECT 'Postgresql:' || postgres_clerk AS hash_key, CAST(2 AS BIGINT) AS n_fields "
                         f"FROM ({_TOTALS_PG}) t")(lambda spark, d: V.hash_len(_hashes(spark, d)))
+register("e8_hash_get_sum",
+         f"SELECT 'Postgresql:' || postgres_clerk AS hash_key, CAST(s AS VARCHAR) AS value FROM ({_TOTALS_PG}) t")(
+    lambda spark, d: V.hash_get(_hashes(spark, d), "Sum"))
+register("e8_hash_mget",
+         f"SELECT 'Postgresql:' || postgres_clerk AS hash_key, CAST(c AS VARCHAR) AS \"Count\", "
+         f"CAST(s AS VARCHAR) AS \"Sum\" FROM ({_TOTALS_PG}) t")(
+    lambda spark, d: V.hash_mget(_hashes(spark, d), ["Count", "Sum"]))
+register("e8_hash_keys",
+         f"SELECT 'Postgresql:' || postgres_clerk AS hash_key, f AS field FROM ({_TOTALS_PG}) t, "
+         "(VALUES ('Count'), ('Sum')) v(f)")(
+    lambda spark, d: V.hash_keys(_hashes(spark, d)))
+register("e8_set_members",
+         "SELECT DISTINCT event_type AS key, user_id AS member FROM events")(
+    lambda spark, d: V.set_members(S.table(spark, d, "events").select(F.col("event_type").alias("key"),
+                                                                      F.col("user_id").alias("member"))))
 register("e8_set_card", "SELECT event_type AS key, count(DISTINCT user_id) AS n_members FROM events GROUP BY 1")(
     lambda spark, d: V.set_card(S.table(spark, d, "events").select(F.col("event_type").alias("key"),
                                                                    F.col("user_id").alias("member"))))
