@@ -179,12 +179,12 @@ END"""
 register("f17_log_patterns_recent", f"""
 WITH e AS (SELECT * FROM {EV} WHERE ts >= (SELECT max(ts) FROM events) - INTERVAL 3 HOUR),
 p AS (SELECT {_TEMPLATE_SQL} AS pattern, {HB} AS bucket_start, count(*) AS count FROM e GROUP BY 1, 2)
-SELECT pattern, bucket_start, count, sum(count) OVER (PARTITION BY pattern) AS total FROM p""")(
+SELECT pattern, bucket_start, count, CAST(sum(count) OVER (PARTITION BY pattern) AS BIGINT) AS total FROM p""")(
     lambda spark, d: L.log_patterns(S.event_logs(spark, d), HOUR_MS, recent_ms=3 * HOUR_MS))
 register("f17_log_patterns_all", f"""
 WITH p AS (SELECT {_TEMPLATE_SQL} AS pattern, {S.bucket_sql('ts', DAY_MS)} AS bucket_start, count(*) AS count
            FROM {EV} GROUP BY 1, 2)
-SELECT pattern, bucket_start, count, sum(count) OVER (PARTITION BY pattern) AS total FROM p""")(
+SELECT pattern, bucket_start, count, CAST(sum(count) OVER (PARTITION BY pattern) AS BIGINT) AS total FROM p""")(
     lambda spark, d: L.log_patterns(S.event_logs(spark, d), DAY_MS))
 
 
