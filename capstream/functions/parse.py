@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from capstream.functions.common import explode_rows
+from capstream.functions.common import explode_rows, let
 from capstream.schema import AFTER_DDL, ENVELOPE_DDL, EVENT_FIELDS, SCHEMA_BLOCK_DDL
 
 
@@ -41,11 +41,20 @@ def parse_events(df: DataFrame, prefix: str, value: str = "value", fields=EVENT_
 
     Only the ``payload`` branch is declared, so the parser materialises just
     what the projection needs. ``with_op`` adds the change kind as ``op``.
+
+    The parsed row leaves through a one-row generator: a later filter on an
+    event column (a change-kind filter, a NULL-key skip) then stays above the
+    parse instead of being pushed below it, where every message would be
+    parsed a second time. ``let`` keeps it to one parse per message.
     """
     payload = envelope_column(value, f"payload struct<after struct<{AFTER_DDL}>, op string>").getField("payload")
-    after = payload.getField("after")
-    extra = [payload.getField("op").alias("op")] if with_op else []
-    return df.select(*keep, *[after.getField(src).alias(f"{prefix}_{dst}") for src, dst in fields], *extra)
+
+    def row(p: Column) -> Column:
+        after = p.getField("after")
+        extra = [p.getField("op").alias("op")] if with_op else []
+        return F.array(F.struct(*[after.getField(src).alias(f"{prefix}_{dst}") for src, dst in fields], *extra))
+
+    return explode_rows(df, let(payload, row), ("_e",), keep=keep).select(*keep, "_e.*")
 
 
 def reparse_before(c: Column | str = "before") -> Column:

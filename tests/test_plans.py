@@ -72,3 +72,11 @@ def test_mixed_index_range_ranks_by_range_pieces(spark, capsys):
     p = plan(V.zrange(z, 1, -2), capsys)
     assert "rangepartitioning" in p
     assert not re.search(r"Window \[row_number\(\).*windowspecdefinition\(key#\d+, score", p)
+
+
+def test_filters_on_parsed_columns_stay_above_the_parse(spark, sf, capsys):
+    ev = parse_events(S.source_messages(spark, sf, "mysql"), "mysql", with_op=True)
+    p = plan(clerk_totals(ev, "mysql", ("count",), ops=("c", "r")), capsys)
+    conditions = re.findall(r"Condition : (.*)", p)
+    assert conditions and not any("from_json" in c for c in conditions)
+    assert p.count("from_json(") == 1  # parsed once, in the generator's input
