@@ -78,8 +78,12 @@ def field_filter(df: DataFrame, field: str, op: str, number: float, kind: str |
 
 
 def with_fields(df: DataFrame, fmt: str, line: str = "line", out: str = "fields") -> DataFrame:
-    """add the parsed field map."""
-    return df.withColumn(out, parse_fields(F.col(line), fmt))
+    """add the parsed field map.
+
+    The map comes out of a one-row generator so that a later filter on a field
+    stays above the parse instead of parsing every line again in the scan.
+    """
+    return explode_rows(df, F.array(parse_fields(F.col(line), fmt)), (out,), keep=tuple(df.columns))
 
 
 def with_level(df: DataFrame, line: str = "line", fields: str | None = "fields", out: str = "detected_level"):
