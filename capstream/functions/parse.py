@@ -127,15 +127,20 @@ def schema_field_counts(df: DataFrame, value: str = "value") -> DataFrame:
             .groupBy(*SCHEMA_FIELD_COLUMNS).agg(F.sum("_n").alias("n_messages")))
 
 
-_UNIT_FN = {"seconds": F.timestamp_seconds, "millis": F.timestamp_millis, "micros": F.timestamp_micros}
+_UNIT_MICROS = {"seconds": 1_000_000, "millis": 1_000, "micros": 1}
 
 
-def event_time(c: Column | str, unit: str = "micros") -> Column:
+def event_time(c: Column | str, unit: str = "micros", ntz: bool = False) -> Column:
     """Opt-in conversion of the row's integer ``timestamp`` to a timestamp.
 
     The unit differs between capture connectors, so it is a parameter.
+    ``ntz=True`` gives the UTC wall clock as ``timestamp_ntz`` (independent of
+    the session time zone); otherwise an instant (``timestamp``).
     """
     c = F.col(c) if isinstance(c, str) else c
-    if unit not in _UNIT_FN:
-        raise ValueError(f"unit must be one of {sorted(_UNIT_FN)}")
-    return _UNIT_FN[unit](c)
+    if unit not in _UNIT_MICROS:
+        raise ValueError(f"unit must be one of {sorted(_UNIT_MICROS)}")
+    micros = c * F.lit(_UNIT_MICROS[unit])
+    if ntz:
+        return F.timestamp_add("MICROSECOND", micros, F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'"))
+    return F.timestamp_micros(micros)

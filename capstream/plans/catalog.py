@@ -11,8 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from capstream.functions.parse import (SCHEMA_FIELD_COLUMNS, envelope_meta, parse_envelope, parse_events,
-                                       reparse_before, schema_field_counts, schema_fields)
+from capstream.functions.parse import (SCHEMA_FIELD_COLUMNS, after_image, envelope_meta, event_time, parse_envelope,
+                                       parse_events, reparse_before, schema_field_counts, schema_fields)
 from capstream.functions.shape import HASH_PREFIX, hash_rows_for, notification_for
 from capstream.operators.aggregate import clerk_totals
 from capstream.plans import standins as S
@@ -68,6 +68,17 @@ SELECT topic, op, after_id, purchase, clerk, store, customer, ts_ms FROM (
 for _p in ("postgres", "mysql"):
     register(f"b4_events_{_p}", S.events_sql(_p))(lambda spark, d, p=_p: _events(spark, d, p))
 
+register("b3_after_image_mysql", f"""
+SELECT CASE WHEN op = 'd' THEN NULL ELSE age END AS age, CASE WHEN op = 'd' THEN NULL ELSE email END AS email,
+       CASE WHEN op = 'd' THEN NULL ELSE id END AS id, CASE WHEN op = 'd' THEN NULL ELSE name END AS name,
+       CASE WHEN op = 'd' THEN NULL ELSE purchase END AS purchase, CASE WHEN op = 'd' THEN NULL ELSE store END AS store,
+       CASE WHEN op = 'd' THEN NULL ELSE "timestamp" END AS "timestamp",
+       CASE WHEN op = 'd' THEN NULL ELSE clerk END AS clerk,
+       CASE WHEN op = 'd' THEN NULL ELSE make_timestamp("timestamp") END AS event_ts
+FROM ({S.LINEITEM_ROWS_SQL}) r""")(
+    lambda spark, d: after_image(parse_envelope(S.source_messages(spark, d, "mysql")))
+    .select("after.*", event_time("after.timestamp", "micros", ntz=True).alias("event_ts")))
+
 register("b10_envelope_meta_postgres", """
 SELECT op, id AS lsn, id AS tx_id, 'postgres' AS db, 'public' AS schema_name, 'customer' AS table_name,
        'postgresql' AS connector, 'postgrestopic' AS server,

@@ -119,3 +119,11 @@ def test_to_envelope_roundtrip(spark):
         reparse_before(F.col("data.payload.before")).getField("id").alias("before_id")).collect()}
     assert got == {"c": ("A1", None), "d": (None, 2), "u": ("A1", 3)}
     assert {r.topic for r in msgs.select("topic").collect()} == {"postgrestopic.public.customer"}
+
+
+def test_event_time_units(spark):
+    from capstream.functions.parse import event_time
+    df = spark.createDataFrame([(1737461631000000,)], "t long")
+    r = df.select(event_time("t", "micros", ntz=True).alias("a"),
+                  event_time(F.col("t") / 1000, "millis", ntz=True).alias("b")).first()
+    assert str(r.a) == "2025-01-21 12:13:51" and r.a == r.b
