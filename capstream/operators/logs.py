@@ -235,7 +235,8 @@ def log_patterns(df: DataFrame, step_ms: int, recent_ms: int | None = None, ts:
     """line templates with their count per step and overall total.
 
     ``recent_ms`` keeps only lines within that span of the newest line (a
-    scalar subquery, no join). Order by ``total`` descending to rank them.
+    scalar subquery, no join). Sorted by ``total`` descending (most frequent
+    pattern first).
     """
     if recent_ms is not None:
         newest = df.select(F.max(ts)).scalar()
@@ -243,7 +244,8 @@ def log_patterns(df: DataFrame, step_ms: int, recent_ms: int | None = None, ts:
     per_step = (df.groupBy(mask_template(F.col(line)).alias("pattern"), bucket_start(ts, step_ms).alias("bucket_start"))
                 .agg(F.count(F.lit(1)).alias("count")))
     # one row per (pattern, step): the window holds a pattern's steps, not its lines
-    return per_step.withColumn("total", F.sum("count").over(Window.partitionBy("pattern")))
+    return (per_step.withColumn("total", F.sum("count").over(Window.partitionBy("pattern")))
+            .orderBy(F.col("total").desc(), F.col("pattern"), F.col("bucket_start")))
 
 
 RANK_STATS = ("stddev", "sum", "max", "min", "p10", "p25", "p75", "p90", "p99", "name")

@@ -96,7 +96,10 @@ class HashWriter:
                 if c is None:
                     c = make()
                     pipe = c.pipeline(transaction=False)
-                pipe.hset(r["hash_key"], mapping={k: v for k, v in (r["fields"] or {}).items() if v is not None})
+                mapping = {k: v for k, v in (r["fields"] or {}).items() if v is not None}
+                if not mapping:  # nothing to set (hset rejects an empty mapping)
+                    continue
+                pipe.hset(r["hash_key"], mapping=mapping)
                 n += 1
                 if n % chunk == 0:
                     pipe.execute()

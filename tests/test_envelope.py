@@ -127,3 +127,34 @@ def test_event_time_units(spark):
     r = df.select(event_time("t", "micros", ntz=True).alias("a"),
                   event_time(F.col("t") / 1000, "millis", ntz=True).alias("b")).first()
     assert str(r.a) == "2025-01-21 12:13:51" and r.a == r.b
+
+
+def test_after_image_then_project_equals_one_step_parse(spark):
+    from capstream.functions.parse import after_image, project_event
+    rows = kafka_rows(spark, [message(), message(after=None, op="d"), "junk"])
+    two = project_event(after_image(parse_envelope(rows)), "postgres").collect()
+    one = parse_events(rows, "postgres").collect()
+    assert sorted(map(tuple, two), key=str) == sorted(map(tuple, one), key=str)
+
+
+def test_hash_writer_pipelines_per_partition(spark):
+    from capstream.streaming.sinks import HashWriter
+
+    class FakePipe:
+        calls = []
+
+        def hset(self, k, mapping):
+            FakePipe.calls.append((k, mapping))
+
+        def execute(self):
+            pass
+
+    class FakeClient:
+        def pipeline(self, transaction=False):
+            return FakePipe()
+
+    w = HashWriter()
+    w.client = lambda: FakeClient()
+    rows = [{"hash_key": "Mysql:A", "fields": {"Count": "1", "Sum": None}}, {"hash_key": "Mysql:B", "fields": {}}]
+    w.partition_writer()(iter(rows))
+    assert FakePipe.calls == [("Mysql:A", {"Count": "1"})]
