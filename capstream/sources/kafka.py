@@ -36,10 +36,28 @@ def file_options(source: CdcSource) -> dict[str, str]:
     return opts
 
 
+KAFKA_PACKAGE = "org.apache.spark:spark-sql-kafka-0-10_2.13"
+
+
+def kafka_missing(e: Exception) -> bool:
+    text = str(e)
+    return "kafka" in text.lower() and ("DATA_SOURCE_NOT_FOUND" in text or "Failed to find data source" in text)
+
+
+def _no_kafka(e: Exception) -> RuntimeError:
+    return RuntimeError(f"the Kafka connector is not on the class path; start Spark with "
+                        f"--packages {KAFKA_PACKAGE}:<spark version>")
+
+
 def cdc_source(spark: SparkSession, source: CdcSource) -> DataFrame:
     """Unbounded DataFrame of Kafka-shaped rows for one captured table."""
     if source.kind == "kafka":
-        return spark.readStream.format("kafka").options(**kafka_options(source)).load()
+        try:
+            return spark.readStream.format("kafka").options(**kafka_options(source)).load()
+        except Exception as e:  # noqa: BLE001
+            if kafka_missing(e):
+                raise _no_kafka(e) from e
+            raise
     if source.kind == "files":
         if not source.path:
             raise ValueError(f"source {source.name!r}: path is required for kind='files'")

@@ -64,8 +64,14 @@ def sink_kafka(df: DataFrame, topic: str, bootstrap_servers: str, checkpoint: st
     """
     if not checkpoint:
         raise ValueError("checkpoint is required")
-    return (_writer(df, mode, trigger, checkpoint, name).format("kafka")
-            .options(**kafka_sink_options(topic, bootstrap_servers, options)).start())
+    from capstream.sources.kafka import _no_kafka, kafka_missing
+    try:
+        return (_writer(df, mode, trigger, checkpoint, name).format("kafka")
+                .options(**kafka_sink_options(topic, bootstrap_servers, options)).start())
+    except Exception as e:  # noqa: BLE001
+        if kafka_missing(e):
+            raise _no_kafka(e) from e
+        raise
 
 
 # ---------------------------------------------------------------------------

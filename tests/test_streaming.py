@@ -209,3 +209,13 @@ def test_command_line_kafka_options():
     (s,) = build_sources(a)
     assert kafka_options(s) == {"kafka.bootstrap.servers": "kafka:9092", "subscribe": "mysqltopic.mariadb.customer",
                                 "failOnDataLoss": "false"}
+
+
+def test_missing_kafka_connector_is_reported_clearly(spark):
+    src = POSTGRES.with_(bootstrap_servers="localhost:1")
+    try:
+        df = cdc_source(spark, src)
+    except RuntimeError as e:
+        assert "spark-sql-kafka" in str(e)
+    else:  # connector present: the source resolves (nothing is started)
+        assert "value" in df.columns
