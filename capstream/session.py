@@ -21,6 +21,22 @@ DEFAULT_CONF = {
 }
 
 
+# Settings we run with on a large cluster (not forced by the library):
+# AQE sizes shuffle partitions from the data (start high, coalesce to ~128 MB),
+# splits skewed join partitions, and RocksDB keeps streaming state off-heap.
+CLUSTER_CONF = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.shuffle.partitions": "8000",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+}
+
+
 def build_session(master: str = "local[*]", app: str = "capstream", shuffle_partitions: int = 8,
                   extra: dict[str, str] | None = None) -> SparkSession:
     builder = SparkSession.builder.master(master).appName(app)
