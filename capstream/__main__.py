@@ -48,6 +48,8 @@ def parse_args(argv: list[str]) -> argparse.Namespace:
     p.add_argument("--jdbc-driver")
     p.add_argument("--not-idempotent", action="store_true", help="plain appends (replays can duplicate rows)")
     p.add_argument("--rocksdb", action="store_true", help="keep aggregation state in RocksDB")
+    p.add_argument("--state-partitions", type=int, default=16,
+                   help="state stores per aggregate (fixed at the first start of a checkpoint)")
     return p.parse_args(argv)
 
 
@@ -74,11 +76,13 @@ def start(spark, a: argparse.Namespace) -> list:
     ck = a.checkpoint or f"{shared_root(spark)}/capstream-jobs"
     if a.rocksdb:
         runner.use_rocksdb(spark)
+    sp = a.state_partitions
     if a.job == "console":
         return runner.console_job(spark, srcs, ck, trigger_totals=_trigger(a, runner.TRIGGER_TOTALS),
-                                  trigger_events=_trigger(a, runner.TRIGGER_EVENTS))
+                                  trigger_events=_trigger(a, runner.TRIGGER_EVENTS), state_partitions=sp)
     if a.job == "notify":
-        return runner.notification_job(spark, srcs, a.bootstrap, ck, mode=a.mode, trigger=_trigger(a, None))
+        return runner.notification_job(spark, srcs, a.bootstrap, ck, mode=a.mode, trigger=_trigger(a, None),
+                                       state_partitions=sp)
     if a.job == "hash":
         if a.store_path:
             def writer_for(name: str):
@@ -87,7 +91,7 @@ def start(spark, a: argparse.Namespace) -> list:
             def writer_for(name: str):
                 return sinks.RedisHashWriter(a.redis_host, a.redis_port)
         return runner.hash_store_job(spark, srcs, writer_for, ck, trigger=_trigger(a, runner.TRIGGER_STORES),
-                                     null_key=a.null_key)
+                                     null_key=a.null_key, state_partitions=sp)
     props = {"user": a.jdbc_user or ""}
     if a.jdbc_password_env:
         props["password"] = os.environ.get(a.jdbc_password_env, "")
@@ -100,7 +104,9 @@ def start(spark, a: argparse.Namespace) -> list:
 def main(argv: list[str] | None = None) -> int:
     from pyspark.sql import SparkSession
     a = parse_args(sys.argv[1:] if argv is None else argv)
+    from capstream.session import apply_cluster_conf
     spark = SparkSession.builder.appName(f"capstream-{a.job}").getOrCreate()
+    apply_cluster_conf(spark)
     runner.run(spark, start(spark, a))
     return 0
 

@@ -29,6 +29,6 @@ def explode_rows(df: DataFrame, col: Column, aliases: tuple[str, ...], keep: tup
     it adds for empty input are dropped by a filter on the generated position,
     which cannot move below the generator.
     """
-    p = pos or "_pos"
+    p = pos or "_capstream_pos"
     out = df.select(*keep, F.posexplode_outer(col).alias(p, *aliases)).where(F.col(p).isNotNull())
     return out if pos else out.drop(p)

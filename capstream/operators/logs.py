@@ -83,7 +83,8 @@ def with_fields(df: DataFrame, fmt: str, line: str = "line", out: str = "fields"
     The map comes out of a one-row generator so that a later filter on a field
     stays above the parse instead of parsing every line again in the scan.
     """
-    return explode_rows(df, F.array(parse_fields(F.col(line), fmt)), (out,), keep=tuple(df.columns))
+    keep = tuple(c for c in df.columns if c != out)  # a new parse replaces an old one
+    return explode_rows(df, F.array(parse_fields(F.col(line), fmt)), (out,), keep=keep)
 
 
 def with_level(df: DataFrame, line: str = "line", fields: str | None = "fields", out: str = "detected_level"):
@@ -231,12 +232,12 @@ def label_sparsity(df: DataFrame, label: str, labels: str = "labels") -> DataFra
 # --- F17-F19 -----------------------------------------------------------------------------------
 
 def log_patterns(df: DataFrame, step_ms: int, recent_ms: int | None = None, ts: str = "ts",
-                 line: str = "line") -> DataFrame:
+                 line: str = "line", sort: bool = True) -> DataFrame:
     """line templates with their count per step and overall total.
 
     ``recent_ms`` keeps only lines within that span of the newest line (a
     scalar subquery, no join). Sorted by ``total`` descending (most frequent
-    pattern first).
+    pattern first) unless ``sort=False`` (callers that aggregate further).
     """
     if recent_ms is not None:
         newest = df.select(F.max(ts)).scalar()
@@ -244,8 +245,8 @@ def log_patterns(df: DataFrame, step_ms: int, recent_ms: int | None = None, ts:
     per_step = (df.groupBy(mask_template(F.col(line)).alias("pattern"), bucket_start(ts, step_ms).alias("bucket_start"))
                 .agg(F.count(F.lit(1)).alias("count")))
     # one row per (pattern, step): the window holds a pattern's steps, not its lines
-    return (per_step.withColumn("total", F.sum("count").over(Window.partitionBy("pattern")))
-            .orderBy(F.col("total").desc(), F.col("pattern"), F.col("bucket_start")))
+    out = per_step.withColumn("total", F.sum("count").over(Window.partitionBy("pattern")))
+    return out.orderBy(F.col("total").desc(), F.col("pattern"), F.col("bucket_start")) if sort else out
 
 
 RANK_STATS = ("stddev", "sum", "max", "min", "p10", "p25", "p75", "p90", "p99", "name")
@@ -272,9 +273,10 @@ def exact_percentile(df: DataFrame, keys: tuple[str, ...], value: str, q: float,
        range pieces (``rank_within``).
     """
     eps = 3.0 / accuracy
-    v = df.select(*keys, F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull())
+    v_all = df.select(*keys, F.col(value).cast("double").alias("_v"))
+    v = v_all.where(F.col("_v").isNotNull())
     pos = (F.col("_n") - 1) * F.lit(q)
-    stats = (v.groupBy(*keys).agg(
+    stats = (v_all.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("_n"),
         F.percentile_approx("_v", max(0.0, q - eps), accuracy).alias("_lo"),
         F.percentile_approx("_v", min(1.0, q + eps), accuracy).alias("_hi"))
@@ -296,8 +298,10 @@ def exact_percentile(df: DataFrame, keys: tuple[str, ...], value: str, q: float,
     lo_v = F.max(F.when(F.col("_rank") == F.col("_k0"), F.col("_v")))
     hi_v = F.max(F.when(F.col("_rank") == F.col("_k1"), F.col("_v")))
     k0, k1, p = F.first("_k0"), F.first("_k1"), F.first("_pos")
-    return ranked.groupBy(*keys).agg(
+    scores = ranked.groupBy(*keys).agg(
         F.when(k0 == k1, lo_v).otherwise((k1 - p) * lo_v + (p - k0) * hi_v).alias("score"))
+    # a key whose values are all NULL keeps a NULL score, as in the other statistics
+    return stats.select(*keys).join(scores, list(keys), "left")
 
 
 def rank_series(df: DataFrame, series: str, value: str, by: str = "stddev", desc: bool = True,

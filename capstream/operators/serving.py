@@ -61,7 +61,7 @@ def range_entries(df: DataFrame, ts: str, start=None, end=None, count: int | Non
     cols = [ts] + ([tiebreak] if tiebreak else [])
     order = [F.col(c).desc() if reverse else F.col(c).asc() for c in cols]
     if count is None:
-        return df.orderBy(*keys, *order) if not keys else df
+        return df.orderBy(*keys, *order)
     if not keys:
         return df.orderBy(*order).limit(count)  # top-k per partition, then one merge
     w = Window.partitionBy(*keys).orderBy(*order)
@@ -116,12 +116,17 @@ def rank_within(df: DataFrame, key: str | tuple[str, ...], order: list[Column],
     third of the data spans many partitions. Each ``(partition, key)`` piece is
     ranked locally (bounded by a partition), and a piece's offset is the number
     of the key's rows in earlier partitions (a small table: one row per piece).
-    Both uses of the range exchange are the same plan node, so the partition
-    ids agree. The order must be total (add a unique column last).
+    The order must be total (add a unique column last).
     """
+    from capstream.session import shared_root
     keys = (key,) if isinstance(key, str) else tuple(key)
     n = pieces or max(RANK_PIECES, df.sparkSession.sparkContext.defaultParallelism)
-    r = df.repartitionByRange(n, *[F.col(k) for k in keys], *order).withColumn("_pid", F.spark_partition_id())
+    shared_root(df.sparkSession)  # checkpoints go to the shared folder
+    # The range bounds come from sampling, which may differ between two
+    # computations of a shuffled input; the pieces are written once (reliable
+    # checkpoint, lineage cut) so the local ranks and the counts see the same ids.
+    r = (df.repartitionByRange(n, *[F.col(k) for k in keys], *order)
+         .withColumn("_pid", F.spark_partition_id()).checkpoint(eager=True))
     local = r.withColumn("_rl", F.row_number().over(Window.partitionBy("_pid", *keys).orderBy(*order)) - 1)
     counts = r.groupBy("_pid", *keys).agg(F.count(F.lit(1)).alias("_c"))
     offsets = counts.withColumn(

@@ -21,22 +21,30 @@ DEFAULT_CONF = {
 }
 
 
-# Settings we run with on a large cluster (not forced by the library):
-# AQE sizes shuffle partitions from the data (start high, coalesce to ~128 MB),
-# splits skewed join partitions, and RocksDB keeps streaming state off-heap.
+ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+# Settings we run with on a large cluster. ``apply_cluster_conf`` sets the ones
+# the deployment has not set. AQE coalesces shuffle partitions to ~128 MB
+# (parallelismFirst off so the advisory size wins), splits skewed join
+# partitions; RocksDB keeps streaming state off-heap. Streaming queries do not
+# use AQE: their state partition count is set per job (runner, state_partitions).
 CLUSTER_CONF = {
-    "spark.sql.adaptive.enabled": "true",
-    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    **DEFAULT_CONF,
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
-    "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.shuffle.partitions": "8000",
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     "spark.sql.files.maxPartitionBytes": "256m",
-    "spark.sql.session.timeZone": "UTC",
-    "spark.sql.streaming.stateStore.providerClass":
-        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.providerClass": ROCKSDB_PROVIDER,
 }
 
 
+def apply_cluster_conf(spark: SparkSession, conf: dict[str, str] = CLUSTER_CONF) -> None:
+    """Set each runtime SQL setting of ``conf`` that the deployment left unset."""
+    given = spark.sparkContext.getConf()
+    for k, v in conf.items():
+        if not given.contains(k):
+            spark.conf.set(k, v)
+
+
 def build_session(master: str = "local[*]", app: str = "capstream", shuffle_partitions: int = 8,
                   extra: dict[str, str] | None = None) -> SparkSession:
     builder = SparkSession.builder.master(master).appName(app)
@@ -52,17 +60,27 @@ def build_session(master: str = "local[*]", app: str = "capstream", shuffle_part
     return spark
 
 
+_LOCAL_ROOTS: dict[int, str] = {}
+
+
 def shared_root(spark: SparkSession) -> str:
     """The cluster-wide folder for checkpoints and intermediate tables.
 
-    Read from ``spark.checkpoint.dir``; only when it is unset (tests, local
-    runs) make a local one and register it, so later calls agree.
+    Read from ``spark.checkpoint.dir`` (or the context's checkpoint folder).
+    Only when neither is set (tests, local runs) a local folder is made once
+    per context and registered as the context's checkpoint folder.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    if not root:
+        root = sc.getCheckpointDir() if hasattr(sc, "getCheckpointDir") else None
     if not root:
-        root = tempfile.mkdtemp(prefix="capstream-")
-        spark.conf.set("spark.checkpoint.dir", root)
-        spark.sparkContext.setCheckpointDir(root)
+        key = id(sc)
+        if key not in _LOCAL_ROOTS:
+            _LOCAL_ROOTS[key] = tempfile.mkdtemp(prefix="capstream-")
+        root = _LOCAL_ROOTS[key]
+    if not (sc.getCheckpointDir() if hasattr(sc, "getCheckpointDir") else None):
+        sc.setCheckpointDir(root)
     return root.rstrip("/")
 
 

@@ -36,7 +36,14 @@ def file_options(source: CdcSource) -> dict[str, str]:
     return opts
 
 
-KAFKA_PACKAGE = "org.apache.spark:spark-sql-kafka-0-10_2.13"
+def kafka_package(spark: SparkSession) -> str:
+    """Maven coordinates of the Kafka connector matching this Spark build."""
+    try:
+        scala = spark.sparkContext._jvm.scala.util.Properties.versionNumberString()
+        binary = ".".join(scala.split(".")[:2])
+    except Exception:  # noqa: BLE001
+        binary = "2.13"
+    return f"org.apache.spark:spark-sql-kafka-0-10_{binary}:{spark.version}"
 
 
 def kafka_missing(e: Exception) -> bool:
@@ -44,9 +51,9 @@ def kafka_missing(e: Exception) -> bool:
     return "kafka" in text.lower() and ("DATA_SOURCE_NOT_FOUND" in text or "Failed to find data source" in text)
 
 
-def _no_kafka(e: Exception) -> RuntimeError:
+def no_kafka_error(spark: SparkSession) -> RuntimeError:
     return RuntimeError(f"the Kafka connector is not on the class path; start Spark with "
-                        f"--packages {KAFKA_PACKAGE}:<spark version>")
+                        f"--packages {kafka_package(spark)}")
 
 
 def cdc_source(spark: SparkSession, source: CdcSource) -> DataFrame:
@@ -56,7 +63,7 @@ def cdc_source(spark: SparkSession, source: CdcSource) -> DataFrame:
             return spark.readStream.format("kafka").options(**kafka_options(source)).load()
         except Exception as e:  # noqa: BLE001
             if kafka_missing(e):
-                raise _no_kafka(e) from e
+                raise no_kafka_error(spark) from e
             raise
     if source.kind == "files":
         if not source.path:

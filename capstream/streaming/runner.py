@@ -32,8 +32,29 @@ TRIGGER_STORES = "30 seconds"
 
 def use_rocksdb(spark: SparkSession) -> None:
     """Keep aggregation state in RocksDB (off-heap) instead of executor heap."""
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass",
-                   "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    from capstream.session import ROCKSDB_PROVIDER
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
+
+
+def state_session(spark: SparkSession, state_partitions: int | None) -> SparkSession:
+    """A session whose shuffle partitions size the streaming state.
+
+    Streaming aggregates do not use AQE: the state is split into
+    ``spark.sql.shuffle.partitions`` stores, fixed in the checkpoint at the
+    first start. A job keyed by a handful of clerks wants a few, not the
+    thousands a batch setting may ask for; ``None`` keeps the session's value.
+    """
+    if not state_partitions:
+        return spark
+    s = spark.newSession()  # starts from the deploy-time conf: carry over runtime SQL settings
+    for k, v in spark.conf.getAll.items():
+        if k.startswith("spark.sql.") and not k.startswith("spark.sql.catalog"):
+            try:
+                s.conf.set(k, v)
+            except Exception:  # noqa: BLE001 - static settings are shared already
+                pass
+    s.conf.set("spark.sql.shuffle.partitions", str(int(state_partitions)))
+    return s
 
 
 def events_of(spark: SparkSession, source: CdcSource) -> DataFrame:
@@ -50,8 +71,9 @@ def _ck(root: str | None, job: str, source: CdcSource) -> str | None:
 
 def console_job(spark: SparkSession, sources: list[CdcSource], checkpoint_root: str | None = None,
                 trigger_totals: str | None = TRIGGER_TOTALS, trigger_events: str | None = TRIGGER_EVENTS,
-                metrics: dict = CONSOLE_METRICS) -> list[StreamingQuery]:
+                metrics: dict = CONSOLE_METRICS, state_partitions: int | None = None) -> list[StreamingQuery]:
     """Per source: running totals (complete) and each new event (append) to the console."""
+    spark = state_session(spark, state_partitions)
     qs = []
     for s in sources:
         qs.append(sinks.sink_console(totals_of(spark, s, metrics[s.name]), "complete", trigger_totals,
@@ -63,8 +85,9 @@ def console_job(spark: SparkSession, sources: list[CdcSource], checkpoint_root:
 
 def notification_job(spark: SparkSession, sources: list[CdcSource], bootstrap_servers: str, checkpoint_root: str,
                      topics: dict = NOTIFY_TOPICS, metrics: dict = NOTIFY_METRICS, mode: str = "complete",
-                     trigger: str | None = None) -> list[StreamingQuery]:
+                     trigger: str | None = None, state_partitions: int | None = None) -> list[StreamingQuery]:
     """Per source: totals as JSON notifications to a topic (complete mode by default)."""
+    spark = state_session(spark, state_partitions)
     return [sinks.sink_kafka(notification_for(totals_of(spark, s, metrics[s.name]), s.name, metrics[s.name]),
                              topics[s.name], bootstrap_servers, _ck(checkpoint_root, "notify", s), mode, trigger)
             for s in sources]
@@ -72,8 +95,9 @@ def notification_job(spark: SparkSession, sources: list[CdcSource], bootstrap_se
 
 def hash_store_job(spark: SparkSession, sources: list[CdcSource], writer_for, checkpoint_root: str,
                    trigger: str | None = TRIGGER_STORES, null_key: str | None = None,
-                   metrics: dict = HASH_METRICS) -> list[StreamingQuery]:
+                   metrics: dict = HASH_METRICS, state_partitions: int | None = None) -> list[StreamingQuery]:
     """Per source: changed totals upserted as ``<Prefix>:<clerk>`` hashes (update mode)."""
+    spark = state_session(spark, state_partitions)
     return [sinks.sink_keyed_upsert(totals_of(spark, s, metrics[s.name]), writer_for(s.name), s.name,
                                     _ck(checkpoint_root, "hash", s), trigger, null_key=null_key)
             for s in sources]
@@ -90,13 +114,14 @@ def jdbc_dump_job(spark: SparkSession, sources: list[CdcSource], url: str, prope
 
 def shared_job(spark: SparkSession, sources: list[CdcSource], checkpoint_root: str,
                event_sinks: dict, total_sinks: dict, metrics: dict = HASH_METRICS,
-               trigger: str | None = None) -> list[StreamingQuery]:
+               trigger: str | None = None, state_partitions: int | None = None) -> list[StreamingQuery]:
     """G11 fan-out: two queries per source instead of one per sink.
 
     ``event_sinks[name]`` / ``total_sinks[name]`` are lists of
     ``(batch_df, epoch_id)`` callables; events go out in append mode, totals in
     update mode (only changed clerks).
     """
+    spark = state_session(spark, state_partitions)
     qs = []
     for s in sources:
         if event_sinks.get(s.name):

@@ -64,13 +64,13 @@ def sink_kafka(df: DataFrame, topic: str, bootstrap_servers: str, checkpoint: st
     """
     if not checkpoint:
         raise ValueError("checkpoint is required")
-    from capstream.sources.kafka import _no_kafka, kafka_missing
+    from capstream.sources.kafka import kafka_missing, no_kafka_error
     try:
         return (_writer(df, mode, trigger, checkpoint, name).format("kafka")
                 .options(**kafka_sink_options(topic, bootstrap_servers, options)).start())
     except Exception as e:  # noqa: BLE001
         if kafka_missing(e):
-            raise _no_kafka(e) from e
+            raise no_kafka_error(df.sparkSession) from e
         raise
 
 
@@ -189,15 +189,17 @@ def jvm_execute(spark, url: str, properties: dict, sql: str) -> None:
 class JdbcAppend:
     """foreachBatch body: append each micro-batch to a table.
 
-    ``idempotent=True`` stamps rows with the batch id and deletes that batch's
-    rows before appending, so a replayed batch does not duplicate rows.
+    ``idempotent=True`` stamps rows with a batch key, ``<run>:<epoch>``, and
+    deletes that key's rows before appending, so a replayed batch does not
+    duplicate rows. ``run`` names the query's checkpoint: a new checkpoint
+    restarts epochs at 0 but has another run, so earlier rows are never deleted.
     """
 
     def __init__(self, url: str, table: str, properties: dict, idempotent: bool = False,
-                 batch_col: str = "_batch_id", execute: Callable | None = None,
+                 batch_col: str = "_batch_key", run: str = "", execute: Callable | None = None,
                  write: Callable | None = None, num_partitions: int | None = None):
         self.url, self.table, self.props = url, table, dict(properties)
-        self.idempotent, self.batch_col = idempotent, batch_col
+        self.idempotent, self.batch_col, self.run = idempotent, batch_col, run
         self.num_partitions = num_partitions
         self._execute = execute or (lambda spark, sql: jvm_execute(spark, self.url, self.props, sql))
         self._write = write or (lambda df: df.write.jdbc(self.url, self.table, mode="append",
@@ -205,10 +207,10 @@ class JdbcAppend:
 
     def __call__(self, batch: DataFrame, epoch_id: int) -> None:
         if self.idempotent:
-            batch = batch.withColumn(self.batch_col, F.lit(epoch_id).cast("bigint"))
+            key = f"{self.run}:{int(epoch_id)}".replace("'", "''")
+            batch = batch.withColumn(self.batch_col, F.lit(key))
             try:
-                self._execute(batch.sparkSession,
-                              f"DELETE FROM {self.table} WHERE {self.batch_col} = {int(epoch_id)}")
+                self._execute(batch.sparkSession, f"DELETE FROM {self.table} WHERE {self.batch_col} = '{key}'")
             except Exception as e:  # noqa: BLE001 - first batch: the table does not exist yet
                 if "exist" not in str(e).lower() and "not found" not in str(e).lower():
                     raise
@@ -221,6 +223,7 @@ def sink_jdbc(events: DataFrame, url: str, table: str, properties: dict, checkpo
               trigger: str | None = None, idempotent: bool = False, name: str | None = None,
               **kw) -> StreamingQuery:
     """Projected events appended to a table each micro-batch."""
+    kw.setdefault("run", checkpoint)
     body = JdbcAppend(url, table, properties, idempotent=idempotent, **kw)
     return _writer(events, "append", trigger, checkpoint, name).foreachBatch(body).start()
 

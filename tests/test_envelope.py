@@ -158,3 +158,9 @@ def test_hash_writer_pipelines_per_partition(spark):
     rows = [{"hash_key": "Mysql:A", "fields": {"Count": "1", "Sum": None}}, {"hash_key": "Mysql:B", "fields": {}}]
     w.partition_writer()(iter(rows))
     assert FakePipe.calls == [("Mysql:A", {"Count": "1"})]
+
+
+def test_event_time_accepts_fractional_seconds(spark):
+    from capstream.functions.parse import event_time
+    r = spark.createDataFrame([(1.5,)], "s double").select(event_time("s", "seconds", ntz=True).alias("t")).first()
+    assert str(r.t) == "1970-01-01 00:00:01.500000"

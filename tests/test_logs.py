@@ -122,3 +122,11 @@ def test_exact_percentile_matches_brute_force(spark):
         got = {r.k: r.score for r in L.exact_percentile(df, ("k",), "v", q).collect()}
         want = {r.k: r.s for r in df.groupBy("k").agg(F.percentile("v", q).alias("s")).collect()}
         assert got == pytest.approx(want)
+
+
+def test_with_fields_twice_replaces_and_all_null_series_kept(spark, logs):
+    twice = L.with_fields(L.with_fields(logs, "json"), "logfmt")
+    assert twice.columns.count("fields") == 1
+    df = spark.createDataFrame([("a", 1.0), ("a", 3.0), ("n", None)], "s string, v double")
+    got = {r.s: r.score for r in L.rank_series(df, "s", "v", "p90").collect()}
+    assert got == {"a": pytest.approx(2.8), "n": None}

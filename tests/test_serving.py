@@ -94,3 +94,9 @@ def test_rank_within_matches_row_number_with_a_hot_key(spark):
     pids = df.repartitionByRange(16, "key", *order).where(F.col("key") == "hot") \
         .select(F.spark_partition_id().alias("p")).distinct().count()
     assert pids > 1
+
+
+def test_range_entries_unbounded_per_key_is_sorted(spark):
+    df = spark.createDataFrame([("k", dt.datetime(2024, 1, 1, h)) for h in (3, 1, 2)], "key string, ts timestamp_ntz")
+    assert [r.ts.hour for r in V.range_entries(df, "ts", keys=("key",)).collect()] == [1, 2, 3]
+    assert [r.ts.hour for r in V.range_entries(df, "ts", keys=("key",), reverse=True).collect()] == [3, 2, 1]

@@ -66,14 +66,19 @@ def test_restart_from_checkpoint(spark, sf):
 
 def test_jdbc_append_idempotent_replay(spark):
     calls, written = [], []
-    body = sinks.JdbcAppend("jdbc:test", "dumped", {"user": "u"}, idempotent=True,
+    body = sinks.JdbcAppend("jdbc:test", "dumped", {"user": "u"}, idempotent=True, run="/ck/jdbc/postgres",
                             execute=lambda s, sql: calls.append(sql),
                             write=lambda df: written.append(sorted(tuple(r) for r in df.collect())))
     batch = spark.createDataFrame([(1, "A"), (2, "B")], "postgres_purchase long, postgres_clerk string")
     body(batch, 7)
     body(batch, 7)  # replay of the same epoch
-    assert calls == ["DELETE FROM dumped WHERE _batch_id = 7"] * 2
-    assert written[0] == [(1, "A", 7), (2, "B", 7)] == written[1]
+    assert calls == ["DELETE FROM dumped WHERE _batch_key = '/ck/jdbc/postgres:7'"] * 2
+    assert written[0] == [(1, "A", "/ck/jdbc/postgres:7"), (2, "B", "/ck/jdbc/postgres:7")] == written[1]
+    # another checkpoint (epochs restart at 0) never touches this run's rows
+    other = sinks.JdbcAppend("jdbc:test", "dumped", {}, idempotent=True, run="/ck2",
+                             execute=lambda s, sql: calls.append(sql), write=lambda df: None)
+    other(batch, 7)
+    assert calls[-1] == "DELETE FROM dumped WHERE _batch_key = '/ck2:7'"
 
 
 def test_jdbc_first_batch_missing_table_is_fine(spark):
@@ -219,3 +224,24 @@ def test_missing_kafka_connector_is_reported_clearly(spark):
         assert "spark-sql-kafka" in str(e)
     else:  # connector present: the source resolves (nothing is started)
         assert "value" in df.columns
+
+
+def test_state_session_sizes_state_and_keeps_settings(spark, sf):
+    from capstream.streaming.runner import state_session, use_rocksdb
+    prev = spark.conf.get("spark.sql.streaming.stateStore.providerClass", None)
+    use_rocksdb(spark)
+    try:
+        s = state_session(spark, 3)
+        assert s.conf.get("spark.sql.shuffle.partitions") == "3"
+        assert "RocksDB" in s.conf.get("spark.sql.streaming.stateStore.providerClass")
+        src = _replay(spark, sf, "postgres", files=2)
+        totals = clerk_totals(parse_events(cdc_source(s, src), "postgres"), "postgres", ("count",))
+        q = sinks.sink_snapshot(totals, tempfile.mkdtemp() + "/out", tempfile.mkdtemp() + "/ck", "available_now")
+        run(s, [q])
+        ops = q.lastProgress["stateOperators"]
+        assert ops and ops[0]["numStateStoreInstances"] == 3
+    finally:
+        if prev:
+            spark.conf.set("spark.sql.streaming.stateStore.providerClass", prev)
+        else:
+            spark.conf.unset("spark.sql.streaming.stateStore.providerClass")
