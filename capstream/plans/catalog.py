@@ -16,6 +16,7 @@ from capstream.functions.parse import (SCHEMA_FIELD_COLUMNS, after_image, envelo
 from capstream.functions.shape import HASH_PREFIX, hash_rows_for, notification_for
 from capstream.operators.aggregate import clerk_totals
 from capstream.plans import standins as S
+from capstream.schema import AFTER_DDL
 from capstream.sources.envelope import _ROW_FIELDS, _SOURCE_FIELDS, _TX_FIELDS, MYSQL, POSTGRES, _field
 
 from capstream.plans.registry import QUERIES, register  # noqa: F401
@@ -57,6 +58,8 @@ SELECT topic, op, after_id, purchase, clerk, store, customer, ts_ms FROM (
     lambda spark, d: parse_envelope(
         S.source_messages(spark, d, "postgres").unionByName(S.source_messages(spark, d, "mysql")),
         keep=("topic",),
+        # only the branches read below: the parser skips the rest of each message
+        schema=f"payload struct<after struct<{AFTER_DDL}>, op string, ts_ms bigint>",
     ).select(
         "topic", F.col("data.payload.op").alias("op"), F.col("data.payload.after.id").alias("after_id"),
         F.col("data.payload.after.purchase").alias("purchase"), F.col("data.payload.after.clerk").alias("clerk"),
