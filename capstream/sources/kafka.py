@@ -88,12 +88,19 @@ def build_all(spark: SparkSession, sources: list[CdcSource]) -> dict[str, DataFr
     return {s.name: cdc_source(spark, s) for s in sources}
 
 
-def write_replay(messages: DataFrame, path: str, files: int = 4) -> str:
-    """Write Kafka-shaped rows as ``files`` parquet files, ordered by offset.
-
-    Range partitioning on offset keeps each file a contiguous offset span,
-    like log segments, so a replay with ``maxFilesPerTrigger`` sees them in order.
+def write_replay(messages: DataFrame, path: str, files: int = 4, rows: int | None = None) -> str:
+    """Write Kafka-shaped rows as about ``files`` parquet files.
+
+    With ``rows`` (the message count, e.g. from the source table's metadata)
+    each partition is written as it is, cut into files of
+    ``ceil(rows / files)`` rows: no shuffle of the message bytes. Without it
+    the rows are range-partitioned on offset (one shuffle), so each file is a
+    contiguous offset span like a log segment.
     """
+    if rows is not None:
+        per_file = max(1, -(-int(rows) // max(1, files)))
+        messages.write.mode("errorifexists").option("maxRecordsPerFile", per_file).parquet(path)
+        return path
     messages.repartitionByRange(files, "offset").sortWithinPartitions("offset") \
         .write.mode("errorifexists").parquet(path)
     return path
