@@ -1,4 +1,4 @@
-"""Run the change-stream jobs from the command line (``spark-submit -m`` style).
+"""Run the change-stream jobs from the command line (or as a spark-submit main program).
 
     python -m capstream console  --bootstrap kafka:9092
     python -m capstream notify   --bootstrap kafka:9092 --checkpoint s3://bucket/ck

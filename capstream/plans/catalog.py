@@ -216,6 +216,10 @@ register("g1_stream_complete_counts_mysql", _totals_sql("mysql", False))(
     lambda spark, d: ST.stream_complete_counts(spark, d, "mysql"))
 register("g2_stream_append_events_postgres", S.events_sql("postgres"))(
     lambda spark, d: ST.stream_append_events(spark, d, "postgres"))
+register("g6_stream_notifications_postgres", _notification_sql("postgres", True))(
+    lambda spark, d: ST.stream_notifications(spark, d, "postgres"))
+register("g11_stream_fan_out_mysql", S.events_sql("mysql"))(
+    lambda spark, d: ST.stream_fan_out(spark, d, "mysql"))
 
 
 # The other query families register themselves on import.

@@ -66,6 +66,47 @@ def stream_append_events(spark: SparkSession, sf_dir: str, prefix: str) -> DataF
     return spark.read.parquet(out)
 
 
+def stream_notifications(spark: SparkSession, sf_dir: str, prefix: str) -> DataFrame:
+    """G6 without a broker: update-mode notifications kept as a keyed table.
+
+    Each micro-batch's changed ``(key, value)`` messages are appended with the
+    epoch; the latest message per key is what a compacted notification topic
+    holds after the stream (a NULL key is its own key, as on the topic).
+    """
+    from capstream.functions.shape import notification_for
+    src = replay_source(spark, sf_dir, prefix)
+    out = shared_path(spark, f"notify-{prefix}")
+    totals = clerk_totals(parse_events(cdc_source(spark, src), prefix), prefix, ("count", "sum"))
+
+    def write(batch: DataFrame, epoch_id: int) -> None:
+        batch.withColumn("_epoch", F.lit(epoch_id).cast("bigint")).write.mode("append").parquet(out)
+
+    q = sinks.fan_out(notification_for(totals, prefix, ("count", "sum")), [write],
+                      shared_path(spark, f"ck-notify-{prefix}"), mode="update", trigger="available_now")
+    run(spark, [q])
+    t = spark.read.parquet(out)
+    return t.groupBy("key").agg(F.max_by("value", "_epoch").alias("value"))
+
+
+def stream_fan_out(spark: SparkSession, sf_dir: str, prefix: str) -> DataFrame:
+    """One query per stream feeds two sinks per micro-batch (events to a
+    table and to a count of rows per batch); returns the events table."""
+    from capstream.streaming.runner import shared_job
+    src = replay_source(spark, sf_dir, prefix)
+    events_out, sizes_out = shared_path(spark, f"fan-events-{prefix}"), shared_path(spark, f"fan-sizes-{prefix}")
+
+    def to_table(batch: DataFrame, epoch_id: int) -> None:
+        batch.write.mode("append").parquet(events_out)
+
+    def sizes(batch: DataFrame, epoch_id: int) -> None:
+        batch.groupBy().count().withColumn("epoch", F.lit(epoch_id)).write.mode("append").parquet(sizes_out)
+
+    qs = shared_job(spark, [src], shared_path(spark, f"ck-fan-{prefix}"),
+                    event_sinks={prefix: [to_table, sizes]}, total_sinks={}, trigger="available_now")
+    run(spark, qs)
+    return spark.read.parquet(events_out)
+
+
 def measure_stream(spark: SparkSession, sf_dir: str, prefix: str = "mysql", batches: int = MICRO_BATCHES) -> dict:
     """Clerk totals through a replay stream into the keyed store; progress figures.
 
