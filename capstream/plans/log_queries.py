@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from capstream.functions.logfields import BYTE_UNITS, DURATION_UNITS, normalize_level, parse_quantity
+from capstream.functions.logfields import BYTE_UNITS, DURATION_UNITS, parse_quantity
 from capstream.operators import logs as L
 from capstream.plans import standins as S
 from capstream.plans.registry import register
@@ -214,4 +214,3 @@ SELECT CASE WHEN regexp_full_match(level, '(?i)info') THEN 'info' WHEN regexp_fu
 FROM {EV} GROUP BY 1""")(
     lambda spark, d: L.level_counts(S.event_logs(spark, d), "level"))
 
-__all__ = ["normalize_level"]

@@ -4,7 +4,6 @@ import datetime as dt
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 
 from capstream.functions.logfields import BYTE_UNITS, DURATION_UNITS, logfmt_map, parse_quantity
 from capstream.operators import timeseries as T
