@@ -32,3 +32,17 @@ def explode_rows(df: DataFrame, col: Column, aliases: tuple[str, ...], keep: tup
     p = pos or "_capstream_pos"
     out = df.select(*keep, F.posexplode_outer(col).alias(p, *aliases)).where(F.col(p).isNotNull())
     return out if pos else out.drop(p)
+
+
+def quoted(name: str) -> Column:
+    """A column by its exact name (dots and other characters taken literally)."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def join_keys(left: DataFrame, right: DataFrame, keys: tuple[str, ...] | list[str], how: str = "inner") -> DataFrame:
+    """Equi-join on ``keys`` where NULL matches NULL; the right side's key columns are dropped."""
+    r = right.select(*[quoted(c).alias(f"_jk_{i}") if c in keys else quoted(c)
+                       for i, c in ((list(keys).index(c) if c in keys else -1, c) for c in right.columns)])
+    cond = [quoted(k).eqNullSafe(F.col(f"_jk_{i}")) for i, k in enumerate(keys)]
+    out = left.join(r, cond, how)
+    return out.drop(*[f"_jk_{i}" for i in range(len(keys))])

@@ -140,7 +140,7 @@ def event_time(c: Column | str, unit: str = "micros", ntz: bool = False) -> Colu
     c = F.col(c) if isinstance(c, str) else c
     if unit not in _UNIT_MICROS:
         raise ValueError(f"unit must be one of {sorted(_UNIT_MICROS)}")
-    micros = (c * F.lit(_UNIT_MICROS[unit])).cast("bigint")  # fractional inputs allowed
+    micros = F.round(c * F.lit(_UNIT_MICROS[unit])).cast("bigint")  # fractional inputs: nearest µs
     if ntz:
         return F.timestamp_add("MICROSECOND", micros, F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'"))
     return F.timestamp_micros(micros)

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from capstream.functions.common import explode_rows, let
+from capstream.functions.common import explode_rows, join_keys, let, quoted
 from capstream.functions.logfields import (detect_level, mask_template, normalize_level, parse_fields,
                                            parse_quantity, pattern_regex)
 from capstream.operators.serving import rank_within
@@ -83,7 +83,7 @@ def with_fields(df: DataFrame, fmt: str, line: str = "line", out: str = "fields"
     The map comes out of a one-row generator so that a later filter on a field
     stays above the parse instead of parsing every line again in the scan.
     """
-    keep = tuple(c for c in df.columns if c != out)  # a new parse replaces an old one
+    keep = tuple(quoted(c) for c in df.columns if c != out)  # a new parse replaces an old one
     return explode_rows(df, F.array(parse_fields(F.col(line), fmt)), (out,), keep=keep)
 
 
@@ -277,7 +277,7 @@ def exact_percentile(df: DataFrame, keys: tuple[str, ...], value: str, q: float,
     v = v_all.where(F.col("_v").isNotNull())
     pos = (F.col("_n") - 1) * F.lit(q)
     stats = (v_all.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("_n"),
+        F.count("_v").alias("_n"),  # non-NULL values only, as percentile
         F.percentile_approx("_v", max(0.0, q - eps), accuracy).alias("_lo"),
         F.percentile_approx("_v", min(1.0, q + eps), accuracy).alias("_hi"))
         .select(*keys, "_n", "_lo", "_hi", F.floor(pos).alias("_k0"), F.ceil(pos).alias("_k1"), pos.alias("_pos")))
@@ -285,14 +285,14 @@ def exact_percentile(df: DataFrame, keys: tuple[str, ...], value: str, q: float,
     # to every salt, so a hot key's rows spread over JOIN_SALTS tasks. Any salt
     # a row gets (also on a retry) meets a full copy of its stats: exact.
     salted = stats.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(JOIN_SALTS - 1))))
-    j = (v.withColumn("_salt", (F.rand(17) * JOIN_SALTS).cast("int"))
-         .join(salted, [*keys, "_salt"]).drop("_salt"))
+    j = join_keys(v.withColumn("_salt", (F.rand(17) * JOIN_SALTS).cast("int")), salted,
+                  (*keys, "_salt")).drop("_salt")
     whole = F.col("_n") < SMALL_GROUP
     below = j.groupBy(*keys).agg(
         F.sum(F.when(~whole & (F.col("_v") < F.col("_lo")), 1).otherwise(0)).alias("_below"))
     cand = j.where(whole | ((F.col("_v") >= F.col("_lo")) & (F.col("_v") <= F.col("_hi"))))
     # candidates are ranked in range pieces too (a hot key's bracket can still be large)
-    ranked = (rank_within(cand, keys, [F.col("_v").asc()], out="_rn").join(below, list(keys))
+    ranked = (join_keys(rank_within(cand, keys, [F.col("_v").asc()], out="_rn"), below, keys)
               .withColumn("_rank", F.col("_below") + F.col("_rn"))
               .where((F.col("_rank") == F.col("_k0")) | (F.col("_rank") == F.col("_k1"))))
     lo_v = F.max(F.when(F.col("_rank") == F.col("_k0"), F.col("_v")))
@@ -301,7 +301,7 @@ def exact_percentile(df: DataFrame, keys: tuple[str, ...], value: str, q: float,
     scores = ranked.groupBy(*keys).agg(
         F.when(k0 == k1, lo_v).otherwise((k1 - p) * lo_v + (p - k0) * hi_v).alias("score"))
     # a key whose values are all NULL keeps a NULL score, as in the other statistics
-    return stats.select(*keys).join(scores, list(keys), "left")
+    return join_keys(stats.select(*keys), scores, keys, "left")
 
 
 def rank_series(df: DataFrame, series: str, value: str, by: str = "stddev", desc: bool = True,

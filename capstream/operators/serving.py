@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from capstream.functions.common import join_keys
+
 
 # --- E4 ---------------------------------------------------------------------
 
@@ -96,10 +98,8 @@ def zrange(df: DataFrame, lo, hi, by: str = "index", key: str = "key", member: s
         w = Window.partitionBy(key).orderBy(*bwd)
         out = df.withColumn("_rb", F.row_number().over(w)).where(F.col("_rb") <= -lo).where(F.col("_rb") >= -hi)
         sizes = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))  # one row per set
-        return out.join(sizes, key).select(key, member, score, (F.col("_n") - F.col("_rb")).alias("rank"))
-    ranked = rank_within(df, key, fwd)
-    sizes = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))  # one row per set
-    out = ranked.join(sizes, key)
+        return join_keys(out, sizes, (key,)).select(key, member, score, (F.col("_n") - F.col("_rb")).alias("rank"))
+    out = rank_within(df, key, fwd, size="_n")
     lo_i = F.lit(lo) if lo >= 0 else F.col("_n") + F.lit(lo)
     hi_i = F.lit(hi) if hi >= 0 else F.col("_n") + F.lit(hi)
     return out.where((F.col("rank") >= lo_i) & (F.col("rank") <= hi_i)).select(key, member, score, "rank")
@@ -109,31 +109,41 @@ RANK_PIECES = 200
 
 
 def rank_within(df: DataFrame, key: str | tuple[str, ...], order: list[Column], pieces: int | None = None,
-                out: str = "rank") -> DataFrame:
+                out: str = "rank", size: str | None = None) -> DataFrame:
     """Zero-based rank of every row within its key, without one task per key.
 
     Rows are range-partitioned on ``(key..., order...)``, so a key holding a
     third of the data spans many partitions. Each ``(partition, key)`` piece is
     ranked locally (bounded by a partition), and a piece's offset is the number
     of the key's rows in earlier partitions (a small table: one row per piece).
-    The order must be total (add a unique column last).
+    ``size`` names an optional column with the key's row count (from the same
+    small table). NULL keys rank like any other key. The order must be total
+    (add a unique column last).
+
+    The range bounds come from sampling, which may differ between two
+    computations of a shuffled input, so the range-partitioned rows are
+    written once with a reliable checkpoint to the shared folder (this runs a
+    job when the frame is built) and both the local ranks and the piece counts
+    read that copy.
     """
     from capstream.session import shared_root
     keys = (key,) if isinstance(key, str) else tuple(key)
     n = pieces or max(RANK_PIECES, df.sparkSession.sparkContext.defaultParallelism)
     shared_root(df.sparkSession)  # checkpoints go to the shared folder
-    # The range bounds come from sampling, which may differ between two
-    # computations of a shuffled input; the pieces are written once (reliable
-    # checkpoint, lineage cut) so the local ranks and the counts see the same ids.
     r = (df.repartitionByRange(n, *[F.col(k) for k in keys], *order)
          .withColumn("_pid", F.spark_partition_id()).checkpoint(eager=True))
     local = r.withColumn("_rl", F.row_number().over(Window.partitionBy("_pid", *keys).orderBy(*order)) - 1)
     counts = r.groupBy("_pid", *keys).agg(F.count(F.lit(1)).alias("_c"))
+    by_key = Window.partitionBy(*keys)
     offsets = counts.withColumn(
-        "_off", F.sum("_c").over(Window.partitionBy(*keys).orderBy("_pid")
-                                 .rowsBetween(Window.unboundedPreceding, -1))).fillna(0, ["_off"])
-    return (local.join(offsets.select("_pid", *keys, "_off"), ["_pid", *keys])
-            .withColumn(out, (F.col("_off") + F.col("_rl")).cast("bigint")).drop("_pid", "_rl", "_off"))
+        "_off", F.coalesce(F.sum("_c").over(by_key.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)),
+                           F.lit(0)))
+    extra = []
+    if size:
+        offsets = offsets.withColumn(size, F.sum("_c").over(by_key))
+        extra = [size]
+    ranked = join_keys(local, offsets.select("_pid", *keys, "_off", *extra), ("_pid", *keys))
+    return ranked.withColumn(out, (F.col("_off") + F.col("_rl")).cast("bigint")).drop("_pid", "_rl", "_off")
 
 
 # --- E8 ---------------------------------------------------------------------

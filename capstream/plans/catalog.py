@@ -218,7 +218,7 @@ register("g2_stream_append_events_postgres", S.events_sql("postgres"))(
     lambda spark, d: ST.stream_append_events(spark, d, "postgres"))
 register("g6_stream_notifications_postgres", _notification_sql("postgres", True))(
     lambda spark, d: ST.stream_notifications(spark, d, "postgres"))
-register("g11_stream_fan_out_mysql", S.events_sql("mysql"))(
+register("g11_stream_fan_out_mysql", f"{S.events_sql('mysql')} UNION ALL {S.events_sql('mysql')}")(
     lambda spark, d: ST.stream_fan_out(spark, d, "mysql"))
 
 

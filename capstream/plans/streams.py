@@ -89,22 +89,21 @@ def stream_notifications(spark: SparkSession, sf_dir: str, prefix: str) -> DataF
 
 
 def stream_fan_out(spark: SparkSession, sf_dir: str, prefix: str) -> DataFrame:
-    """One query per stream feeds two sinks per micro-batch (events to a
-    table and to a count of rows per batch); returns the events table."""
+    """One query feeds two sinks per micro-batch (a copy of the events into
+    each of two tables); returns both tables together, so each sink is checked."""
     from capstream.streaming.runner import shared_job
     src = replay_source(spark, sf_dir, prefix)
-    events_out, sizes_out = shared_path(spark, f"fan-events-{prefix}"), shared_path(spark, f"fan-sizes-{prefix}")
+    outs = [shared_path(spark, f"fan-{i}-{prefix}") for i in (1, 2)]
 
-    def to_table(batch: DataFrame, epoch_id: int) -> None:
-        batch.write.mode("append").parquet(events_out)
-
-    def sizes(batch: DataFrame, epoch_id: int) -> None:
-        batch.groupBy().count().withColumn("epoch", F.lit(epoch_id)).write.mode("append").parquet(sizes_out)
+    def sink(path: str):
+        def write(batch: DataFrame, epoch_id: int) -> None:
+            batch.write.mode("append").parquet(path)
+        return write
 
     qs = shared_job(spark, [src], shared_path(spark, f"ck-fan-{prefix}"),
-                    event_sinks={prefix: [to_table, sizes]}, total_sinks={}, trigger="available_now")
+                    event_sinks={prefix: [sink(p) for p in outs]}, total_sinks={}, trigger="available_now")
     run(spark, qs)
-    return spark.read.parquet(events_out)
+    return spark.read.parquet(outs[0]).unionByName(spark.read.parquet(outs[1]))
 
 
 def measure_stream(spark: SparkSession, sf_dir: str, prefix: str = "mysql", batches: int = MICRO_BATCHES) -> dict:

@@ -31,6 +31,7 @@ ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateS
 CLUSTER_CONF = {
     **DEFAULT_CONF,
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "8000",  # batch: start high, coalesce
     "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     "spark.sql.files.maxPartitionBytes": "256m",
     "spark.sql.streaming.stateStore.providerClass": ROCKSDB_PROVIDER,
@@ -66,20 +67,22 @@ _LOCAL_ROOTS: dict[int, str] = {}
 def shared_root(spark: SparkSession) -> str:
     """The cluster-wide folder for checkpoints and intermediate tables.
 
-    Read from ``spark.checkpoint.dir`` (or the context's checkpoint folder).
-    Only when neither is set (tests, local runs) a local folder is made once
-    per context and registered as the context's checkpoint folder.
+    Read from ``spark.checkpoint.dir``, else the folder given to
+    ``setCheckpointDir`` (without the per-context suffix Spark adds). Only on
+    a local master with neither set (tests, local runs) a local folder is
+    made once per context; on a cluster that is an error, since executors
+    could not read each other's local files.
     """
     sc = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    current = sc.getCheckpointDir() if hasattr(sc, "getCheckpointDir") else None
+    if not root and current:
+        root = current.rstrip("/").rsplit("/", 1)[0]
     if not root:
-        root = sc.getCheckpointDir() if hasattr(sc, "getCheckpointDir") else None
-    if not root:
-        key = id(sc)
-        if key not in _LOCAL_ROOTS:
-            _LOCAL_ROOTS[key] = tempfile.mkdtemp(prefix="capstream-")
-        root = _LOCAL_ROOTS[key]
-    if not (sc.getCheckpointDir() if hasattr(sc, "getCheckpointDir") else None):
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
+        root = _LOCAL_ROOTS.setdefault(id(sc), tempfile.mkdtemp(prefix="capstream-"))
+    if not current:
         sc.setCheckpointDir(root)
     return root.rstrip("/")
 

@@ -8,6 +8,7 @@ others are stopped.
 from __future__ import annotations
 
 import time
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
@@ -36,25 +37,26 @@ def use_rocksdb(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
 
 
-def state_session(spark: SparkSession, state_partitions: int | None) -> SparkSession:
-    """A session whose shuffle partitions size the streaming state.
+@contextmanager
+def state_partitions_for(spark: SparkSession, state_partitions: int | None):
+    """Queries started inside split their state into ``state_partitions`` stores.
 
     Streaming aggregates do not use AQE: the state is split into
-    ``spark.sql.shuffle.partitions`` stores, fixed in the checkpoint at the
-    first start. A job keyed by a handful of clerks wants a few, not the
-    thousands a batch setting may ask for; ``None`` keeps the session's value.
+    ``spark.sql.shuffle.partitions`` stores, taken when a query starts and
+    fixed in its checkpoint. A job keyed by a handful of clerks wants a few,
+    not the thousands a batch setting may ask for. The session's own value is
+    restored afterwards; ``None`` leaves it alone.
     """
     if not state_partitions:
-        return spark
-    s = spark.newSession()  # starts from the deploy-time conf: carry over runtime SQL settings
-    for k, v in spark.conf.getAll.items():
-        if k.startswith("spark.sql.") and not k.startswith("spark.sql.catalog"):
-            try:
-                s.conf.set(k, v)
-            except Exception:  # noqa: BLE001 - static settings are shared already
-                pass
-    s.conf.set("spark.sql.shuffle.partitions", str(int(state_partitions)))
-    return s
+        yield
+        return
+    key = "spark.sql.shuffle.partitions"
+    old = spark.conf.get(key)
+    spark.conf.set(key, str(int(state_partitions)))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, old)
 
 
 def events_of(spark: SparkSession, source: CdcSource) -> DataFrame:
@@ -73,13 +75,13 @@ def console_job(spark: SparkSession, sources: list[CdcSource], checkpoint_root:
                 trigger_totals: str | None = TRIGGER_TOTALS, trigger_events: str | None = TRIGGER_EVENTS,
                 metrics: dict = CONSOLE_METRICS, state_partitions: int | None = None) -> list[StreamingQuery]:
     """Per source: running totals (complete) and each new event (append) to the console."""
-    spark = state_session(spark, state_partitions)
     qs = []
-    for s in sources:
-        qs.append(sinks.sink_console(totals_of(spark, s, metrics[s.name]), "complete", trigger_totals,
-                                     checkpoint=_ck(checkpoint_root, "console-totals", s)))
-        qs.append(sinks.sink_console(events_of(spark, s), "append", trigger_events,
-                                     checkpoint=_ck(checkpoint_root, "console-events", s)))
+    with state_partitions_for(spark, state_partitions):
+        for s in sources:
+            qs.append(sinks.sink_console(totals_of(spark, s, metrics[s.name]), "complete", trigger_totals,
+                                         checkpoint=_ck(checkpoint_root, "console-totals", s)))
+            qs.append(sinks.sink_console(events_of(spark, s), "append", trigger_events,
+                                         checkpoint=_ck(checkpoint_root, "console-events", s)))
     return qs
 
 
@@ -87,20 +89,20 @@ def notification_job(spark: SparkSession, sources: list[CdcSource], bootstrap_se
                      topics: dict = NOTIFY_TOPICS, metrics: dict = NOTIFY_METRICS, mode: str = "complete",
                      trigger: str | None = None, state_partitions: int | None = None) -> list[StreamingQuery]:
     """Per source: totals as JSON notifications to a topic (complete mode by default)."""
-    spark = state_session(spark, state_partitions)
-    return [sinks.sink_kafka(notification_for(totals_of(spark, s, metrics[s.name]), s.name, metrics[s.name]),
-                             topics[s.name], bootstrap_servers, _ck(checkpoint_root, "notify", s), mode, trigger)
-            for s in sources]
+    with state_partitions_for(spark, state_partitions):
+        return [sinks.sink_kafka(notification_for(totals_of(spark, s, metrics[s.name]), s.name, metrics[s.name]),
+                                 topics[s.name], bootstrap_servers, _ck(checkpoint_root, "notify", s), mode, trigger)
+                for s in sources]
 
 
 def hash_store_job(spark: SparkSession, sources: list[CdcSource], writer_for, checkpoint_root: str,
                    trigger: str | None = TRIGGER_STORES, null_key: str | None = None,
                    metrics: dict = HASH_METRICS, state_partitions: int | None = None) -> list[StreamingQuery]:
     """Per source: changed totals upserted as ``<Prefix>:<clerk>`` hashes (update mode)."""
-    spark = state_session(spark, state_partitions)
-    return [sinks.sink_keyed_upsert(totals_of(spark, s, metrics[s.name]), writer_for(s.name), s.name,
-                                    _ck(checkpoint_root, "hash", s), trigger, null_key=null_key)
-            for s in sources]
+    with state_partitions_for(spark, state_partitions):
+        return [sinks.sink_keyed_upsert(totals_of(spark, s, metrics[s.name]), writer_for(s.name), s.name,
+                                        _ck(checkpoint_root, "hash", s), trigger, null_key=null_key)
+                for s in sources]
 
 
 def jdbc_dump_job(spark: SparkSession, sources: list[CdcSource], url: str, properties: dict, checkpoint_root: str,
@@ -121,15 +123,15 @@ def shared_job(spark: SparkSession, sources: list[CdcSource], checkpoint_root: s
     ``(batch_df, epoch_id)`` callables; events go out in append mode, totals in
     update mode (only changed clerks).
     """
-    spark = state_session(spark, state_partitions)
     qs = []
-    for s in sources:
-        if event_sinks.get(s.name):
-            qs.append(sinks.fan_out(events_of(spark, s), event_sinks[s.name], _ck(checkpoint_root, "fan-events", s),
-                                    "append", trigger))
-        if total_sinks.get(s.name):
-            qs.append(sinks.fan_out(totals_of(spark, s, metrics[s.name]), total_sinks[s.name],
-                                    _ck(checkpoint_root, "fan-totals", s), "update", trigger))
+    with state_partitions_for(spark, state_partitions):
+        for s in sources:
+            if event_sinks.get(s.name):
+                qs.append(sinks.fan_out(events_of(spark, s), event_sinks[s.name],
+                                        _ck(checkpoint_root, "fan-events", s), "append", trigger))
+            if total_sinks.get(s.name):
+                qs.append(sinks.fan_out(totals_of(spark, s, metrics[s.name]), total_sinks[s.name],
+                                        _ck(checkpoint_root, "fan-totals", s), "update", trigger))
     return qs
 
 
@@ -143,10 +145,10 @@ def run(spark: SparkSession, queries: list[StreamingQuery], timeout_s: float | N
     deadline = None if timeout_s is None else time.monotonic() + timeout_s
     try:
         while True:
+            active = [q for q in queries if q.isActive]  # before the failure scan: no query slips between
             for q in queries:
                 if not q.isActive and q.exception() is not None:
                     raise q.exception()
-            active = [q for q in queries if q.isActive]
             if not active or (deadline is not None and time.monotonic() >= deadline):
                 return
             active[0].awaitTermination(poll_s)

@@ -169,51 +169,82 @@ def sink_keyed_upsert(totals: DataFrame, writer: HashWriter, prefix: str, checkp
 # JDBC append
 # ---------------------------------------------------------------------------
 
-def jvm_execute(spark, url: str, properties: dict, sql: str) -> None:
-    """Run one statement over JDBC from the driver (DDL/DELETE only, no rows move)."""
+def _jdbc_connection(spark, url: str, properties: dict):
     jvm = spark.sparkContext._jvm
     if properties.get("driver"):
         jvm.java.lang.Class.forName(properties["driver"])
     props = jvm.java.util.Properties()
     for k, v in properties.items():
         props.setProperty(k, str(v))
-    conn = jvm.java.sql.DriverManager.getConnection(url, props)
+    return jvm.java.sql.DriverManager.getConnection(url, props)
+
+
+def jvm_execute(spark, url: str, properties: dict, sql: str, params: tuple = ()) -> None:
+    """Run one statement over JDBC from the driver (DDL/DELETE only, no rows move)."""
+    conn = _jdbc_connection(spark, url, properties)
     try:
-        st = conn.createStatement()
-        st.executeUpdate(sql)
+        st = conn.prepareStatement(sql)
+        for i, p in enumerate(params, 1):
+            st.setString(i, str(p))
+        st.executeUpdate()
         st.close()
     finally:
         conn.close()
 
 
+def jvm_table_exists(spark, url: str, properties: dict, table: str) -> bool:
+    conn = _jdbc_connection(spark, url, properties)
+    try:
+        meta = conn.getMetaData()
+        for name in {table, table.lower(), table.upper()}:
+            rs = meta.getTables(None, None, name, None)
+            found = rs.next()
+            rs.close()
+            if found:
+                return True
+        return False
+    finally:
+        conn.close()
+
+
+def checkpoint_run_id(spark, checkpoint: str) -> str:
+    """The query id a checkpoint holds (its ``metadata`` file); a recreated
+    checkpoint gets a new one, another spelling of the same path does not."""
+    meta = spark.read.text(f"{checkpoint.rstrip('/')}/metadata")
+    return meta.select(F.get_json_object("value", "$.id")).first()[0]
+
+
 class JdbcAppend:
     """foreachBatch body: append each micro-batch to a table.
 
     ``idempotent=True`` stamps rows with a batch key, ``<run>:<epoch>``, and
     deletes that key's rows before appending, so a replayed batch does not
-    duplicate rows. ``run`` names the query's checkpoint: a new checkpoint
-    restarts epochs at 0 but has another run, so earlier rows are never deleted.
+    duplicate rows. ``run`` is the query's id from its checkpoint (read on the
+    first batch when ``checkpoint`` is given): a recreated checkpoint restarts
+    epochs at 0 under a new id, so earlier rows are never deleted.
     """
 
     def __init__(self, url: str, table: str, properties: dict, idempotent: bool = False,
-                 batch_col: str = "_batch_key", run: str = "", execute: Callable | None = None,
+                 batch_col: str = "_batch_key", run: str | None = None, checkpoint: str | None = None,
+                 execute: Callable | None = None, table_exists: Callable | None = None,
                  write: Callable | None = None, num_partitions: int | None = None):
         self.url, self.table, self.props = url, table, dict(properties)
-        self.idempotent, self.batch_col, self.run = idempotent, batch_col, run
+        self.idempotent, self.batch_col, self.run, self.checkpoint = idempotent, batch_col, run, checkpoint
         self.num_partitions = num_partitions
-        self._execute = execute or (lambda spark, sql: jvm_execute(spark, self.url, self.props, sql))
+        self._execute = execute or (lambda spark, sql, params: jvm_execute(spark, self.url, self.props, sql, params))
+        self._exists = table_exists or (lambda spark: jvm_table_exists(spark, self.url, self.props, self.table))
         self._write = write or (lambda df: df.write.jdbc(self.url, self.table, mode="append",
                                                          properties=self.props))
 
     def __call__(self, batch: DataFrame, epoch_id: int) -> None:
         if self.idempotent:
-            key = f"{self.run}:{int(epoch_id)}".replace("'", "''")
+            spark = batch.sparkSession
+            if self.run is None:
+                self.run = checkpoint_run_id(spark, self.checkpoint) if self.checkpoint else ""
+            key = f"{self.run}:{int(epoch_id)}"
             batch = batch.withColumn(self.batch_col, F.lit(key))
-            try:
-                self._execute(batch.sparkSession, f"DELETE FROM {self.table} WHERE {self.batch_col} = '{key}'")
-            except Exception as e:  # noqa: BLE001 - first batch: the table does not exist yet
-                if "exist" not in str(e).lower() and "not found" not in str(e).lower():
-                    raise
+            if self._exists(spark):  # the first batch creates the table
+                self._execute(spark, f"DELETE FROM {self.table} WHERE {self.batch_col} = ?", (key,))
         if self.num_partitions:
             batch = batch.coalesce(self.num_partitions)  # bound concurrent connections
         self._write(batch)
@@ -223,7 +254,7 @@ def sink_jdbc(events: DataFrame, url: str, table: str, properties: dict, checkpo
               trigger: str | None = None, idempotent: bool = False, name: str | None = None,
               **kw) -> StreamingQuery:
     """Projected events appended to a table each micro-batch."""
-    kw.setdefault("run", checkpoint)
+    kw.setdefault("checkpoint", checkpoint)
     body = JdbcAppend(url, table, properties, idempotent=idempotent, **kw)
     return _writer(events, "append", trigger, checkpoint, name).foreachBatch(body).start()
 

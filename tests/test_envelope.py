@@ -162,5 +162,6 @@ def test_hash_writer_pipelines_per_partition(spark):
 
 def test_event_time_accepts_fractional_seconds(spark):
     from capstream.functions.parse import event_time
-    r = spark.createDataFrame([(1.5,)], "s double").select(event_time("s", "seconds", ntz=True).alias("t")).first()
-    assert str(r.t) == "1970-01-01 00:00:01.500000"
+    r = spark.createDataFrame([(1.5,), (1.001,)], "s double").select(
+        event_time("s", "seconds", ntz=True).alias("t")).collect()
+    assert [str(x.t) for x in r] == ["1970-01-01 00:00:01.500000", "1970-01-01 00:00:01.001000"]

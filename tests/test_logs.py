@@ -130,3 +130,11 @@ def test_with_fields_twice_replaces_and_all_null_series_kept(spark, logs):
     df = spark.createDataFrame([("a", 1.0), ("a", 3.0), ("n", None)], "s string, v double")
     got = {r.s: r.score for r in L.rank_series(df, "s", "v", "p90").collect()}
     assert got == {"a": pytest.approx(2.8), "n": None}
+
+
+def test_exact_percentile_ignores_nulls_and_keeps_null_keys(spark):
+    df = spark.createDataFrame([("a", 1.0), ("a", 3.0), ("a", None), ("a", None), (None, 5.0), (None, 7.0)],
+                               "k string, v double")
+    got = {r.k: r.score for r in L.exact_percentile(df, ("k",), "v", 0.5).collect()}
+    want = {r.k: r.s for r in df.groupBy("k").agg(F.percentile("v", 0.5).alias("s")).collect()}
+    assert got == want == {"a": 2.0, None: 6.0}

@@ -100,3 +100,13 @@ def test_range_entries_unbounded_per_key_is_sorted(spark):
     df = spark.createDataFrame([("k", dt.datetime(2024, 1, 1, h)) for h in (3, 1, 2)], "key string, ts timestamp_ntz")
     assert [r.ts.hour for r in V.range_entries(df, "ts", keys=("key",)).collect()] == [1, 2, 3]
     assert [r.ts.hour for r in V.range_entries(df, "ts", keys=("key",), reverse=True).collect()] == [3, 2, 1]
+
+
+def test_zrange_keeps_null_keyed_sets(spark):
+    z = spark.createDataFrame([(None, "m1", 1.0), (None, "m2", 2.0), (None, "m3", 3.0), ("k", "a", 1.0),
+                               ("k", "b", 2.0)], "key string, member string, score double")
+    for lo, hi in ((0, 1), (0, -1), (-2, -1)):
+        keys = {r.key for r in V.zrange(z, lo, hi).collect()}
+        assert keys == {None, "k"}, (lo, hi)
+    mixed = sorted((r.key or "", r.member, r.rank) for r in V.zrange(z, 1, -1).collect())
+    assert mixed == [("", "m2", 1), ("", "m3", 2), ("k", "b", 1)]

@@ -66,28 +66,36 @@ def test_restart_from_checkpoint(spark, sf):
 
 def test_jdbc_append_idempotent_replay(spark):
     calls, written = [], []
-    body = sinks.JdbcAppend("jdbc:test", "dumped", {"user": "u"}, idempotent=True, run="/ck/jdbc/postgres",
-                            execute=lambda s, sql: calls.append(sql),
-                            write=lambda df: written.append(sorted(tuple(r) for r in df.collect())))
+    tables = set()
+
+    def write(df):
+        tables.add("dumped")
+        written.append(sorted(tuple(r) for r in df.collect()))
+
+    body = sinks.JdbcAppend("jdbc:test", "dumped", {"user": "u"}, idempotent=True, run="run-a",
+                            execute=lambda s, sql, params: calls.append((sql, params)),
+                            table_exists=lambda s: "dumped" in tables, write=write)
     batch = spark.createDataFrame([(1, "A"), (2, "B")], "postgres_purchase long, postgres_clerk string")
-    body(batch, 7)
+    body(batch, 7)  # first batch: the table does not exist yet, nothing to delete
     body(batch, 7)  # replay of the same epoch
-    assert calls == ["DELETE FROM dumped WHERE _batch_key = '/ck/jdbc/postgres:7'"] * 2
-    assert written[0] == [(1, "A", "/ck/jdbc/postgres:7"), (2, "B", "/ck/jdbc/postgres:7")] == written[1]
-    # another checkpoint (epochs restart at 0) never touches this run's rows
-    other = sinks.JdbcAppend("jdbc:test", "dumped", {}, idempotent=True, run="/ck2",
-                             execute=lambda s, sql: calls.append(sql), write=lambda df: None)
+    assert calls == [("DELETE FROM dumped WHERE _batch_key = ?", ("run-a:7",))]
+    assert written[0] == [(1, "A", "run-a:7"), (2, "B", "run-a:7")] == written[1]
+    # a recreated checkpoint (new run id, epochs restart at 0) never touches run-a's rows
+    other = sinks.JdbcAppend("jdbc:test", "dumped", {}, idempotent=True, run="run-b",
+                             execute=lambda s, sql, params: calls.append((sql, params)),
+                             table_exists=lambda s: True, write=lambda df: None)
     other(batch, 7)
-    assert calls[-1] == "DELETE FROM dumped WHERE _batch_key = '/ck2:7'"
+    assert calls[-1] == ("DELETE FROM dumped WHERE _batch_key = ?", ("run-b:7",))
 
 
-def test_jdbc_first_batch_missing_table_is_fine(spark):
-    def missing(s, sql):
-        raise RuntimeError("Table/View 'DUMPED' does not exist.")
-    out = []
-    body = sinks.JdbcAppend("jdbc:test", "dumped", {}, idempotent=True, execute=missing, write=out.append)
-    body(spark.createDataFrame([(1,)], "x long"), 0)
-    assert len(out) == 1
+def test_jdbc_run_id_comes_from_the_checkpoint(spark, sf):
+    from capstream.streaming.sinks import checkpoint_run_id
+    src = _replay(spark, sf, "postgres", files=2)
+    ck = tempfile.mkdtemp() + "/ck"
+    q = sinks.sink_files(parse_events(cdc_source(spark, src), "postgres"), tempfile.mkdtemp() + "/o", ck,
+                         trigger="available_now")
+    run(spark, [q])
+    assert checkpoint_run_id(spark, ck) == q.id
 
 
 def test_kafka_options_and_missing_broker():
@@ -226,22 +234,14 @@ def test_missing_kafka_connector_is_reported_clearly(spark):
         assert "value" in df.columns
 
 
-def test_state_session_sizes_state_and_keeps_settings(spark, sf):
-    from capstream.streaming.runner import state_session, use_rocksdb
-    prev = spark.conf.get("spark.sql.streaming.stateStore.providerClass", None)
-    use_rocksdb(spark)
-    try:
-        s = state_session(spark, 3)
-        assert s.conf.get("spark.sql.shuffle.partitions") == "3"
-        assert "RocksDB" in s.conf.get("spark.sql.streaming.stateStore.providerClass")
-        src = _replay(spark, sf, "postgres", files=2)
-        totals = clerk_totals(parse_events(cdc_source(s, src), "postgres"), "postgres", ("count",))
+def test_state_partitions_apply_to_started_queries_only(spark, sf):
+    from capstream.streaming.runner import state_partitions_for
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    src = _replay(spark, sf, "postgres", files=2)
+    with state_partitions_for(spark, 3):
+        totals = clerk_totals(parse_events(cdc_source(spark, src), "postgres"), "postgres", ("count",))
         q = sinks.sink_snapshot(totals, tempfile.mkdtemp() + "/out", tempfile.mkdtemp() + "/ck", "available_now")
-        run(s, [q])
-        ops = q.lastProgress["stateOperators"]
-        assert ops and ops[0]["numStateStoreInstances"] == 3
-    finally:
-        if prev:
-            spark.conf.set("spark.sql.streaming.stateStore.providerClass", prev)
-        else:
-            spark.conf.unset("spark.sql.streaming.stateStore.providerClass")
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+    run(spark, [q])
+    ops = q.lastProgress["stateOperators"]
+    assert ops and ops[0]["numStateStoreInstances"] == 3
