@@ -231,12 +231,15 @@ def label_sparsity(df: DataFrame, label: str, labels: str = "labels") -> DataFra
 
 # --- F17-F19 -----------------------------------------------------------------------------------
 
-def log_patterns(df: DataFrame, step_ms: int, recent_ms: int | None = None, ts: str = "ts",
+PATTERN_RECENT_MS = 3 * 3_600_000  # fixed value: patterns look at the last 3 hours
+
+
+def log_patterns(df: DataFrame, step_ms: int, recent_ms: int | None = PATTERN_RECENT_MS, ts: str = "ts",
                  line: str = "line", sort: bool = True) -> DataFrame:
     """line templates with their count per step and overall total.
 
-    ``recent_ms`` keeps only lines within that span of the newest line (a
-    scalar subquery, no join). Sorted by ``total`` descending (most frequent
+    ``recent_ms`` (default 3 hours; ``None`` for all lines) keeps only lines
+    within that span of the newest line (a scalar subquery, no join). Sorted by ``total`` descending (most frequent
     pattern first) unless ``sort=False`` (callers that aggregate further).
     """
     if recent_ms is not None:

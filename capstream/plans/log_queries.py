@@ -185,7 +185,7 @@ register("f17_log_patterns_all", f"""
 WITH p AS (SELECT {_TEMPLATE_SQL} AS pattern, {S.bucket_sql('ts', DAY_MS)} AS bucket_start, count(*) AS count
            FROM {EV} GROUP BY 1, 2)
 SELECT pattern, bucket_start, count, CAST(sum(count) OVER (PARTITION BY pattern) AS BIGINT) AS total FROM p""")(
-    lambda spark, d: L.log_patterns(S.event_logs(spark, d), DAY_MS))
+    lambda spark, d: L.log_patterns(S.event_logs(spark, d), DAY_MS, recent_ms=None))
 
 
 def _rank(by, desc=True):

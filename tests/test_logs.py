@@ -104,6 +104,7 @@ def test_discovery(spark, logs):
 def test_patterns_and_rank(spark, logs):
     assert spark.range(1).select(mask_template(F.lit('id=7 t="x y" 0xff 10.0.0.1 12ms'))).first()[0] == \
         'id=<_> t=<_>'  # consecutive placeholders collapse into one
+    assert L.log_patterns(logs, 3_600_000).agg(F.sum("count")).first()[0] == 5  # default: last 3 hours
     p = L.log_patterns(logs, 3_600_000, recent_ms=2 * 60_000)
     assert p.agg(F.sum("count")).first()[0] == 3  # lines at minutes 2..4
     s = spark.createDataFrame([("a", float(v)) for v in range(11)] + [("b", 5.0), ("b", 5.0)], "s string, v double")
