@@ -47,7 +47,8 @@ def parse_args(argv: list[str]) -> argparse.Namespace:
     p.add_argument("--jdbc-password-env", help="environment variable holding the JDBC password")
     p.add_argument("--jdbc-driver")
     p.add_argument("--not-idempotent", action="store_true", help="plain appends (replays can duplicate rows)")
-    p.add_argument("--rocksdb", action="store_true", help="keep aggregation state in RocksDB")
+    p.add_argument("--rocksdb", action="store_true",
+                   help="force the RocksDB state store (already the default unless the deployment sets a provider)")
     p.add_argument("--state-partitions", type=int, default=16,
                    help="state stores per aggregate (fixed at the first start of a checkpoint)")
     return p.parse_args(argv)

@@ -14,7 +14,7 @@ from capstream.functions.common import explode_rows, join_keys, let, quoted
 from capstream.functions.logfields import (detect_level, mask_template, normalize_level, parse_fields,
                                            parse_quantity, pattern_regex)
 from capstream.operators.serving import rank_within
-from capstream.operators.timeseries import bucket_start
+from capstream.operators.timeseries import bucket_of
 
 # --- fixed values: names left out of discovery ---------------------------------------
 INTERNAL_LABELS = ("__aggregated_metric__", "__stream_shard__")
@@ -104,7 +104,7 @@ def _by_col(by: str | None, labels: str) -> list[Column]:
 def log_volume(df: DataFrame, step_ms: int, by: str | None = None, ts: str = "ts",
                labels: str = "labels") -> DataFrame:
     """Lines per step, in total or per label value / ``detected_level``."""
-    return (df.groupBy(bucket_start(ts, step_ms).alias("bucket_start"), *_by_col(by, labels))
+    return (df.groupBy(bucket_of(df, ts, step_ms).alias("bucket_start"), *_by_col(by, labels))
             .agg(F.count(F.lit(1)).alias("count")))
 
 
@@ -112,23 +112,24 @@ def field_avg(df: DataFrame, field: str, step_ms: int, kind: str | None = None,
               fields: str = "fields", unit: str | None = None) -> DataFrame:
     """average of a numeric field per step; lines where it does not parse are dropped."""
     v = field_value(F.col(fields), field, kind, unit)
-    # avg skips NULLs (unparsable values); a filter here would only be pushed
-    # into the scan and evaluate the parse a second time
-    return (df.select(ts, v.alias("_v"))
-            .groupBy(bucket_start(ts, step_ms).alias("bucket_start")).agg(F.avg("_v").alias("avg")))
+    # avg skips NULLs (unparsable values); steps where nothing parsed are
+    # dropped after the aggregate (a filter before it would be pushed into the
+    # scan and evaluate the parse a second time)
+    return (df.select(bucket_of(df, ts, step_ms).alias("bucket_start"), v.alias("_v"))
+            .groupBy("bucket_start").agg(F.avg("_v").alias("avg")).where(F.col("avg").isNotNull()))
 
 
 def field_breakdown(df: DataFrame, field: str, step_ms: int, ts: str = "ts", fields: str = "fields") -> DataFrame:
     """lines per step per value of a (non-numeric) field."""
     v = F.col(fields)[field]
-    return (df.where(v.isNotNull()).groupBy(bucket_start(ts, step_ms).alias("bucket_start"), v.alias(field))
+    return (df.where(v.isNotNull()).groupBy(bucket_of(df, ts, step_ms).alias("bucket_start"), v.alias(field))
             .agg(F.count(F.lit(1)).alias("count")))
 
 
 def rollup_volume(counts: DataFrame, step_ms: int, by: str = "detected_level", ts: str = "bucket_start",
                   count: str = "count") -> DataFrame:
     """sum a pre-aggregated count column to a coarser step."""
-    return (counts.groupBy(bucket_start(ts, step_ms).alias("bucket_start"), by)
+    return (counts.groupBy(bucket_of(counts, ts, step_ms).alias("bucket_start"), by)
             .agg(F.sum(count).alias(count)))
 
 
@@ -155,7 +156,7 @@ def detected_labels(df: DataFrame, labels: str = "labels", approx: bool = False)
 
     Sorted by cardinality ascending with single-valued labels last.
     """
-    p = _pairs(df, labels).where(~F.col("name").isin(*INTERNAL_LABELS))
+    p = _pairs(df, labels).where(~F.col("name").isin(*INTERNAL_LABELS) & F.col("value").isNotNull())
     if approx:
         agg = p.groupBy("name").agg(F.approx_count_distinct("value").cast("bigint").alias("cardinality"))
     else:
@@ -245,7 +246,7 @@ def log_patterns(df: DataFrame, step_ms: int, recent_ms: int | None = PATTERN_RE
     if recent_ms is not None:
         newest = df.select(F.max(ts)).scalar()
         df = df.where(F.col(ts) >= F.timestamp_add("MILLISECOND", F.lit(-int(recent_ms)), newest))
-    per_step = (df.groupBy(mask_template(F.col(line)).alias("pattern"), bucket_start(ts, step_ms).alias("bucket_start"))
+    per_step = (df.groupBy(mask_template(F.col(line)).alias("pattern"), bucket_of(df, ts, step_ms).alias("bucket_start"))
                 .agg(F.count(F.lit(1)).alias("count")))
     # one row per (pattern, step): the window holds a pattern's steps, not its lines
     out = per_step.withColumn("total", F.sum("count").over(Window.partitionBy("pattern")))

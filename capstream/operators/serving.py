@@ -193,7 +193,7 @@ def set_members(sets: DataFrame, key: str | None = None, key_col: str = "key", m
 def set_card(sets: DataFrame, key_col: str = "key", member: str = "member") -> DataFrame:
     """``scard``: distinct members per set. Deduplicated with a partial aggregate first,
     so a huge set is counted across many tasks."""
-    return (sets.select(key_col, member).distinct()
+    return (sets.select(key_col, member).where(F.col(member).isNotNull()).distinct()
             .groupBy(key_col).agg(F.count(F.lit(1)).alias("n_members")))
 
 

@@ -10,10 +10,29 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def bucket_start(ts: Column | str, bucket_ms: int) -> Column:
-    """Start of the epoch-aligned bucket of ``bucket_ms`` milliseconds."""
+_EPOCH_NTZ = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
+
+
+def bucket_start(ts: Column | str, bucket_ms: int, ntz: bool = True) -> Column:
+    """Start of the epoch-aligned bucket of ``bucket_ms`` milliseconds.
+
+    Integer arithmetic on epoch microseconds (zone-independent for
+    ``timestamp_ntz``); a NULL timestamp gives a NULL bucket rather than
+    dropping the row (``window`` would filter it out).
+    """
     ts = F.col(ts) if isinstance(ts, str) else ts
-    return F.window(ts, f"{int(bucket_ms)} milliseconds").getField("start")
+    step = F.lit(int(bucket_ms) * 1000)
+    if ntz:
+        us = F.timestamp_diff("MICROSECOND", F.expr(_EPOCH_NTZ), ts)
+        return F.timestamp_add("MICROSECOND", us - F.pmod(us, step), F.expr(_EPOCH_NTZ))
+    us = F.unix_micros(ts)
+    return F.timestamp_micros(us - F.pmod(us, step))
+
+
+def bucket_of(df: DataFrame, ts: str, bucket_ms: int) -> Column:
+    """``bucket_start`` for a column of ``df`` (its timestamp flavour read from the schema)."""
+    from pyspark.sql.types import TimestampNTZType
+    return bucket_start(ts, bucket_ms, isinstance(df.schema[ts].dataType, TimestampNTZType))
 
 
 def _order(ts: str, tiebreak: str | None) -> Column:
@@ -59,7 +78,7 @@ def bucket_rollup(df: DataFrame, ts: str, value: str, bucket_ms: int, agg: str,
         df = df.where(F.col(ts) <= F.lit(end))
     if agg == "none":
         return df.select(*keys, F.col(ts).alias("bucket_start"), F.col(value).alias("value"))
-    return (df.groupBy(*keys, bucket_start(ts, bucket_ms).alias("bucket_start"))
+    return (df.groupBy(*keys, bucket_of(df, ts, bucket_ms).alias("bucket_start"))
             .agg(aggregator(agg, value, ts, tiebreak).alias("value")))
 
 
@@ -77,7 +96,7 @@ def reduce_by_label(series: DataFrame, label: str, reducer: str, bucket_ms: int,
                            *([tiebreak] if tiebreak else []))
     per_series = bucket_rollup(tagged.where(F.col("label_value").isNotNull()), ts, value, bucket_ms, agg,
                                keys=("label_value", series_col), tiebreak=tiebreak)
-    clean = per_series.where(~F.isnan("value"))
+    clean = per_series.where(F.col("value").isNull() | ~F.isnan("value"))  # NaN out, NULL groups kept
     return (clean.groupBy("label_value", "bucket_start")
             .agg(aggregator(reducer, "value").alias("value"))
             .withColumnRenamed("label_value", label))

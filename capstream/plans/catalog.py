@@ -128,7 +128,7 @@ WITH f(envelope, parent_field, parent_type, parent_name, field, type, logical_na
 n(src, n) AS (SELECT 'postgres', count(*) FROM orders UNION ALL SELECT 'mysql', count(*) FROM lineitem)
 SELECT envelope, parent_field, parent_type, parent_name, field, type, logical_name, optional,
        default_value, allowed, n.n AS n_messages
-FROM f JOIN n ON f.src = n.src"""
+FROM f JOIN n ON f.src = n.src WHERE n.n > 0"""
 
 
 register("b11_schema_fields", _schema_fields_sql())(
@@ -151,15 +151,16 @@ register("d4_clerk_totals_mysql", _totals_sql("mysql", True))(
 
 
 def _notification_sql(p: str, with_sum: bool) -> str:
-    # to_json leaves NULL members out: a NULL clerk group has no clerk member.
-    s = f" || ',\"{p}_purchase_sum\":' || {p}_purchase_sum" if with_sum else ""
-    s_null = f" || COALESCE(',\"{p}_purchase_sum\":' || {p}_purchase_sum, '')" if with_sum else ""
+    # to_json leaves NULL members out (a NULL clerk group has no clerk member)
+    # and escapes text: to_json(<text>) gives the same JSON string literal
+    members = [f"""CASE WHEN {p}_clerk IS NULL THEN NULL ELSE '"{p}_clerk":' || to_json({p}_clerk) END""",
+               f"""'"{p}_purchase_count":' || {p}_purchase_count"""]
+    if with_sum:
+        members.append(f"""CASE WHEN {p}_purchase_sum IS NULL THEN NULL
+                           ELSE '"{p}_purchase_sum":' || {p}_purchase_sum END""")
+    body = "concat_ws(',', " + ", ".join(members) + ")"
     return f"""
-SELECT {p}_clerk AS key,
-       '{{' || CASE WHEN {p}_clerk IS NULL
-                   THEN '\"{p}_purchase_count\":' || {p}_purchase_count{s_null}
-                   ELSE '\"{p}_clerk\":\"' || {p}_clerk || '\",\"{p}_purchase_count\":' || {p}_purchase_count{s}
-              END || '}}' AS value
+SELECT {p}_clerk AS key, '{{' || {body} || '}}' AS value
 FROM ({_totals_sql(p, with_sum)}) t"""
 
 

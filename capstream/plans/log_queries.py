@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from capstream.functions.logfields import BYTE_UNITS, DURATION_UNITS, parse_quantity
 from capstream.operators import logs as L
 from capstream.plans import standins as S
-from capstream.plans.registry import register
+from capstream.plans.registry import register, round_text, sql_round
 
 HOUR_MS = 3_600_000
 DAY_MS = 86_400_000
@@ -61,7 +61,9 @@ register("f3_pattern_filter",
 # --- F4/F5: label and field filters ------------------------------------------------------------
 
 register("f4_label_filter",
-         f"SELECT doc_id, ln FROM {DL} WHERE regexp_full_match(lang, 'e[ns]') AND source <> 'src1'")(
+         # a missing label compares as the empty string, as in the label matcher
+         f"SELECT doc_id, ln FROM {DL} WHERE regexp_full_match(COALESCE(lang, ''), 'e[ns]') "
+         "AND COALESCE(source, '') <> 'src1'")(
     lambda spark, d: L.label_filter(L.label_filter(_docs(spark, d), "lang", "=~", "e[ns]"), "source", "!=", "src1")
     .select("doc_id", "ln"))
 register("f4_field_filter_number", f"SELECT event_id FROM {EV} WHERE fmt IN (0, 1) AND value > 100")(
@@ -162,8 +164,8 @@ UNION ALL SELECT 'region', CAST(ceil(100.0 * count(region) / count(*)) AS BIGINT
        max(length(region)) FROM {EV}""")(
     lambda spark, d: L.column_stats(S.event_logs(spark, d)))
 register("f16_label_sparsity",
-         f"SELECT 'region' AS label, round(100.0 * count(region) / count(*), {R}) AS percent FROM {EV}")(
-    lambda spark, d: L.label_sparsity(S.event_logs(spark, d), "region").select("label", F.round("percent", R)
+         f"SELECT 'region' AS label, {round_text('100.0 * count(region) / count(*)', R)} AS percent FROM {EV}")(
+    lambda spark, d: L.label_sparsity(S.event_logs(spark, d), "region").select("label", sql_round("percent", R)
                                                                                .alias("percent")))
 
 
@@ -192,7 +194,7 @@ def _rank(by, desc=True):
     def fn(spark, d):
         e = S.table(spark, d, "events").select(F.concat(F.lit("user:"), F.col("user_id")).alias("series"), "value")
         out = L.rank_series(e, "series", "value", by, desc)
-        return out.select("series", F.round("score", R).alias("score"))
+        return out.select("series", sql_round("score", R).alias("score"))
     return fn
 
 
@@ -200,7 +202,7 @@ _RANK_SQL = {"stddev": "stddev_pop(value)", "sum": "sum(value)", "max": "max(val
              "p10": "quantile_cont(value, 0.1)"}
 for _by in ("stddev", "sum", "max", "p90", "p10"):
     register(f"f18_rank_series_{_by}",
-             f"SELECT 'user:' || user_id AS series, round({_RANK_SQL[_by]}, {R}) AS score FROM events GROUP BY 1")(
+             f"SELECT 'user:' || user_id AS series, {round_text(_RANK_SQL[_by], R)} AS score FROM events GROUP BY 1")(
         _rank(_by))
 register("f18_rank_series_name",
          "SELECT DISTINCT 'user:' || user_id AS series, CAST(NULL AS DOUBLE) AS score FROM events")(_rank("name"))

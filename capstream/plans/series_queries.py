@@ -5,14 +5,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from capstream.functions.shape import hash_rows_for
+from capstream.functions.shape import HASH_PREFIX, hash_rows_for
 from capstream.operators import panel as P
 from capstream.operators import serving as V
 from capstream.operators import timeseries as T
 from capstream.operators.aggregate import clerk_totals
 from capstream.functions.parse import parse_events
 from capstream.plans import standins as S
-from capstream.plans.registry import register
+from capstream.plans.registry import register, round_text, sql_round
 
 HOUR_MS = 3_600_000
 R = 6  # decimals kept for floating results on both sides
@@ -20,7 +20,9 @@ R = 6  # decimals kept for floating results on both sides
 _SQL_AGG = {
     "avg": "avg(value)", "count": "count(value)", "max": "max(value)", "min": "min(value)",
     "range": "max(value) - min(value)", "sum": "sum(value)",
-    "first": "first(value ORDER BY ts, event_id)", "last": "last(value ORDER BY ts, event_id)",
+    # NULLS FIRST: Spark orders NULL timestamps/ids lowest in min_by/max_by
+    "first": "first(value ORDER BY ts NULLS FIRST, event_id NULLS FIRST)",
+    "last": "last(value ORDER BY ts NULLS FIRST, event_id NULLS FIRST)",
     "std.p": "stddev_pop(value)", "std.s": "stddev_samp(value)",
     "var.p": "var_pop(value)", "var.s": "var_samp(value)",
 }
@@ -31,11 +33,11 @@ def _tag(name: str) -> str:
 
 
 def _round(c, agg):
-    return c if agg == "count" else F.round(c, R)
+    return c if agg == "count" else sql_round(c, R)
 
 
 def _round_sql(expr: str, agg: str) -> str:
-    return expr if agg == "count" else f"round({expr}, {R})"
+    return expr if agg == "count" else round_text(expr, R)
 
 
 # --- E1: bucket rollup, one query per aggregator ------------------------------
@@ -70,7 +72,7 @@ def _e2(red):
     inner = (f"SELECT event_type, event_type || ':' || user_id AS series, {S.bucket_sql('ts', HOUR_MS)} AS b, "
              f"sum(value) AS value FROM events GROUP BY 1, 2, 3")
     sql = (f"SELECT event_type, b AS bucket_start, {_round_sql(_SQL_AGG[red], red)} AS value "
-           f"FROM ({inner}) s WHERE NOT isnan(value) GROUP BY 1, 2")
+           f"FROM ({inner}) s WHERE value IS NULL OR NOT isnan(value) GROUP BY 1, 2")
     return fn, sql
 
 
@@ -96,11 +98,12 @@ FROM cal LEFT JOIN r ON cal.series = r.series AND cal.bucket_start = r.bucket_st
 # --- E4: latest sample per key ---------------------------------------------------
 
 register("e4_latest_per_type",
-         "SELECT event_type AS series, max(ts) AS ts, last(value ORDER BY ts, event_id) AS value "
-         "FROM events GROUP BY 1")(
+         "SELECT event_type AS series, max(ts) AS ts, "
+         "last(value ORDER BY ts NULLS FIRST, event_id NULLS FIRST) AS value FROM events GROUP BY 1")(
     lambda spark, d: V.latest_per_key(S.series_by_type(spark, d), ("series",), "ts", "value", "event_id"))
 register("e4_latest_per_user",
-         "SELECT user_id, max(ts) AS ts, last(value ORDER BY ts, event_id) AS value FROM events GROUP BY 1")(
+         "SELECT user_id, max(ts) AS ts, last(value ORDER BY ts NULLS FIRST, event_id NULLS FIRST) AS value "
+         "FROM events GROUP BY 1")(
     lambda spark, d: V.latest_per_key(S.table(spark, d, "events"), ("user_id",), "ts", "value", "event_id"))
 
 
@@ -141,10 +144,10 @@ register("e6_range_entries_per_type",
 def _zsets(spark, d):
     return (S.table(spark, d, "events").groupBy(F.col("event_type").alias("key"),
                                                 F.concat(F.lit("user:"), F.col("user_id")).alias("member"))
-            .agg(F.round(F.sum("value"), 2).alias("score")))
+            .agg(sql_round(F.sum("value"), 2).alias("score")))
 
 
-_ZSETS_SQL = ("SELECT event_type AS key, 'user:' || user_id AS member, round(sum(value), 2) AS score "
+_ZSETS_SQL = (f"SELECT event_type AS key, 'user:' || user_id AS member, {round_text('sum(value)', 2)} AS score "
               "FROM events GROUP BY 1, 2")
 register("e7_zrange_by_index",
          f"SELECT key, member, score, rn - 1 AS rank FROM (SELECT *, row_number() OVER "
@@ -174,21 +177,22 @@ def _hashes(spark, d):
 
 _TOTALS_PG = ("SELECT postgres_clerk, count(postgres_purchase) AS c, CAST(sum(postgres_purchase) AS BIGINT) AS s "
               f"FROM ({S.events_sql('postgres')}) e WHERE postgres_clerk IS NOT NULL GROUP BY 1")
+_PG = HASH_PREFIX["postgres"]
 register("e8_hash_getall",
-         f"SELECT 'Postgresql:' || postgres_clerk AS hash_key, 'Count' AS field, CAST(c AS VARCHAR) AS value "
-         f"FROM ({_TOTALS_PG}) t UNION ALL SELECT 'Postgresql:' || postgres_clerk, 'Sum', CAST(s AS VARCHAR) "
+         f"SELECT '{_PG}' || postgres_clerk AS hash_key, 'Count' AS field, CAST(c AS VARCHAR) AS value "
+         f"FROM ({_TOTALS_PG}) t UNION ALL SELECT '{_PG}' || postgres_clerk, 'Sum', CAST(s AS VARCHAR) "
          f"FROM ({_TOTALS_PG}) t")(lambda spark, d: V.hash_getall(_hashes(spark, d)))
-register("e8_hash_len", f"SELECT 'Postgresql:' || postgres_clerk AS hash_key, CAST(2 AS BIGINT) AS n_fields "
+register("e8_hash_len", f"SELECT '{_PG}' || postgres_clerk AS hash_key, CAST(2 AS BIGINT) AS n_fields "
                         f"FROM ({_TOTALS_PG}) t")(lambda spark, d: V.hash_len(_hashes(spark, d)))
 register("e8_hash_get_sum",
-         f"SELECT 'Postgresql:' || postgres_clerk AS hash_key, CAST(s AS VARCHAR) AS value FROM ({_TOTALS_PG}) t")(
+         f"SELECT '{_PG}' || postgres_clerk AS hash_key, CAST(s AS VARCHAR) AS value FROM ({_TOTALS_PG}) t")(
     lambda spark, d: V.hash_get(_hashes(spark, d), "Sum"))
 register("e8_hash_mget",
-         f"SELECT 'Postgresql:' || postgres_clerk AS hash_key, CAST(c AS VARCHAR) AS \"Count\", "
+         f"SELECT '{_PG}' || postgres_clerk AS hash_key, CAST(c AS VARCHAR) AS \"Count\", "
          f"CAST(s AS VARCHAR) AS \"Sum\" FROM ({_TOTALS_PG}) t")(
     lambda spark, d: V.hash_mget(_hashes(spark, d), ["Count", "Sum"]))
 register("e8_hash_keys",
-         f"SELECT 'Postgresql:' || postgres_clerk AS hash_key, f AS field FROM ({_TOTALS_PG}) t, "
+         f"SELECT '{_PG}' || postgres_clerk AS hash_key, f AS field FROM ({_TOTALS_PG}) t, "
          "(VALUES ('Count'), ('Sum')) v(f)")(
     lambda spark, d: V.hash_keys(_hashes(spark, d)))
 register("e8_set_members",
@@ -209,7 +213,8 @@ SELECT event_id, json_extract_string(props, '$.k') AS k_text,
        CASE json_type(props, '$.k') WHEN 'UBIGINT' THEN 'integer' WHEN 'BIGINT' THEN 'integer'
             WHEN 'DOUBLE' THEN 'number' WHEN 'VARCHAR' THEN 'string' WHEN 'BOOLEAN' THEN 'boolean'
             WHEN 'OBJECT' THEN 'object' WHEN 'ARRAY' THEN 'array' WHEN 'NULL' THEN 'null' END AS k_type,
-       array_to_string(json_keys(props), ',') AS keys, CAST(len(json_keys(props)) AS BIGINT) AS n_keys
+       CASE WHEN json_type(props) = 'OBJECT' THEN array_to_string(json_keys(props), ',') END AS keys,
+       CASE WHEN json_type(props) = 'OBJECT' THEN CAST(len(json_keys(props)) AS BIGINT) END AS n_keys
 FROM events""")(
     lambda spark, d: S.table(spark, d, "events").select(
         "event_id", V.json_at("props", "$.k").alias("k_text"), V.json_at("props", ".k", "type").alias("k_type"),
@@ -241,11 +246,11 @@ register("e12_organize_totals",
         clerk_totals(parse_events(S.source_messages(spark, d, "postgres"), "postgres"), "postgres", ("count", "sum")),
         exclude=["postgres_purchase_sum"], rename={"postgres_clerk": "clerk", "postgres_purchase_count": "Count"}),
         ["clerk", "Count"]))
-register("e13_panel_mean", f"SELECT event_type, round(avg(value), {R}) AS mean FROM events GROUP BY 1")(
+register("e13_panel_mean", f"SELECT event_type, {round_text('avg(value)', R)} AS mean FROM events GROUP BY 1")(
     lambda spark, d: P.panel_calc(S.table(spark, d, "events"), "mean", "value", keys=("event_type",))
-    .select("event_type", F.round("mean", R).alias("mean")))
+    .select("event_type", sql_round("mean", R).alias("mean")))
 register("e13_panel_last_not_null",
-         "SELECT event_type, last(value ORDER BY ts, event_id) AS \"lastNotNull\" FROM events "
+         "SELECT event_type, last(value ORDER BY ts NULLS FIRST, event_id NULLS FIRST) AS \"lastNotNull\" FROM events "
          "WHERE value IS NOT NULL GROUP BY 1")(
     lambda spark, d: P.panel_calc(S.table(spark, d, "events"), "lastNotNull", "value", "ts", ("event_type",),
                                   "event_id"))
@@ -269,10 +274,11 @@ register("e15_values_list",
          "SELECT event_type AS value FROM events UNION ALL SELECT CAST(user_id AS VARCHAR) FROM events")(
     lambda spark, d: V.values_list(S.table(spark, d, "events").select("event_type", "user_id")))
 register("e16_parameterised_sql",
-         f"SELECT event_type, count(*) AS n, round(sum(value), {R}) AS total FROM events "
+         f"SELECT event_type, count(*) AS n, {round_text('sum(value)', R)} AS total FROM events "
          "WHERE value > 100.0 AND event_type <> 'error' GROUP BY event_type")(
     lambda spark, d: V.run_sql(
-        spark, f"SELECT event_type, count(*) AS n, round(sum(value), {R}) AS total FROM cs_events "
+        spark, f"SELECT event_type, count(*) AS n, "
+               f"round(round(sum(value) * 1e{R + 3}) / 1e{R + 3} * 1e{R}) / 1e{R} AS total FROM cs_events "
                "WHERE value > :min_value AND event_type <> :skip GROUP BY event_type",
         {"min_value": 100.0, "skip": "error"}, views={"cs_events": S.table(spark, d, "events")}))
 
@@ -280,14 +286,9 @@ register("e16_parameterised_sql",
 # --- C1: align series on time --------------------------------------------------------------------
 
 register("c1_align_series", f"""
-SELECT bucket_start,
-       max(CASE WHEN series = 'click' THEN value END) AS click,
-       max(CASE WHEN series = 'error' THEN value END) AS error,
-       max(CASE WHEN series = 'purchase' THEN value END) AS purchase,
-       max(CASE WHEN series = 'signup' THEN value END) AS signup,
-       max(CASE WHEN series = 'view' THEN value END) AS "view"
-FROM (SELECT event_type AS series, {S.bucket_sql('ts', HOUR_MS)} AS bucket_start, round(avg(value), {R}) AS value
-      FROM events GROUP BY 1, 2) r GROUP BY bucket_start""")(
+PIVOT (SELECT event_type AS series, {S.bucket_sql('ts', HOUR_MS)} AS bucket_start, {round_text('avg(value)', R)} AS value
+       FROM events GROUP BY 1, 2)
+ON series USING max(value) GROUP BY bucket_start""")(
     lambda spark, d: T.align_series(
         T.bucket_rollup(S.series_by_type(spark, d), "ts", "value", HOUR_MS, "avg", keys=("series",))
-        .withColumn("value", F.round("value", R)), "bucket_start", "series", "value"))
+        .withColumn("value", sql_round("value", R)), "bucket_start", "series", "value"))

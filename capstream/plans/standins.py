@@ -34,10 +34,12 @@ def spread(df: DataFrame) -> DataFrame:
     row groups. On a big input the scan already has more partitions than
     cores and this is a no-op (no shuffle is added).
     """
-    par = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < par:
-        return df.repartition(par)
-    return df
+    try:
+        par = df.sparkSession.sparkContext.defaultParallelism
+        few = df.rdd.getNumPartitions() < par
+    except Exception:  # noqa: BLE001 - no RDD view (e.g. a remote session): leave the plan as it is
+        return df
+    return df.repartition(par) if few else df
 
 
 def op_for(id_col: Column) -> Column:
@@ -97,21 +99,21 @@ def source_messages(spark: SparkSession, sf_dir: str, prefix: str, with_schema:
 
 # --- SQL text of the same mapping, for the DuckDB oracle ----------------------
 ORDERS_ROWS_SQL = """
-SELECT o_orderkey AS id, 'Customer' || o_custkey AS name, 18 + o_custkey % 58 AS age,
+SELECT o_orderkey AS id, 'Customer' || o_custkey AS name, 18 + ((o_custkey % 58) + 58) % 58 AS age,
        'user' || o_custkey || '@example.com' AS email,
        CAST(round(o_totalprice * 100) AS BIGINT) AS purchase,
        CAST(epoch_us(o_orderdate) AS BIGINT) AS "timestamp",
        o_orderstatus AS store, o_orderpriority AS clerk,
-       CASE o_orderkey % 10 WHEN 0 THEN 'd' WHEN 1 THEN 'u' WHEN 2 THEN 'r' ELSE 'c' END AS op
+       CASE ((o_orderkey % 10) + 10) % 10 WHEN 0 THEN 'd' WHEN 1 THEN 'u' WHEN 2 THEN 'r' ELSE 'c' END AS op
 FROM orders"""
 
 LINEITEM_ROWS_SQL = """
-SELECT l_orderkey * 8 + l_linenumber AS id, 'Customer' || l_partkey AS name, 18 + l_suppkey % 58 AS age,
+SELECT l_orderkey * 8 + l_linenumber AS id, 'Customer' || l_partkey AS name, 18 + ((l_suppkey % 58) + 58) % 58 AS age,
        'user' || l_suppkey || '@example.com' AS email,
        CAST(round(l_extendedprice * 100) AS BIGINT) AS purchase,
        CAST(epoch_us(l_shipdate) AS BIGINT) AS "timestamp",
        'S' || l_linenumber AS store, l_returnflag || l_linestatus AS clerk,
-       CASE (l_orderkey * 8 + l_linenumber) % 10 WHEN 0 THEN 'd' WHEN 1 THEN 'u' WHEN 2 THEN 'r' ELSE 'c' END AS op
+       CASE (((l_orderkey * 8 + l_linenumber) % 10) + 10) % 10 WHEN 0 THEN 'd' WHEN 1 THEN 'u' WHEN 2 THEN 'r' ELSE 'c' END AS op
 FROM lineitem"""
 
 ROWS_SQL = {"postgres": ORDERS_ROWS_SQL, "mysql": LINEITEM_ROWS_SQL}
@@ -140,7 +142,7 @@ def series_by_user(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One series per (event type, user) with labels ``event_type`` and ``user``."""
     e = table(spark, sf_dir, "events")
     return e.select(
-        F.concat_ws(":", "event_type", F.col("user_id").cast("string")).alias("series"),
+        F.concat(F.col("event_type"), F.lit(":"), F.col("user_id").cast("string")).alias("series"),
         F.create_map(F.lit("event_type"), F.col("event_type"),
                      F.lit("user"), F.col("user_id").cast("string")).alias("labels"),
         "ts", "value", "event_id")
@@ -172,7 +174,7 @@ def event_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     on one user in five, ``region``.
     """
     e = spread(table(spark, sf_dir, "events"))
-    k = F.get_json_object("props", "$.k").cast("bigint")
+    k = F.get_json_object("props", "$.k").try_cast("bigint")
     lvl = None
     for t, l in _LEVEL_OF_TYPE:
         lvl = F.when(F.col("event_type") == t, F.lit(l)) if lvl is None else lvl.when(F.col("event_type") == t, F.lit(l))
@@ -219,17 +221,30 @@ SELECT doc_id, lang, source, CAST(ln AS BIGINT) AS ln, line,
 FROM (SELECT doc_id, lang, source, generate_subscripts(parts, 1) AS ln, unnest(parts) AS line
       FROM (SELECT doc_id, lang, source, string_split(text, chr(10)) AS parts FROM documents))"""
 
+def pmod_sql(x: str, n: int) -> str:
+    """``pmod`` in SQL (``%`` truncates toward zero for negative values)."""
+    return f"(((({x}) % {n}) + {n}) % {n})"
+
+
+def _list_sql(values) -> str:
+    return "[" + ", ".join(f"'{v}'" for v in values) + "]"
+
+
+def _level_case(mapping) -> str:
+    return "CASE event_type " + " ".join(f"WHEN '{t}' THEN '{l}'" for t, l in mapping) + " END"
+
+
+_K_SQL = "TRY_CAST(json_extract_string(props, '$.k') AS BIGINT)"
 # The event log in SQL terms: the values each line carries, for the oracle.
-EVENT_LOG_SQL = """
-SELECT event_id, ts, event_type, user_id, value, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k,
-       event_id % 3 AS fmt,
-       CASE event_type WHEN 'error' THEN 'ERROR' WHEN 'view' THEN 'debug' WHEN 'click' THEN 'info'
-            WHEN 'signup' THEN 'Warning' END AS level,
-       CASE event_type WHEN 'error' THEN 'error' WHEN 'view' THEN 'debug' WHEN 'click' THEN 'info'
-            WHEN 'signup' THEN 'warn' ELSE 'logs' END AS detected_level,
-       'svc-' || event_type AS service_name, 'c' || (user_id % 4) AS cluster,
-       CASE WHEN user_id % 5 = 0 THEN 'eu-' || (user_id % 2) END AS region,
-       (['ms', 's', 'us', 'ns', 'm', 'h'])[CAST(json_extract_string(props, '$.k') AS BIGINT) % 6 + 1] AS dur_unit,
-       (['B', 'KB', 'MB', 'KiB'])[user_id % 4 + 1] AS byte_unit,
-       (['GET', 'POST', 'PUT', 'DELETE'])[event_id % 4 + 1] AS method
+EVENT_LOG_SQL = f"""
+SELECT event_id, ts, event_type, user_id, value, {_K_SQL} AS k,
+       {pmod_sql('event_id', 3)} AS fmt,
+       {_level_case(_LEVEL_OF_TYPE)} AS level,
+       {_level_case([(t, {'ERROR': 'error', 'debug': 'debug', 'info': 'info', 'Warning': 'warn'}[l])
+                     for t, l in _LEVEL_OF_TYPE]).replace(' END', " ELSE 'logs' END")} AS detected_level,
+       'svc-' || event_type AS service_name, 'c' || {pmod_sql('user_id', 4)} AS cluster,
+       CASE WHEN {pmod_sql('user_id', 5)} = 0 THEN 'eu-' || {pmod_sql('user_id', 2)} END AS region,
+       ({_list_sql(_DUR_UNITS)})[{pmod_sql(_K_SQL, len(_DUR_UNITS))} + 1] AS dur_unit,
+       ({_list_sql(_BYTE_UNITS)})[{pmod_sql('user_id', len(_BYTE_UNITS))} + 1] AS byte_unit,
+       ({_list_sql(_METHODS)})[{pmod_sql('event_id', len(_METHODS))} + 1] AS method
 FROM events"""

@@ -77,3 +77,12 @@ def test_align_series(series):
     r = T.bucket_rollup(series, "ts", "value", H, "count", keys=("series",))
     w = {row.bucket_start.hour: (row.a, row.b) for row in T.align_series(r, "bucket_start", "series", "value").collect()}
     assert w == {0: (3, 1), 1: (None, 1), 2: (1, None)}
+
+
+def test_null_timestamps_form_their_own_bucket(spark):
+    df = spark.createDataFrame([("a", ts(0, 5), 1.0), ("a", None, 2.0)], "series string, ts timestamp_ntz, value double")
+    got = {(r.series, r.bucket_start): r.value
+           for r in T.bucket_rollup(df, "ts", "value", H, "sum", keys=("series",)).collect()}
+    assert got == {("a", dt.datetime(2024, 1, 1)): 1.0, ("a", None): 2.0}
+    ltz = df.withColumn("ts", F.col("ts").cast("timestamp"))
+    assert T.bucket_rollup(ltz, "ts", "value", H, "count", keys=("series",)).count() == 2
