@@ -61,15 +61,18 @@ def parse_quantity(c: Column | str, kind: str, unit: str | None = None) -> Colum
     part = f"([0-9]+(?:\\.[0-9]+)?)\\s*({alt})"
     umap = _unit_map(units)
 
+    sign_ok = "[+-]?" if kind == "duration" else ""  # durations may be signed ("-1.5h")
+
     def body(s: Column) -> Column:
-        whole = s.rlike(f"^({part})+$")
+        whole = s.rlike(f"^{sign_ok}({part})+$")
         parts = F.regexp_extract_all(s, F.lit(part), 0)
         total = F.aggregate(
             parts, F.lit(0.0),
             lambda acc, x: acc + F.regexp_extract(x, "^([0-9.]+)", 1).cast("double")
             * F.element_at(umap, F.regexp_extract(x, f"({alt})$", 1)))
-        return (F.when(whole, total / F.lit(scale))
-                .when(s.rlike("^[0-9]+(\\.[0-9]+)?$"), s.cast("double")))
+        signed = F.when(s.startswith("-"), -total).otherwise(total)
+        return (F.when(whole, signed / F.lit(scale))
+                .when(s.rlike(f"^{sign_ok}[0-9]+(\\.[0-9]+)?$"), s.cast("double")))
     return let(F.trim(c), body)
 
 

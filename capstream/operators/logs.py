@@ -156,11 +156,9 @@ def detected_labels(df: DataFrame, labels: str = "labels", approx: bool = False)
 
     Sorted by cardinality ascending with single-valued labels last.
     """
-    p = _pairs(df, labels).where(~F.col("name").isin(*INTERNAL_LABELS) & F.col("value").isNotNull())
-    if approx:
-        agg = p.groupBy("name").agg(F.approx_count_distinct("value").cast("bigint").alias("cardinality"))
-    else:
-        agg = p.distinct().groupBy("name").agg(F.count(F.lit(1)).alias("cardinality"))
+    p = _pairs(df, labels).where(~F.col("name").isin(*INTERNAL_LABELS))
+    card = F.approx_count_distinct("value").cast("bigint") if approx else F.count_distinct("value")
+    agg = p.groupBy("name").agg(card.alias("cardinality"))  # distinct non-NULL values
     return agg.select(F.col("name").alias("label"), "cardinality").orderBy(
         (F.col("cardinality") == 1).asc(), F.col("cardinality").asc(), F.col("label").asc())
 

@@ -191,10 +191,12 @@ def set_members(sets: DataFrame, key: str | None = None, key_col: str = "key", m
 
 
 def set_card(sets: DataFrame, key_col: str = "key", member: str = "member") -> DataFrame:
-    """``scard``: distinct members per set. Deduplicated with a partial aggregate first,
-    so a huge set is counted across many tasks."""
-    return (sets.select(key_col, member).where(F.col(member).isNotNull()).distinct()
-            .groupBy(key_col).agg(F.count(F.lit(1)).alias("n_members")))
+    """``scard``: distinct non-NULL members per set (0 for a set of NULLs).
+
+    Spark plans a single distinct count as a dedupe of (set, member) with a
+    partial aggregate, then a count per set, so a huge set is counted by many
+    tasks."""
+    return sets.groupBy(key_col).agg(F.count_distinct(member).alias("n_members"))
 
 
 def list_len(lists: DataFrame, key_col: str = "key") -> DataFrame:

@@ -10,29 +10,26 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-_EPOCH_NTZ = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
-
-
-def bucket_start(ts: Column | str, bucket_ms: int, ntz: bool = True) -> Column:
+def bucket_start(ts: Column | str, bucket_ms: int) -> Column:
     """Start of the epoch-aligned bucket of ``bucket_ms`` milliseconds.
 
-    Integer arithmetic on epoch microseconds (zone-independent for
-    ``timestamp_ntz``); a NULL timestamp gives a NULL bucket rather than
-    dropping the row (``window`` would filter it out).
+    ``window`` does the arithmetic (codegen, zone-independent for
+    ``timestamp_ntz``, UTC-aligned for ``timestamp``) but drops rows whose
+    timestamp is NULL; it is given a non-NULL stand-in of the same type
+    (``coalesce(ts, ts - interval)`` is NULL too, so a fixed literal cast to
+    the column's type) and the result is masked: a NULL timestamp gives a NULL
+    bucket and the row is kept. Like ``window``, one bucket expression per
+    projection.
     """
     ts = F.col(ts) if isinstance(ts, str) else ts
-    step = F.lit(int(bucket_ms) * 1000)
-    if ntz:
-        us = F.timestamp_diff("MICROSECOND", F.expr(_EPOCH_NTZ), ts)
-        return F.timestamp_add("MICROSECOND", us - F.pmod(us, step), F.expr(_EPOCH_NTZ))
-    us = F.unix_micros(ts)
-    return F.timestamp_micros(us - F.pmod(us, step))
+    filler = F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'")
+    w = F.window(F.coalesce(ts, filler), f"{int(bucket_ms)} milliseconds").getField("start")
+    return F.when(ts.isNotNull(), w)
 
 
 def bucket_of(df: DataFrame, ts: str, bucket_ms: int) -> Column:
-    """``bucket_start`` for a column of ``df`` (its timestamp flavour read from the schema)."""
-    from pyspark.sql.types import TimestampNTZType
-    return bucket_start(ts, bucket_ms, isinstance(df.schema[ts].dataType, TimestampNTZType))
+    """``bucket_start`` of a column of ``df`` (kept for callers holding the frame)."""
+    return bucket_start(ts, bucket_ms)
 
 
 def _order(ts: str, tiebreak: str | None) -> Column:

@@ -121,7 +121,7 @@ register("f8_volume_by_level",
     lambda spark, d: L.log_volume(_events(spark, d), HOUR_MS, by="detected_level"))
 register("f9_field_avg_duration_ns", f"""
 SELECT {HB} AS bucket_start, avg(CAST(k AS DOUBLE) * {_factor_sql(DURATION_UNITS, 'dur_unit')}) AS "avg"
-FROM {EV} WHERE fmt IN (0, 1) GROUP BY 1""")(
+FROM {EV} WHERE fmt IN (0, 1) GROUP BY 1 HAVING avg IS NOT NULL""")(
     lambda spark, d: L.field_avg(_events(spark, d), "latency", HOUR_MS, kind="duration", unit="ns"))
 register("f10_field_breakdown",
          f"SELECT {HB} AS bucket_start, method, count(*) AS count FROM {EV} WHERE fmt IN (0, 1) GROUP BY 1, 2")(

@@ -41,3 +41,10 @@ def sql_round(c: Column | str, digits: int) -> Column:
 def round_text(expr: str, digits: int) -> str:
     """The SQL side of ``sql_round``."""
     return f"round(round({expr}, {digits + 3}), {digits})"
+
+
+def spark_round_text(expr: str, digits: int) -> str:
+    """``sql_round`` written as Spark SQL text."""
+    for d in (digits + 3, digits):
+        expr = f"round(({expr}) * 1e{d}) / 1e{d}"
+    return expr

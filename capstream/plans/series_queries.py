@@ -12,7 +12,7 @@ from capstream.operators import timeseries as T
 from capstream.operators.aggregate import clerk_totals
 from capstream.functions.parse import parse_events
 from capstream.plans import standins as S
-from capstream.plans.registry import register, round_text, sql_round
+from capstream.plans.registry import register, round_text, spark_round_text, sql_round
 
 HOUR_MS = 3_600_000
 R = 6  # decimals kept for floating results on both sides
@@ -72,7 +72,7 @@ def _e2(red):
     inner = (f"SELECT event_type, event_type || ':' || user_id AS series, {S.bucket_sql('ts', HOUR_MS)} AS b, "
              f"sum(value) AS value FROM events GROUP BY 1, 2, 3")
     sql = (f"SELECT event_type, b AS bucket_start, {_round_sql(_SQL_AGG[red], red)} AS value "
-           f"FROM ({inner}) s WHERE value IS NULL OR NOT isnan(value) GROUP BY 1, 2")
+           f"FROM ({inner}) s WHERE event_type IS NOT NULL AND (value IS NULL OR NOT isnan(value)) GROUP BY 1, 2")
     return fn, sql
 
 
@@ -151,7 +151,7 @@ _ZSETS_SQL = (f"SELECT event_type AS key, 'user:' || user_id AS member, {round_t
               "FROM events GROUP BY 1, 2")
 register("e7_zrange_by_index",
          f"SELECT key, member, score, rn - 1 AS rank FROM (SELECT *, row_number() OVER "
-         f"(PARTITION BY key ORDER BY score, member) AS rn FROM ({_ZSETS_SQL}) z) WHERE rn <= 10")(
+         f"(PARTITION BY key ORDER BY score NULLS FIRST, member NULLS FIRST) AS rn FROM ({_ZSETS_SQL}) z) WHERE rn <= 10")(
     lambda spark, d: V.zrange(_zsets(spark, d), 0, 9).withColumn("rank", F.col("rank").cast("bigint")))
 register("e7_zrange_by_index_tail",
          f"SELECT key, member, score, n - rb AS rank FROM (SELECT *, row_number() OVER "
@@ -160,7 +160,7 @@ register("e7_zrange_by_index_tail",
     lambda spark, d: V.zrange(_zsets(spark, d), -3, -1).withColumn("rank", F.col("rank").cast("bigint")))
 register("e7_zrange_by_index_mixed",
          f"SELECT key, member, score, rn - 1 AS rank FROM (SELECT *, row_number() OVER "
-         f"(PARTITION BY key ORDER BY score, member) AS rn, count(*) OVER (PARTITION BY key) AS n "
+         f"(PARTITION BY key ORDER BY score NULLS FIRST, member NULLS FIRST) AS rn, count(*) OVER (PARTITION BY key) AS n "
          f"FROM ({_ZSETS_SQL}) z) WHERE rn - 1 >= 1 AND rn - 1 <= n - 2")(
     lambda spark, d: V.zrange(_zsets(spark, d), 1, -2))
 register("e7_zrange_by_score",
@@ -277,8 +277,7 @@ register("e16_parameterised_sql",
          f"SELECT event_type, count(*) AS n, {round_text('sum(value)', R)} AS total FROM events "
          "WHERE value > 100.0 AND event_type <> 'error' GROUP BY event_type")(
     lambda spark, d: V.run_sql(
-        spark, f"SELECT event_type, count(*) AS n, "
-               f"round(round(sum(value) * 1e{R + 3}) / 1e{R + 3} * 1e{R}) / 1e{R} AS total FROM cs_events "
+        spark, f"SELECT event_type, count(*) AS n, {spark_round_text('sum(value)', R)} AS total FROM cs_events "
                "WHERE value > :min_value AND event_type <> :skip GROUP BY event_type",
         {"min_value": 100.0, "skip": "error"}, views={"cs_events": S.table(spark, d, "events")}))
 

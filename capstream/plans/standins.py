@@ -98,22 +98,27 @@ def source_messages(spark: SparkSession, sf_dir: str, prefix: str, with_schema:
 
 
 # --- SQL text of the same mapping, for the DuckDB oracle ----------------------
-ORDERS_ROWS_SQL = """
-SELECT o_orderkey AS id, 'Customer' || o_custkey AS name, 18 + ((o_custkey % 58) + 58) % 58 AS age,
+def pmod(x: str, n: int) -> str:
+    """``pmod`` in SQL (``%`` truncates toward zero for negative values)."""
+    return f"(((({x}) % {n}) + {n}) % {n})"
+
+
+ORDERS_ROWS_SQL = f"""
+SELECT o_orderkey AS id, 'Customer' || o_custkey AS name, 18 + {pmod('o_custkey', 58)} AS age,
        'user' || o_custkey || '@example.com' AS email,
        CAST(round(o_totalprice * 100) AS BIGINT) AS purchase,
        CAST(epoch_us(o_orderdate) AS BIGINT) AS "timestamp",
        o_orderstatus AS store, o_orderpriority AS clerk,
-       CASE ((o_orderkey % 10) + 10) % 10 WHEN 0 THEN 'd' WHEN 1 THEN 'u' WHEN 2 THEN 'r' ELSE 'c' END AS op
+       CASE {pmod('o_orderkey', 10)} WHEN 0 THEN 'd' WHEN 1 THEN 'u' WHEN 2 THEN 'r' ELSE 'c' END AS op
 FROM orders"""
 
-LINEITEM_ROWS_SQL = """
-SELECT l_orderkey * 8 + l_linenumber AS id, 'Customer' || l_partkey AS name, 18 + ((l_suppkey % 58) + 58) % 58 AS age,
+LINEITEM_ROWS_SQL = f"""
+SELECT l_orderkey * 8 + l_linenumber AS id, 'Customer' || l_partkey AS name, 18 + {pmod('l_suppkey', 58)} AS age,
        'user' || l_suppkey || '@example.com' AS email,
        CAST(round(l_extendedprice * 100) AS BIGINT) AS purchase,
        CAST(epoch_us(l_shipdate) AS BIGINT) AS "timestamp",
        'S' || l_linenumber AS store, l_returnflag || l_linestatus AS clerk,
-       CASE (((l_orderkey * 8 + l_linenumber) % 10) + 10) % 10 WHEN 0 THEN 'd' WHEN 1 THEN 'u' WHEN 2 THEN 'r' ELSE 'c' END AS op
+       CASE {pmod('l_orderkey * 8 + l_linenumber', 10)} WHEN 0 THEN 'd' WHEN 1 THEN 'u' WHEN 2 THEN 'r' ELSE 'c' END AS op
 FROM lineitem"""
 
 ROWS_SQL = {"postgres": ORDERS_ROWS_SQL, "mysql": LINEITEM_ROWS_SQL}
@@ -174,7 +179,8 @@ def event_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     on one user in five, ``region``.
     """
     e = spread(table(spark, sf_dir, "events"))
-    k = F.get_json_object("props", "$.k").try_cast("bigint")
+    # like SQL TRY_CAST(text AS BIGINT): numeric text rounds, anything else is NULL
+    k = F.round(F.get_json_object("props", "$.k").try_cast("double")).try_cast("bigint")
     lvl = None
     for t, l in _LEVEL_OF_TYPE:
         lvl = F.when(F.col("event_type") == t, F.lit(l)) if lvl is None else lvl.when(F.col("event_type") == t, F.lit(l))
@@ -188,8 +194,8 @@ def event_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
                      F.concat(F.lit("value="), F.col("value").cast("string")), F.concat(F.lit("k="), k.cast("string")),
                      F.concat(F.lit("latency="), latency), F.concat(F.lit("size="), size),
                      F.concat(F.lit("method="), method), F.concat(F.lit('msg="'), msg, F.lit('"')))
-    plain = F.concat(F.coalesce(F.concat(F.upper(lvl), F.lit(" ")), F.lit("")), F.lit("user "),
-                     F.col("user_id").cast("string"), F.lit(" did "), F.col("event_type"), F.lit(" in "), latency)
+    plain = F.concat_ws("", F.concat(F.upper(lvl), F.lit(" ")), F.lit("user "),
+                        F.col("user_id").cast("string"), F.lit(" did "), F.col("event_type"), F.lit(" in "), latency)
     fmt = F.pmod(F.col("event_id"), F.lit(3))
     line = F.when(fmt == 0, js).when(fmt == 1, lf).otherwise(plain)
     labels = F.map_filter(F.create_map(
@@ -221,27 +227,29 @@ SELECT doc_id, lang, source, CAST(ln AS BIGINT) AS ln, line,
 FROM (SELECT doc_id, lang, source, generate_subscripts(parts, 1) AS ln, unnest(parts) AS line
       FROM (SELECT doc_id, lang, source, string_split(text, chr(10)) AS parts FROM documents))"""
 
-def pmod_sql(x: str, n: int) -> str:
-    """``pmod`` in SQL (``%`` truncates toward zero for negative values)."""
-    return f"(((({x}) % {n}) + {n}) % {n})"
+pmod_sql = pmod
 
 
 def _list_sql(values) -> str:
     return "[" + ", ".join(f"'{v}'" for v in values) + "]"
 
 
-def _level_case(mapping) -> str:
-    return "CASE event_type " + " ".join(f"WHEN '{t}' THEN '{l}'" for t, l in mapping) + " END"
+def _level_case(mapping, else_: str | None = None) -> str:
+    other = f" ELSE '{else_}'" if else_ else ""
+    return "CASE event_type " + " ".join(f"WHEN '{t}' THEN '{l}'" for t, l in mapping) + other + " END"
+
+
+# fixed values: level each event type's line carries, after normalisation
+_DETECTED_OF_TYPE = (("error", "error"), ("view", "debug"), ("click", "info"), ("signup", "warn"))
 
 
-_K_SQL = "TRY_CAST(json_extract_string(props, '$.k') AS BIGINT)"
+_K_SQL = "TRY_CAST(json_extract_string(props, '$.k') AS BIGINT)"  # rounds numeric text
 # The event log in SQL terms: the values each line carries, for the oracle.
 EVENT_LOG_SQL = f"""
 SELECT event_id, ts, event_type, user_id, value, {_K_SQL} AS k,
        {pmod_sql('event_id', 3)} AS fmt,
        {_level_case(_LEVEL_OF_TYPE)} AS level,
-       {_level_case([(t, {'ERROR': 'error', 'debug': 'debug', 'info': 'info', 'Warning': 'warn'}[l])
-                     for t, l in _LEVEL_OF_TYPE]).replace(' END', " ELSE 'logs' END")} AS detected_level,
+       {_level_case(_DETECTED_OF_TYPE, else_='logs')} AS detected_level,
        'svc-' || event_type AS service_name, 'c' || {pmod_sql('user_id', 4)} AS cluster,
        CASE WHEN {pmod_sql('user_id', 5)} = 0 THEN 'eu-' || {pmod_sql('user_id', 2)} END AS region,
        ({_list_sql(_DUR_UNITS)})[{pmod_sql(_K_SQL, len(_DUR_UNITS))} + 1] AS dur_unit,
