@@ -86,3 +86,16 @@ def test_null_timestamps_form_their_own_bucket(spark):
     assert got == {("a", dt.datetime(2024, 1, 1)): 1.0, ("a", None): 2.0}
     ltz = df.withColumn("ts", F.col("ts").cast("timestamp"))
     assert T.bucket_rollup(ltz, "ts", "value", H, "count", keys=("series",)).count() == 2
+
+
+def test_buckets_ignore_the_session_zone(spark):
+    prev = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        ntz = spark.createDataFrame([(dt.datetime(2024, 7, 1, 10, 30),)], "ts timestamp_ntz")
+        assert ntz.select(T.bucket_start("ts", H).alias("b")).first().b == dt.datetime(2024, 7, 1, 10, 0)
+        ltz = spark.sql("SELECT TIMESTAMP'2024-07-01 10:30:00 UTC' AS ts")
+        micros = ltz.select(F.unix_micros(T.bucket_start("ts", H)).alias("u")).first().u
+        assert micros == int(dt.datetime(2024, 7, 1, 10, 0, tzinfo=dt.timezone.utc).timestamp()) * 1_000_000
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", prev)
