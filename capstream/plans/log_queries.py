@@ -99,7 +99,9 @@ SELECT event_id,
        CASE WHEN fmt IN ({keep}) THEN user_id END AS "user", CASE WHEN fmt IN ({keep}) THEN value END AS value,
        CASE WHEN fmt IN ({keep}) THEN method END AS method,
        CASE WHEN fmt IN ({keep}) THEN event_type || ' by user ' || user_id END AS msg,
-       CAST(CASE WHEN fmt IN ({keep}) THEN (CASE WHEN level IS NULL THEN 7 ELSE 8 END) ELSE 0 END AS BIGINT) AS n_fields
+       CAST(CASE WHEN fmt IN ({keep})
+                 THEN (CASE WHEN level IS NULL THEN 7 ELSE 8 END) - (CASE WHEN k IS NULL THEN 3 ELSE 0 END)
+                 ELSE 0 END AS BIGINT) AS n_fields
 FROM {EV}"""
 
 
@@ -146,22 +148,29 @@ SELECT 'service_name' AS label, CAST(1 AS BIGINT) AS cardinality
 UNION ALL SELECT 'lang', count(DISTINCT lang) FROM {DL}
 UNION ALL SELECT 'source', count(DISTINCT source) FROM {DL}""")(
     lambda spark, d: L.detected_labels(_docs(spark, d)))
+def _parsers_sql(present: str) -> str:
+    return (f"concat_ws(',', CASE WHEN count(*) FILTER (WHERE fmt = 0 AND {present}) > 0 THEN 'json' END, "
+            f"CASE WHEN count(*) FILTER (WHERE fmt = 1 AND {present}) > 0 THEN 'logfmt' END)")
+
+
 register("f14_detected_fields", f"""
 WITH f AS (SELECT * FROM {EV} WHERE fmt IN (0, 1))
-SELECT 'k' AS name, count(DISTINCT k) AS cardinality, 'json,logfmt' AS parsers, 'int' AS type FROM f
-UNION ALL SELECT 'user', count(DISTINCT user_id), 'json,logfmt', 'int' FROM f
-UNION ALL SELECT 'value', count(DISTINCT value), 'json,logfmt', 'float' FROM f
-UNION ALL SELECT 'latency', count(DISTINCT k), 'json,logfmt', 'duration' FROM f
-UNION ALL SELECT 'size', count(DISTINCT (k * 3) || byte_unit), 'json,logfmt', 'bytes' FROM f
-UNION ALL SELECT 'method', count(DISTINCT method), 'json,logfmt', 'string' FROM f
-UNION ALL SELECT 'msg', count(DISTINCT event_type || user_id), 'json,logfmt', 'string' FROM f""")(
+SELECT 'k' AS name, count(DISTINCT k) AS cardinality, {_parsers_sql('k IS NOT NULL')} AS parsers, 'int' AS type
+FROM f HAVING count(k) > 0
+UNION ALL SELECT 'user', count(DISTINCT user_id), {_parsers_sql('TRUE')}, 'int' FROM f
+UNION ALL SELECT 'value', count(DISTINCT value), {_parsers_sql('TRUE')}, 'float' FROM f
+UNION ALL SELECT 'latency', count(DISTINCT k), {_parsers_sql('k IS NOT NULL')}, 'duration' FROM f HAVING count(k) > 0
+UNION ALL SELECT 'size', count(DISTINCT (k * 3) || byte_unit), {_parsers_sql('k IS NOT NULL')}, 'bytes' FROM f
+    HAVING count(k) > 0
+UNION ALL SELECT 'method', count(DISTINCT method), {_parsers_sql('TRUE')}, 'string' FROM f
+UNION ALL SELECT 'msg', count(DISTINCT event_type || user_id), {_parsers_sql('TRUE')}, 'string' FROM f""")(
     lambda spark, d: L.detected_fields(S.event_logs(spark, d)))
 register("f15_column_stats", f"""
 SELECT 'service_name' AS label, CAST(100 AS BIGINT) AS percent_of_lines, count(DISTINCT service_name) AS cardinality,
        CAST(max(length(service_name)) AS BIGINT) AS max_length FROM {EV}
 UNION ALL SELECT 'cluster', 100, count(DISTINCT cluster), max(length(cluster)) FROM {EV}
 UNION ALL SELECT 'region', CAST(ceil(100.0 * count(region) / count(*)) AS BIGINT), count(DISTINCT region),
-       max(length(region)) FROM {EV}""")(
+       max(length(region)) FROM {EV} HAVING count(region) > 0""")(
     lambda spark, d: L.column_stats(S.event_logs(spark, d)))
 register("f16_label_sparsity",
          f"SELECT 'region' AS label, {round_text('100.0 * count(region) / count(*)', R)} AS percent FROM {EV}")(
@@ -173,10 +182,13 @@ register("f16_label_sparsity",
 
 _TEMPLATE_SQL = """CASE fmt
   WHEN 0 THEN '{' || CASE WHEN level IS NULL THEN '' ELSE '"level":<_>,' END
-              || '"user":<_>,"value":<_>,"k":<_>,"latency":<_>,"size":<_>,"method":<_>,"msg":<_>}'
+              || '"user":<_>,"value":<_>,' || CASE WHEN k IS NULL THEN '' ELSE '"k":<_>,"latency":<_>,"size":<_>,' END
+              || '"method":<_>,"msg":<_>}'
   WHEN 1 THEN CASE WHEN level IS NULL THEN '' ELSE 'level=' || level || ' ' END
-              || 'user=<_> value=<_> k=<_> latency=<_> size=<_> method=' || method || ' msg=<_>'
-  ELSE CASE WHEN level IS NULL THEN '' ELSE upper(level) || ' ' END || 'user <_> did ' || event_type || ' in <_>'
+              || 'user=<_> value=<_> ' || CASE WHEN k IS NULL THEN '' ELSE 'k=<_> latency=<_> size=<_> ' END
+              || 'method=' || method || ' msg=<_>'
+  ELSE CASE WHEN level IS NULL THEN '' ELSE upper(level) || ' ' END || 'user <_> did ' || event_type
+       || CASE WHEN k IS NULL THEN ' in ' ELSE ' in <_>' END
 END"""
 register("f17_log_patterns_recent", f"""
 WITH e AS (SELECT * FROM {EV} WHERE ts >= (SELECT max(ts) FROM events) - INTERVAL 3 HOUR),
