@@ -73,7 +73,7 @@ register("f5_field_filter_duration",
     lambda spark, d: L.field_filter(_events(spark, d), "latency", ">", 60, kind="duration").select("event_id"))
 register("f5_parse_quantity", f"""
 SELECT event_id, CAST(k AS DOUBLE) * {_factor_sql(DURATION_UNITS, 'dur_unit')} / 1e9 AS latency_s,
-       CAST(k * 3 AS DOUBLE) * {_factor_sql(BYTE_UNITS, 'byte_unit')} AS size_bytes
+       CASE WHEN k >= 0 THEN CAST(k * 3 AS DOUBLE) * {_factor_sql(BYTE_UNITS, 'byte_unit')} END AS size_bytes
 FROM {EV} WHERE fmt IN (0, 1)""")(
     lambda spark, d: _events(spark, d).where(F.size("fields") > 0).select(
         "event_id", parse_quantity(F.col("fields")["latency"], "duration").alias("latency_s"),
@@ -160,8 +160,8 @@ FROM f HAVING count(k) > 0
 UNION ALL SELECT 'user', count(DISTINCT user_id), {_parsers_sql('TRUE')}, 'int' FROM f
 UNION ALL SELECT 'value', count(DISTINCT value), {_parsers_sql('TRUE')}, 'float' FROM f
 UNION ALL SELECT 'latency', count(DISTINCT k), {_parsers_sql('k IS NOT NULL')}, 'duration' FROM f HAVING count(k) > 0
-UNION ALL SELECT 'size', count(DISTINCT (k * 3) || byte_unit), {_parsers_sql('k IS NOT NULL')}, 'bytes' FROM f
-    HAVING count(k) > 0
+UNION ALL SELECT 'size', count(DISTINCT (k * 3) || byte_unit), {_parsers_sql('k IS NOT NULL')},
+    CASE WHEN min(k) < 0 THEN 'string' ELSE 'bytes' END FROM f HAVING count(k) > 0
 UNION ALL SELECT 'method', count(DISTINCT method), {_parsers_sql('TRUE')}, 'string' FROM f
 UNION ALL SELECT 'msg', count(DISTINCT event_type || user_id), {_parsers_sql('TRUE')}, 'string' FROM f""")(
     lambda spark, d: L.detected_fields(S.event_logs(spark, d)))
