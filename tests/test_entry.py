@@ -14,3 +14,16 @@ def test_queries_and_oracles_line_up():
     q, o = e.queries(), e.oracle_sql()
     assert set(o) <= set(q) and len(q) >= 100
     assert not any(n.startswith("op") or "pipeline" in n for n in q)
+
+
+def test_cluster_conf_fills_only_unset_settings(spark):
+    from capstream.session import CLUSTER_CONF, apply_cluster_conf
+    given = spark.sparkContext.getConf()
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(key)
+    try:
+        apply_cluster_conf(spark, {key: "64m"})
+        assert spark.conf.get(key) == (before if given.contains(key) else "64m")
+    finally:
+        spark.conf.set(key, before)
+    assert "spark.sql.shuffle.partitions" not in CLUSTER_CONF  # streaming state is sized per job
