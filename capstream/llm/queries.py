@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from capstream.llm import budget_mix, shards, token_pack
+from capstream.llm import budget_mix, shards, spm_spans, token_pack
 
 LLM_QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
 
@@ -53,3 +53,9 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return budget_mix.mix_sources(_table(spark, sf_dir, "documents"), weights=(1, 2, 3), max_repeat=3, seed=42,
                                   carry=["doc_id"])
+
+
+@_register("op10_sentencepiece_spans")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spm_spans.encode_spans(_table(spark, sf_dir, "documents"), _tokenizer("piece_bpe_32k.model"),
+                                  spm_spans.digests, spm_spans.DIGESTS)
