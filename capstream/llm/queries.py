@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from capstream.llm import budget_mix, shards, spm_spans, token_pack
+from capstream.llm import budget_mix, shards, simhash, spm_spans, token_pack
 
 LLM_QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
 
@@ -59,3 +59,8 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spm_spans.encode_spans(_table(spark, sf_dir, "documents"), _tokenizer("piece_bpe_32k.model"),
                                   spm_spans.digests, spm_spans.DIGESTS)
+
+
+@_register("op7_simhash_components")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(_table(spark, sf_dir, "documents"), words=4, distance=4)
