@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from capstream.llm import budget_mix, shards, simhash, spm_spans, token_pack
+from capstream.llm import budget_mix, exact_topk, shards, simhash, spm_spans, token_pack
 
 LLM_QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
 
@@ -64,3 +64,17 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_register("op7_simhash_components")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"), words=4, distance=4)
+
+
+@_register("op8_exact_top_k", """
+WITH v AS (
+  SELECT vec_id, [floor(1024 * CAST(x AS DOUBLE)) FOR x IN embedding] AS f FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
+  SELECT q.vec_id AS query_id, c.vec_id AS vec_id, CAST(list_dot_product(q.f, c.f) AS BIGINT) AS score,
+         row_number() OVER (PARTITION BY q.vec_id ORDER BY CAST(list_dot_product(q.f, c.f) AS BIGINT) DESC, c.vec_id) AS rank
+  FROM v q JOIN v c ON c.vec_id <> q.vec_id WHERE q.vec_id % 100 = 0)
+WHERE rank <= 10""")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_topk.exact_top_k(_table(spark, sf_dir, "embeddings"), k=10, every=100)
