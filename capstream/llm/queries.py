@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from capstream.llm import budget_mix, exact_topk, shards, simhash, spm_spans, token_pack
+from capstream.llm import ann_tree, budget_mix, exact_topk, shards, simhash, spm_spans, token_pack
 
 LLM_QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
 
@@ -78,3 +78,8 @@ SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
 WHERE rank <= 10""")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_topk.exact_top_k(_table(spark, sf_dir, "embeddings"), k=10, every=100)
+
+
+@_register("op4_kmeans_tree_neighbours")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann_tree.nearest(_table(spark, sf_dir, "embeddings"), k=5, every=50, recall=0.975)
