@@ -6,12 +6,13 @@ The queries derive digest columns from the operators' real outputs.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from capstream.llm import ann_tree, budget_mix, exact_topk, shards, simhash, spm_spans, token_pack
+from capstream.llm import ann_tree, budget_mix, exact_topk, shards, simhash, spm_spans, token_pack, warc_index
 
 LLM_QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
 
@@ -83,3 +84,26 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_register("op4_kmeans_tree_neighbours")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann_tree.nearest(_table(spark, sf_dir, "embeddings"), k=5, every=50, recall=0.975)
+
+
+def read_back(spark: SparkSession, top: str, pages: DataFrame) -> DataFrame:
+    """Every page's record, found through the index and read from the archives; digests are taken of the payload read."""
+    def row(r: dict) -> dict:
+        digest = r["digest"] if r["payload"] is None else hashlib.sha1(r["payload"]).hexdigest()
+        return {"page_id": r["page_id"], "payload_bytes": r["payload_bytes"] if r["payload"] is None else len(r["payload"]),
+                "payload_digest": digest, "record_type": r["type"], "refers_to": r["refers_to"]}
+
+    return warc_index.fetch(warc_index.lookup(spark, top, pages), row,
+                            "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long")
+
+
+@_register("op3_warc_index", """
+WITH p AS (SELECT page_id, coalesce(html, '') AS h, strlen(coalesce(html, '')) AS n FROM pages),
+g AS (SELECT h, max(page_id) AS keep FROM p WHERE n >= 1000 GROUP BY h HAVING count(*) > 1)
+SELECT p.page_id, CAST(p.n AS BIGINT) AS payload_bytes, sha1(p.h) AS payload_digest,
+       CASE WHEN g.keep IS NULL OR p.page_id = g.keep THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN p.page_id <> g.keep THEN g.keep END AS refers_to
+FROM p LEFT JOIN g ON p.h = g.h""")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages")
+    return read_back(spark, warc_index.archive(pages), pages)
