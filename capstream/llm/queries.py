@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from capstream.llm import ann_tree, budget_mix, exact_topk, shards, simhash, spm_spans, token_pack, warc_index
+from capstream.llm import ann_tree, budget_mix, exact_topk, pii_crf, quality_gam, shards, simhash, spm_spans, token_pack, warc_index
 
 LLM_QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
 
@@ -107,3 +107,28 @@ FROM p LEFT JOIN g ON p.h = g.h""")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = _table(spark, sf_dir, "pages")
     return read_back(spark, warc_index.archive(pages), pages)
+
+
+def pii_digest(found: DataFrame) -> DataFrame:
+    """Counts and hash of the patterns' spans and the text of all spans."""
+    def told(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    base = F.filter("spans", lambda s: s["base"])
+    def count(kind):
+        return F.size(F.filter(base, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select("doc_id", *map(count, pii_crf.KINDS), F.sha2(told(base), 256).alias("base_sha256"), told(F.col("spans")).alias("spans"))
+
+
+@_register("op5_pii_crf")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii_digest(pii_crf.find(_table(spark, sf_dir, "documents"), pii_crf.train()))
+
+
+@_register("op6_quality_gam")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = quality_gam.fit(docs, _table(spark, sf_dir, "labels"))
+    return quality_gam.score(docs, model, ["doc_id"], "doc_id long").select(
+        "doc_id", quality_gam.held_out().alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))

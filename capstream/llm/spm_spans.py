@@ -188,7 +188,12 @@ class SpanEncoder:
             yield own, begin[stop - width], end[stop - 1], back
 
 
-_ENCODERS: dict[str, SpanEncoder] = {}
+@functools.lru_cache(1)
+def worker_encoder(model_file: str) -> SpanEncoder:
+    """One encoder per worker process, kept between tasks."""
+    return SpanEncoder(model_file)
+
+
 SPANS = "ids array<int>, begins array<int>, ends array<int>, decoded string"
 
 
@@ -215,7 +220,7 @@ def encode_spans(df: DataFrame, model_file: str, per_doc: Callable[..., dict] =
     target = to_arrow_schema(StructType.fromDDL(full))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = _ENCODERS.get(model_file) or _ENCODERS.setdefault(model_file, SpanEncoder(model_file))
+        enc = worker_encoder(model_file)
         for b in batches:
             ids, texts, sizes = b.column(0).to_pylist(), b.column(1), b.column(2).to_numpy(False)
             i = 0

@@ -19,10 +19,14 @@ the text; an empty table gives no files and no rows; other columns are ignored.
 
 from __future__ import annotations
 
+import functools
 import os
 import struct
+import sys
 import zlib
+from array import array
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -37,8 +41,8 @@ from capstream.session import shared_path
 MAGIC = b"CAPBITS1"
 FOOTER = struct.Struct("<8sIIQQQQ")
 BLOCK = 4096
-#: Units (text between spaces, and pre-tokens) whose ids a worker remembers; the first ones met are the frequent ones.
-REMEMBERED = 300_000
+#: Strings (units between spaces, and pre-tokens) whose ids a worker remembers.
+REMEMBERED = 1_000_000
 
 
 def pack(ids: np.ndarray, bits: int) -> bytes:
@@ -147,13 +151,18 @@ class PackReader:
         self.f.close()
 
 
+def id_width(bits: int) -> str:
+    return "<u2" if bits <= 16 else "<u4"
+
+
 class CachedEncoder:
-    """The tokenizers library's ids, remembering those of repeated units.
+    """The tokenizers library's ids, remembering those of repeated strings.
 
     A byte-level pre-tokenizer starts a new pre-token at a space that stands
     between two characters that are not white space, so a text may be cut
-    before each such space and the parts encoded apart with the same ids. Texts
-    with other white space beside a space go to the library whole.
+    before each such space and the units between encoded apart with the same
+    ids; a unit's pre-tokens, in turn, are encoded apart. Texts with other white
+    space beside a space go to the library whole.
     """
 
     def __init__(self, tokenizer_file: str, end_id: int):
@@ -165,43 +174,63 @@ class CachedEncoder:
         self.tok = Tokenizer.from_file(tokenizer_file)
         self.tok.encode_special_tokens = True
         self.bits = max(1, (self.tok.get_vocab_size() - 1).bit_length())
+        self.width = id_width(self.bits)
+        self.code = "H" if self.width == "<u2" else "I"
         self.pieces = regex.compile(public_tokenizers.PATTERN).findall
-        self.units: dict[str, bytes] = {}
-        self.words: dict[str, bytes] = {}
-        self.end = np.array([end_id], "<u4").tobytes()
+        self.spaced: dict[str, bytes] = {}  # of " " + key
+        self.bare: dict[str, bytes] = {}
+        self.end = self._bytes([end_id])
+
+    def _bytes(self, ids: list[int]) -> bytes:
+        a = array(self.code, ids)
+        if sys.byteorder == "big":
+            a.byteswap()
+        return a.tobytes()
 
     def _library(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def _learn(self, new: list[str]) -> dict[str, bytes]:
-        """Ids of units, by way of their pre-tokens."""
-        split = [self.pieces(u) for u in new]
-        fresh = [w for w in set().union(*split) if w not in self.words] if split else []
-        words = dict(zip(fresh, self._library(fresh), strict=True))
-        if len(self.words) < REMEMBERED:
-            self.words.update(words)
-        words |= {w: self.words[w] for s in split for w in s if w not in words}
-        return {u: b"".join([words[w] for w in s]) for u, s in zip(new, split, strict=True)}
+        return [self._bytes(e.ids) for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _learn(self, units: list[str], heads: list[str]) -> None:
+        """Put the ids of new units (" " + unit) into ``spaced`` and of new text beginnings into ``bare``."""
+        words = {u for u in units if u.isalpha()}  # one pre-token
+        split = [(u, self.pieces(" " + u)) for u in units if u not in words]
+        first = [(h, self.pieces(h)) for h in heads]
+        new_bare = set()
+        for _, ps in (*split, *first):
+            for p in ps:
+                if p[0] == " " and len(p) > 1:
+                    if p[1:] not in self.spaced:
+                        words.add(p[1:])
+                elif p not in self.bare:
+                    new_bare.add(p)
+        asked, plain = list(words), list(new_bare)
+        self.spaced.update(zip(asked, self._library([" " + w for w in asked]), strict=True))
+        self.bare.update(zip(plain, self._library(plain), strict=True))
+        spaced, bare = self.spaced, self.bare
+        for own, new in ((spaced, split), (bare, first)):
+            own.update([(u, b"".join([spaced[p[1:]] if p[0] == " " and len(p) > 1 else bare[p] for p in ps])) for u, ps in new])
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        """Each text's ids as little-endian uint32, the end id last."""
-        parts: list[list[str] | None] = []
+        """Each text's ids (little-endian, ``width`` bytes each), the end id last."""
+        parts: list[tuple[str, list[str]] | None] = []
         need: set[str] = set()
         for t in texts:
-            p = t.split(" ")
-            units = p[1:]
-            if any(x.isspace() or not x for x in {u[:1] for u in units}):
+            head, *units = t.split(" ")
+            if units and any(x.isspace() or not x for x in {u[:1] for u in units}):
                 parts.append(None)
                 continue
-            p = [p[0], *[" " + u for u in units]]
-            need.update(p)
-            parts.append(p)
-        known = self._learn([u for u in need if u not in self.units])
-        if len(self.units) < REMEMBERED:
-            self.units.update(known)
-        known |= {u: self.units[u] for u in need if u not in known}
+            need.update(units)
+            parts.append((head, units))
+        sizes = len(self.spaced), len(self.bare)
+        self._learn([u for u in need if u not in self.spaced], [h for h in {p[0] for p in parts if p} if h not in self.bare])
+        get, bare = self.spaced.__getitem__, self.bare
         rest = iter(self._library([t for t, p in zip(texts, parts, strict=True) if p is None]))
-        return [(next(rest) if p is None else b"".join([known[u] for u in p])) + self.end for p in parts]
+        out = [(next(rest) if p is None else bare[p[0]] + b"".join(map(get, p[1]))) + self.end for p in parts]
+        for known, size in ((self.spaced, sizes[0]), (self.bare, sizes[1])):
+            for i, k in enumerate(list(islice(known, size, None)), size):
+                if i >= REMEMBERED or len(k) > 64:  # the first ones met, the frequent ones, stay
+                    del known[k]
+        return out
 
 
 def _slices(lengths: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
@@ -216,7 +245,10 @@ def _slices(lengths: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
         yield i, len(lengths)
 
 
-_ENCODERS: dict[tuple[str, int], CachedEncoder] = {}
+@functools.lru_cache(1)
+def worker_encoder(tokenizer_file: str, end_id: int) -> CachedEncoder:
+    """One encoder per worker process, kept between tasks."""
+    return CachedEncoder(tokenizer_file, end_id)
 
 
 def encode_and_pack(df: DataFrame, tokenizer_file: str, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text",
@@ -236,9 +268,7 @@ def encode_and_pack(df: DataFrame, tokenizer_file: str, end_id: int = 0, id_col:
     bounds = np.array(cuts or [], np.int64)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = _ENCODERS.get((tokenizer_file, end_id)) or _ENCODERS.setdefault(
-            (tokenizer_file, end_id), CachedEncoder(tokenizer_file, end_id))
-        width = "<u2" if enc.bits <= 16 else "<u4"
+        enc = worker_encoder(tokenizer_file, end_id)
         for b in batches:
             ids, texts = b.column(0).to_pylist(), b.column(1)
             for i, j in _slices(np.array(texts.is_null().to_numpy(False), int) + b.column(2).to_numpy(False), 4 << 20):
@@ -246,7 +276,7 @@ def encode_and_pack(df: DataFrame, tokenizer_file: str, end_id: int = 0, id_col:
                 part = [0 if k is None else int(np.searchsorted(bounds, k, "right")) for k in ids[i:j]]
                 yield pa.RecordBatch.from_arrays([
                     pa.array(part, pa.int32()), pa.array(ids[i:j], pa.int64()), b.column(3).slice(i, j - i),
-                    pa.array([np.frombuffer(x, "<u4").astype(width).tobytes() for x in got], pa.binary())],
+                    pa.array(got, pa.binary())],
                     names=["part", "id", "tie", "ids"])
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -257,8 +287,7 @@ def encode_and_pack(df: DataFrame, tokenizer_file: str, end_id: int = 0, id_col:
                     from tokenizers import Tokenizer
                     bits = max(1, (Tokenizer.from_file(tokenizer_file).get_vocab_size() - 1).bit_length())
                     out, part = PackWriter(folder, attempt_name("tokens", ".bits"), bits), p
-                    width = "<u2" if bits <= 16 else "<u4"
-                out.add(doc, np.frombuffer(ids, width).astype(np.uint32))
+                out.add(doc, np.frombuffer(ids, id_width(out.bits)).astype(np.uint32))
         if out is not None:
             out.close()
             yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([out.path]), pa.array([len(out.ids)], pa.int64()),
