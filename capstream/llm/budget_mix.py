@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from capstream.llm.ranks import BUCKETS, text_key, uniform, with_group_ranks
+from capstream.llm.simhash import one_row, row_key
 
 WORD = r"[^\x20\x09-\x0D]+"
 RESULT = ("size", "source_size", "target", "taken")
@@ -49,12 +50,12 @@ def shares(sizes: np.ndarray, weights: np.ndarray, total: float, max_repeat: flo
 
 
 def fit_counts(lengths: np.ndarray, stock: np.ndarray, budget: int) -> np.ndarray:
-    """How many documents of each length to take so that their words sum to ``budget`` or as near below as found.
+    """How many documents of each length to take so that their words sum to ``budget`` or as near as found.
 
     Most of the budget is spread over all lengths in proportion; the rest, about
-    two documents' words, is fitted by exact reachability: a bitset over 0..rest
-    per length and binary share of its stock, walked back from the highest
-    reachable sum.
+    32 documents' words, is fitted by exact reachability: a bitset over 0..rest
+    per length and binary share of its stock, walked back from the reachable sum
+    nearest to the rest.
     """
     whole = int((lengths * stock).sum())
     if budget <= 0 or whole == 0:
@@ -62,29 +63,36 @@ def fit_counts(lengths: np.ndarray, stock: np.ndarray, budget: int) -> np.ndarra
     if budget >= whole:
         return stock.astype(np.int64)
     # longest first: keep the words taken at the same fraction of the words passed, carrying each remainder on
-    bulk = max(0, budget - 2 * int(np.median(np.repeat(lengths, np.minimum(stock, 9)))))
+    bulk = max(0, budget - 32 * int(np.median(np.repeat(lengths, np.minimum(stock, 9)))))
     take, passed, rest = np.zeros(len(lengths), np.int64), 0, budget
     for i in np.argsort(-lengths, kind="stable"):
         if lengths[i] > 0:
             passed += int(lengths[i]) * int(stock[i])
             take[i] = min(int(stock[i]), max(0, passed * bulk // whole - (budget - rest)) // int(lengths[i]))
             rest -= int(take[i]) * int(lengths[i])
+    left = np.flatnonzero((lengths > 0) & (stock > take))
+    if rest <= 0 or not len(left):
+        return take
+    limit = rest + int(lengths[left].min())  # the nearest sum above cannot lie beyond
     items = []  # (length index, documents, words): the stock in powers of two
-    for i in np.argsort(lengths, kind="stable"):
-        if 0 < lengths[i] <= rest:
-            free, step = min(int(stock[i] - take[i]), rest // int(lengths[i])), 1
+    for i in left[np.argsort(lengths[left], kind="stable")]:
+        if lengths[i] <= limit:
+            free, step = min(int(stock[i] - take[i]), limit // int(lengths[i])), 1
             while free > 0:
                 n = min(step, free)
                 items.append((i, n, n * int(lengths[i])))
                 free, step = free - n, step * 2
-    mask, reached, seen = (1 << (rest + 1)) - 1, 1, []
-    for i, n, words in items:
+    mask, reached, seen = (1 << (limit + 1)) - 1, 1, []
+    for _, _, words in items:
         seen.append(reached)
         reached |= (reached << words) & mask
         if reached >> rest & 1:
             break
-    at = reached.bit_length() - 1
-    for (i, n, words), before in zip(reversed(items[:len(seen)]), reversed(seen)):
+    below = (reached & ((1 << (rest + 1)) - 1)).bit_length() - 1
+    above = reached >> (rest + 1)
+    over = (above & -above).bit_length()  # words of the nearest sum above the rest
+    at = rest + over if above and over < rest - below else below
+    for (i, n, words), before in zip(reversed(items[:len(seen)]), reversed(seen), strict=True):
         if not before >> at & 1:
             take[i] += n
             at -= words
@@ -139,3 +147,14 @@ def mix_sources(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
     times = F.col("_passes") + F.when(F.col("_rank") < F.col("_take"), 1).otherwise(0)
     return (ranked.join(plan, ["_source", "size"])
             .select(*carry, "size", "source_size", "target", (F.col("size") * times).alias("taken")))
+
+
+def mixed(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
+          weights: tuple[float, ...] = (1, 2, 3), max_repeat: float = 3, fraction: float = 1.0, seed: int = 0) -> DataFrame:
+    """The mix itself: every row of ``df`` as often as it was taken (rows without words are never taken)."""
+    key = row_key(F.col(id_col).cast("long"), F.xxhash64(text_col))
+    keyed = df.withColumn("_key", key)
+    plan = mix_sources(keyed.withColumn("key_", F.col("_key")), id_col, text_col, source_col, weights, max_repeat, fraction, seed, ["key_"])
+    times = plan.where("taken > 0").groupBy(F.col("key_").alias("_key")).agg(F.sum(F.expr("taken div size")).cast("int").alias("_times"))
+    return (one_row(keyed.join(times, "_key"), "_key").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times"))))
+            .drop("_key", "_times", "_copy"))

@@ -239,3 +239,15 @@ def score(docs: DataFrame, model: Gam, keep: list[str], schema: str, text_col: s
             yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(np.concatenate(s) if s else np.zeros(0))], names=[*keep, "score"])
 
     return docs.select(*keep, F.col(text_col).cast("string").alias("_text")).mapInArrow(run, f"{schema}, score double")
+
+
+def keep_good(docs: DataFrame, model: Gam, threshold: float = 0.3, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` whose score is at least ``threshold``."""
+    at = docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            s = [model.score(measure(data, starts)) for _, _, data, starts in slices(b.column(at))]
+            yield b.filter(pa.array(np.concatenate(s) >= threshold)) if s else b
+
+    return docs.mapInArrow(run, docs.schema)

@@ -9,6 +9,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Callable
 
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -132,3 +133,8 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = quality_gam.fit(docs, _table(spark, sf_dir, "labels"))
     return quality_gam.score(docs, model, ["doc_id"], "doc_id long").select(
         "doc_id", quality_gam.held_out().alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+@_register("pipeline")
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)

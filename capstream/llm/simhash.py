@@ -32,7 +32,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from capstream.llm.components import components
@@ -68,15 +68,15 @@ def fingerprint(text: bytes, words: int, at_once: int = 1 << 16) -> int:
     return int(np.packbits(2 * ones > n, bitorder="little").view(np.uint64)[0])
 
 
-def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 4) -> DataFrame:
-    """``id`` and ``fp`` (the fingerprint's 64 bits as a signed long) of every document."""
+def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 4, kind: str = "long") -> DataFrame:
+    """``id`` (of type ``kind``) and ``fp`` (the fingerprint's 64 bits as a signed long) of every document."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             texts = b.column(1)
             fps = np.array([fingerprint(t.as_buffer().to_pybytes() if t.is_valid else b"", words) for t in texts], np.uint64)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps.view(np.int64))], names=["id", "fp"])
 
-    return df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("binary").alias("t")).mapInArrow(run, "id long, fp long")
+    return df.select(F.col(id_col).cast(kind).alias("id"), F.col(text_col).cast("binary").alias("t")).mapInArrow(run, f"id {kind}, fp long")
 
 
 def segment_counts(fp: Column) -> Column:
@@ -193,14 +193,38 @@ def _as_batch(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b).view(np.int64)), pa.array(np.maximum(a, b).view(np.int64))], names=["a", "b"])
 
 
+def groups(docs: DataFrame, distance: int = 4) -> DataFrame:
+    """``fp, label`` of every fingerprint in ``docs`` (column ``fp``); ``label`` is the same within a component."""
+    distinct = docs.select("fp").distinct()
+    label = components(links(distinct, distance)).withColumnRenamed("node", "fp")
+    return distinct.join(label, "fp", "left").select("fp", F.coalesce("label", "fp").alias("label"))
+
+
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 4, distance: int = 4) -> DataFrame:
     """``doc_id, fingerprint`` (16 hex digits) and ``component_id`` (smallest id linked, directly or not) of every document."""
     shared_root(df.sparkSession)  # names the checkpoint folder
     docs = fingerprints(df, id_col, text_col, words).checkpoint()
-    classes = docs.groupBy("fp").agg(F.min("id").alias("first"))
-    label = components(links(classes.select("fp"), distance)).withColumnRenamed("node", "fp")
-    named = classes.join(label, "fp", "left").withColumn("label", F.coalesce("label", "fp"))
+    named = groups(docs, distance).join(docs.groupBy("fp").agg(F.min("id").alias("first")), "fp")
     lowest = named.groupBy("label").agg(F.min("first").alias("component_id"))
     by_fp = named.join(lowest, "label").select("fp", "component_id")
     return docs.join(by_fp, "fp").select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
+
+def one_of_each(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 4, distance: int = 4) -> DataFrame:
+    """``df`` with one document of each group: the smallest id (NULL last), then the smallest hash of the text."""
+    shared_root(df.sparkSession)
+    keyed = df.withColumn("_row", F.struct(F.col(id_col).isNull().alias("n"), F.col(id_col).cast("long").alias("i"), F.xxhash64(text_col).alias("h")))
+    docs = fingerprints(keyed, "_row", text_col, words, "struct<n:boolean,i:bigint,h:bigint>").checkpoint()
+    kept = (docs.join(groups(docs, distance), "fp").groupBy("label").agg(F.min("id").alias("row"))
+            .select(row_key(F.col("row.i"), F.col("row.h")).alias("_key")))
+    return one_row(df.withColumn("_key", row_key(F.col(id_col).cast("long"), F.xxhash64(text_col))).join(kept, "_key", "leftsemi"), "_key").drop("_key")
+
+
+def row_key(id_: Column, text_hash: Column) -> Column:
+    """Names a document by id and text; never NULL."""
+    return F.concat_ws(":", F.coalesce(id_.cast("string"), F.lit("-")), text_hash)
+
+
+def one_row(df: DataFrame, key: str) -> DataFrame:
+    """One row of each ``key`` (rows that repeat id and text)."""
+    return df.withColumn("_n", F.row_number().over(Window.partitionBy(key).orderBy(F.lit(0)))).where("_n = 1").drop("_n")
