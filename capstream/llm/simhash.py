@@ -15,8 +15,8 @@ the square of the input).
 
 Copies meet first: equal fingerprints are one row. Inside a cell the links
 are found by growing components, so a dense cell costs its size times the few
-rows not yet reached, and a cell of m rows gives at most m - 1 links, enough to
-keep its components. No pair list is ever made.
+rows not yet reached, and a cell of m rows gives at most m - 1 links, each to the
+first row of a component. No pair list is ever made.
 
 Defined results: NULL and empty texts have fingerprint zero and link like any
 other; fewer words than the shingle length form one shingle; a NULL id is a
@@ -132,8 +132,8 @@ def cell_links(fp: np.ndarray, distance: int) -> tuple[np.ndarray, np.ndarray]:
     return (np.concatenate(a), np.concatenate(b)) if a else (none, none)
 
 
-def _links(choice: np.ndarray, cell: np.ndarray, fp: np.ndarray, distance: int) -> tuple[np.ndarray, np.ndarray]:
-    """Links among rows sorted by (choice, cell)."""
+def _roots(choice: np.ndarray, cell: np.ndarray, fp: np.ndarray, distance: int) -> tuple[np.ndarray, np.ndarray]:
+    """(fingerprint, first fingerprint of its component in the cell) where they differ; rows sorted by (choice, cell, fp)."""
     new = np.flatnonzero(np.concatenate([[True], (choice[1:] != choice[:-1]) | (cell[1:] != cell[:-1])]))
     size = np.diff(np.append(new, len(fp)))
     a, b = [], []
@@ -146,15 +146,25 @@ def _links(choice: np.ndarray, cell: np.ndarray, fp: np.ndarray, distance: int)
         if not len(rows):
             break
         ok = _near(fp[rows], counts[rows], fp[rows + step], counts[rows + step], distance)
-        a.append(fp[rows[ok]])
-        b.append(fp[rows[ok] + step])
+        a.append(rows[ok])
+        b.append(rows[ok] + step)
     for g in np.flatnonzero(size > SMALL_CELL):
-        own = fp[new[g]:new[g] + size[g]]
-        i, j = cell_links(own, distance)
-        a.append(own[i])
-        b.append(own[j])
-    none = np.zeros(0, np.uint64)
-    return (np.concatenate(a), np.concatenate(b)) if a else (none, none)
+        i, j = cell_links(fp[new[g]:new[g] + size[g]], distance)
+        a.append(new[g] + i)
+        b.append(new[g] + j)
+    root = np.arange(len(fp))
+    if a:
+        i, j = np.concatenate(a), np.concatenate(b)
+        while True:
+            low = np.minimum(root[i], root[j])
+            before = root.copy()
+            np.minimum.at(root, i, low)
+            np.minimum.at(root, j, low)
+            root = root[root]
+            if (root == before).all():
+                break
+    moved = np.flatnonzero(root != np.arange(len(fp)))
+    return fp[moved], fp[root[moved]]
 
 
 def links(distinct: DataFrame, distance: int = 4) -> DataFrame:
@@ -181,16 +191,20 @@ def links(distinct: DataFrame, distance: int = 4) -> DataFrame:
             cut = int(np.argmax(same)) if len(same) else 0
             held = [c[cut:] for c in x]
             if cut:
-                yield _as_batch(*_links(*[c[:cut] for c in x], distance))
+                yield _as_batch(*_roots(*[c[:cut] for c in x], distance))
         if held is not None and len(held[0]):
-            yield _as_batch(*_links(*held, distance))
+            yield _as_batch(*_roots(*held, distance))
 
-    return (placed.repartition("choice", "cell").sortWithinPartitions("choice", "cell", "fp")
-            .mapInArrow(run, "a long, b long").distinct())
+    # a fingerprint has a root in each of its cells at most: link it to the least of them, and the others to that one
+    near = (placed.repartition("choice", "cell").sortWithinPartitions("choice", "cell", "fp")
+            .mapInArrow(run, "fp long, root long").groupBy("fp").agg(F.collect_set("root").alias("roots"))
+            .select("fp", "roots", F.array_min("roots").alias("least")))
+    return (near.select(F.explode(F.transform(F.array_append("roots", F.col("fp")), lambda r: F.struct(r.alias("a"), F.col("least").alias("b")))).alias("e"))
+            .select("e.a", "e.b").where("a <> b").distinct())
 
 
-def _as_batch(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b).view(np.int64)), pa.array(np.maximum(a, b).view(np.int64))], names=["a", "b"])
+def _as_batch(fp: np.ndarray, root: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(fp.view(np.int64)), pa.array(root.view(np.int64))], names=["fp", "root"])
 
 
 def groups(docs: DataFrame, distance: int = 4) -> DataFrame:
