@@ -1,7 +1,7 @@
 """Column functions for log lines: field parsing, quantities, levels, patterns.
 
-All built from Spark SQL expressions (regexes, maps, higher-order functions),
-so they run inside codegen with no Python per row.
+All built from Spark SQL expressions (regexes, maps, higher-order functions) on
+the JVM, with no Python per row; lambda bodies are interpreted, not generated code.
 """
 
 from __future__ import annotations
@@ -76,21 +76,27 @@ def parse_quantity(c: Column | str, kind: str, unit: str | None = None) -> Colum
     return let(F.trim(c), body)
 
 
-LOGFMT_PAIR = r'([A-Za-z_][A-Za-z0-9_.\-]*)=("(?:[^"\\]|\\.)*"|\S*)'
+LOGFMT_PAIR = r'(?s)[A-Za-z_][A-Za-z0-9_.\-]*=(?:"(?:[^"\\]|\\.)*"|\S*)'
 
 
 def logfmt_map(line: Column | str) -> Column:
-    """``k=v k2="quoted value"`` -> map; quotes removed, ``\\"`` unescaped; first key wins."""
+    """``k=v k2="quoted value"`` -> map; quotes removed, ``\\"`` unescaped; first key wins.
+
+    One regex pass finds the pairs; each is then cut at its first ``=``.
+    """
     line = F.col(line) if isinstance(line, str) else line
 
-    def body(text: Column) -> Column:
-        keys = F.regexp_extract_all(text, F.lit(LOGFMT_PAIR), 1)
-        vals = F.regexp_extract_all(text, F.lit(LOGFMT_PAIR), 2)
-        uniq = F.array_distinct(keys)
-        picked = F.transform(uniq, lambda k: F.element_at(vals, F.array_position(keys, k).cast("int")))
-        clean = F.transform(picked, lambda v: F.regexp_replace(F.regexp_replace(v, r'^"(.*)"$', "$1"), r'\\"', '"'))
-        return F.map_from_arrays(uniq, clean)
-    return let(line, body)
+    def pair(m: Column) -> Column:
+        key = F.substring_index(m, "=", 1)
+        raw = F.substring(m, F.length(key) + 2, F.length(m))
+        bare = F.when(raw.startswith('"') & raw.endswith('"') & (F.length(raw) > 1),
+                      F.substring(raw, F.lit(2), F.length(raw) - 2)).otherwise(raw)
+        return F.struct(key.alias("key"), F.replace(bare, F.lit('\\"'), F.lit('"')).alias("value"))
+
+    def first_wins(pairs: Column) -> Column:
+        return let(F.transform(pairs, lambda e: e["key"]), lambda keys: F.map_from_entries(
+            F.filter(pairs, lambda e, i: F.array_position(keys, e["key"]) == i + 1)))
+    return let(F.transform(F.regexp_extract_all(line, F.lit(LOGFMT_PAIR), 0), pair), first_wins)
 
 
 def json_map(line: Column | str) -> Column:
@@ -142,7 +148,7 @@ def detect_level(line: Column | str, fields: Column | None = None) -> Column:
 def pattern_regex(pattern: str) -> str:
     """``<_>`` (or ``<name>``) matches any text; everything else literally; whole line."""
     parts = re.split(r"<[A-Za-z_][A-Za-z0-9_]*>", pattern)
-    return "^" + "(.*?)".join(re.escape(p) for p in parts) + "$"
+    return r"(?s)\A" + "(.*?)".join(re.escape(p) for p in parts) + r"\z"
 
 
 # --- fixed values: what the pattern miner masks, in order ------------------------------

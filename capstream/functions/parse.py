@@ -1,13 +1,14 @@
 """Parsing the change envelope and projecting the row image.
 
-All column expressions (cast, from_json, struct access): they stay inside
-whole-stage codegen and never shuffle.
+All column expressions (cast, from_json, struct access) on the JVM; nothing
+shuffles.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from capstream.functions.common import explode_rows, let
 from capstream.schema import AFTER_DDL, ENVELOPE_DDL, EVENT_FIELDS, SCHEMA_BLOCK_DDL
@@ -35,19 +36,26 @@ def project_event(df: DataFrame, prefix: str, fields=EVENT_FIELDS, keep: tuple[s
     return df.select(*keep, *[F.col(f"after.{src}").alias(f"{prefix}_{dst}") for src, dst in fields])
 
 
+def event_schema(fields=EVENT_FIELDS, with_op: bool = False) -> str:
+    """The part of the envelope that ``parse_events`` declares."""
+    kinds = {f.name: f.dataType.simpleString() for f in StructType.fromDDL(AFTER_DDL)}
+    wanted = ", ".join(f"{src} {kinds[src]}" for src in dict.fromkeys(src for src, _ in fields))
+    return f"payload struct<after struct<{wanted}>{', op string' if with_op else ''}>"
+
+
 def parse_events(df: DataFrame, prefix: str, value: str = "value", fields=EVENT_FIELDS,
                  keep: tuple[str, ...] = (), with_op: bool = False) -> DataFrame:
     """B1-B4 in one projection: Kafka rows -> prefixed event columns.
 
-    Only the ``payload`` branch is declared, so the parser materialises just
-    what the projection needs. ``with_op`` adds the change kind as ``op``.
+    Only the members of ``after`` named in ``fields`` (and ``op`` if ``with_op``
+    adds the change kind) are declared, so the parser converts nothing else.
 
     The parsed row leaves through a one-row generator: a later filter on an
     event column (a change-kind filter, a NULL-key skip) then stays above the
     parse instead of being pushed below it, where every message would be
     parsed a second time. ``let`` keeps it to one parse per message.
     """
-    payload = envelope_column(value, f"payload struct<after struct<{AFTER_DDL}>, op string>").getField("payload")
+    payload = envelope_column(value, event_schema(fields, with_op)).getField("payload")
 
     def row(p: Column) -> Column:
         after = p.getField("after")

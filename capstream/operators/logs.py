@@ -10,16 +10,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from capstream.functions.common import explode_rows, join_keys, let, quoted
+from capstream.functions.common import explode_rows, let, quoted
 from capstream.functions.logfields import (detect_level, mask_template, normalize_level, parse_fields,
                                            parse_quantity, pattern_regex)
-from capstream.operators.serving import rank_within
+from capstream.operators.ranking import exact_percentile
 from capstream.operators.timeseries import bucket_of
 
 # --- fixed values: names left out of discovery ---------------------------------------
 INTERNAL_LABELS = ("__aggregated_metric__", "__stream_shard__")
 LEVEL_FIELDS = ("level_extracted", "detected_level", "level")
-DEFAULT_VOLUME_LIMIT = 5000
 
 
 # --- F1-F4: filters ----------------------------------------------------------------------
@@ -135,16 +134,17 @@ def rollup_volume(counts: DataFrame, step_ms: int, by: str = "detected_level", t
 
 # --- F12-F16: label and field discovery -----------------------------------------------------
 
-def top_volume(df: DataFrame, label: str, limit: int = DEFAULT_VOLUME_LIMIT, unit: str = "bytes",
+def top_volume(df: DataFrame, label: str, limit: int | None = None, unit: str = "bytes",
                labels: str = "labels", line: str = "line") -> DataFrame:
-    """volume per value of a label, largest first, at most ``limit`` values.
+    """volume per value of a label, largest first, at most ``limit`` values (all by default).
 
     Volume is UTF-8 bytes of the lines (``unit='rows'`` counts lines).
     """
     v = F.octet_length(line).cast("bigint") if unit == "bytes" else F.lit(1).cast("bigint")
     agg = (df.where(F.col(labels)[label].isNotNull())
            .groupBy(F.col(labels)[label].alias(label)).agg(F.sum(v).alias("volume")))
-    return agg.orderBy(F.col("volume").desc(), F.col(label)).limit(limit)
+    out = agg.orderBy(F.col("volume").desc(), F.col(label))
+    return out if limit is None else out.limit(limit)
 
 
 def _pairs(df: DataFrame, labels: str) -> DataFrame:
@@ -176,26 +176,35 @@ def _value_type(v: Column) -> Column:
 
 
 def detected_fields(df: DataFrame, parsers: tuple[str, ...] = ("json", "logfmt"), line: str = "line",
-                    approx: bool = False) -> DataFrame:
+                    approx: bool = False, metadata: str | None = None) -> DataFrame:
     """fields found by the parsers: name, cardinality, parsers that found it, type.
 
     Each line is parsed by the parser that fits it (json for objects, logfmt
-    otherwise, among ``parsers``). The type is the widest vote over values
-    (int < float < string; duration/bytes/boolean only when unanimous).
+    otherwise, among ``parsers``); ``metadata`` names a map column whose members
+    are fields too, reported as ``structuredMetadata`` where no parser finds
+    them. The type is the widest vote over values (int < float < string;
+    duration/bytes/boolean only when unanimous).
     """
     use_json, use_logfmt = "json" in parsers, "logfmt" in parsers
 
+    def entries(fields: Column, parser: str | None) -> Column:
+        return F.transform(F.map_entries(fields), lambda e: F.struct(
+            e["key"].alias("name"), e["value"].alias("value"), F.lit(parser).cast("string").alias("parser")))
+
     def body(t: Column) -> Column:
         obj = F.trim(t).startswith("{")
-        return (F.when(obj & F.lit(use_json), F.struct(F.lit("json").alias("parser"), parse_fields(t, "json").alias("f")))
-                .when(~obj & F.lit(use_logfmt),
-                      F.struct(F.lit("logfmt").alias("parser"), parse_fields(t, "logfmt").alias("f"))))
+        return (F.when(obj & F.lit(use_json), entries(parse_fields(t, "json"), "json"))
+                .when(~obj & F.lit(use_logfmt), entries(parse_fields(t, "logfmt"), "logfmt")))
+
+    none = F.array().cast("array<struct<name:string,value:string,parser:string>>")
+    found = F.coalesce(let(F.col(line), body), none)
+    if metadata:
+        found = F.concat(found, F.coalesce(entries(F.col(metadata), None), none))
     # explode (not a filter) drops lines no parser takes, so nothing is pushed into the scan
-    parsed = df.select(let(F.col(line), body).alias("pf"))
-    pairs = (explode_rows(parsed, F.col("pf.f"), ("name", "value"), keep=(F.col("pf.parser").alias("parser"),))
-             .where(~F.col("name").isin(*LEVEL_FIELDS)))
+    pairs = (explode_rows(df, found, ("_e",)).select("_e.name", "_e.value", "_e.parser")
+             .where(~F.col("name").isin(*LEVEL_FIELDS, *INTERNAL_LABELS)))
     # one row per (name, value, parser) first: bounded by distinct values, not lines
-    dv = pairs.select("name", "value", "parser").distinct()
+    dv = pairs.distinct()
     typed = dv.select("name", "value", "parser", _value_type(F.col("value")).alias("t"))
     card = F.approx_count_distinct("value").cast("bigint") if approx else F.count_distinct("value")
     agg = typed.groupBy("name").agg(
@@ -212,13 +221,22 @@ def detected_fields(df: DataFrame, parsers: tuple[str, ...] = ("json", "logfmt")
 
 
 def column_stats(df: DataFrame, labels: str = "labels") -> DataFrame:
-    """per label: percent of lines carrying it (rounded up), distinct values, longest value."""
-    total = df.select(F.count(F.lit(1))).scalar()
-    p = _pairs(df, labels)
-    return (p.groupBy("name").agg(F.count(F.lit(1)).alias("_n"), F.count_distinct("value").alias("cardinality"),
-                                  F.max(F.length("value")).cast("bigint").alias("max_length"))
+    """per label: percent of lines carrying it (rounded up), distinct values, longest value.
+
+    Every line adds one marker pair without a name, so the number of lines comes
+    out of the same aggregate as the labels' counts (one scan).
+    """
+    pair = "struct<name:string,value:string>"
+    own = F.transform(F.map_entries(F.col(labels)), lambda e: F.struct(e["key"].alias("name"), e["value"].alias("value")))
+    marked = F.concat(F.coalesce(own, F.array().cast(f"array<{pair}>")),
+                      F.array(F.struct(F.lit(None).cast("string").alias("name"), F.lit(None).cast("string").alias("value"))))
+    per = (df.select(F.explode(marked).alias("p")).select("p.name", "p.value")
+           .groupBy("name").agg(F.count(F.lit(1)).alias("_n"), F.count_distinct("value").alias("cardinality"),
+                                F.max(F.length("value")).cast("bigint").alias("max_length")))
+    total = F.max(F.when(F.col("name").isNull(), F.col("_n"))).over(Window.partitionBy())  # one row per label name
+    return (per.withColumn("_all", total).where(F.col("name").isNotNull())
             .select(F.col("name").alias("label"),
-                    F.ceil(F.col("_n") * 100 / total).cast("bigint").alias("percent_of_lines"),
+                    F.ceil(F.col("_n") * 100 / F.col("_all")).cast("bigint").alias("percent_of_lines"),
                     "cardinality", "max_length"))
 
 
@@ -230,16 +248,13 @@ def label_sparsity(df: DataFrame, label: str, labels: str = "labels") -> DataFra
 
 # --- F17-F19 -----------------------------------------------------------------------------------
 
-PATTERN_RECENT_MS = 3 * 3_600_000  # fixed value: patterns look at the last 3 hours
-
-
-def log_patterns(df: DataFrame, step_ms: int, recent_ms: int | None = PATTERN_RECENT_MS, ts: str = "ts",
+def log_patterns(df: DataFrame, step_ms: int, recent_ms: int | None = None, ts: str = "ts",
                  line: str = "line", sort: bool = True) -> DataFrame:
     """line templates with their count per step and overall total.
 
-    ``recent_ms`` (default 3 hours; ``None`` for all lines) keeps only lines
-    within that span of the newest line (a scalar subquery, no join). Sorted by ``total`` descending (most frequent
-    pattern first) unless ``sort=False`` (callers that aggregate further).
+    ``recent_ms`` keeps only lines within that span of the newest line (a scalar
+    subquery, no join; all lines by default). Sorted by ``total`` descending (most
+    frequent pattern first) unless ``sort=False`` (callers that aggregate further).
     """
     if recent_ms is not None:
         newest = df.select(F.max(ts)).scalar()
@@ -253,57 +268,6 @@ def log_patterns(df: DataFrame, step_ms: int, recent_ms: int | None = PATTERN_RE
 
 RANK_STATS = ("stddev", "sum", "max", "min", "p10", "p25", "p75", "p90", "p99", "name")
 SKETCH_ACCURACY = 10_000
-SMALL_GROUP = 4 * SKETCH_ACCURACY
-JOIN_SALTS = 32
-
-
-def exact_percentile(df: DataFrame, keys: tuple[str, ...], value: str, q: float,
-                     accuracy: int = SKETCH_ACCURACY) -> DataFrame:
-    """Exact percentile per key with linear interpolation (as ``percentile``), skew-safe.
-
-    ``percentile`` keeps every distinct value of a group in one buffer; here
-    no group is ever gathered whole:
-
-    1. one aggregate gives each key's count and two sketch quantiles
-       (``percentile_approx``, mergeable partial state) just below and above
-       ``q``; the sketch's rank error (n/accuracy) guarantees the exact values
-       at ranks floor/ceil((n-1)q) lie between them;
-    2. the rows meet their key's bounds in a salted join (a hot key is split
-       over ``JOIN_SALTS`` tasks), rows below the lower bound are counted (an
-       aggregate) and only rows between the bounds (about 6n/accuracy per key,
-       or a whole group smaller than ``SMALL_GROUP``) are ranked exactly, in
-       range pieces (``rank_within``).
-    """
-    eps = 3.0 / accuracy
-    v_all = df.select(*keys, F.col(value).cast("double").alias("_v"))
-    v = v_all.where(F.col("_v").isNotNull())
-    pos = (F.col("_n") - 1) * F.lit(q)
-    stats = (v_all.groupBy(*keys).agg(
-        F.count("_v").alias("_n"),  # non-NULL values only, as percentile
-        F.percentile_approx("_v", max(0.0, q - eps), accuracy).alias("_lo"),
-        F.percentile_approx("_v", min(1.0, q + eps), accuracy).alias("_hi"))
-        .select(*keys, "_n", "_lo", "_hi", F.floor(pos).alias("_k0"), F.ceil(pos).alias("_k1"), pos.alias("_pos")))
-    # Salted join: each row takes a random salt, each key's stats row is copied
-    # to every salt, so a hot key's rows spread over JOIN_SALTS tasks. Any salt
-    # a row gets (also on a retry) meets a full copy of its stats: exact.
-    salted = stats.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(JOIN_SALTS - 1))))
-    j = join_keys(v.withColumn("_salt", (F.rand(17) * JOIN_SALTS).cast("int")), salted,
-                  (*keys, "_salt")).drop("_salt")
-    whole = F.col("_n") < SMALL_GROUP
-    below = j.groupBy(*keys).agg(
-        F.sum(F.when(~whole & (F.col("_v") < F.col("_lo")), 1).otherwise(0)).alias("_below"))
-    cand = j.where(whole | ((F.col("_v") >= F.col("_lo")) & (F.col("_v") <= F.col("_hi"))))
-    # candidates are ranked in range pieces too (a hot key's bracket can still be large)
-    ranked = (join_keys(rank_within(cand, keys, [F.col("_v").asc()], out="_rn"), below, keys)
-              .withColumn("_rank", F.col("_below") + F.col("_rn"))
-              .where((F.col("_rank") == F.col("_k0")) | (F.col("_rank") == F.col("_k1"))))
-    lo_v = F.max(F.when(F.col("_rank") == F.col("_k0"), F.col("_v")))
-    hi_v = F.max(F.when(F.col("_rank") == F.col("_k1"), F.col("_v")))
-    k0, k1, p = F.first("_k0"), F.first("_k1"), F.first("_pos")
-    scores = ranked.groupBy(*keys).agg(
-        F.when(k0 == k1, lo_v).otherwise((k1 - p) * lo_v + (p - k0) * hi_v).alias("score"))
-    # a key whose values are all NULL keeps a NULL score, as in the other statistics
-    return join_keys(stats.select(*keys), scores, keys, "left")
 
 
 def rank_series(df: DataFrame, series: str, value: str, by: str = "stddev", desc: bool = True,

@@ -7,10 +7,10 @@ series ``(key, ts, value...)``.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from capstream.functions.common import join_keys
+from capstream.operators.ranking import rank_within
 
 
 # --- E4 ---------------------------------------------------------------------
@@ -55,7 +55,7 @@ def list_series(df: DataFrame, series_col: str = "series") -> DataFrame:
 def range_entries(df: DataFrame, ts: str, start=None, end=None, count: int | None = None,
                   reverse: bool = False, keys: tuple[str, ...] = (), tiebreak: str | None = None) -> DataFrame:
     """Entries with ``start <= ts <= end``, oldest first (newest first with ``reverse``),
-    at most ``count`` of them (per key when ``keys`` are given)."""
+    at most ``count`` of them (per key when ``keys`` are given; a key of any size, for any count)."""
     if start is not None:
         df = df.where(F.col(ts) >= F.lit(start))
     if end is not None:
@@ -66,8 +66,7 @@ def range_entries(df: DataFrame, ts: str, start=None, end=None, count: int | Non
         return df.orderBy(*keys, *order)
     if not keys:
         return df.orderBy(*order).limit(count)  # top-k per partition, then one merge
-    w = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= count).drop("_rn")
+    return rank_within(df, keys, [(c, not reverse) for c in cols], out="_rank", first=count).drop("_rank")
 
 
 # --- E7 ---------------------------------------------------------------------
@@ -77,75 +76,24 @@ def zrange(df: DataFrame, lo, hi, by: str = "index", key: str = "key", member: s
     """Members of each sorted set by zero-based rank (``by='index'``, negative
     counts from the end) or by inclusive score range (``by='score'``).
 
-    Order is score then member. A non-negative (or all-negative) index range
-    becomes ``row_number() <= k`` so Spark limits each set before the shuffle;
-    a range mixing signs ranks whole sets with ``rank_within`` (no set is
-    ranked by one task) and turns negative bounds into positions with the set sizes.
+    Order is score then member. Ranks come from ``rank_within``: no set, however
+    large, is ranked by one task, whatever the range.
     """
     if by == "score":
         out = df.where(F.col(score).between(F.lit(lo), F.lit(hi)))
         return out.select(key, member, score)
     if by != "index":
         raise ValueError("by must be 'index' or 'score'")
-    asc = [F.col(score).asc(), F.col(member).asc()]
-    desc = [F.col(score).desc(), F.col(member).desc()]
-    fwd, bwd = (desc, asc) if reverse else (asc, desc)
-    if lo >= 0 and hi >= 0:
-        w = Window.partitionBy(key).orderBy(*fwd)
-        out = df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= hi + 1).where(F.col("_rn") >= lo + 1)
-        return out.select(key, member, score, (F.col("_rn") - 1).alias("rank"))
-    if lo < 0 and hi < 0:
-        w = Window.partitionBy(key).orderBy(*bwd)
-        out = df.withColumn("_rb", F.row_number().over(w)).where(F.col("_rb") <= -lo).where(F.col("_rb") >= -hi)
-        sizes = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))  # one row per set
-        return join_keys(out, sizes, (key,)).select(key, member, score, (F.col("_n") - F.col("_rb")).alias("rank"))
-    out = rank_within(df, key, fwd, size="_n")
+    order = [(score, not reverse), (member, not reverse)]
+    if lo < 0 and hi < 0:  # ranks from the end, turned round with the set's size
+        out = rank_within(df, key, [(c, not up) for c, up in order], out="_back", size="_n", first=-lo).where(F.col("_back") >= -hi - 1)
+        return out.select(key, member, score, (F.col("_n") - 1 - F.col("_back")).alias("rank"))
+    out = rank_within(df, key, order, size="_n", first=hi + 1 if hi >= 0 else None)
     lo_i = F.lit(lo) if lo >= 0 else F.col("_n") + F.lit(lo)
     hi_i = F.lit(hi) if hi >= 0 else F.col("_n") + F.lit(hi)
     return out.where((F.col("rank") >= lo_i) & (F.col("rank") <= hi_i)).select(key, member, score, "rank")
 
 
-RANK_PIECES = 200
-
-
-def rank_within(df: DataFrame, key: str | tuple[str, ...], order: list[Column], pieces: int | None = None,
-                out: str = "rank", size: str | None = None) -> DataFrame:
-    """Zero-based rank of every row within its key, without one task per key.
-
-    Rows are range-partitioned on ``(key..., order...)``, so a key holding a
-    third of the data spans many partitions. Each ``(partition, key)`` piece is
-    ranked locally (bounded by a partition), and a piece's offset is the number
-    of the key's rows in earlier partitions (a small table: one row per piece).
-    ``size`` names an optional column with the key's row count (from the same
-    small table). NULL keys rank like any other key. The order must be total
-    (add a unique column last).
-
-    The range bounds come from sampling, which may differ between two
-    computations of a shuffled input, so the range-partitioned rows are
-    written once with a reliable checkpoint to the shared folder (this runs a
-    job when the frame is built) and both the local ranks and the piece counts
-    read that copy.
-    """
-    from capstream.session import shared_root
-    keys = (key,) if isinstance(key, str) else tuple(key)
-    n = pieces or max(RANK_PIECES, df.sparkSession.sparkContext.defaultParallelism)
-    shared_root(df.sparkSession)  # checkpoints go to the shared folder
-    r = (df.repartitionByRange(n, *[F.col(k) for k in keys], *order)
-         .withColumn("_pid", F.spark_partition_id()).checkpoint(eager=True))
-    local = r.withColumn("_rl", F.row_number().over(Window.partitionBy("_pid", *keys).orderBy(*order)) - 1)
-    counts = r.groupBy("_pid", *keys).agg(F.count(F.lit(1)).alias("_c"))
-    by_key = Window.partitionBy(*keys)
-    offsets = counts.withColumn(
-        "_off", F.coalesce(F.sum("_c").over(by_key.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)),
-                           F.lit(0)))
-    extra = []
-    if size:
-        offsets = offsets.withColumn(size, F.sum("_c").over(by_key))
-        extra = [size]
-    ranked = join_keys(local, offsets.select("_pid", *keys, "_off", *extra), ("_pid", *keys))
-    return ranked.withColumn(out, (F.col("_off") + F.col("_rl")).cast("bigint")).drop("_pid", "_rl", "_off")
-
-
 # --- E8 ---------------------------------------------------------------------
 
 def hash_get(hashes: DataFrame, field: str, key: str | None = None) -> DataFrame:
@@ -251,10 +199,10 @@ def json_at(c: Column | str, path: str, op: str = "get") -> Column:
 # --- E10 --------------------------------------------------------------------
 
 def search(df: DataFrame, text_col: str, terms: list[str], sort_by: str | None = None, desc: bool = False,
-           offset: int = 0, limit: int = 10, fields: list[str] | None = None,
+           offset: int = 0, limit: int | None = None, fields: list[str] | None = None,
            id_col: str | None = None) -> DataFrame:
     """Rows whose text holds every term (case-insensitive, whole text),
-    sorted, paged with ``offset``/``limit``, projected to ``fields``.
+    sorted, paged with ``offset``/``limit`` (all of them by default), projected to ``fields``.
 
     The sort is made total with ``id_col`` so pages are stable.
     """
@@ -270,7 +218,8 @@ def search(df: DataFrame, text_col: str, terms: list[str], sort_by: str | None =
         df = df.orderBy(*order)
     if offset:
         df = df.offset(offset)
-    df = df.limit(limit)
+    if limit is not None:
+        df = df.limit(limit)
     return df.select(*fields) if fields else df
 
 
@@ -282,7 +231,9 @@ def values_list(df: DataFrame, name: str = "value") -> DataFrame:
 
 
 def run_sql(spark: SparkSession, text: str, args: dict | None = None, views: dict[str, DataFrame] | None = None):
-    """SQL with named parameter markers (``:name``) bound from ``args``."""
-    for name, v in (views or {}).items():
-        v.createOrReplaceTempView(name)
-    return spark.sql(text, args=args or {})
+    """SQL with named parameter markers (``:name``) bound from ``args``.
+
+    ``views`` are frames the text names as ``{name}``; they are bound to this
+    statement only, so callers that use the same names do not disturb each other.
+    """
+    return spark.sql(text, args=args or {}, **(views or {}))

@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from capstream.operators.ranking import rank_within
+
 
 def bucket_start(ts: Column | str, bucket_ms: int) -> Column:
     """Start of the epoch-aligned bucket of ``bucket_ms`` milliseconds.
@@ -106,52 +108,52 @@ def fill_missing(rollup: DataFrame, bucket_ms: int, keys: tuple[str, ...] = (),
                  ts: str = "bucket_start", value: str = "value") -> DataFrame:
     """Every bucket between each key's first and last bucket; empty ones get ``fill``.
 
-    The calendar is derived from the rollup's own bounds and built in two
-    explode steps (chunks, then buckets in a chunk) so no row ever carries an
-    array longer than ``CALENDAR_CHUNK`` or the chunk count, and the work is
-    spread over tasks. Joined back on ``(keys, bucket)``; no broadcast is
-    forced since the calendar grows with the data.
+    Each bucket is asked how many empty ones follow it before the key's next
+    bucket (``lead`` over the rollup, which is read once; it holds one row per
+    bucket, however many samples a key has), and those are made from it in
+    steps of at most ``CALENDAR_CHUNK`` elements per array. A bucket whose start
+    is NULL has no place on the calendar and is left out.
     """
     step = int(bucket_ms)
-    bounds = rollup.groupBy(*keys).agg(F.min(ts).alias("_lo"), F.max(ts).alias("_hi"))
-    n = (F.timestamp_diff("MILLISECOND", F.col("_lo"), F.col("_hi")) / F.lit(step)).cast("bigint") + 1
-    chunks = bounds.select(*keys, "_lo", n.alias("_n")).select(
-        *keys, "_lo", "_n",
-        F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("_n") - 1) / CALENDAR_CHUNK))).alias("_c"))
-    # chunk rows are tiny (one per CALENDAR_CHUNK buckets): spread a long key's
-    # chunks over tasks before they expand
-    chunks = chunks.repartition(*keys, "_c") if keys else chunks.repartition("_c")
-    cal = chunks.select(
-        *keys, "_lo",
-        F.explode(F.sequence(F.col("_c") * CALENDAR_CHUNK,
-                             F.least((F.col("_c") + 1) * CALENDAR_CHUNK, F.col("_n")) - 1)).alias("_i"),
-    ).select(*keys, F.timestamp_add("MILLISECOND", F.col("_i") * step, F.col("_lo")).alias(ts))
-    r = rollup.select(*[F.col(k).alias(f"_r_{k}") for k in keys], F.col(ts).alias("_r_ts"), F.col(value).alias("_v"))
-    cond = [cal[k].eqNullSafe(r[f"_r_{k}"]) for k in keys] + [cal[ts] == r["_r_ts"]]
-    return cal.join(r, cond, "left").select(*keys, ts, F.coalesce(F.col("_v"), F.lit(fill)).alias(value))
-
-
-def last_n_points(df: DataFrame, keys: tuple[str, ...], ts: str, n: int = 1000,
+    after = F.lead(ts).over(Window.partitionBy(*keys).orderBy(ts))
+    gap = F.coalesce((F.timestamp_diff("MILLISECOND", F.col(ts), after) / F.lit(step)).cast("bigint"), F.lit(1))
+    rows = rollup.where(F.col(ts).isNotNull()).select(*keys, ts, value, gap.alias("_gap"))
+    # levels of CALENDAR_CHUNK: a gap of any length is cut into pieces, each piece into buckets
+    pieces = rows.withColumn("_p", F.explode(_pieces(F.col("_gap"), CALENDAR_CHUNK ** 2)))
+    pieces = pieces.withColumn("_q", F.explode(F.sequence(
+        F.col("_p"), F.least(F.col("_p") + CALENDAR_CHUNK ** 2, F.col("_gap")) - 1, F.lit(CALENDAR_CHUNK).cast("bigint"))))
+    out = pieces.withColumn("_i", F.explode(F.sequence(F.col("_q"), F.least(
+        F.col("_q") + CALENDAR_CHUNK, F.least(F.col("_p") + CALENDAR_CHUNK ** 2, F.col("_gap"))) - 1)))
+    return out.select(*keys, F.timestamp_add("MILLISECOND", F.col("_i") * step, F.col(ts)).alias(ts),
+                      F.when(F.col("_i") == 0, F.coalesce(F.col(value), F.lit(fill))).otherwise(F.lit(fill)).alias(value))
+
+
+def _pieces(n: Column, size: int) -> Column:
+    """Starts of the pieces of ``size`` that cover 0 to ``n`` - 1."""
+    return F.sequence(F.lit(0).cast("bigint"), n - 1, F.lit(size).cast("bigint"))
+
+
+def last_n_points(df: DataFrame, keys: tuple[str, ...], ts: str, n: int | None = None,
                   numeric: tuple[str, ...] = (), tiebreak: str | None = None) -> DataFrame:
-    """The newest ``n`` rows per key (a rolling buffer), numeric-looking text as numbers.
+    """The newest ``n`` rows per key (a rolling buffer; all rows by default), numeric-looking text as numbers.
 
-    ``row_number() <= n`` lets Spark cut each key to ``n`` rows before the
-    shuffle (window group limit), so a hot key does not ship all its rows.
+    The newest rows are found by ``rank_within``: for any ``n`` a hot key is
+    counted in slices and only the slices that reach into its newest ``n`` are sorted.
     """
-    order = [F.col(ts).desc()] + ([F.col(tiebreak).desc()] if tiebreak else [])
-    w = Window.partitionBy(*keys).orderBy(*order)
-    out = df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= n).drop("_rn")
+    order = [(ts, False)] + ([(tiebreak, False)] if tiebreak else [])
+    out = df if n is None else rank_within(df, keys, order, out="_rank", first=n).drop("_rank")
     for c in numeric:
         out = out.withColumn(f"{c}_num", F.col(c).try_cast("double"))
     return out
 
 
-def align_series(df: DataFrame, ts: str, series: str, value: str, series_values: list | None = None,
+def align_series(df: DataFrame, ts: str, series: str, value: str, series_values: list,
                  agg: str = "max") -> DataFrame:
-    """Long -> wide, one column per series, rows are the union of timestamps.
+    """Long -> wide, one column per series of ``series_values``, rows are the union of timestamps.
 
     Same result as a chain of full outer joins on ``ts`` but in one shuffle.
-    Pass ``series_values`` to skip the extra pass that finds them.
+    The caller names the series (they become columns, so their list is bounded
+    and known when the frame is built); other series add no column.
     """
     fn = {"max": F.max, "min": F.min, "avg": F.avg, "sum": F.sum, "first": F.first}[agg]
     return df.groupBy(ts).pivot(series, series_values).agg(fn(value))

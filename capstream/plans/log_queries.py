@@ -68,6 +68,12 @@ register("f4_label_filter",
     .select("doc_id", "ln"))
 register("f4_field_filter_number", f"SELECT event_id FROM {EV} WHERE fmt IN (0, 1) AND value > 100")(
     lambda spark, d: L.field_filter(_events(spark, d), "value", ">", 100).select("event_id"))
+register("f4_label_filter_equal_not_regex",
+         f"SELECT doc_id, ln FROM {DL} WHERE COALESCE(lang, '') = 'en' AND NOT regexp_full_match(COALESCE(source, ''), 'src1[0-9]*')")(
+    lambda spark, d: L.label_filter(L.label_filter(_docs(spark, d), "lang", "=", "en"), "source", "!~", "src1[0-9]*").select("doc_id", "ln"))
+for _name, _op in (("lt", "<"), ("ge", ">="), ("le", "<=")):
+    register(f"f4_field_filter_{_name}", f"SELECT event_id FROM {EV} WHERE fmt IN (0, 1) AND k {_op} 40")(
+        lambda spark, d, op=_op: L.field_filter(_events(spark, d), "k", op, 40).select("event_id"))
 register("f5_field_filter_duration",
          f"SELECT event_id FROM {EV} WHERE fmt IN (0, 1) AND k * {_factor_sql(DURATION_UNITS, 'dur_unit')} > 60e9")(
     lambda spark, d: L.field_filter(_events(spark, d), "latency", ">", 60, kind="duration").select("event_id"))
@@ -125,6 +131,15 @@ register("f9_field_avg_duration_ns", f"""
 SELECT {HB} AS bucket_start, avg(CAST(k AS DOUBLE) * {_factor_sql(DURATION_UNITS, 'dur_unit')}) AS "avg"
 FROM {EV} WHERE fmt IN (0, 1) GROUP BY 1 HAVING avg IS NOT NULL""")(
     lambda spark, d: L.field_avg(_events(spark, d), "latency", HOUR_MS, kind="duration", unit="ns"))
+register("f9_field_avg_bytes", f"""
+SELECT {HB} AS bucket_start, {round_text(f"avg(CAST(k * 3 AS DOUBLE) * {_factor_sql(BYTE_UNITS, 'byte_unit')})", R)} AS "avg"
+FROM {EV} WHERE fmt IN (0, 1) AND k >= 0 GROUP BY 1 HAVING count(k) > 0""")(
+    lambda spark, d: L.field_avg(_events(spark, d), "size", HOUR_MS, kind="bytes")
+    .select("bucket_start", sql_round("avg", R).alias("avg")))
+register("f9_field_avg_number", f"""
+SELECT {HB} AS bucket_start, {round_text("avg(CAST(k AS DOUBLE))", R)} AS "avg"
+FROM {EV} WHERE fmt IN (0, 1) GROUP BY 1 HAVING count(k) > 0""")(
+    lambda spark, d: L.field_avg(_events(spark, d), "k", HOUR_MS).select("bucket_start", sql_round("avg", R).alias("avg")))
 register("f10_field_breakdown",
          f"SELECT {HB} AS bucket_start, method, count(*) AS count FROM {EV} WHERE fmt IN (0, 1) GROUP BY 1, 2")(
     lambda spark, d: L.field_breakdown(_events(spark, d), "method", HOUR_MS))
@@ -139,10 +154,10 @@ FROM {EV} GROUP BY 1, 2""")(
 register("f12_top_volume_by_source",
          f"SELECT source, CAST(sum(strlen(line)) AS BIGINT) AS volume FROM {DL} GROUP BY 1 "
          "ORDER BY volume DESC, source LIMIT 5000")(
-    lambda spark, d: L.top_volume(_docs(spark, d), "source"))
+    lambda spark, d: L.top_volume(_docs(spark, d), "source", limit=5000))
 register("f12_top_volume_rows_by_lang",
          f"SELECT lang, count(*) AS volume FROM {DL} GROUP BY 1 ORDER BY volume DESC, lang LIMIT 5000")(
-    lambda spark, d: L.top_volume(_docs(spark, d), "lang", unit="rows"))
+    lambda spark, d: L.top_volume(_docs(spark, d), "lang", limit=5000, unit="rows"))
 register("f13_detected_labels", f"""
 SELECT 'service_name' AS label, CAST(1 AS BIGINT) AS cardinality
 UNION ALL SELECT 'lang', count(DISTINCT lang) FROM {DL}
@@ -153,7 +168,7 @@ def _parsers_sql(present: str) -> str:
             f"CASE WHEN count(*) FILTER (WHERE fmt = 1 AND {present}) > 0 THEN 'logfmt' END)")
 
 
-register("f14_detected_fields", f"""
+_FIELDS_SQL = f"""
 WITH f AS (SELECT * FROM {EV} WHERE fmt IN (0, 1))
 SELECT 'k' AS name, count(DISTINCT k) AS cardinality, {_parsers_sql('k IS NOT NULL')} AS parsers, 'int' AS type
 FROM f HAVING count(k) > 0
@@ -163,8 +178,14 @@ UNION ALL SELECT 'latency', count(DISTINCT k), {_parsers_sql('k IS NOT NULL')},
 UNION ALL SELECT 'size', count(DISTINCT (k * 3) || byte_unit), {_parsers_sql('k IS NOT NULL')},
     CASE WHEN min(k) < 0 THEN 'string' ELSE 'bytes' END FROM f HAVING count(k) > 0
 UNION ALL SELECT 'method', count(DISTINCT method), {_parsers_sql('TRUE')}, 'string' FROM f
-UNION ALL SELECT 'msg', count(DISTINCT event_type || user_id), {_parsers_sql('TRUE')}, 'string' FROM f""")(
+UNION ALL SELECT 'msg', count(DISTINCT event_type || user_id), {_parsers_sql('TRUE')}, 'string' FROM f"""
+register("f14_detected_fields", _FIELDS_SQL)(
     lambda spark, d: L.detected_fields(S.event_logs(spark, d)))
+register("f14_detected_fields_metadata", f"""{_FIELDS_SQL}
+UNION ALL SELECT 'service_name', count(DISTINCT service_name), 'structuredMetadata', 'string' FROM {EV}
+UNION ALL SELECT 'cluster', count(DISTINCT cluster), 'structuredMetadata', 'string' FROM {EV}
+UNION ALL SELECT 'region', count(DISTINCT region), 'structuredMetadata', 'string' FROM {EV} HAVING count(region) > 0""")(
+    lambda spark, d: L.detected_fields(S.event_logs(spark, d), metadata="labels"))
 register("f15_column_stats", f"""
 SELECT 'service_name' AS label, CAST(100 AS BIGINT) AS percent_of_lines, count(DISTINCT service_name) AS cardinality,
        CAST(max(length(service_name)) AS BIGINT) AS max_length FROM {EV}
@@ -210,12 +231,23 @@ def _rank(by, desc=True):
     return fn
 
 
+def _placed(ranked):
+    """Number the rows in the order they come (one row per series, already aggregated)."""
+    from pyspark.sql import Window
+    return ranked.withColumn("place", F.row_number().over(Window.orderBy(F.monotonically_increasing_id())).cast("bigint"))
+
+
 _RANK_SQL = {"stddev": "stddev_pop(value)", "sum": "sum(value)", "max": "max(value)", "p90": "quantile_cont(value, 0.9)",
-             "p10": "quantile_cont(value, 0.1)"}
-for _by in ("stddev", "sum", "max", "p90", "p10"):
+             "min": "min(value)", **{f"p{q}": f"quantile_cont(value, {q / 100})" for q in (10, 25, 75, 99)}}
+for _by in ("stddev", "sum", "max", "min", "p10", "p25", "p75", "p90", "p99"):
     register(f"f18_rank_series_{_by}",
              f"SELECT 'user:' || user_id AS series, {round_text(_RANK_SQL[_by], R)} AS score FROM events GROUP BY 1")(
         _rank(_by))
+# the order itself: the place of each series, lowest score first
+register("f18_rank_series_sum_ascending", f"""
+SELECT series, score, row_number() OVER (ORDER BY score, series) AS place FROM (
+  SELECT 'user:' || user_id AS series, {round_text('sum(value)', R)} AS score FROM events GROUP BY 1)""")(
+    lambda spark, d: _placed(_rank("sum", desc=False)(spark, d)))
 register("f18_rank_series_name",
          "SELECT DISTINCT 'user:' || user_id AS series, CAST(NULL AS DOUBLE) AS score FROM events")(_rank("name"))
 

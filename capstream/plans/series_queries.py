@@ -206,6 +206,10 @@ register("e8_list_len", "SELECT event_type AS key, count(*) AS n_entries FROM ev
     lambda spark, d: V.list_len(S.table(spark, d, "events").select(F.col("event_type").alias("key"))))
 
 
+register("e8_get_value", f"SELECT CAST(s AS VARCHAR) AS value FROM ({_TOTALS_PG}) t WHERE postgres_clerk = '1-URGENT'")(
+    lambda spark, d: V.get_value(V.hash_get(_hashes(spark, d), "Sum"), f"{_PG}1-URGENT", key_col="hash_key"))
+
+
 # --- E9: JSON at path ------------------------------------------------------------------
 
 register("e9_json_at_props", """
@@ -222,6 +226,14 @@ FROM events""")(
         V.json_at("props", "$", "objlen").alias("n_keys")))
 
 
+register("e9_json_array_length", """
+SELECT event_id, CAST(json_array_length(CASE WHEN user_id % 3 = 0 THEN '{"a": []}' ELSE '{"a": [1, ' || user_id || ', {"b": [2]}]}' END, '$.a')
+                      AS BIGINT) AS n_items FROM events""")(
+    lambda spark, d: S.table(spark, d, "events").withColumn("doc", F.when(F.col("user_id") % 3 == 0, F.lit('{"a": []}')).otherwise(
+        F.concat(F.lit('{"a": [1, '), F.col("user_id"), F.lit(', {"b": [2]}]}')))).select(
+            "event_id", V.json_at("doc", "$.a", "arrlen").alias("n_items")))
+
+
 # --- E10: search ----------------------------------------------------------------------------
 
 _SEARCH_WHERE = "lower(text) LIKE '%license%' AND lower(text) LIKE '%the%'"
@@ -266,28 +278,38 @@ FROM events QUALIFY row_number() OVER (PARTITION BY event_type ORDER BY ts DESC,
         S.table(spark, d, "events").select("event_id", "event_type", "ts", "value",
                                            F.get_json_object("props", "$.k").alias("k")),
         ("event_type",), "ts", 1000, numeric=("k",), tiebreak="event_id"))
+register("e14_last_n_points_many", """
+SELECT event_id, event_type, ts FROM events
+QUALIFY row_number() OVER (PARTITION BY event_type ORDER BY ts DESC, event_id DESC) <= 1500""")(
+    lambda spark, d: T.last_n_points(S.table(spark, d, "events").select("event_id", "event_type", "ts"),
+                                     ("event_type",), "ts", 1500, tiebreak="event_id"))
 
 
 # --- E15, E16 ----------------------------------------------------------------------------------------
 
 register("e15_values_list",
-         "SELECT event_type AS value FROM events UNION ALL SELECT CAST(user_id AS VARCHAR) FROM events")(
-    lambda spark, d: V.values_list(S.table(spark, d, "events").select("event_type", "user_id")))
+         # the text form of timestamps and floats differs between engines: microseconds and rounded thousandths
+         "SELECT unnest([CAST(event_id AS VARCHAR), CAST(epoch_us(ts) AS VARCHAR), CAST(user_id AS VARCHAR), event_type, "
+         "CAST(CAST(round(value * 1000) AS BIGINT) AS VARCHAR), props]) AS value FROM events")(
+    lambda spark, d: V.values_list(S.table(spark, d, "events").select(
+        "event_id", F.timestamp_diff("MICROSECOND", F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'"), F.col("ts")).alias("ts"),
+        "user_id", "event_type", F.round(F.col("value") * 1000).cast("bigint").alias("value"), "props")))
 register("e16_parameterised_sql",
          f"SELECT event_type, count(*) AS n, {round_text('sum(value)', R)} AS total FROM events "
          "WHERE value > 100.0 AND event_type <> 'error' GROUP BY event_type")(
     lambda spark, d: V.run_sql(
-        spark, f"SELECT event_type, count(*) AS n, {spark_round_text('sum(value)', R)} AS total FROM cs_events "
+        spark, f"SELECT event_type, count(*) AS n, {spark_round_text('sum(value)', R)} AS total FROM {{cs_events}} "
                "WHERE value > :min_value AND event_type <> :skip GROUP BY event_type",
         {"min_value": 100.0, "skip": "error"}, views={"cs_events": S.table(spark, d, "events")}))
 
 
 # --- C1: align series on time --------------------------------------------------------------------
 
+SERIES = ("click", "error", "purchase", "signup", "view")  # the event types that become columns
 register("c1_align_series", f"""
 PIVOT (SELECT event_type AS series, {S.bucket_sql('ts', HOUR_MS)} AS bucket_start, {round_text('avg(value)', R)} AS value
        FROM events GROUP BY 1, 2)
-ON series USING max(value) GROUP BY bucket_start""")(
+ON series IN ('click', 'error', 'purchase', 'signup', 'view') USING max(value) GROUP BY bucket_start""")(
     lambda spark, d: T.align_series(
         T.bucket_rollup(S.series_by_type(spark, d), "ts", "value", HOUR_MS, "avg", keys=("series",))
-        .withColumn("value", sql_round("value", R)), "bucket_start", "series", "value"))
+        .withColumn("value", sql_round("value", R)), "bucket_start", "series", "value", list(SERIES)))

@@ -27,19 +27,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+#: Session setting: partitions to deal a stand-in's rows to before per-row work (unset: as scanned).
+INPUT_PARTITIONS = "spark.capstream.inputPartitions"
+
+
 def spread(df: DataFrame) -> DataFrame:
-    """Round-robin a scan that has fewer partitions than the cluster has cores.
+    """Round-robin the rows to ``INPUT_PARTITIONS`` partitions if the session asks for it.
 
-    For per-row CPU work (JSON text, regexes) on inputs stored as a few large
-    row groups. On a big input the scan already has more partitions than
-    cores and this is a no-op (no shuffle is added).
+    For inputs stored as a few large row groups; the plan depends on the
+    setting alone, never on the input's size.
     """
-    try:
-        par = df.sparkSession.sparkContext.defaultParallelism
-        few = df.rdd.getNumPartitions() < par
-    except Exception:  # noqa: BLE001 - no RDD view (e.g. a remote session): leave the plan as it is
-        return df
-    return df.repartition(par) if few else df
+    n = df.sparkSession.conf.get(INPUT_PARTITIONS, None)
+    return df.repartition(int(n)) if n else df
 
 
 def op_for(id_col: Column) -> Column:

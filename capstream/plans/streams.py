@@ -23,13 +23,11 @@ MICRO_BATCHES = 4
 
 
 def replay_source(spark: SparkSession, sf_dir: str, prefix: str, batches: int = MICRO_BATCHES):
-    """Replay folder with about one file per core per micro-batch, drained in ``batches`` batches."""
+    """Replay folder of a few files per core and micro-batch, drained in about ``batches`` batches."""
     src, name = S.SOURCES[prefix]
     msgs = S.source_messages(spark, sf_dir, prefix)
     rows = S.table(spark, sf_dir, name).count()  # parquet metadata, no scan
-    parts = msgs.rdd.getNumPartitions()
-    # whole files per partition: a multiple of the partition count, about 4 per core
-    files = parts * max(1, -(-batches * spark.sparkContext.defaultParallelism // parts))
+    files = 4 * batches * spark.sparkContext.defaultParallelism
     path = write_replay(msgs, shared_path(spark, f"replay-{prefix}"), files, rows=rows)
     return src.with_(kind="files", path=path, max_files_per_trigger=max(1, files // batches))
 

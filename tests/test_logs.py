@@ -34,11 +34,28 @@ def test_line_filters(logs):
 
 
 def test_pattern_filter(logs):
-    assert pattern_regex("a <_> b.") == "^a\\ (.*?)\\ b\\.$"
+    assert pattern_regex("a <_> b.") == r"(?s)\Aa\ (.*?)\ b\.\z"
     inc = L.pattern_filter(logs, include=["level=<_> latency=<_>", "WARN <_>"], exclude=["<_>Debug<_>"])
     assert inc.count() == 2
 
 
+def test_line_breaks_inside_a_line(spark):
+    df = spark.createDataFrame([("Licensed under A\rB",), ("Licensed under A\n",), ('k="a\nb" j=2 k=3',), ('q="x \\" y" z',)], "line string")
+    assert L.pattern_filter(df, include=["Licensed under <_>"]).count() == 2
+    assert L.pattern_filter(df, include=["Licensed under A"]).count() == 0
+    got = [r.fields for r in L.with_fields(df, "logfmt").collect()]
+    assert got == [{}, {}, {"k": "a\nb", "j": "2"}, {"q": 'x " y'}]
+
+
+def test_fields_in_metadata(spark):
+    df = spark.createDataFrame([("plain", {"trace": "1", "level": "x"}), ('{"a": 1}', {"a": "2"}), (None, None)],
+                               "line string, labels map<string,string>")
+    got = sorted(map(tuple, L.detected_fields(df, metadata="labels").collect()))
+    assert got == [("a", 2, "json", "int"), ("trace", 1, "structuredMetadata", "int")]
+    stats = {r.label: (r.percent_of_lines, r.cardinality, r.max_length) for r in L.column_stats(df).collect()}
+    assert stats == {"trace": (34, 1, 1), "level": (34, 1, 1), "a": (34, 1, 1)}
+
+
 def test_label_and_field_filters(logs):
     assert L.label_filter(logs, "app", "=~", "a|c").count() == 2
     assert L.label_filter(logs, "zone", "!=", "z1").count() == 4  # missing label counts as ""

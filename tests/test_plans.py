@@ -2,11 +2,14 @@
 
 import re
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from capstream.functions.parse import parse_events, schema_field_counts
 from capstream.functions.shape import hash_rows_for
 from capstream.operators import logs as L
+from capstream.operators import serving as V
 from capstream.operators import timeseries as T
 from capstream.operators.aggregate import clerk_totals
 from capstream.plans import standins as S
@@ -40,18 +43,22 @@ def test_schema_counts_parse_only_distinct_schemas(spark, sf, capsys):
     assert p.index("partial_count") > p.index("Generate") if "Generate" in p else True
 
 
-def test_top_n_limits_before_the_shuffle(spark, sf, capsys):
+@pytest.mark.parametrize("n", [10, 100_000])
+def test_top_n_never_sorts_a_whole_key(spark, sf, capsys, n):
     e = S.table(spark, sf, "events")
-    p = plan(T.last_n_points(e, ("event_type",), "ts", 10), capsys)
-    assert "WindowGroupLimit" in p and "Partial" in p
+    for df in (T.last_n_points(e, ("event_type",), "ts", n, tiebreak="event_id"),
+               V.range_entries(e, "ts", count=n, keys=("event_type",), tiebreak="event_id")):
+        p = plan(df, capsys)
+        windows = re.findall(r"row_number\(\)[^\n]*windowspecdefinition\(([^\n]*)", p)
+        assert windows and all("_slice" in w for w in windows)
+        assert "partial_count" in p  # counts per slice are aggregated before the shuffle
 
 
 def test_exact_percentile_never_buffers_a_whole_group(spark, capsys):
     df = spark.range(1000).select((F.col("id") % 3).alias("k"), F.col("id").cast("double").alias("v"))
     p = plan(L.exact_percentile(df, ("k",), "v", 0.9), capsys)
-    assert "percentile_approx" in p
-    assert not re.search(r"\bpercentile\(", p)
-    assert "_salt" in p  # rows meet their key's bounds through a salted join
+    assert not re.search(r"\bpercentile\(", p) and "ExistingRDD" not in p
+    assert re.search(r"Keys \[\d\]: \[[^\n]*_v#[^\n]*\nFunctions \[1\]: \[partial_count", p)  # equal values are one counted row first
 
 
 def test_distinct_counts_dedupe_first(spark, sf, capsys):
@@ -65,13 +72,29 @@ def test_no_inferred_filter_recomputes_the_split(spark, sf, capsys):
     assert "split" not in scan_filters(p)
 
 
-def test_mixed_index_range_ranks_by_range_pieces(spark, capsys):
-    from capstream.operators import serving as V
+def test_mixed_index_range_ranks_by_slices(spark, capsys):
     z = spark.range(100).select(F.lit("k").alias("key"), F.col("id").cast("string").alias("member"),
                                 F.col("id").cast("double").alias("score"))
     p = plan(V.zrange(z, 1, -2), capsys)
-    assert "ExistingRDD" in p  # pieces read back from the checkpoint written once
-    assert not re.search(r"Window \[row_number\(\).*windowspecdefinition\(key#\d+, score", p)
+    assert "ExistingRDD" not in p  # no checkpoint
+    assert all("_slice" in w for w in re.findall(r"row_number\(\)[^\n]*windowspecdefinition\(([^\n]*)", p))
+
+
+def test_logfmt_pairs_are_found_once(spark, sf, capsys):
+    p = plan(L.with_fields(S.event_logs(spark, sf), "logfmt"), capsys)
+    assert p.count("regexp_extract_all") == 1
+
+
+def test_events_declare_only_their_fields(spark):
+    from capstream.functions.parse import event_schema
+    assert event_schema((("purchase", "p"), ("clerk", "c"))) == "payload struct<after struct<purchase bigint, clerk string>>"
+
+
+def test_fill_and_stats_scan_once(spark, sf, capsys):
+    ev = S.series_by_type(spark, sf)
+    r = T.bucket_rollup(ev, "ts", "value", 3_600_000, "count", keys=("series",))
+    assert plan(T.fill_missing(r, 3_600_000, keys=("series",)), capsys).count("Scan parquet") <= 2  # node and its detail
+    assert plan(L.column_stats(S.event_logs(spark, sf)), capsys).count("Scan parquet") <= 2
 
 
 def test_filters_on_parsed_columns_stay_above_the_parse(spark, sf, capsys):

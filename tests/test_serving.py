@@ -64,7 +64,7 @@ def test_search_paging_and_match_labels(spark):
 def test_values_list_and_run_sql(spark):
     df = spark.createDataFrame([("a", 1), ("b", 2)], "x string, y long")
     assert sorted(r.value for r in V.values_list(df).collect()) == ["1", "2", "a", "b"]
-    out = V.run_sql(spark, "SELECT x FROM t_vals WHERE y > :lim", {"lim": 1}, views={"t_vals": df}).collect()
+    out = V.run_sql(spark, "SELECT x FROM {t_vals} WHERE y > :lim", {"lim": 1}, views={"t_vals": df}).collect()
     assert [r.x for r in out] == ["b"]
 
 
@@ -86,14 +86,47 @@ def test_rank_within_matches_row_number_with_a_hot_key(spark):
                                    F.col("id").cast("string").alias("member"))
     df = hot.unionByName(cold)
     order = [F.col("score").asc(), F.col("member").asc()]
-    got = V.rank_within(df, "key", order, pieces=16).select("key", "member", "rank")
+    got = V.rank_within(df, "key", [("score", True), ("member", True)], splits=15).select("key", "member", "rank")
     want = df.withColumn("rank", F.row_number().over(Window.partitionBy("key").orderBy(*order)) - 1) \
         .select("key", "member", "rank")
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
-    # the hot key really is split over several range partitions
-    pids = df.repartitionByRange(16, "key", *order).where(F.col("key") == "hot") \
-        .select(F.spark_partition_id().alias("p")).distinct().count()
-    assert pids > 1
+
+
+def _one_hot_key(spark, n=60_000):
+    """One key; 60 % of its rows share one score; members share long prefixes; some NULLs."""
+    i = F.col("id")
+    return spark.range(n).select(
+        F.lit("hot").alias("key"), F.when(i % 10 < 6, 5.0).when(i % 1000 != 999, (i * 7919 % 104729).cast("double")).alias("score"),
+        F.when(i % 5000 != 1, F.concat(F.lit("user:"), F.lpad(i.cast("string"), 9, "0"))).alias("member"))
+
+
+def test_a_hot_key_with_ties_is_cut_into_small_slices(spark):
+    from capstream.operators.ranking import with_slices
+    df = _one_hot_key(spark)
+    for order in ([("score", True), ("member", True)], [("score", False), ("member", False)]):
+        rows, slices = with_slices(df, order, splits=63)
+        largest = rows.groupBy("key", *slices).count().agg(F.max("count")).first()[0]
+        assert largest <= 4 * 60_000 / 64  # the tied score alone holds 36,000 rows
+
+
+def test_ranks_and_top_n_of_a_hot_key(spark):
+    from pyspark.sql import Window
+    df = _one_hot_key(spark)
+    for up in (True, False):
+        order = [F.col(c).asc() if up else F.col(c).desc() for c in ("score", "member")]
+        # rows equal in the whole order may swap ranks: compare the values at each rank
+        want = df.withColumn("rank", F.row_number().over(Window.partitionBy("key").orderBy(*order)) - 1).select("score", "member", "rank")
+        for first in (None, 1, 50_000):
+            got = V.rank_within(df, "key", [("score", up), ("member", up)], first=first, splits=63).select("score", "member", "rank")
+            w = want if first is None else want.where(F.col("rank") < first)
+            assert got.exceptAll(w).count() == 0 and w.exceptAll(got).count() == 0
+
+
+def test_rank_without_slices_or_rows(spark):
+    df = spark.createDataFrame([("a", b"x"), ("a", b"y"), (None, b"z")], "key string, v binary")
+    got = {(r.key, bytes(r.v)): r["rank"] for r in V.rank_within(df, "key", [("v", False)]).collect()}
+    assert got == {("a", b"y"): 0, ("a", b"x"): 1, (None, b"z"): 0}
+    assert V.rank_within(df.limit(0), "key", [("key", True)], size="n").collect() == []
 
 
 def test_range_entries_unbounded_per_key_is_sorted(spark):

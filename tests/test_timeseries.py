@@ -75,7 +75,7 @@ def test_last_n_points(spark):
 
 def test_align_series(series):
     r = T.bucket_rollup(series, "ts", "value", H, "count", keys=("series",))
-    w = {row.bucket_start.hour: (row.a, row.b) for row in T.align_series(r, "bucket_start", "series", "value").collect()}
+    w = {row.bucket_start.hour: (row.a, row.b) for row in T.align_series(r, "bucket_start", "series", "value", ["a", "b"]).collect()}
     assert w == {0: (3, 1), 1: (None, 1), 2: (1, None)}
 
 
