@@ -20,7 +20,7 @@ import argparse
 import os
 import sys
 
-from capstream.sources.envelope import MYSQL, POSTGRES, CdcSource
+from capstream.sources.source import MYSQL, POSTGRES, CdcSource
 from capstream.streaming import runner, sinks
 
 KNOWN = {"postgres": POSTGRES, "mysql": MYSQL}
@@ -35,6 +35,9 @@ def parse_args(argv: list[str]) -> argparse.Namespace:
     p.add_argument("--path", action="append", default=[], help="name=folder of a replay source (files kind)")
     p.add_argument("--starting-offsets")
     p.add_argument("--tolerate-data-loss", action="store_true", help="failOnDataLoss=false")
+    p.add_argument("--max-offsets-per-trigger", type=int, help="most messages of a topic in one micro-batch")
+    p.add_argument("--min-partitions", type=int, help="tasks to split a topic's offsets over, at least")
+    p.add_argument("--max-files-per-trigger", type=int, help="most replay files in one micro-batch")
     p.add_argument("--checkpoint", help="checkpoint root (default: spark.checkpoint.dir)")
     p.add_argument("--trigger", help="'available_now', 'once' or an interval such as '30 seconds'")
     p.add_argument("--mode", default="complete", help="output mode of the notification job")
@@ -61,9 +64,10 @@ def build_sources(a: argparse.Namespace) -> list[CdcSource]:
         base = KNOWN[name]
         if a.source_kind == "kafka":
             out.append(base.with_(kind="kafka", bootstrap_servers=a.bootstrap, starting_offsets=a.starting_offsets,
-                                  fail_on_data_loss=not a.tolerate_data_loss))
+                                  fail_on_data_loss=not a.tolerate_data_loss,
+                                  max_offsets_per_trigger=a.max_offsets_per_trigger, min_partitions=a.min_partitions))
         else:
-            out.append(base.with_(kind="files", path=paths[name]))
+            out.append(base.with_(kind="files", path=paths[name], max_files_per_trigger=a.max_files_per_trigger))
     return out
 
 

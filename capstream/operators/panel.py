@@ -29,13 +29,14 @@ def panel_calc(df: DataFrame, calc: str, value: str, ts: str | None = None,
     """Reduce a field to one number per key: ``mean``, ``lastNotNull``, ``last``,
     ``firstNotNull``, ``first``, ``min``, ``max``, ``sum``, ``count``.
 
-    first/last follow ``ts`` (ties by ``tiebreak``), never input order.
+    first/last follow ``ts`` (ties by ``tiebreak``), never input order. A key
+    whose values are all NULL keeps its row.
     """
     v = F.col(value)
     order = F.struct(F.col(ts), F.col(tiebreak)) if (ts and tiebreak) else (F.col(ts) if ts else None)
     if calc in ("last", "first", "lastNotNull", "firstNotNull") and order is None:
         raise ValueError(f"{calc} needs a timestamp column")
-    src = df.where(v.isNotNull()) if calc.endswith("NotNull") else df
+    known = F.when(v.isNotNull(), order) if calc.endswith("NotNull") else None  # rows without an order do not count
     fns = {
         "mean": lambda: F.avg(v),
         "min": lambda: F.min(v),
@@ -43,10 +44,10 @@ def panel_calc(df: DataFrame, calc: str, value: str, ts: str | None = None,
         "sum": lambda: F.sum(v),
         "count": lambda: F.count(v),
         "last": lambda: F.max_by(v, order),
-        "lastNotNull": lambda: F.max_by(v, order),
+        "lastNotNull": lambda: F.max_by(v, known),
         "first": lambda: F.min_by(v, order),
-        "firstNotNull": lambda: F.min_by(v, order),
+        "firstNotNull": lambda: F.min_by(v, known),
     }
     if calc not in fns:
         raise ValueError(f"unknown calc {calc!r}")
-    return src.groupBy(*keys).agg(fns[calc]().alias(calc))
+    return df.groupBy(*keys).agg(fns[calc]().alias(calc))

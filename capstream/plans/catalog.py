@@ -16,8 +16,7 @@ from capstream.functions.parse import (SCHEMA_FIELD_COLUMNS, after_image, envelo
 from capstream.functions.shape import HASH_PREFIX, hash_rows_for, notification_for
 from capstream.operators.aggregate import clerk_totals
 from capstream.plans import standins as S
-from capstream.schema import AFTER_DDL
-from capstream.sources.envelope import _ROW_FIELDS, _SOURCE_FIELDS, _TX_FIELDS, MYSQL, POSTGRES, _field
+from capstream.schema import AFTER_DDL, TOTAL_FIELDS
 
 from capstream.plans.registry import QUERIES, register  # noqa: F401
 
@@ -30,6 +29,11 @@ def _events(spark: SparkSession, sf_dir: str, p: str) -> DataFrame:
     return parse_events(S.source_messages(spark, sf_dir, p), p)
 
 
+def _purchases(spark: SparkSession, sf_dir: str, p: str) -> DataFrame:
+    """Events with the two columns that totals read."""
+    return parse_events(S.source_messages(spark, sf_dir, p), p, fields=TOTAL_FIELDS)
+
+
 def _totals_sql(p: str, with_sum: bool) -> str:
     s = f", CAST(sum({p}_purchase) AS BIGINT) AS {p}_purchase_sum" if with_sum else ""
     return (f"SELECT {p}_clerk, count({p}_purchase) AS {p}_purchase_count{s} "
@@ -100,54 +104,54 @@ FROM (""" + S.ORDERS_ROWS_SQL + ") r")(
 )
 
 
-def _schema_fields_sql() -> str:
-    """Expected embedded-schema fields per message, times the message counts."""
-    rows = []
-    for src in (POSTGRES, MYSQL):
-        prefix = ".".join(p for p in (src.server, src.schema_name or src.db, src.table) if p)
-        parents = [("before", "struct", f"{prefix}.Value", _ROW_FIELDS),
-                   ("after", "struct", f"{prefix}.Value", _ROW_FIELDS),
-                   ("source", "struct", f"io.debezium.connector.{src.connector}.Source", _SOURCE_FIELDS),
-                   ("transaction", "struct", "event.block", _TX_FIELDS)]
-        for parent, ptype, pname, fields in parents:
-            for f in fields:
-                d = _field(*f)
-                rows.append((f"{prefix}.Envelope", parent, ptype, pname, d["field"], d["type"], d.get("name"),
-                             str(d["optional"]).lower(), None if "default" not in d else str(d["default"]),
-                             (d.get("parameters") or {}).get("allowed"), src.name))
-        for top, typ in (("op", "string"), ("ts_ms", "int64"), ("ts_us", "int64"), ("ts_ns", "int64")):
-            rows.append((f"{prefix}.Envelope", top, typ, None, None, None, None, None, None, None, src.name))
-
-    def q(v):
-        return "NULL" if v is None else "'" + str(v).replace("'", "''") + "'"
-    values = ",\n  ".join("(" + ", ".join(q(v) for v in r) + ")" for r in rows)
-    return f"""
-WITH f(envelope, parent_field, parent_type, parent_name, field, type, logical_name, optional,
-       default_value, allowed, src) AS (VALUES
-  {values}),
-n(src, n) AS (SELECT 'postgres', count(*) FROM orders UNION ALL SELECT 'mysql', count(*) FROM lineitem)
-SELECT envelope, parent_field, parent_type, parent_name, field, type, logical_name, optional,
-       default_value, allowed, n.n AS n_messages
-FROM f JOIN n ON f.src = n.src WHERE n.n > 0"""
-
-
-register("b11_schema_fields", _schema_fields_sql())(
+# --- fixed values: what each message's embedded schema says, stated apart from the code that writes the messages.
+_SCHEMA_FIELDS_SQL = """
+WITH row_fields(field, type, logical_name, optional, default_value) AS (VALUES
+  ('id', 'int32', NULL, 'false', '0'), ('name', 'string', NULL, 'true', NULL), ('age', 'int32', NULL, 'true', NULL),
+  ('email', 'string', NULL, 'true', NULL), ('purchase', 'int32', NULL, 'true', NULL),
+  ('timestamp', 'int64', 'io.debezium.time.MicroTimestamp', 'true', NULL), ('store', 'string', NULL, 'true', NULL),
+  ('clerk', 'string', NULL, 'true', NULL)),
+source_fields(field, type, logical_name, optional, default_value, allowed) AS (VALUES
+  ('version', 'string', NULL, 'false', NULL, NULL), ('connector', 'string', NULL, 'false', NULL, NULL),
+  ('name', 'string', NULL, 'false', NULL, NULL), ('ts_ms', 'int64', NULL, 'false', NULL, NULL),
+  ('snapshot', 'string', 'io.debezium.data.Enum', 'true', 'false', 'true,last,false,incremental'),
+  ('db', 'string', NULL, 'false', NULL, NULL), ('sequence', 'string', NULL, 'true', NULL, NULL),
+  ('ts_us', 'int64', NULL, 'true', NULL, NULL), ('ts_ns', 'int64', NULL, 'true', NULL, NULL),
+  ('schema', 'string', NULL, 'false', NULL, NULL), ('table', 'string', NULL, 'false', NULL, NULL),
+  ('txId', 'int64', NULL, 'true', NULL, NULL), ('lsn', 'int64', NULL, 'true', NULL, NULL), ('xmin', 'int64', NULL, 'true', NULL, NULL)),
+transaction_fields(field, type) AS (VALUES ('id', 'string'), ('total_order', 'int64'), ('data_collection_order', 'int64')),
+top_fields(field, type) AS (VALUES ('op', 'string'), ('ts_ms', 'int64'), ('ts_us', 'int64'), ('ts_ns', 'int64')),
+s(prefix, connector, n) AS (
+  SELECT 'postgrestopic.public.customer', 'postgresql', count(*) FROM orders
+  UNION ALL SELECT 'mysqltopic.mariadb.customer', 'mysql', count(*) FROM lineitem),
+f AS (
+  SELECT prefix, n, parent AS parent_field, 'struct' AS parent_type, prefix || '.Value' AS parent_name, field, type, logical_name,
+         optional, default_value, NULL AS allowed FROM s, row_fields, (VALUES ('before'), ('after')) p(parent)
+  UNION ALL SELECT prefix, n, 'source', 'struct', 'io.debezium.connector.' || connector || '.Source', field, type, logical_name, optional,
+         default_value, allowed FROM s, source_fields
+  UNION ALL SELECT prefix, n, 'transaction', 'struct', 'event.block', field, type, NULL, 'false', NULL, NULL FROM s, transaction_fields
+  UNION ALL SELECT prefix, n, field, type, NULL, NULL, NULL, NULL, NULL, NULL, NULL FROM s, top_fields)
+SELECT prefix || '.Envelope' AS envelope, parent_field, parent_type, parent_name, field, type, logical_name, optional, default_value,
+       allowed, n AS n_messages FROM f WHERE n > 0"""
+
+
+register("b11_schema_fields", _SCHEMA_FIELDS_SQL)(
     lambda spark, d: schema_field_counts(
         S.source_messages(spark, d, "postgres").unionByName(S.source_messages(spark, d, "mysql"))))
-register("b11_schema_fields_per_message", _schema_fields_sql())(
+register("b11_schema_fields_per_message", _SCHEMA_FIELDS_SQL)(
     lambda spark, d: schema_fields(parse_envelope(
         S.source_messages(spark, d, "postgres").unionByName(S.source_messages(spark, d, "mysql"))))
     .groupBy(*SCHEMA_FIELD_COLUMNS).agg(F.count(F.lit(1)).alias("n_messages"))
 )
 
 register("d1_clerk_count_postgres", _totals_sql("postgres", False))(
-    lambda spark, d: clerk_totals(_events(spark, d, "postgres"), "postgres", ("count",)))
+    lambda spark, d: clerk_totals(_purchases(spark, d, "postgres"), "postgres", ("count",)))
 register("d2_clerk_count_mysql", _totals_sql("mysql", False))(
-    lambda spark, d: clerk_totals(_events(spark, d, "mysql"), "mysql", ("count",)))
+    lambda spark, d: clerk_totals(_purchases(spark, d, "mysql"), "mysql", ("count",)))
 register("d3_clerk_totals_postgres", _totals_sql("postgres", True))(
-    lambda spark, d: clerk_totals(_events(spark, d, "postgres"), "postgres", ("count", "sum")))
+    lambda spark, d: clerk_totals(_purchases(spark, d, "postgres"), "postgres", ("count", "sum")))
 register("d4_clerk_totals_mysql", _totals_sql("mysql", True))(
-    lambda spark, d: clerk_totals(_events(spark, d, "mysql"), "mysql", ("count", "sum")))
+    lambda spark, d: clerk_totals(_purchases(spark, d, "mysql"), "mysql", ("count", "sum")))
 
 
 def _notification_sql(p: str, with_sum: bool) -> str:
@@ -166,10 +170,10 @@ FROM ({_totals_sql(p, with_sum)}) t"""
 
 register("b6_notification_postgres", _notification_sql("postgres", True))(
     lambda spark, d: notification_for(
-        clerk_totals(_events(spark, d, "postgres"), "postgres", ("count", "sum")), "postgres", ("count", "sum")))
+        clerk_totals(_purchases(spark, d, "postgres"), "postgres", ("count", "sum")), "postgres", ("count", "sum")))
 register("b6_notification_mysql", _notification_sql("mysql", False))(
     lambda spark, d: notification_for(
-        clerk_totals(_events(spark, d, "mysql"), "mysql", ("count",)), "mysql", ("count",)))
+        clerk_totals(_purchases(spark, d, "mysql"), "mysql", ("count",)), "mysql", ("count",)))
 
 
 def _hash_sql(p: str) -> str:
@@ -183,7 +187,7 @@ FROM ({_totals_sql(p, True)}) t WHERE {p}_clerk IS NOT NULL"""
 for _p in ("postgres", "mysql"):
     register(f"b9_hash_rows_{_p}", _hash_sql(_p))(
         lambda spark, d, p=_p: hash_rows_for(
-            clerk_totals(_events(spark, d, p), p, ("count", "sum")), p
+            clerk_totals(_purchases(spark, d, p), p, ("count", "sum")), p
         ).select("hash_key", F.col("fields")["Count"].alias("count_text"), F.col("fields")["Sum"].alias("sum_text"))
     )
 
@@ -193,7 +197,7 @@ SELECT 'Mysql:' || COALESCE(mysql_clerk, 'None') AS hash_key,
        CAST(mysql_purchase_count AS VARCHAR) AS count_text,
        COALESCE(CAST(mysql_purchase_sum AS VARCHAR), 'None') AS sum_text
 FROM ({_totals_sql("mysql", True)}) t""")(
-    lambda spark, d: hash_rows_for(clerk_totals(_events(spark, d, "mysql"), "mysql", ("count", "sum")), "mysql",
+    lambda spark, d: hash_rows_for(clerk_totals(_purchases(spark, d, "mysql"), "mysql", ("count", "sum")), "mysql",
                                    null_key="None")
     .select("hash_key", F.col("fields")["Count"].alias("count_text"), F.col("fields")["Sum"].alias("sum_text")))
 
@@ -201,7 +205,8 @@ register("d3_clerk_totals_postgres_inserts_snapshots", f"""
 SELECT clerk AS postgres_clerk, count(purchase) AS postgres_purchase_count,
        CAST(sum(purchase) AS BIGINT) AS postgres_purchase_sum
 FROM ({S.ORDERS_ROWS_SQL}) r WHERE op IN ('c', 'r') GROUP BY 1""")(
-    lambda spark, d: clerk_totals(parse_events(S.source_messages(spark, d, "postgres"), "postgres", with_op=True),
+    lambda spark, d: clerk_totals(parse_events(S.source_messages(spark, d, "postgres"), "postgres", fields=TOTAL_FIELDS,
+                                               with_op=True),
                                   "postgres", ("count", "sum"), ops=("c", "r")))
 
 
@@ -219,6 +224,9 @@ register("g2_stream_append_events_postgres", S.events_sql("postgres"))(
     lambda spark, d: ST.stream_append_events(spark, d, "postgres"))
 register("g6_stream_notifications_postgres", _notification_sql("postgres", True))(
     lambda spark, d: ST.stream_notifications(spark, d, "postgres"))
+for _p, _metrics in (("postgres", ("count", "sum")), ("mysql", ("count",))):
+    register(f"g6_stream_notifications_complete_{_p}", _notification_sql(_p, "sum" in _metrics))(
+        lambda spark, d, p=_p, m=_metrics: ST.stream_notifications(spark, d, p, "complete", m))
 register("g11_stream_fan_out_mysql", f"{S.events_sql('mysql')} UNION ALL {S.events_sql('mysql')}")(
     lambda spark, d: ST.stream_fan_out(spark, d, "mysql"))
 

@@ -1,61 +1,26 @@
-"""A4: turn table rows into change envelopes, shaped like Kafka source rows.
+"""Input stand-in: table rows as change envelopes, shaped like Kafka source rows.
 
-The capture connector is an external service; this re-aims its output so the
-rest of the pipeline can be driven by any DataFrame of ``customer``-shaped
+The capture connector is an external service; this imitates its output so that
+the rest of the pipeline can be driven by any DataFrame of ``customer``-shaped
 rows. Everything is a projection: no shuffle, scales with the input.
 """
 
 from __future__ import annotations
 
 import json
-from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampNTZType
 
 from capstream.schema import AFTER_DDL
+from capstream.sources.source import CdcSource
 
 
-@dataclass(frozen=True)
-class CdcSource:
-    """One captured table: where its change stream lives and how it is labelled.
-
-    ``name`` is the column prefix of the projected event (``<name>_clerk``).
-    ``kind`` is ``kafka`` (a broker topic) or ``files`` (a replay folder of
-    Kafka-shaped parquet rows).
-    """
-
-    name: str
-    topic: str
-    connector: str
-    server: str
-    db: str
-    schema_name: str | None
-    table: str = "customer"
-    kind: str = "kafka"
-    bootstrap_servers: str | None = None
-    path: str | None = None
-    fail_on_data_loss: bool = True
-    starting_offsets: str | None = None
-    max_files_per_trigger: int | None = None
-    ts_unit: str = "micros"
-    options: dict = field(default_factory=dict)
-
-    def with_(self, **kw) -> "CdcSource":
-        d = {k: getattr(self, k) for k in self.__dataclass_fields__}
-        d.update(kw)
-        return CdcSource(**d)
-
-
-# --- fixed values: the two captured databases --------------------------------
-POSTGRES = CdcSource(name="postgres", topic="postgrestopic.public.customer", connector="postgresql",
-                     server="postgrestopic", db="postgres", schema_name="public")
-MYSQL = CdcSource(name="mysql", topic="mysqltopic.mariadb.customer", connector="mysql",
-                  server="mysqltopic", db="mariadb", schema_name=None)
 CONNECTOR_VERSION = "3.0.0.Final"
 
-# Field list of the captured row as the connector describes it (type, optional).
+# --- fixed values: field lists of the captured row, the origin block and the transaction block as the connector
+# describes them (name, type, optional)
 _ROW_FIELDS = (
     ("id", "int32", False), ("name", "string", True), ("age", "int32", True),
     ("email", "string", True), ("purchase", "int32", True), ("timestamp", "int64", True),

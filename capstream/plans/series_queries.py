@@ -13,6 +13,7 @@ from capstream.operators.aggregate import clerk_totals
 from capstream.functions.parse import parse_events
 from capstream.plans import standins as S
 from capstream.plans.registry import register, round_text, spark_round_text, sql_round
+from capstream.schema import TOTAL_FIELDS
 
 HOUR_MS = 3_600_000
 R = 6  # decimals kept for floating results on both sides
@@ -171,7 +172,7 @@ register("e7_zrange_by_score",
 # --- E8: hash, set and list reads ----------------------------------------------------
 
 def _hashes(spark, d):
-    return hash_rows_for(clerk_totals(parse_events(S.source_messages(spark, d, "postgres"), "postgres"),
+    return hash_rows_for(clerk_totals(parse_events(S.source_messages(spark, d, "postgres"), "postgres", fields=TOTAL_FIELDS),
                                       "postgres", ("count", "sum")), "postgres")
 
 
@@ -255,15 +256,15 @@ register("e12_organize_totals",
          "SELECT postgres_clerk AS clerk, count(postgres_purchase) AS \"Count\" "
          f"FROM ({S.events_sql('postgres')}) e GROUP BY 1")(
     lambda spark, d: P.keep_fields(P.organize(
-        clerk_totals(parse_events(S.source_messages(spark, d, "postgres"), "postgres"), "postgres", ("count", "sum")),
+        clerk_totals(parse_events(S.source_messages(spark, d, "postgres"), "postgres", fields=TOTAL_FIELDS), "postgres", ("count", "sum")),
         exclude=["postgres_purchase_sum"], rename={"postgres_clerk": "clerk", "postgres_purchase_count": "Count"}),
         ["clerk", "Count"]))
 register("e13_panel_mean", f"SELECT event_type, {round_text('avg(value)', R)} AS mean FROM events GROUP BY 1")(
     lambda spark, d: P.panel_calc(S.table(spark, d, "events"), "mean", "value", keys=("event_type",))
     .select("event_type", sql_round("mean", R).alias("mean")))
 register("e13_panel_last_not_null",
-         "SELECT event_type, last(value ORDER BY ts NULLS FIRST, event_id NULLS FIRST) AS \"lastNotNull\" FROM events "
-         "WHERE value IS NOT NULL GROUP BY 1")(
+         "SELECT event_type, last(value ORDER BY ts NULLS FIRST, event_id NULLS FIRST) FILTER (WHERE value IS NOT NULL) "
+         "AS \"lastNotNull\" FROM events GROUP BY 1")(
     lambda spark, d: P.panel_calc(S.table(spark, d, "events"), "lastNotNull", "value", "ts", ("event_type",),
                                   "event_id"))
 

@@ -20,7 +20,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from capstream.functions.common import explode_rows
-from capstream.sources.envelope import MYSQL, POSTGRES, CdcSource, epoch_micros, is_ntz, to_envelope
+from capstream.sources.source import MYSQL, POSTGRES, CdcSource
+from capstream.plans.envelopes import epoch_micros, is_ntz, to_envelope
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

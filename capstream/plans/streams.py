@@ -12,12 +12,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from capstream.functions.parse import parse_events
+from capstream.functions.shape import notification_for
 from capstream.operators.aggregate import clerk_totals
 from capstream.plans import standins as S
+from capstream.schema import TOTAL_FIELDS
 from capstream.session import shared_path
 from capstream.sources.kafka import cdc_source, write_replay
 from capstream.streaming import sinks
 from capstream.streaming.runner import progress_summary, run
+from capstream.streaming.versions import VersionedFolder
 
 MICRO_BATCHES = 4
 
@@ -36,7 +39,7 @@ def stream_hash_store(spark: SparkSession, sf_dir: str, prefix: str) -> DataFram
     """Update-mode totals -> keyed hash store; read back the current hashes."""
     src = replay_source(spark, sf_dir, prefix)
     writer = sinks.TableHashWriter(shared_path(spark, f"hash-{prefix}"))
-    totals = clerk_totals(parse_events(cdc_source(spark, src), prefix), prefix, ("count", "sum"))
+    totals = clerk_totals(parse_events(cdc_source(spark, src), prefix, fields=TOTAL_FIELDS), prefix, ("count", "sum"))
     q = sinks.sink_keyed_upsert(totals, writer, prefix, shared_path(spark, f"ck-hash-{prefix}"),
                                 trigger="available_now")
     run(spark, [q])
@@ -48,10 +51,10 @@ def stream_complete_counts(spark: SparkSession, sf_dir: str, prefix: str) -> Dat
     """G1: complete-mode running counts; the final table equals the batch count."""
     src = replay_source(spark, sf_dir, prefix)
     out = shared_path(spark, f"totals-{prefix}")
-    totals = clerk_totals(parse_events(cdc_source(spark, src), prefix), prefix, ("count",))
+    totals = clerk_totals(parse_events(cdc_source(spark, src), prefix, fields=TOTAL_FIELDS), prefix, ("count",))
     q = sinks.sink_snapshot(totals, out, shared_path(spark, f"ck-totals-{prefix}"), trigger="available_now")
     run(spark, [q])
-    return spark.read.parquet(out)
+    return sinks.read_snapshot(spark, out)
 
 
 def stream_append_events(spark: SparkSession, sf_dir: str, prefix: str) -> DataFrame:
@@ -64,26 +67,24 @@ def stream_append_events(spark: SparkSession, sf_dir: str, prefix: str) -> DataF
     return spark.read.parquet(out)
 
 
-def stream_notifications(spark: SparkSession, sf_dir: str, prefix: str) -> DataFrame:
-    """G6 without a broker: update-mode notifications kept as a keyed table.
+def stream_notifications(spark: SparkSession, sf_dir: str, prefix: str, mode: str = "update",
+                         metrics: tuple[str, ...] = ("count", "sum")) -> DataFrame:
+    """G6 without a broker: each micro-batch's ``(key, value)`` messages kept with their epoch.
 
-    Each micro-batch's changed ``(key, value)`` messages are appended with the
-    epoch; the latest message per key is what a compacted notification topic
-    holds after the stream (a NULL key is its own key, as on the topic).
+    ``update`` publishes changed keys: the latest message per key is what a
+    compacted topic holds after the stream (a NULL key is its own key, as on the
+    topic). ``complete`` publishes every key each time: the newest epoch's
+    messages alone are the whole answer.
     """
-    from capstream.functions.shape import notification_for
     src = replay_source(spark, sf_dir, prefix)
-    out = shared_path(spark, f"notify-{prefix}")
-    totals = clerk_totals(parse_events(cdc_source(spark, src), prefix), prefix, ("count", "sum"))
-
-    def write(batch: DataFrame, epoch_id: int) -> None:
-        batch.withColumn("_epoch", F.lit(epoch_id).cast("bigint")).write.mode("append").parquet(out)
-
-    q = sinks.fan_out(notification_for(totals, prefix, ("count", "sum")), [write],
-                      shared_path(spark, f"ck-notify-{prefix}"), mode="update", trigger="available_now")
+    out = VersionedFolder(shared_path(spark, f"notify-{prefix}"))
+    totals = clerk_totals(parse_events(cdc_source(spark, src), prefix, fields=TOTAL_FIELDS), prefix, metrics)
+    q = sinks.fan_out(notification_for(totals, prefix, metrics), [out.write],
+                      shared_path(spark, f"ck-notify-{prefix}"), mode=mode, trigger="available_now")
     run(spark, [q])
-    t = spark.read.parquet(out)
-    return t.groupBy("key").agg(F.max_by("value", "_epoch").alias("value"))
+    if mode == "complete":
+        return out.newest(spark)
+    return out.read(spark).groupBy("key").agg(F.max_by("value", F.struct("run", "epoch")).alias("value"))
 
 
 def stream_fan_out(spark: SparkSession, sf_dir: str, prefix: str) -> DataFrame:
@@ -93,15 +94,10 @@ def stream_fan_out(spark: SparkSession, sf_dir: str, prefix: str) -> DataFrame:
     src = replay_source(spark, sf_dir, prefix)
     outs = [shared_path(spark, f"fan-{i}-{prefix}") for i in (1, 2)]
 
-    def sink(path: str):
-        def write(batch: DataFrame, epoch_id: int) -> None:
-            batch.write.mode("append").parquet(path)
-        return write
-
     qs = shared_job(spark, [src], shared_path(spark, f"ck-fan-{prefix}"),
-                    event_sinks={prefix: [sink(p) for p in outs]}, total_sinks={}, trigger="available_now")
+                    event_sinks={prefix: [sinks.append_sink(p) for p in outs]}, total_sinks={}, trigger="available_now")
     run(spark, qs)
-    return spark.read.parquet(outs[0]).unionByName(spark.read.parquet(outs[1]))
+    return spark.read.parquet(outs[0]).unionByName(spark.read.parquet(outs[1])).drop("epoch")
 
 
 def measure_stream(spark: SparkSession, sf_dir: str, prefix: str = "mysql", batches: int = MICRO_BATCHES) -> dict:
@@ -113,7 +109,7 @@ def measure_stream(spark: SparkSession, sf_dir: str, prefix: str = "mysql", batc
     import time
     src = replay_source(spark, sf_dir, prefix, batches)
     writer = sinks.TableHashWriter(shared_path(spark, f"hash-bench-{prefix}"))
-    totals = clerk_totals(parse_events(cdc_source(spark, src), prefix), prefix, ("count", "sum"))
+    totals = clerk_totals(parse_events(cdc_source(spark, src), prefix, fields=TOTAL_FIELDS), prefix, ("count", "sum"))
     t0 = time.perf_counter()
     q = sinks.sink_keyed_upsert(totals, writer, prefix, shared_path(spark, f"ck-bench-{prefix}"),
                                 trigger="available_now")

@@ -54,6 +54,9 @@ KAFKA_ROW_DDL = (
 # Columns of the projected event, before the source prefix is applied.
 EVENT_FIELDS = (("purchase", "purchase"), ("clerk", "clerk"), ("store", "store"), ("name", "customer"))
 
+# The two of them that the totals read.
+TOTAL_FIELDS = (("purchase", "purchase"), ("clerk", "clerk"))
+
 
 def struct_type(ddl: str) -> StructType:
     """DDL text to StructType (needs an active session: parsing is JVM-side).

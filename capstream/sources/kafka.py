@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from capstream.schema import KAFKA_ROW_DDL
-from capstream.sources.envelope import CdcSource
+from capstream.sources.source import CdcSource
 
 
 def kafka_options(source: CdcSource) -> dict[str, str]:
@@ -24,6 +24,10 @@ def kafka_options(source: CdcSource) -> dict[str, str]:
     }
     if source.starting_offsets:
         opts["startingOffsets"] = source.starting_offsets
+    if source.max_offsets_per_trigger:
+        opts["maxOffsetsPerTrigger"] = str(source.max_offsets_per_trigger)
+    if source.min_partitions:
+        opts["minPartitions"] = str(source.min_partitions)
     opts.update({k: str(v) for k, v in source.options.items()})
     return opts
 
@@ -76,7 +80,7 @@ def cdc_batch(spark: SparkSession, source: CdcSource) -> DataFrame:
     """The same rows as a bounded DataFrame (replays, backfills, tests)."""
     if source.kind == "kafka":
         opts = kafka_options(source)
-        opts.pop("failOnDataLoss", None)
+        opts.pop("maxOffsetsPerTrigger", None)  # streams only
         return spark.read.format("kafka").options(**opts).load()
     if source.kind == "files":
         return spark.read.schema(KAFKA_ROW_DDL).parquet(source.path)

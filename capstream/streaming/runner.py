@@ -16,7 +16,8 @@ from pyspark.sql.streaming import StreamingQuery
 from capstream.functions.parse import parse_events
 from capstream.functions.shape import notification_for
 from capstream.operators.aggregate import clerk_totals
-from capstream.sources.envelope import CdcSource
+from capstream.schema import TOTAL_FIELDS
+from capstream.sources.source import CdcSource
 from capstream.sources.kafka import cdc_source
 from capstream.streaming import sinks
 
@@ -64,7 +65,8 @@ def events_of(spark: SparkSession, source: CdcSource) -> DataFrame:
 
 
 def totals_of(spark: SparkSession, source: CdcSource, metrics: tuple[str, ...]) -> DataFrame:
-    return clerk_totals(events_of(spark, source), source.name, metrics)
+    events = parse_events(cdc_source(spark, source), source.name, fields=TOTAL_FIELDS)
+    return clerk_totals(events, source.name, metrics)
 
 
 def _ck(root: str | None, job: str, source: CdcSource) -> str | None:

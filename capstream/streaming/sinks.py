@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from capstream.functions.shape import hash_rows_for
+from capstream.streaming.versions import VersionedFolder
 
 BatchFn = Callable[[DataFrame, int], None]
 
@@ -43,8 +44,8 @@ def _writer(df: DataFrame, mode: str, trigger: str | None, checkpoint: str | Non
 
 
 def sink_console(df: DataFrame, mode: str = "complete", trigger: str | None = None, truncate: bool = False,
-                 checkpoint: str | None = None, name: str | None = None, num_rows: int = 20) -> StreamingQuery:
-    """Print each micro-batch (complete aggregates or appended events)."""
+                 checkpoint: str | None = None, name: str | None = None, num_rows: int = 2**31 - 1) -> StreamingQuery:
+    """Print each micro-batch (complete aggregates or appended events), all rows unless ``num_rows`` is given."""
     return (_writer(df, mode, trigger, checkpoint, name).format("console")
             .option("truncate", str(truncate).lower()).option("numRows", str(num_rows)).start())
 
@@ -134,22 +135,34 @@ class RedisHashWriter(HashWriter):
 
 
 class TableHashWriter(HashWriter):
-    """A keyed store kept as a table: each batch is appended with its epoch,
-    the current value of a key is its row from the highest epoch.
+    """A keyed store kept as a table: every batch is a folder of its own (``VersionedFolder``),
+    the current value of a key is its row from the newest run and epoch.
 
-    Replaying an epoch appends the same absolute values again, so reads stay
-    correct (idempotent per key).
+    A replayed epoch overwrites its folder; a recreated checkpoint starts a new
+    run, whose values win over all earlier ones. Every ``compact_every`` batches
+    the current values are written as one folder of a new run and the folders
+    before it are deleted, so reads do not grow with the stream's age.
     """
 
-    def __init__(self, path: str):
-        self.path = path
+    def __init__(self, path: str, compact_every: int = 100):
+        self.path, self.compact_every = path, compact_every
+        self._folder = VersionedFolder(path)
 
     def write_batch(self, rows: DataFrame, epoch_id: int) -> None:
-        rows.withColumn("_epoch", F.lit(epoch_id).cast("bigint")).write.mode("append").parquet(self.path)
+        self._folder.write(rows, epoch_id)
+        if len(self._folder.complete(rows.sparkSession)) >= self.compact_every:
+            self.compact(rows.sparkSession)
+
+    def compact(self, spark) -> None:
+        old = self._folder.complete(spark)
+        after = VersionedFolder(self.path)
+        after.write(self.read(spark), 0)
+        self._folder = VersionedFolder(self.path)  # the next batch begins a run after the compacted one
+        self._folder.delete(spark, old)
 
     def read(self, spark) -> DataFrame:
-        t = spark.read.parquet(self.path)
-        return t.groupBy("hash_key").agg(F.max_by("fields", "_epoch").alias("fields"))
+        t = self._folder.read(spark)
+        return t.groupBy("hash_key").agg(F.max_by("fields", F.struct("run", "epoch")).alias("fields"))
 
 
 def sink_keyed_upsert(totals: DataFrame, writer: HashWriter, prefix: str, checkpoint: str,
@@ -218,16 +231,21 @@ class JdbcAppend:
     """foreachBatch body: append each micro-batch to a table.
 
     ``idempotent=True`` stamps rows with a batch key, ``<run>:<epoch>``, and
-    deletes that key's rows before appending, so a replayed batch does not
-    duplicate rows. ``run`` is the query's id from its checkpoint (read on the
-    first batch when ``checkpoint`` is given): a recreated checkpoint restarts
-    epochs at 0 under a new id, so earlier rows are never deleted.
+    deletes that key's rows before appending where they may be there: on the
+    first batch after a start and when an epoch comes again. ``run`` is the
+    query's id from its checkpoint (read on the first batch): a recreated
+    checkpoint restarts epochs at 0 under a new id, so earlier rows are never
+    deleted. At most ``num_partitions`` connections write at once. An index on
+    the batch column keeps the deletes cheap on a large table.
     """
 
     def __init__(self, url: str, table: str, properties: dict, idempotent: bool = False,
                  batch_col: str = "_batch_key", run: str | None = None, checkpoint: str | None = None,
                  execute: Callable | None = None, table_exists: Callable | None = None,
-                 write: Callable | None = None, num_partitions: int | None = None):
+                 write: Callable | None = None, num_partitions: int | None = 16):
+        if idempotent and not (run or checkpoint):
+            raise ValueError("idempotent appends need a checkpoint (or run id): without one, runs cannot be told apart")
+        self._last: int | None = None
         self.url, self.table, self.props = url, table, dict(properties)
         self.idempotent, self.batch_col, self.run, self.checkpoint = idempotent, batch_col, run, checkpoint
         self.num_partitions = num_partitions
@@ -240,11 +258,13 @@ class JdbcAppend:
         if self.idempotent:
             spark = batch.sparkSession
             if self.run is None:
-                self.run = checkpoint_run_id(spark, self.checkpoint) if self.checkpoint else ""
+                self.run = checkpoint_run_id(spark, self.checkpoint)
             key = f"{self.run}:{int(epoch_id)}"
             batch = batch.withColumn(self.batch_col, F.lit(key))
-            if self._exists(spark):  # the first batch creates the table
+            again = self._last is None or epoch_id <= self._last
+            if again and self._exists(spark):  # the first batch of all creates the table
                 self._execute(spark, f"DELETE FROM {self.table} WHERE {self.batch_col} = ?", (key,))
+            self._last = epoch_id
         if self.num_partitions:
             batch = batch.coalesce(self.num_partitions)  # bound concurrent connections
         self._write(batch)
@@ -254,6 +274,8 @@ def sink_jdbc(events: DataFrame, url: str, table: str, properties: dict, checkpo
               trigger: str | None = None, idempotent: bool = False, name: str | None = None,
               **kw) -> StreamingQuery:
     """Projected events appended to a table each micro-batch."""
+    if not checkpoint:
+        raise ValueError("checkpoint is required (a restart would append everything again)")
     kw.setdefault("checkpoint", checkpoint)
     body = JdbcAppend(url, table, properties, idempotent=idempotent, **kw)
     return _writer(events, "append", trigger, checkpoint, name).foreachBatch(body).start()
@@ -273,13 +295,36 @@ def sink_files(df: DataFrame, path: str, checkpoint: str, fmt: str = "parquet",
 
 
 def sink_snapshot(df: DataFrame, path: str, checkpoint: str, trigger: str | None = None,
-                  name: str | None = None) -> StreamingQuery:
-    """Complete-mode result table: every batch overwrites the table with the full result."""
+                  name: str | None = None, keep: int = 2) -> StreamingQuery:
+    """Complete-mode result table: every batch writes the full result as a new version.
+
+    ``read_snapshot`` gives the newest complete version, so readers never see a
+    missing or half-written table; the newest ``keep`` versions stay.
+    """
+    folder = VersionedFolder(path)
+
     def each(batch: DataFrame, epoch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(path)
+        folder.write(batch, epoch_id)
+        folder.delete(batch.sparkSession, folder.complete(batch.sparkSession)[:-keep])
     return _writer(df, "complete", trigger, checkpoint, name).foreachBatch(each).start()
 
 
+def read_snapshot(spark, path: str) -> DataFrame:
+    """The newest complete version that ``sink_snapshot`` wrote."""
+    return VersionedFolder(path).newest(spark)
+
+
+def append_sink(path: str) -> BatchFn:
+    """A replay-safe table sink for ``fan_out``: every epoch is written to its own folder, overwriting.
+
+    Read the rows with ``spark.read.parquet(path)`` (the folder's ``epoch`` is a
+    column). The table belongs to one checkpoint, whose epochs name the folders.
+    """
+    def write(batch: DataFrame, epoch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path.rstrip('/')}/epoch={int(epoch_id)}")
+    return write
+
+
 def fan_out(df: DataFrame, sinks: list[BatchFn], checkpoint: str, mode: str = "append",
             trigger: str | None = None, name: str | None = None) -> StreamingQuery:
     """One query, each micro-batch computed once and handed to every sink."""

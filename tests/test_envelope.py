@@ -8,7 +8,8 @@ from capstream.functions.parse import (envelope_meta, parse_envelope, parse_even
                                        schema_fields)
 from capstream.functions.shape import hash_rows_for, notification_for
 from capstream.operators.aggregate import clerk_totals
-from capstream.sources.envelope import POSTGRES, schema_block, to_envelope
+from capstream.sources.source import POSTGRES
+from capstream.plans.envelopes import schema_block, to_envelope
 
 # One full change message of the captured customer table.
 GOLDEN_AFTER = {"id": 2, "name": "User5179", "age": 55, "email": "user4206@example.com",

@@ -73,6 +73,10 @@ def test_panel(spark):
                                 ("a", dt.datetime(2024, 1, 1, 2), 3.0)], "k string, ts timestamp_ntz, v double")
     assert P.panel_calc(df, "lastNotNull", "v", "ts", ("k",)).first().lastNotNull == 3.0
     assert P.panel_calc(df, "mean", "v", keys=("k",)).first().mean == 2.0
+    nulls = spark.createDataFrame([("n", dt.datetime(2024, 1, 1), None)], "k string, ts timestamp_ntz, v double")
+    for calc, want in (("lastNotNull", 3.0), ("firstNotNull", 1.0)):
+        got = {r.k: r[1] for r in P.panel_calc(df.unionByName(nulls), calc, "v", "ts", ("k",)).collect()}
+        assert got == {"a": want, "n": None}
     o = P.organize(df, exclude=["ts"], rename={"v": "value"}, order=["value"])
     assert o.columns == ["value", "k"]
     assert P.keep_fields(o, ["k"]).columns == ["k"]

@@ -10,7 +10,7 @@ from capstream.functions.parse import parse_events
 from capstream.functions.shape import HASH_PREFIX
 from capstream.operators.aggregate import clerk_totals
 from capstream.plans import standins as S
-from capstream.sources.envelope import MYSQL, POSTGRES
+from capstream.sources.source import MYSQL, POSTGRES
 from capstream.sources.kafka import cdc_source, kafka_options, write_replay
 from capstream.streaming import sinks
 from capstream.streaming.runner import progress_summary, run, shared_job
@@ -54,13 +54,14 @@ def test_restart_from_checkpoint(spark, sf):
     os.makedirs(first)
     os.link(os.path.join(src.path, files[0]), os.path.join(first, files[0]))
     run(spark, [start(src.with_(path=first))])
-    partial = spark.read.parquet(out).agg(F.sum("postgres_purchase_count")).first()[0]
+    partial = sinks.read_snapshot(spark, out).agg(F.sum("postgres_purchase_count")).first()[0]
     # the rest arrive later, the query restarts on the same checkpoint
     for f in files[1:]:
         os.link(os.path.join(src.path, f), os.path.join(first, f))
     run(spark, [start(src.with_(path=first))])
-    got = {r[0]: tuple(r[1:]) for r in spark.read.parquet(out).collect()}
+    got = {r[0]: tuple(r[1:]) for r in sinks.read_snapshot(spark, out).collect()}
     assert got == _batch_totals(spark, sf, "postgres")
+    assert len(sinks.VersionedFolder(out).complete(spark)) <= 2  # older versions are gone
     assert partial < sum(v[0] for v in got.values())
 
 
@@ -86,6 +87,50 @@ def test_jdbc_append_idempotent_replay(spark):
                              table_exists=lambda s: True, write=lambda df: None)
     other(batch, 7)
     assert calls[-1] == ("DELETE FROM dumped WHERE _batch_key = ?", ("run-b:7",))
+    # only the first batch after a start, or one that comes again, can have rows to delete
+    other(batch, 8)
+    other(batch, 9)
+    assert len(calls) == 2
+    other(batch, 9)
+    assert calls[-1] == ("DELETE FROM dumped WHERE _batch_key = ?", ("run-b:9",))
+
+
+def test_hash_store_survives_replays_and_a_new_checkpoint(spark):
+    path = tempfile.mkdtemp() + "/hash"
+    def batch(**kv):
+        return spark.createDataFrame([(k, {"Count": v}) for k, v in kv.items()], "hash_key string, fields map<string,string>")
+    def now():
+        return {r.hash_key: r.fields["Count"] for r in sinks.TableHashWriter(path).read(spark).collect()}
+    old = sinks.TableHashWriter(path)
+    old.write_batch(batch(a="50", b="7"), 7)
+    old.write_batch(batch(a="50", b="7"), 7)  # the epoch comes again
+    assert now() == {"a": "50", "b": "7"}
+    new = sinks.TableHashWriter(path, compact_every=3)  # a recreated checkpoint begins at epoch 0
+    new.write_batch(batch(a="99"), 0)
+    assert now() == {"a": "99", "b": "7"}
+    new.write_batch(batch(c="1"), 1)  # third folder: compacted
+    assert now() == {"a": "99", "b": "7", "c": "1"} and len(sinks.VersionedFolder(path).complete(spark)) == 1
+    new.write_batch(batch(a="100"), 2)
+    assert now() == {"a": "100", "b": "7", "c": "1"}
+
+
+def test_replayed_epochs_do_not_duplicate_rows(spark):
+    path = tempfile.mkdtemp() + "/rows"
+    write, df = sinks.append_sink(path), spark.range(3)
+    for epoch in (0, 1, 1):
+        write(df, epoch)
+    assert spark.read.parquet(path).drop("epoch").count() == 6
+
+
+def test_snapshot_readers_see_only_complete_versions(spark):
+    path = tempfile.mkdtemp() + "/snap"
+    f = sinks.VersionedFolder(path)
+    f.write(spark.range(2), 0)
+    spark.range(9).write.parquet(f.folder(f.begin(spark), 1))
+    os.remove(f.folder(f.begin(spark), 1) + "/_SUCCESS")  # a writer died before its commit
+    assert sinks.read_snapshot(spark, path).count() == 2
+    with pytest.raises(FileNotFoundError):
+        sinks.read_snapshot(spark, path + "-none")
 
 
 def test_jdbc_run_id_comes_from_the_checkpoint(spark, sf):
@@ -181,6 +226,10 @@ def test_sinks_require_checkpoints(spark):
         sinks.sink_kafka(df, "t", "k:1", checkpoint="")
     with pytest.raises(ValueError):
         sinks.sink_keyed_upsert(df, sinks.TableHashWriter("/nonexistent"), "mysql", checkpoint="")
+    with pytest.raises(ValueError):
+        sinks.sink_jdbc(df, "jdbc:x", "t", {}, checkpoint="")
+    with pytest.raises(ValueError):
+        sinks.JdbcAppend("jdbc:x", "t", {}, idempotent=True)
 
 
 def test_jdbc_snapshot_options():
@@ -222,6 +271,9 @@ def test_command_line_kafka_options():
     (s,) = build_sources(a)
     assert kafka_options(s) == {"kafka.bootstrap.servers": "kafka:9092", "subscribe": "mysqltopic.mariadb.customer",
                                 "failOnDataLoss": "false"}
+    a = parse_args(["notify", "--bootstrap", "k:1", "--sources", "mysql", "--max-offsets-per-trigger", "1000", "--min-partitions", "64"])
+    opts = kafka_options(build_sources(a)[0])
+    assert (opts["maxOffsetsPerTrigger"], opts["minPartitions"], opts["failOnDataLoss"]) == ("1000", "64", "true")
 
 
 def test_missing_kafka_connector_is_reported_clearly(spark):
