@@ -30,44 +30,49 @@ from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 from capstream.llm.filestore import attempt_name, create, open_file
+from capstream.llm.textvec import SPACE, slices
 from capstream.session import shared_path
 
 MAGIC = b"CAPBITS1"
 FOOTER = struct.Struct("<8sIIQQQQ")
 BLOCK = 4096
-#: Strings (units between spaces, and pre-tokens) whose ids a worker remembers.
+#: Pre-tokens whose ids a worker remembers.
 REMEMBERED = 1_000_000
+#: UTF-8 bytes of text encoded at a time (one longer text goes alone).
+AT_ONCE = 8 << 20
 
 
 def pack(ids: np.ndarray, bits: int) -> bytes:
     """``ids`` (count a multiple of 8) at ``bits`` bits each, little-endian."""
-    rows = ids.reshape(-1, 8).astype(np.uint64)
-    out = np.zeros((len(rows), bits + 8), np.uint8)
+    word = np.uint32 if bits <= 25 else np.uint64  # with a shift of up to 7 bits
+    rows = ids.reshape(-1, 8).astype(word)
+    out = np.zeros((len(rows), bits), np.uint8)
     for j in range(8):
         at, shift = divmod(j * bits, 8)
-        v = rows[:, j] << np.uint64(shift)
+        v = rows[:, j] << word(shift)
         for k in range((shift + bits + 7) // 8):
-            out[:, at + k] |= (v >> np.uint64(8 * k)).astype(np.uint8)
-    return out[:, :bits].tobytes()
+            out[:, at + k] |= (v >> word(8 * k)).astype(np.uint8)
+    return out.tobytes()
 
 
 def unpack(data: bytes, bits: int) -> np.ndarray:
     """Inverse of ``pack``: uint32 ids."""
     rows = np.frombuffer(data, np.uint8).reshape(-1, bits)
+    word = np.uint32 if bits <= 25 else np.uint64
     out = np.empty((len(rows), 8), np.uint32)
-    mask = np.uint64((1 << bits) - 1)
     for j in range(8):
         at, shift = divmod(j * bits, 8)
-        v = np.zeros(len(rows), np.uint64)
+        v = np.zeros(len(rows), word)
         for k in range((shift + bits + 7) // 8):
-            v |= rows[:, at + k].astype(np.uint64) << np.uint64(8 * k)
-        out[:, j] = (v >> np.uint64(shift)) & mask
+            v |= rows[:, at + k].astype(word) << word(8 * k)
+        out[:, j] = (v >> word(shift)) & word((1 << bits) - 1)
     return out.ravel()
 
 
@@ -87,18 +92,17 @@ class PackWriter:
         self.n += len(tokens)
         self.rest.append(tokens)
         self.held += len(tokens)
-        if self.held >= 16 * self.block:
+        if self.held >= 64 * self.block:
             self._flush(False)
 
     def _flush(self, last: bool) -> None:
         held = np.concatenate(self.rest) if self.rest else np.zeros(0, np.uint32)
         end = len(held) if last else len(held) // self.block * self.block
-        for i in range(0, end, self.block):
-            ids = held[i:min(i + self.block, end)]
-            data = pack(np.pad(ids, (0, -len(ids) % 8)), self.bits)
-            self.offsets.append(self.at)
-            self.out.write(data)
-            self.at += len(data)
+        ids = held[:end]
+        data = pack(np.pad(ids, (0, -len(ids) % 8)), self.bits)
+        self.offsets += range(self.at, self.at + len(data), self.block // 8 * self.bits)
+        self.out.write(data)
+        self.at += len(data)
         self.rest, self.held = [held[end:]], len(held) - end
 
     def close(self) -> None:
@@ -177,8 +181,7 @@ class CachedEncoder:
         self.width = id_width(self.bits)
         self.code = "H" if self.width == "<u2" else "I"
         self.pieces = regex.compile(public_tokenizers.PATTERN).findall
-        self.spaced: dict[str, bytes] = {}  # of " " + key
-        self.bare: dict[str, bytes] = {}
+        self.known: dict[str, bytes] = {}  # pre-token -> ids
         self.end = self._bytes([end_id])
 
     def _bytes(self, ids: list[int]) -> bytes:
@@ -190,59 +193,87 @@ class CachedEncoder:
     def _library(self, texts: list[str]) -> list[bytes]:
         return [self._bytes(e.ids) for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, units: list[str], heads: list[str]) -> None:
-        """Put the ids of new units (" " + unit) into ``spaced`` and of new text beginnings into ``bare``."""
-        words = {u for u in units if u.isalpha()}  # one pre-token
-        split = [(u, self.pieces(" " + u)) for u in units if u not in words]
-        first = [(h, self.pieces(h)) for h in heads]
-        new_bare = set()
-        for _, ps in (*split, *first):
-            for p in ps:
-                if p[0] == " " and len(p) > 1:
-                    if p[1:] not in self.spaced:
-                        words.add(p[1:])
-                elif p not in self.bare:
-                    new_bare.add(p)
-        asked, plain = list(words), list(new_bare)
-        self.spaced.update(zip(asked, self._library([" " + w for w in asked]), strict=True))
-        self.bare.update(zip(plain, self._library(plain), strict=True))
-        spaced, bare = self.spaced, self.bare
-        for own, new in ((spaced, split), (bare, first)):
-            own.update([(u, b"".join([spaced[p[1:]] if p[0] == " " and len(p) > 1 else bare[p] for p in ps])) for u, ps in new])
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Each text's ids (little-endian, ``width`` bytes each), the end id last."""
-        parts: list[tuple[str, list[str]] | None] = []
-        need: set[str] = set()
-        for t in texts:
-            head, *units = t.split(" ")
-            if units and any(x.isspace() or not x for x in {u[:1] for u in units}):
-                parts.append(None)
-                continue
-            need.update(units)
-            parts.append((head, units))
-        sizes = len(self.spaced), len(self.bare)
-        self._learn([u for u in need if u not in self.spaced], [h for h in {p[0] for p in parts if p} if h not in self.bare])
-        get, bare = self.spaced.__getitem__, self.bare
-        rest = iter(self._library([t for t, p in zip(texts, parts, strict=True) if p is None]))
-        out = [(next(rest) if p is None else bare[p[0]] + b"".join(map(get, p[1]))) + self.end for p in parts]
-        for known, size in ((self.spaced, sizes[0]), (self.bare, sizes[1])):
-            for i, k in enumerate(list(islice(known, size, None)), size):
-                if i >= REMEMBERED or len(k) > 64:  # the first ones met, the frequent ones, stay
-                    del known[k]
+    def _table(self, pieces: list[str]) -> list[bytes]:
+        """Ids of different pre-tokens; new ones are remembered while there is room (the first ones met are the frequent ones)."""
+        out = list(map(self.known.get, pieces))
+        new = [i for i, x in enumerate(out) if x is None]
+        for i, x in zip(new, self._library([pieces[i] for i in new]), strict=True):
+            out[i] = x
+        room = max(0, REMEMBERED - len(self.known))
+        self.known.update([(pieces[i], out[i]) for i in new[:room] if len(pieces[i]) <= 64])
         return out
 
-
-def _slices(lengths: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
-    """Runs of rows whose lengths sum to about ``most`` at most (single rows may be longer)."""
-    i, total = 0, 0
-    for j, n in enumerate(lengths):
-        if j > i and total + n > most:
-            yield i, j
-            i, total = j, 0
-        total += int(n)
-    if i < len(lengths):
-        yield i, len(lengths)
+    def _odd(self, texts: pa.Array, data: np.ndarray, starts: np.ndarray) -> np.ndarray:
+        """Rows with a space before other white space or at their end."""
+        space = np.flatnonzero(data == 32)
+        row = np.searchsorted(starts, space, "right") - 1
+        follows = np.append(data, 32)[space + 1]
+        odd = np.zeros(len(texts), bool)
+        odd[row[(space + 1 == starts[row + 1]) | SPACE[follows] | ((follows >= 28) & (follows < 32))]] = True
+        # lead bytes of white space beyond ASCII: look at those texts
+        for r in np.unique(row[np.isin(follows, (0xC2, 0xE1, 0xE2, 0xE3))]):
+            odd[r] |= any(u[:1].isspace() for u in texts[r].as_py().split(" ")[1:])
+        return odd
+
+    def encode(self, texts: pa.Array) -> Iterator[tuple[np.ndarray, pa.Array]]:
+        """(rows, their ids as little-endian binaries, the end id last); ``texts`` is a string array without NULLs.
+
+        Units are told apart by Arrow; only the distinct ones of a slice are looked up.
+        """
+        for i, j, data, starts in slices(texts, AT_ONCE):
+            part = texts.slice(i, j - i)
+            odd = self._odd(part, data, starts)
+            rows = np.flatnonzero(odd)
+            if len(rows):
+                yield rows + i, pa.array([x + self.end for x in self._library(part.take(pa.array(rows)).to_pylist())], pa.binary())
+            rows = np.flatnonzero(~odd)
+            if len(rows):
+                yield rows + i, self._units(part.take(pa.array(rows)))
+
+    def _units(self, texts: pa.Array) -> pa.Array:
+        """Ids of texts that may be cut before every space: from pre-tokens to units to texts."""
+        split = pc.split_pattern(texts, " ")
+        offsets = split.offsets.to_numpy().astype(np.int64)
+        offsets, flat = offsets - offsets[0], split.flatten()
+        coded = flat.dictionary_encode()
+        unit = coded.indices.to_numpy(False)
+        units, heads = coded.dictionary.to_pylist(), flat.take(pa.array(offsets[:-1])).to_pylist()
+        # a unit's first pre-token is the one with the space, so all units are split in one go; a text's first unit has no
+        # space before it and is split apart (an empty one stands only there)
+        spaced = [u for u in units if u]
+        pieces = self.pieces(" " + " ".join(spaced)) if spaced else []
+        inner = len(pieces)
+        heads_at = []
+        for h in heads:
+            heads_at.append(len(pieces))
+            pieces += self.pieces(h)
+        kinds = pa.array(pieces, pa.string()).dictionary_encode()
+        table, kind = self._table(kinds.dictionary.to_pylist()), kinds.indices.to_numpy(False)
+        width = int(self.width[2])
+        size = np.fromiter(map(len, table), np.int32, len(table)) // width
+        ids = np.frombuffer(b"".join(table), self.width)
+        ids = ids[_ranges((np.cumsum(size) - size)[kind], size[kind])]  # of all units, one after another
+        upto = np.append(0, np.cumsum(size[kind]))
+        begins = pc.starts_with(kinds.dictionary, " ").to_numpy(False)[kind[:inner]]
+        first = upto[np.concatenate([np.flatnonzero(begins), heads_at]).astype(np.int64)]
+        length = np.diff(np.append(first, upto[-1]))
+        place = np.cumsum([u != "" for u in units]) - 1
+        entry = place[unit]
+        entry[offsets[:-1]] = len(spaced) + np.arange(len(heads))
+        length = length[entry]
+        ends = np.cumsum(length)[offsets[1:] - 1]
+        rows = len(heads)
+        out = np.full(int(length.sum()) + rows, np.frombuffer(self.end, self.width)[0], self.width)
+        token = np.ones(len(out), bool)
+        token[ends + np.arange(rows)] = False
+        out[token] = ids[_ranges(first[entry], length)]
+        cuts = np.append(0, ends + 1 + np.arange(rows)) * width
+        return pa.Array.from_buffers(pa.large_binary(), rows, [None, pa.py_buffer(cuts.astype(np.int64)), pa.py_buffer(out)])
+
+
+def _ranges(first: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """The numbers ``first`` to ``first + length`` - 1 of each entry, one after another."""
+    return np.arange(int(length.sum()), dtype=np.int32) + np.repeat((first - (np.cumsum(length) - length)).astype(np.int32), length)
 
 
 @functools.lru_cache(1)
@@ -270,14 +301,12 @@ def encode_and_pack(df: DataFrame, tokenizer_file: str, end_id: int = 0, id_col:
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = worker_encoder(tokenizer_file, end_id)
         for b in batches:
-            ids, texts = b.column(0).to_pylist(), b.column(1)
-            for i, j in _slices(np.array(texts.is_null().to_numpy(False), int) + b.column(2).to_numpy(False), 4 << 20):
-                got = enc.encode([t or "" for t in texts.slice(i, j - i).to_pylist()])
-                part = [0 if k is None else int(np.searchsorted(bounds, k, "right")) for k in ids[i:j]]
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(part, pa.int32()), pa.array(ids[i:j], pa.int64()), b.column(3).slice(i, j - i),
-                    pa.array(got, pa.binary())],
-                    names=["part", "id", "tie", "ids"])
+            part = np.searchsorted(bounds, b.column(0).fill_null(0).to_numpy(False), "right")
+            part[b.column(0).is_null().to_numpy(False)] = 0
+            for rows, ids in enc.encode(b.column(1).fill_null("")):
+                at = pa.array(rows)
+                yield pa.RecordBatch.from_arrays([pa.array(part[rows], pa.int32()), b.column(0).take(at), b.column(2).take(at), ids.cast(pa.binary())],
+                                                 names=["part", "id", "tie", "ids"])
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out, part = None, None
@@ -293,8 +322,7 @@ def encode_and_pack(df: DataFrame, tokenizer_file: str, end_id: int = 0, id_col:
             yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([out.path]), pa.array([len(out.ids)], pa.int64()),
                                               pa.array([out.n], pa.int64())], names=["part", "path", "docs", "ids"])
 
-    rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"),
-                     F.coalesce(F.octet_length(text_col), F.lit(0)).alias("bytes"), F.xxhash64(text_col).alias("tie"))
+    rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"), F.xxhash64(text_col).alias("tie"))
     files = (rows.mapInArrow(encode, "part int, id long, tie long, ids binary")
              .repartitionById(n, "part").sortWithinPartitions("id", "tie")
              .mapInArrow(write, "part int, path string, docs long, ids long"))

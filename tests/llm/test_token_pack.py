@@ -1,6 +1,7 @@
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
@@ -10,7 +11,7 @@ from capstream.llm.token_pack import CachedEncoder, PackReader, PackWriter, dige
 
 FILE = public_tokenizers.path("byte_bpe_50k.json")
 TEXTS = ["", "  a", " a", "a ", "a  b c", "x\n y", "  z z", "it's he'll  \t z", "<|endoftext|> hi <|endoftext|>", "a b　 c", "é ü 12 3.4 ,, .. a\nb c\n\nd e",
-         "\x1c x y", "\x85 x", "word " * 30000, "日本 語 🙂 x"]
+         "\x1c x y", "\x85 x", "a \x85b", "a \u2003b", "a \u2013b", "é \xa0", "nospace", " ", "a\x1c b \x1dc", "word " * 30000, "日本 語 🙂 x"]
 
 
 def library():
@@ -26,10 +27,14 @@ def test_pack(bits):
     assert len(data) == 100 * bits and (unpack(data, bits) == a).all()
 
 
-def test_cached_ids_are_the_librarys():
+def test_cached_ids_are_the_librarys(monkeypatch):
     lib, enc = library(), CachedEncoder(FILE, 0)
-    for _ in range(2):
-        assert [np.frombuffer(x, enc.width).tolist() for x in enc.encode(TEXTS)] == [lib.encode(t, add_special_tokens=False).ids + [0] for t in TEXTS]
+    for at_once in (1, 40, 1 << 20):
+        monkeypatch.setattr(token_pack, "AT_ONCE", at_once)
+        got = {}
+        for rows, ids in enc.encode(pa.array(TEXTS)):
+            got.update(zip(rows.tolist(), ids.to_pylist(), strict=True))
+        assert [np.frombuffer(got[i], enc.width).tolist() for i in range(len(TEXTS))] == [lib.encode(t, add_special_tokens=False).ids + [0] for t in TEXTS]
 
 
 def test_random_access(tmp_path):
