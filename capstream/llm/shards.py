@@ -32,7 +32,7 @@ def interleave_shards(df: DataFrame, n_shards: int, id_col: str = "doc_id", sour
     rows = df.select(*carried).select(
         "*", text_key(source_col).alias("_source"),
         F.xxhash64(F.lit(seed), text_key(id_col)).alias("_h"),
-        F.xxhash64(*[F.col(c) for c in carried]).alias("_tie"))
+        F.xxhash64(*[F.col(c) for c, kind in df.dtypes if c in carried and "map<" not in kind and kind != "variant"]).alias("_tie"))
     order = [F.col("_u"), F.col("_h"), F.col("_tie")]
     rows = rows.withColumn("_u", uniform(F.col("_h")))
     ranked = with_group_ranks(rows, ["_source"], F.col("_u"), order, "_rank", "_rows", buckets)

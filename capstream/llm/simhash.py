@@ -227,11 +227,11 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
 def one_of_each(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 4, distance: int = 4) -> DataFrame:
     """``df`` with one document of each group: the smallest id (NULL last), then the smallest hash of the text."""
     shared_root(df.sparkSession)
-    keyed = df.withColumn("_row", F.struct(F.col(id_col).isNull().alias("n"), F.col(id_col).cast("long").alias("i"), F.xxhash64(text_col).alias("h")))
-    docs = fingerprints(keyed, "_row", text_col, words, "struct<n:boolean,i:bigint,h:bigint>").checkpoint()
+    keyed = df.withColumn("_cap_row", F.struct(F.col(id_col).isNull().alias("n"), F.col(id_col).cast("long").alias("i"), F.xxhash64(text_col).alias("h")))
+    docs = fingerprints(keyed, "_cap_row", text_col, words, "struct<n:boolean,i:bigint,h:bigint>").checkpoint()
     kept = (docs.join(groups(docs, distance), "fp").groupBy("label").agg(F.min("id").alias("row"))
-            .select(row_key(F.col("row.i"), F.col("row.h")).alias("_key")))
-    return one_row(df.withColumn("_key", row_key(F.col(id_col).cast("long"), F.xxhash64(text_col))).join(kept, "_key", "leftsemi"), "_key").drop("_key")
+            .select(row_key(F.col("row.i"), F.col("row.h")).alias("_cap_key")))
+    return one_row(df.withColumn("_cap_key", row_key(F.col(id_col).cast("long"), F.xxhash64(text_col))).join(kept, "_cap_key", "leftsemi"), "_cap_key").drop("_cap_key")
 
 
 def row_key(id_: Column, text_hash: Column) -> Column:
@@ -241,4 +241,4 @@ def row_key(id_: Column, text_hash: Column) -> Column:
 
 def one_row(df: DataFrame, key: str) -> DataFrame:
     """One row of each ``key`` (rows that repeat id and text)."""
-    return df.withColumn("_n", F.row_number().over(Window.partitionBy(key).orderBy(F.lit(0)))).where("_n = 1").drop("_n")
+    return df.withColumn("_cap_n", F.row_number().over(Window.partitionBy(key).orderBy(F.lit(0)))).where("_cap_n = 1").drop("_cap_n")

@@ -86,6 +86,13 @@ def test_tokens(stages):
     assert collections.Counter((r.doc_id, tuple(r.ids), r.decoded_sha256) for r in after) == want
 
 
+def test_clashing_columns_come_through(spark):
+    from capstream.llm import budget_mix, simhash
+    df = spark.createDataFrame([(1, "a b c", "s", "x", "y"), (2, "d e f g h", "s", "z", "w")], "doc_id long, text string, source string, _key string, fp string")
+    assert sorted(simhash.one_of_each(df).collect()) == sorted(df.collect())
+    assert set(budget_mix.mixed(df).collect()) <= set(df.collect()) and budget_mix.mixed(df).columns == df.columns
+
+
 def test_empty_and_odd_rows(spark, tmp_path):
     rows = [(None, None, None, None, None), (1, "", "en", None, 0), (1, "", "en", None, 0), (2, "good words here, and some more of them.", "en", "a", 5),
             (2, "good words here, and some more of them.", "en", "a", 5), (3, "x " * 20000, "en", "a", None)]

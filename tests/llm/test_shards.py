@@ -30,6 +30,12 @@ def test_order_is_fractional_rank(spark):
         assert abs((got.source[at:at + 30] == "a").sum() - 10) <= 1
 
 
+def test_any_column_is_carried(spark):
+    df = spark.range(40).select(F.col("id").alias("doc_id"), F.lit("s").alias("source"), F.create_map(F.lit("a"), "id").alias("m"), F.array("id").alias("a"))
+    got = shards.interleave_shards(df, 4).collect()
+    assert sorted(r.m["a"] for r in got) == list(range(40)) and {r.shard for r in got} == {0, 1, 2, 3}
+
+
 @pytest.mark.parametrize("n", [0, 1, 5])
 def test_few_rows(spark, n):
     df = spark.createDataFrame([(i, None) for i in range(n)], "doc_id long, source string")
