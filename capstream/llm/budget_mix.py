@@ -15,7 +15,8 @@ Defined results: NULL text has size 0; a NULL source is a source of its own and
 sorts last; documents of size 0 take nothing; a source without words has target
 0; repeated ids are separate documents, ranked by a hash of the id, then of the
 text; an empty table gives an empty result; other columns are carried, those
-named like a result column are replaced.
+named like a result column are replaced, names starting with ``_`` (in
+``mixed``: ``_cap_``) are reserved.
 """
 
 from __future__ import annotations
@@ -27,6 +28,7 @@ from pyspark.sql import functions as F
 
 from capstream.llm.ranks import BUCKETS, text_key, uniform, with_group_ranks
 from capstream.llm.simhash import one_row, row_key
+from capstream.session import shared_root
 
 WORD = r"[^\x20\x09-\x0D]+"
 RESULT = ("size", "source_size", "target", "taken")
@@ -135,6 +137,8 @@ def mix_sources(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
     h = F.xxhash64(F.lit(seed), text_key(id_col))
     docs = df.select(*[F.col(c) for c in carry], size.alias("size"), text_key(source_col).alias("_source"), h.alias("_h"),
                      F.xxhash64(F.lit(seed), F.col(text_col)).alias("_tie"))
+    shared_root(df.sparkSession)  # names the checkpoint folder
+    docs = docs.checkpoint()  # texts are read and their words counted once
     hist = docs.groupBy("_source", "size").agg(F.count(F.lit(1)).alias("_n"))
     totals = hist.groupBy("_source").agg(F.sum(F.col("size") * F.col("_n")).alias("source_size"))
     # one row per source meets here, already summed
@@ -153,8 +157,8 @@ def mixed(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
           weights: tuple[float, ...] = (1, 2, 3), max_repeat: float = 3, fraction: float = 1.0, seed: int = 0) -> DataFrame:
     """The mix itself: every row of ``df`` as often as it was taken (rows without words are never taken)."""
     key = row_key(F.col(id_col).cast("long"), F.xxhash64(text_col))
-    keyed = df.withColumn("_key", key)
-    plan = mix_sources(keyed.withColumn("key_", F.col("_key")), id_col, text_col, source_col, weights, max_repeat, fraction, seed, ["key_"])
-    times = plan.where("taken > 0").groupBy(F.col("key_").alias("_key")).agg(F.sum(F.expr("taken div size")).cast("int").alias("_times"))
-    return (one_row(keyed.join(times, "_key"), "_key").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times"))))
-            .drop("_key", "_times", "_copy"))
+    keyed = df.withColumn("_cap_key", key)
+    plan = mix_sources(keyed.withColumn("cap_key", F.col("_cap_key")), id_col, text_col, source_col, weights, max_repeat, fraction, seed, ["cap_key"])
+    times = plan.where("taken > 0").groupBy(F.col("cap_key").alias("_cap_key")).agg(F.sum(F.expr("taken div size")).cast("int").alias("_cap_times"))
+    return (one_row(keyed.join(times, "_cap_key"), "_cap_key").withColumn("_cap_copy", F.explode(F.sequence(F.lit(1), F.col("_cap_times"))))
+            .drop("_cap_key", "_cap_times", "_cap_copy"))
