@@ -226,7 +226,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         F.col(id_col).cast("long").alias("_id"), F.col(label_col).cast("int").alias("_y"))
     chosen = bounded_sample(known, "_id", known.count(), sample)  # so small that it may be broadcast
     rows = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_t")).join(F.broadcast(chosen), "_id")
-    got = measures(rows, ["_id", "_y"], "_t", "_id long, _y int").orderBy("_id", "_y").toPandas()
+    got = measures(rows, ["_id", "_y"], "_t", "_id long, _y int").toPandas()  # a bounded number of rows
+    got = got.assign(_x=got["x"].map(tuple)).sort_values(["_id", "_y", "_x"], kind="stable")  # fitted alike whatever the order of tasks
     x = np.stack(got["x"].tolist()).astype(np.float32) if len(got) else np.zeros((0, len(MEASURES)), np.float32)
     return Gam(x, got["_y"].to_numpy(np.float64))
 

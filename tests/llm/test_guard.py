@@ -9,7 +9,7 @@ ROOT = pathlib.Path(capstream.llm.__file__).parent
 TO_DRIVER = re.compile(r"(?<!\bF)\.(collect|toPandas|toLocalIterator|first|take|head)\(|\.rdd\b|crossJoin|localCheckpoint|tempfile|mkdtemp|/tmp")
 #: One aggregate row; samples and longest vectors of stated size; one row per index part; neighbours of a bounded sample.
 BOUNDED = {"token_pack.py": ["percentile_approx", "column(0).take(at)", ".take(pa.array(rows))", "flat.take("], "vectors.py": ["F.max(F.size("],
-           "exact_topk.py": [".limit(LONGEST)", "ROTATION_SAMPLE", ".take(pa.array("], "quality_gam.py": ["bounded number", "orderBy(\"_id\", \"_y\")"],
+           "exact_topk.py": [".limit(LONGEST)", "ROTATION_SAMPLE", ".take(pa.array("], "quality_gam.py": ["a bounded number of rows"],
            "ann_tree.py": ["asked.select(\"vec\").collect()", "<= k + 1).collect()", "SAMPLE).select(\"vec\").collect()", ".take(pa.array(", ".take(row)"],
            "warc_index.py": ["a row per index part"]}
 
