@@ -286,7 +286,8 @@ def fetch(captures: DataFrame, per_record, schema: str) -> DataFrame:
         if f is not None:
             f.close()
 
-    return (captures.select("file", "offset", "length").repartition("file").sortWithinPartitions("file", "offset")
+    n = int(captures.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # stated, as the rows are few bytes for much work
+    return (captures.select("file", "offset", "length").repartition(n, "file").sortWithinPartitions("file", "offset")
             .mapInArrow(read, schema))
 
 
