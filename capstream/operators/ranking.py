@@ -2,7 +2,7 @@
 
 The order's values are cut at fixed split points (quantile-sketch points over
 all rows, read once as literals, so every task and every retry cuts alike).
-Between two points lies an open slice with about rows/SPLITS rows; a value
+Between two points lies an open slice with about rows/splits rows; a value
 that is itself a point, as any frequent value is, has a slice of its own, which
 the next order column cuts again. Counts per (key, slice), aggregated before
 the shuffle, give each slice's first rank; only rows of one (key, slice) are
@@ -18,7 +18,8 @@ from pyspark.sql import types as T
 
 from capstream.functions.common import join_keys, let, quoted
 
-SPLITS = 1023
+#: Split points per shuffle partition of the session: a key spreads over a few slices per task, whatever its size.
+SPLITS_PER_PARTITION = 4
 #: Leading bytes of a text that cut it, seven at a time.
 TEXT_BYTES = 7
 TEXT_LEVELS = 3
@@ -63,8 +64,12 @@ def _slot(value: Column, points: list) -> Column:
     return let(value, body)
 
 
-def with_slices(df: DataFrame, order: list[Order], splits: int = SPLITS) -> tuple[DataFrame, list[str]]:
-    """``df`` with slice columns (names returned) whose order, ascending, agrees with ``order``."""
+def with_slices(df: DataFrame, order: list[Order], splits: int | None = None) -> tuple[DataFrame, list[str]]:
+    """``df`` with slice columns (names returned) whose order, ascending, agrees with ``order``.
+
+    ``splits`` defaults to ``SPLITS_PER_PARTITION`` times the session's shuffle partitions.
+    """
+    splits = splits or SPLITS_PER_PARTITION * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     levels = [(c, asc) for name, asc in order for c in _levels(df, name)]
     if not levels:
         return df, []
@@ -98,7 +103,7 @@ def _sort(order: list[Order]) -> list[Column]:
 
 
 def rank_within(df: DataFrame, keys: str | tuple[str, ...], order: list[Order], out: str = "rank", size: str | None = None,
-                first: int | None = None, splits: int = SPLITS) -> DataFrame:
+                first: int | None = None, splits: int | None = None) -> DataFrame:
     """Zero-based rank ``out`` of every row within its key; with ``first``, only the rows ranked below it.
 
     ``size`` names an optional column with the key's row count. NULL keys rank
@@ -116,7 +121,7 @@ def rank_within(df: DataFrame, keys: str | tuple[str, ...], order: list[Order],
     return ranked if first is None else ranked.where(F.col(out) < first)
 
 
-def exact_percentile(df: DataFrame, keys: tuple[str, ...], value: str, q: float, splits: int = SPLITS) -> DataFrame:
+def exact_percentile(df: DataFrame, keys: tuple[str, ...], value: str, q: float, splits: int | None = None) -> DataFrame:
     """Exact percentile ``score`` per key with linear interpolation (as ``percentile``); NULLs do not count.
 
     Equal values are one counted row from the first aggregate on, so ties cost
