@@ -16,7 +16,7 @@ from capstream.functions.shape import notification_for
 from capstream.operators.aggregate import clerk_totals
 from capstream.plans import standins as S
 from capstream.schema import TOTAL_FIELDS
-from capstream.session import shared_path
+from capstream.session import remove_path, shared_path
 from capstream.sources.kafka import cdc_source, write_replay
 from capstream.streaming import sinks
 from capstream.streaming.runner import progress_summary, run
@@ -35,6 +35,12 @@ def replay_source(spark: SparkSession, sf_dir: str, prefix: str, batches: int =
     return src.with_(kind="files", path=path, max_files_per_trigger=max(1, files // batches))
 
 
+def drain(spark: SparkSession, queries: list, src) -> None:
+    """Run the queries to the end, then delete the replay they have read."""
+    run(spark, queries)
+    remove_path(spark, src.path)
+
+
 def stream_hash_store(spark: SparkSession, sf_dir: str, prefix: str) -> DataFrame:
     """Update-mode totals -> keyed hash store; read back the current hashes."""
     src = replay_source(spark, sf_dir, prefix)
@@ -42,7 +48,7 @@ def stream_hash_store(spark: SparkSession, sf_dir: str, prefix: str) -> DataFram
     totals = clerk_totals(parse_events(cdc_source(spark, src), prefix, fields=TOTAL_FIELDS), prefix, ("count", "sum"))
     q = sinks.sink_keyed_upsert(totals, writer, prefix, shared_path(spark, f"ck-hash-{prefix}"),
                                 trigger="available_now")
-    run(spark, [q])
+    drain(spark, [q], src)
     return writer.read(spark).select(
         "hash_key", F.col("fields")["Count"].alias("count_text"), F.col("fields")["Sum"].alias("sum_text"))
 
@@ -53,7 +59,7 @@ def stream_complete_counts(spark: SparkSession, sf_dir: str, prefix: str) -> Dat
     out = shared_path(spark, f"totals-{prefix}")
     totals = clerk_totals(parse_events(cdc_source(spark, src), prefix, fields=TOTAL_FIELDS), prefix, ("count",))
     q = sinks.sink_snapshot(totals, out, shared_path(spark, f"ck-totals-{prefix}"), trigger="available_now")
-    run(spark, [q])
+    drain(spark, [q], src)
     return sinks.read_snapshot(spark, out)
 
 
@@ -63,7 +69,7 @@ def stream_append_events(spark: SparkSession, sf_dir: str, prefix: str) -> DataF
     out = shared_path(spark, f"events-{prefix}")
     q = sinks.sink_files(parse_events(cdc_source(spark, src), prefix), out,
                          shared_path(spark, f"ck-events-{prefix}"), trigger="available_now")
-    run(spark, [q])
+    drain(spark, [q], src)
     return spark.read.parquet(out)
 
 
@@ -81,7 +87,7 @@ def stream_notifications(spark: SparkSession, sf_dir: str, prefix: str, mode: st
     totals = clerk_totals(parse_events(cdc_source(spark, src), prefix, fields=TOTAL_FIELDS), prefix, metrics)
     q = sinks.fan_out(notification_for(totals, prefix, metrics), [out.write],
                       shared_path(spark, f"ck-notify-{prefix}"), mode=mode, trigger="available_now")
-    run(spark, [q])
+    drain(spark, [q], src)
     if mode == "complete":
         return out.newest(spark)
     return out.read(spark).groupBy("key").agg(F.max_by("value", F.struct("run", "epoch")).alias("value"))
@@ -96,7 +102,7 @@ def stream_fan_out(spark: SparkSession, sf_dir: str, prefix: str) -> DataFrame:
 
     qs = shared_job(spark, [src], shared_path(spark, f"ck-fan-{prefix}"),
                     event_sinks={prefix: [sinks.append_sink(p) for p in outs]}, total_sinks={}, trigger="available_now")
-    run(spark, qs)
+    drain(spark, qs, src)
     return spark.read.parquet(outs[0]).unionByName(spark.read.parquet(outs[1])).drop("epoch")
 
 
@@ -113,7 +119,7 @@ def measure_stream(spark: SparkSession, sf_dir: str, prefix: str = "mysql", batc
     t0 = time.perf_counter()
     q = sinks.sink_keyed_upsert(totals, writer, prefix, shared_path(spark, f"ck-bench-{prefix}"),
                                 trigger="available_now")
-    run(spark, [q])
+    drain(spark, [q], src)
     secs = time.perf_counter() - t0
     out = progress_summary(q)
     out["seconds"] = round(secs, 3)

@@ -90,3 +90,12 @@ def shared_root(spark: SparkSession) -> str:
 def shared_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared root (never reused between runs)."""
     return f"{shared_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder the caller made under the shared root."""
+    root = shared_root(spark)
+    if not path.startswith(root + "/"):
+        raise ValueError(f"{path} is not under {root}")
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
