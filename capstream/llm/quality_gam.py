@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from capstream.llm.textvec import SPACE, hashes, row_sums, slices, words
+from capstream.llm.textvec import hashes, slices, words
 from capstream.llm.vectors import bounded_sample
 
 #: Labelled rows to learn from: about this many, at most twice as many.
@@ -51,15 +51,19 @@ SYMBOL = PUNCTUATION & ~_class(".,;:!?'\"-()|")
 def _repeats(hashed: np.ndarray, row: np.ndarray, rows: int) -> np.ndarray:
     """Share of each row's items that repeat an earlier one."""
     count = np.bincount(row, minlength=rows)
-    once = np.unique((row.astype(np.uint64) << np.uint64(44)) | (hashed >> np.uint64(20)))
-    kinds = np.bincount((once >> np.uint64(44)).astype(np.int64), minlength=rows)
+    keys = np.sort((row.astype(np.uint64) << np.uint64(44)) | (hashed >> np.uint64(20)))
+    first = np.ones(len(keys), bool)
+    first[1:] = keys[1:] != keys[:-1]
+    kinds = np.bincount((keys[first] >> np.uint64(44)).astype(np.int64), minlength=rows)
     return 1 - kinds / np.maximum(count, 1) * (count > 0) - (count == 0)
 
 
 def measure(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
     """``MEASURES`` of each row of a slice of texts."""
     rows = len(starts) - 1
-    sums = lambda table: row_sums(table[data], starts)
+    # how often each byte value occurs in each row: all class counts are sums of its columns
+    seen = np.bincount(np.repeat(np.arange(rows) << 8, np.diff(starts)) + data, minlength=rows << 8).reshape(rows, 256)
+    sums = lambda table: seen[:, table].sum(1)
     size = np.maximum(np.diff(starts), 1)
     begin, end, row = words(data, starts)
     count = np.bincount(row, minlength=rows)
@@ -71,8 +75,7 @@ def measure(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
     line_begin = np.unique(line_begin[line_begin < len(data)])
     line_end = np.append(line_begin[1:], len(data)) if len(line_begin) else line_begin
     line_row = np.searchsorted(starts, line_begin, "right") - 1
-    continued = (data & 0xC0) == 0x80
-    chars = size - row_sums(continued, starts)
+    chars = size - seen[:, 0x80:0xC0].sum(1)
     high = np.zeros(256, bool)
     high[0xC0:] = True
     last = data[end - 1] if len(end) else np.zeros(0, np.uint8)
