@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from capstream.llm.textvec import hashes, row_sums, slices, words
+from capstream.llm.textvec import SPACE, hashes, row_sums, slices, words
 
 KINDS = ("email", "ip", "card", "phone")
 LABELS = ("", "email", "phone")
@@ -142,10 +142,12 @@ def shapes(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray
     cue[short] = np.where(table[at] == h, names[at], 0)
 
     def inside(mask: np.ndarray) -> np.ndarray:
-        total = np.concatenate([[0], np.cumsum(mask, dtype=np.int32)])
-        return total[end] - total[begin]
+        """How many of the (few) marked bytes lie in each word."""
+        at = np.flatnonzero(mask)
+        own = np.searchsorted(begin, at, "right") - 1
+        return np.bincount(own[(own >= 0) & (at < end[own])], minlength=len(begin))
 
-    digits, letters = inside(DIGIT[data]), inside(LETTER[data])
+    digits, letters = inside(DIGIT[data]), end - begin - inside(~LETTER[data] & ~SPACE[data])
     parts = (cue, DIGITS[np.minimum(digits, len(DIGITS) - 1)], np.minimum(letters, 3) // 2 + (letters == 1) * 1,
              ROUND[data[begin]] | ROUND[data[end - 1]], inside(data == 45) > 0, inside(data == 46) > 0, inside(data == 64) > 0,
              inside(data == 43) > 0, stop, bracket)
@@ -220,6 +222,9 @@ look at the {w} on page {d3}
 a red dot at the end of the {w}
 at {h} we {w} dot by dot
 the {w} was {d4}-{d2}-{d2} and {w}
+{w} on {d4}-{d2}-{d2} {w}
+{w} {d4}-{d2}-{d2} {d2}:{d2} {w}
+the {w} on {d2}.{d2}.{d4} and {d2}-{d2}-{d4}
 from {d4}-{d4} the {w} {w}
 pages {d3}-{d3} of the {w}
 {d2},{d3}.{d2} {w} and {d3} {w}
