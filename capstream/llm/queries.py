@@ -34,7 +34,26 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-@_register("op1_interleave_shards")
+# CRC-32 byte by byte over the text's UTF-8, as the engine has no function for it
+_CRC_SQL = """
+crc_table AS (SELECT list(c ORDER BY i) AS crcs FROM (
+  SELECT i, list_reduce(list_prepend(i, range(8)), lambda a, _: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END) AS c
+  FROM (SELECT unnest(range(256)) AS i))),
+hexed AS (SELECT doc_id, source, coalesce(text, '') AS t, hex(encode(coalesce(text, ''))) AS h FROM documents),
+bytes AS (SELECT doc_id, source, t, [CAST('0x' || substr(h, k, 2) AS BIGINT) FOR k IN range(1, length(h), 2)] AS b FROM hexed),
+docs AS (SELECT doc_id, source, CAST(strlen(t) + 1 AS BIGINT) AS size, CAST(xor(list_reduce(list_prepend(4294967295, b),
+  lambda a, x: xor(a >> 8, crcs[xor(a & 255, x) + 1])), 4294967295) AS BIGINT) AS text_crc32 FROM bytes, crc_table)"""
+
+
+@_register("op1_interleave_shards", f"""
+WITH {_CRC_SQL},
+keyed AS (SELECT *, CASE WHEN source IS NULL THEN 'n' ELSE 'v' || source END AS s,
+                 CAST('0x' || substr(md5('42:' || coalesce('v' || doc_id, 'n')), 1, 15) AS BIGINT) AS key FROM docs),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY s ORDER BY key) - 1 AS place, count(*) OVER (PARTITION BY s) AS n,
+                  CAST('0x' || substr(md5('42:phase:' || s), 1, 15) AS BIGINT) / 1152921504606846976.0::DOUBLE AS phase FROM keyed),
+placed AS (SELECT *, row_number() OVER (ORDER BY (place + phase) / n, s, key) - 1 AS pos, count(*) OVER () AS total FROM ranked)
+SELECT doc_id, size, text_crc32, 'rows' AS law, CAST(pos * 16 // total AS INTEGER) AS shard,
+       CAST(pos - ((pos * 16 // total) * total + 15) // 16 AS BIGINT) AS slot, CAST(NULL AS INTEGER) AS grown_shard FROM placed""")
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     narrow = docs.select("doc_id", "source", (F.coalesce(F.octet_length("text"), F.lit(0)) + 1).cast("long").alias("size"),

@@ -21,6 +21,11 @@ def uniform(hash_col: Column) -> Column:
     return F.shiftrightunsigned(hash_col, 11) / F.lit(float(1 << 53))
 
 
+def seeded(seed: int, text: Column) -> Column:
+    """The first 60 bits of the MD5 of ``<seed>:<text>``, a hash that other engines have too."""
+    return F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:"), text)), 1, 15), 16, 10).cast("long")
+
+
 def text_key(col: str) -> Column:
     """``col`` as a string that is never NULL and keeps NULL apart from every value (for grouping and joins)."""
     return F.when(F.col(col).isNull(), F.lit("n")).otherwise(F.concat(F.lit("v"), F.col(col).cast("string")))

@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from capstream.llm.ranks import BUCKETS, text_key, uniform, with_group_ranks
+from capstream.llm.ranks import BUCKETS, seeded, text_key, with_group_ranks
 
 
 def interleave_shards(df: DataFrame, n_shards: int, id_col: str = "doc_id", source_col: str = "source",
@@ -31,12 +31,12 @@ def interleave_shards(df: DataFrame, n_shards: int, id_col: str = "doc_id", sour
     carried = [c for c in df.columns if c not in ("shard", "slot") and not c.startswith("_")]
     rows = df.select(*carried).select(
         "*", text_key(source_col).alias("_source"),
-        F.xxhash64(F.lit(seed), text_key(id_col)).alias("_h"),
+        seeded(seed, text_key(id_col)).alias("_h"),
         F.xxhash64(*[F.col(c) for c, kind in df.dtypes if c in carried and "map<" not in kind and kind != "variant"]).alias("_tie"))
     order = [F.col("_u"), F.col("_h"), F.col("_tie")]
-    rows = rows.withColumn("_u", uniform(F.col("_h")))
+    rows = rows.withColumn("_u", F.col("_h") / F.lit(float(1 << 60)))
     ranked = with_group_ranks(rows, ["_source"], F.col("_u"), order, "_rank", "_rows", buckets)
-    phase = uniform(F.xxhash64(F.lit(seed), F.lit("phase"), F.col("_source")))
+    phase = seeded(seed, F.concat(F.lit("phase:"), F.col("_source"))) / F.lit(float(1 << 60))
     spread = ranked.withColumn("_f", (F.col("_rank") + phase) / F.col("_rows"))
     placed = with_group_ranks(spread, [], F.col("_f"), [F.col("_f"), F.col("_source"), F.col("_h"), F.col("_tie")],
                               "_at", "_all", buckets)
