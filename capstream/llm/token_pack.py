@@ -26,7 +26,6 @@ import sys
 import zlib
 from array import array
 from collections.abc import Iterator
-from itertools import islice
 
 import numpy as np
 import pyarrow as pa

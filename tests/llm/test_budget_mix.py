@@ -1,7 +1,6 @@
 import re
 
 import numpy as np
-import pytest
 
 from capstream.llm import budget_mix as B
 
