@@ -30,6 +30,8 @@ from capstream.llm.vectors import best_per_query, bounded_sample, classes_of, fi
 #: Rows of a sample that fits the rotation; vectors that set the first thresholds.
 ROTATION_SAMPLE, LONGEST = 8192, 2048
 QUERY_BLOCK, ROW_BLOCK, CHUNK = 8192, 16384, 1024
+#: Share of a chunk's pairs left by the bounds above which they are scored as one matrix product.
+DENSE = 0.05
 RESULT = "query_id long, rank int, vec_id long, score long"
 
 
@@ -56,7 +58,8 @@ class Block:
         length = np.sqrt((f * f).sum(1))
         self.order = np.argsort(-length, kind="stable")
         self.x, self.first, self.length = x[self.order], first[self.order], length[self.order]
-        turned = f[self.order] @ rot
+        self.f = f[self.order]
+        turned = self.f @ rot
         self.lead, self.rest = turned[:, :lead], np.sqrt((turned[:, lead:] ** 2).sum(1))
 
     def search(self, q: np.ndarray, rot: np.ndarray, lead: int, threshold: np.ndarray, keep: int):
@@ -66,6 +69,7 @@ class Block:
         turned = f @ rot
         head, rest = turned[:, :lead], np.sqrt((turned[:, lead:] ** 2).sum(1))
         threshold = threshold.copy()
+        whole = float(np.abs(f).max(initial=0)) * float(np.abs(self.f).max(initial=0)) * max(1, f.shape[1]) < 2.0**53
         got_q, got_r, got_s = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
         for i in range(0, len(self.x), CHUNK):
             part = slice(i, i + CHUNK)
@@ -74,13 +78,20 @@ class Block:
             if not len(active):
                 break  # lengths only fall
             bound = head[active] @ self.lead[part].T + np.outer(rest[active], self.rest[part])
-            hit_q, hit_r = np.nonzero(bound + slack[active, None] >= threshold[active, None])
-            hit_q, hit_r = active[hit_q], hit_r + i
-            for j in range(0, len(hit_q), 1 << 18):
-                a, b = hit_q[j:j + (1 << 18)], hit_r[j:j + (1 << 18)]
-                s = exact_scores(q[a], self.x[b])
-                ok = s >= threshold[a]
-                got_q, got_r, got_s = (np.concatenate(p) for p in ((got_q, a[ok]), (got_r, b[ok]), (got_s, s[ok])))
+            left = bound + slack[active, None] >= threshold[active, None]
+            if whole and left.mean() > DENSE:  # little was pruned: one product, exact as all its sums are below 2**53
+                s = f[active] @ self.f[part].T
+                hit_q, hit_r = np.nonzero(left & (s >= threshold[active, None]))
+                found = [(active[hit_q], hit_r + i, s[hit_q, hit_r].astype(np.int64))]
+            else:
+                hit_q, hit_r = np.nonzero(left)
+                hit_q, hit_r, found = active[hit_q], hit_r + i, []
+                for j in range(0, len(hit_q), 1 << 18):
+                    a, b = hit_q[j:j + (1 << 18)], hit_r[j:j + (1 << 18)]
+                    s = exact_scores(q[a], self.x[b])
+                    ok = s >= threshold[a]
+                    found.append((a[ok], b[ok], s[ok]))
+            got_q, got_r, got_s = (np.concatenate(p) for p in zip((got_q, got_r, got_s), *found, strict=True))
             best = best_per_query(got_q, got_s, self.first[got_r], keep)
             got_q, got_r, got_s = got_q[best], got_r[best], got_s[best]
             full = np.flatnonzero(np.bincount(got_q, minlength=len(q)) >= keep)

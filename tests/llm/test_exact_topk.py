@@ -37,6 +37,18 @@ def test_edges(spark):
     assert run(spark, [(200, [2.0])]) == []
 
 
+def test_scoring_pairs_or_whole_chunks(monkeypatch):
+    r = np.random.default_rng(0)
+    x = np.floor(300 * r.normal(size=(3000, 16)) * r.exponential(size=(3000, 1))).astype(np.int64)
+    rot, q = exact_topk.rotation(x), x[:50]
+    want = [sorted((-int(s), j) for j, s in enumerate(x @ v))[:6] for v in q]
+    for dense in (0.0, 1.0):
+        monkeypatch.setattr(exact_topk, "DENSE", dense)
+        block = exact_topk.Block(x, np.arange(3000), rot, 4)
+        a, b, s = block.search(q, rot, 4, np.full(50, np.iinfo(np.int64).min), 6)
+        assert [sorted((-s[k], b[k]) for k in np.flatnonzero(a == i)) for i in range(50)] == want
+
+
 @pytest.mark.parametrize("kind", ["unit", "skewed", "copies"])
 def test_random(spark, kind, monkeypatch):
     monkeypatch.setattr(exact_topk, "ROW_BLOCK", 300)
