@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 
 #: UTF-8 bytes looked at together; a longer text is a slice of its own.
-AT_ONCE = 4 << 20
+AT_ONCE = 2 << 20
 
 SPACE = np.zeros(256, bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True

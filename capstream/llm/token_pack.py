@@ -43,7 +43,7 @@ MAGIC = b"CAPBITS1"
 FOOTER = struct.Struct("<8sIIQQQQ")
 BLOCK = 4096
 #: Pre-tokens whose ids a worker remembers.
-REMEMBERED = 1_000_000
+REMEMBERED = 700_000
 #: UTF-8 bytes of text encoded at a time (one longer text goes alone).
 AT_ONCE = 8 << 20
 
