@@ -295,7 +295,7 @@ def encode_and_pack(df: DataFrame, tokenizer_file: str, end_id: int = 0, id_col:
     folder = folder or shared_path(spark, "tokens")
     n = n_files or int(spark.conf.get("spark.sql.shuffle.partitions"))
     cuts = df.select(F.percentile_approx(F.col(id_col).cast("long"), [i / n for i in range(1, n)] or [0.5], 100 * n)).first()[0]
-    bounds = np.array(cuts or [], np.int64)
+    bounds = np.array(cuts if cuts and n > 1 else [], np.int64)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = worker_encoder(tokenizer_file, end_id)

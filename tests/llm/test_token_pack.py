@@ -64,6 +64,13 @@ def test_documents(spark, sf):
     assert sorted((str(r.doc_id), r.start, r.n_tokens, r.ids_crc32) for r in got) == sorted(want)
 
 
+def test_one_file(spark, tmp_path):
+    df = spark.createDataFrame([(i, f"word {i}") for i in (5, 1, 9)], "doc_id long, text string")
+    manifest = encode_and_pack(df, FILE, folder=str(tmp_path / "one"), n_files=1)
+    got = read_packed(spark, manifest, digest, "doc_id long, start long, n_tokens long, ids_crc32 long").collect()
+    assert spark.read.parquet(manifest).count() == 1 and [r.doc_id for r in sorted(got, key=lambda r: r.start)] == [1, 5, 9]
+
+
 def test_empty(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert read_packed(spark, encode_and_pack(df, FILE), digest, "doc_id long, start long, n_tokens long, ids_crc32 long").count() == 0
