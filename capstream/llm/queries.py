@@ -13,7 +13,7 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from capstream.llm import ann_tree, budget_mix, exact_topk, pii_crf, quality_gam, shards, simhash, spm_spans, token_pack, warc_index
+from capstream.llm import ann_tree, budget_mix, exact_topk, fim, pii_crf, quality_gam, shards, simhash, spm_spans, token_pack, warc_index
 
 LLM_QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
 
@@ -154,6 +154,28 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", quality_gam.held_out().alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+@_register("op11_fill_in_middle", """
+WITH hashed AS (SELECT doc_id, coalesce(text, '') AS t, sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+cut AS (SELECT doc_id, t, regexp_extract_all(t, '[A-Za-z]+|[^A-Za-z]') AS u,
+               [CAST('0x' || substr(h, 8 * k + 1, 8) AS BIGINT) FOR k IN range(4)] AS h FROM hashed),
+ends AS (SELECT *, CAST(len(u) AS BIGINT) AS n, least(h[1] % (len(u) + 1), h[2] % (len(u) + 1)) AS a,
+                greatest(h[1] % (len(u) + 1), h[2] % (len(u) + 1)) AS b FROM cut),
+parts AS (SELECT doc_id, t, n, array_to_string(u[1:a], '') AS p, array_to_string(u[a + 1:b], '') AS m, array_to_string(u[b + 1:], '') AS s,
+                 CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h[3] % 100 >= 90 THEN 'plain'
+                      WHEN h[4] % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM ends)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN CAST(length(p) AS BIGINT) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN CAST(length(m) AS BIGINT) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+                        ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256, sha256(t) AS restored_sha256 FROM parts""")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def digest(text):
+        return F.sha2(text.cast("binary"), 256)
+
+    return fim.transform(_table(spark, sf_dir, "documents"), seed=1).select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", digest(F.col("output")).alias("output_sha256"),
+        digest(fim.restored()).alias("restored_sha256"))
+
+
 @_register("pipeline")
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
