@@ -13,7 +13,7 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from capstream.llm import ann_tree, budget_mix, exact_topk, fim, pii_crf, quality_gam, shards, simhash, spm_spans, token_pack, warc_index
+from capstream.llm import ann_tree, budget_mix, exact_topk, fim, main_text, pii_crf, quality_gam, shards, simhash, spm_spans, token_pack, warc_index
 
 LLM_QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
 
@@ -176,6 +176,18 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
         digest(fim.restored()).alias("restored_sha256"))
 
 
+# the given pages mark the article by its element and use these references alone
+@_register("op12_main_text", """
+WITH a AS (SELECT page_id, url, regexp_extract(coalesce(html, ''), '<article>(.*)</article>', 1, 's') AS a FROM pages),
+t AS (SELECT page_id, url, regexp_replace(regexp_replace(a, '</?b>', '', 'g'), '<[^>]*>', ' ', 'g') AS a FROM a),
+d AS (SELECT page_id, url, replace(replace(replace(replace(replace(replace(a, '&copy;', '©'), '&middot;', '·'), '&lt;', '<'), '&gt;', '>'),
+             '&quot;', '"'), '&amp;', '&') AS a FROM t),
+w AS (SELECT page_id, url, trim(regexp_replace(a, '\\s+', ' ', 'g')) AS text FROM d)
+SELECT page_id, url, text, CAST(length(text) AS BIGINT) AS n_chars FROM w""")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text.extract(_table(spark, sf_dir, "pages"))
+
+
 @_register("pipeline")
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)

@@ -38,6 +38,6 @@ def test_native_operator_runs_no_python(spark, sf, capsys):
 def test_every_query_is_registered():
     import __spark_entry__ as e
     names = set(e.LLM_QUERIES)
-    assert "pipeline" in names and {int(n[2:].split("_")[0]) for n in names - {"pipeline"}} >= set(range(1, 12))
+    assert "pipeline" in names and {int(n[2:].split("_")[0]) for n in names - {"pipeline"}} >= set(range(1, 13))
     assert set(e.LLM_QUERIES) <= set(e.queries())
     assert {"op1_interleave_shards", "op3_warc_index", "op8_exact_top_k"} <= set(e.oracle_sql())
