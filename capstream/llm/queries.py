@@ -13,7 +13,7 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from capstream.llm import ann_tree, budget_mix, exact_topk, fim, main_text, pii_crf, quality_gam, shards, simhash, spm_spans, token_pack, warc_index
+from capstream.llm import align, ann_tree, budget_mix, exact_topk, fim, main_text, pii_crf, quality_gam, shards, simhash, spm_spans, token_pack, warc_index
 
 LLM_QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
 
@@ -188,6 +188,11 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return main_text.extract(_table(spark, sf_dir, "pages"))
 
 
+@_register("op13_token_alignment")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align.aligned(_table(spark, sf_dir, "documents"), _tokenizer("byte_bpe_50k.json"), _tokenizer("piece_bpe_32k.model"))
+
+
 @_register("pipeline")
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
