@@ -46,9 +46,9 @@ from capstream.llm.textvec import SPACE, slices
 from capstream.session import shared_path
 
 #: Strings whose alignment a worker remembers (longer ones are not).
-REMEMBERED, REMEMBERED_CHARS = 400_000, 64
+REMEMBERED, REMEMBERED_CHARS = 150_000, 48
 #: UTF-8 bytes of a slice of texts (a longer text is a slice of its own), and of strings encoded in one go.
-AT_ONCE, JOINED = 8 << 20, 1 << 14
+AT_ONCE, JOINED = 6 << 20, 1 << 14
 DOC, STRINGS, PAIR = range(3)
 
 
@@ -291,14 +291,17 @@ def _chunk(ids: pa.Array, strings: Strings, refs: np.ndarray, offsets: np.ndarra
         columns |= {"chunk": pa.array(np.full(size, chunk)), "kind": pa.array(np.full(size, kind, np.int32))}
         return pa.RecordBatch.from_arrays([columns.get(f.name, pa.nulls(size, f.type)).cast(f.type) for f in schema], schema=schema)
 
-    told, flat = [strings.told[i] for i in own], refs.tolist()
-    joined = [b";".join([told[k] for k in flat[i:j]]) if ok else b"" for i, j, ok in zip(offsets.tolist(), offsets[1:].tolist(), valid, strict=False)]
+    told, joined, hashes, body = [strings.told[i] for i in own], [], [], []
+    for i, j, ok in zip(offsets.tolist(), offsets[1:].tolist(), valid, strict=False):
+        x = b";".join([told[k] for k in refs[i:j].tolist()]) if ok else b""
+        hashes.append(hashlib.sha256(x).hexdigest() if x else "")
+        body.append(refs[i:j].astype("<u4").tobytes() if ok else b"")
+        if groups:
+            joined.append(x.decode())
     numbered = {c: pa.array(np.where(valid, sums(x[own][refs], offsets), 0)) for c, x in
                 (("n_a", strings.n_a), ("n_b", strings.n_b), ("n_groups", strings.n_groups), ("n_links", np.diff(strings.offsets)))}
-    body = [refs[i:j].astype("<u4").tobytes() if ok else b"" for i, j, ok in zip(offsets.tolist(), offsets[1:].tolist(), valid, strict=False)]
-    more = {"groups": pa.array([x.decode() for x in joined])} if groups else {}
-    yield rows(len(ids), DOC, doc_id=ids, groups_sha256=pa.array([hashlib.sha256(x).hexdigest() if x else "" for x in joined]), body=pa.array(body, pa.binary()),
-               **numbered, **more)
+    more = {"groups": pa.array(joined)} if groups else {}
+    yield rows(len(ids), DOC, doc_id=ids, groups_sha256=pa.array(hashes), body=pa.array(body, pa.binary()), **numbered, **more)
     yield rows(1, STRINGS, body=pa.array([np.concatenate([[len(own)], n_links, numbers]).astype("<u4").tobytes()], pa.binary()))
     there = np.flatnonzero(counts)
     for i in range(0, len(there), 1 << 16):
