@@ -88,7 +88,7 @@ def zrange(df: DataFrame, lo, hi, by: str = "index", key: str = "key", member: s
     if lo < 0 and hi < 0:  # ranks from the end, turned round with the set's size
         out = rank_within(df, key, [(c, not up) for c, up in order], out="_back", size="_n", first=-lo).where(F.col("_back") >= -hi - 1)
         return out.select(key, member, score, (F.col("_n") - 1 - F.col("_back")).alias("rank"))
-    out = rank_within(df, key, order, size="_n", first=hi + 1 if hi >= 0 else None)
+    out = rank_within(df, key, order, size=None if lo >= 0 and hi >= 0 else "_n", first=hi + 1 if hi >= 0 else None)
     lo_i = F.lit(lo) if lo >= 0 else F.col("_n") + F.lit(lo)
     hi_i = F.lit(hi) if hi >= 0 else F.col("_n") + F.lit(hi)
     return out.where((F.col("rank") >= lo_i) & (F.col("rank") <= hi_i)).select(key, member, score, "rank")

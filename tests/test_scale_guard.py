@@ -4,9 +4,9 @@ import pathlib
 import re
 
 ROOT = pathlib.Path(__file__).resolve().parents[1] / "capstream"
-FORBIDDEN = re.compile(r"(?<!\bF)\.(collect|toPandas|toLocalIterator|localCheckpoint|checkpoint|first|take|head)\(|\.rdd\b|\.pivot\([^,()]*\)")
+FORBIDDEN = re.compile(r"(?<!\bF)\.(collect|toPandas|toLocalIterator|toArrow|localCheckpoint|checkpoint|first|take|head)\(|\.rdd\b|\.pivot\([^,()]*\)")
 #: One aggregate row, or one line of a small file, read while a frame is built.
-BOUNDED = {"ranking.py": "enumerate(levels)]).first()", "sinks.py": "$.id",
+BOUNDED = {"ranking.py": 'i % OVERSAMPLE == middle).alias("p")).toArrow()', "sinks.py": "$.id",
            "jdbc.py": "F.col(\"hi\")"}
 
 

@@ -2,6 +2,7 @@
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from capstream.operators import panel as P
@@ -90,7 +91,7 @@ def test_rank_within_matches_row_number_with_a_hot_key(spark):
                                    F.col("id").cast("string").alias("member"))
     df = hot.unionByName(cold)
     order = [F.col("score").asc(), F.col("member").asc()]
-    got = V.rank_within(df, "key", [("score", True), ("member", True)], splits=15).select("key", "member", "rank")
+    got = V.rank_within(df, "key", [("score", True), ("member", True)], points=15).select("key", "member", "rank")
     want = df.withColumn("rank", F.row_number().over(Window.partitionBy("key").orderBy(*order)) - 1) \
         .select("key", "member", "rank")
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
@@ -108,9 +109,39 @@ def test_a_hot_key_with_ties_is_cut_into_small_slices(spark):
     from capstream.operators.ranking import with_slices
     df = _one_hot_key(spark)
     for order in ([("score", True), ("member", True)], [("score", False), ("member", False)]):
-        rows, slices = with_slices(df, order, splits=63)
-        largest = rows.groupBy("key", *slices).count().agg(F.max("count")).first()[0]
-        assert largest <= 4 * 60_000 / 64  # the tied score alone holds 36,000 rows
+        largest = with_slices(df, order).groupBy("key", "_slice").count().agg(F.max("count")).first()[0]
+        assert largest <= 60_000 / 20  # the tied score alone holds 36,000 rows
+
+
+@pytest.mark.parametrize("text", ["concat('https://www.example.com/shop/article?id=', lpad(id * 7919 % 20011, 9, '0'))", "concat(repeat('0', 21), lpad(20000 - id, 5, '0'))",
+                                  "repeat('aaaaaah', 1 + id % 5)", "concat('a', repeat(char(0), id % 4))", "'the same'", "concat(repeat('x', 2000), id % 7)"])
+def test_ranks_by_text_then_other_columns(spark, text):
+    from pyspark.sql import Window
+
+    from capstream.operators.ranking import with_slices
+    df = spark.range(0, 20_000, 1, 2).select(F.lit("k").alias("k"), F.expr(text).alias("t"), (F.lit(1 << 60) - F.col("id")).alias("id"), F.encode(F.col("id").cast("string"), "UTF-8").alias("b"))
+    for order in ([("t", False), ("id", True)], [("t", True), ("b", True)]):
+        by = [F.col(c).asc() if up else F.col(c).desc() for c, up in order]
+        want = df.select("id", (F.row_number().over(Window.partitionBy("k").orderBy(*by)) - 1).alias("rank"))
+        want = {r.id: r["rank"] for r in want.collect()}
+        for first in (None, 3, 5000):
+            got = {r.id: r["rank"] for r in V.rank_within(df, "k", order, first=first).select("id", "rank").collect()}
+            assert got == {i: n for i, n in want.items() if first is None or n < first}, (order, first)
+        assert with_slices(df, order).groupBy("_slice").count().agg(F.max("count")).first()[0] < 20_000 / 20, order
+
+
+def test_the_number_of_points_follows_the_rows():
+    from capstream.operators.ranking import MOST_POINTS, SLICE_ROWS, n_points
+    assert n_points(0) == n_points(1000) < n_points(1000 * SLICE_ROWS) == 1000 and n_points(10**13) == MOST_POINTS
+
+
+def test_ranks_without_keys_and_of_other_types(spark):
+    df = spark.range(500).select((F.col("id") * 37 % 500).alias("id"), F.array(F.lit(1), F.col("id")).alias("a"))
+    assert [(r.id, r["rank"]) for r in V.rank_within(df, (), [("id", True)]).orderBy("rank").collect()] == [(i, i) for i in range(500)]
+    assert [r.id for r in V.rank_within(df, (), [("id", True)], first=4).orderBy("rank").collect()] == [0, 1, 2, 3]
+    assert [r.a[1] for r in V.rank_within(df, (), [("a", False)]).orderBy("rank").limit(3).collect()] == [499, 498, 497]
+    same = spark.range(300).select(F.lit("k").alias("k"), F.lit(1).alias("v"))
+    assert sorted(r["rank"] for r in V.rank_within(same, "k", [("v", True)]).collect()) == list(range(300))
 
 
 def test_ranks_and_top_n_of_a_hot_key(spark):
@@ -121,7 +152,7 @@ def test_ranks_and_top_n_of_a_hot_key(spark):
         # rows equal in the whole order may swap ranks: compare the values at each rank
         want = df.withColumn("rank", F.row_number().over(Window.partitionBy("key").orderBy(*order)) - 1).select("score", "member", "rank")
         for first in (None, 1, 50_000):
-            got = V.rank_within(df, "key", [("score", up), ("member", up)], first=first, splits=63).select("score", "member", "rank")
+            got = V.rank_within(df, "key", [("score", up), ("member", up)], first=first, points=63).select("score", "member", "rank")
             w = want if first is None else want.where(F.col("rank") < first)
             assert got.exceptAll(w).count() == 0 and w.exceptAll(got).count() == 0
 
