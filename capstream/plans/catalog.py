@@ -11,9 +11,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from capstream.functions.parse import (SCHEMA_FIELD_COLUMNS, after_image, envelope_meta, event_time, parse_envelope,
-                                       parse_events, reparse_before, schema_field_counts, schema_fields)
+from capstream.functions.parse import (after_image, envelope_meta, event_time, parse_envelope, parse_events, reparse_before,
+                                       schema_field_counts)
 from capstream.functions.shape import HASH_PREFIX, hash_rows_for, notification_for
+from capstream.operators import changes as C
 from capstream.operators.aggregate import clerk_totals
 from capstream.plans import standins as S
 from capstream.schema import AFTER_DDL, TOTAL_FIELDS
@@ -138,12 +139,6 @@ SELECT prefix || '.Envelope' AS envelope, parent_field, parent_type, parent_name
 register("b11_schema_fields", _SCHEMA_FIELDS_SQL)(
     lambda spark, d: schema_field_counts(
         S.source_messages(spark, d, "postgres").unionByName(S.source_messages(spark, d, "mysql"))))
-register("b11_schema_fields_per_message", _SCHEMA_FIELDS_SQL)(
-    lambda spark, d: schema_fields(parse_envelope(
-        S.source_messages(spark, d, "postgres").unionByName(S.source_messages(spark, d, "mysql"))))
-    .groupBy(*SCHEMA_FIELD_COLUMNS).agg(F.count(F.lit(1)).alias("n_messages"))
-)
-
 register("d1_clerk_count_postgres", _totals_sql("postgres", False))(
     lambda spark, d: clerk_totals(_purchases(spark, d, "postgres"), "postgres", ("count",)))
 register("d2_clerk_count_mysql", _totals_sql("mysql", False))(
@@ -210,6 +205,26 @@ FROM ({S.ORDERS_ROWS_SQL}) r WHERE op IN ('c', 'r') GROUP BY 1""")(
                                   "postgres", ("count", "sum"), ops=("c", "r")))
 
 
+# --- totals corrected by the images that changes remove ----------------------------
+
+def _corrected_sql(p: str) -> str:
+    return (f"SELECT clerk AS {p}_clerk, count(purchase) AS {p}_purchase_count, CAST(sum(purchase) AS BIGINT) AS {p}_purchase_sum "
+            f"FROM ({S.current_rows_sql(p)}) r GROUP BY 1")
+
+
+for _p in ("postgres", "mysql"):
+    register(f"s1_corrected_totals_{_p}", _corrected_sql(_p))(
+        lambda spark, d, p=_p: C.corrected_totals(C.signed_rows(C.parse_changes(S.change_feed(spark, d, p))), p))
+register("s1_corrected_totals_postgres_redelivered", _corrected_sql("postgres"))(
+    lambda spark, d: C.corrected_totals(C.signed_rows(C.once(C.parse_changes(
+        S.change_feed(spark, d, "postgres").unionByName(S.change_feed(spark, d, "postgres").where(F.col("offset") % 7 == 0))))), "postgres"))
+register("s1_current_rows_postgres", S.current_rows_sql("postgres"))(
+    lambda spark, d: C.current_rows(C.parse_changes(S.change_feed(spark, d, "postgres"))).select("id", "purchase", "clerk"))
+register("s1_totals_of_current_rows_postgres", _corrected_sql("postgres"))(
+    lambda spark, d: clerk_totals(C.current_rows(C.parse_changes(S.change_feed(spark, d, "postgres"))).select(
+        F.col("clerk").alias("postgres_clerk"), F.col("purchase").alias("postgres_purchase")), "postgres", ("count", "sum")))
+
+
 # ---------------------------------------------------------------------------
 # Streaming runs (file replay, availableNow) checked against the batch SQL
 # ---------------------------------------------------------------------------
@@ -231,6 +246,12 @@ register("g11_stream_fan_out_mysql", f"{S.events_sql('mysql')} UNION ALL {S.even
     lambda spark, d: ST.stream_fan_out(spark, d, "mysql"))
 
 
+register("s1_stream_corrected_totals_postgres", _corrected_sql("postgres"))(
+    lambda spark, d: ST.stream_corrected_totals(spark, d, "postgres"))
+register("s1_stream_current_rows_postgres", S.current_rows_sql("postgres"))(
+    lambda spark, d: ST.stream_current_rows(spark, d, "postgres").select("id", "purchase", "clerk"))
+
+
 # The other query families register themselves on import.
 from capstream.plans import series_queries  # noqa: E402,F401
 from capstream.plans import log_queries  # noqa: E402,F401

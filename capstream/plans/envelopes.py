@@ -8,6 +8,7 @@ rows. Everything is a projection: no shuffle, scales with the input.
 from __future__ import annotations
 
 import json
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -92,11 +93,26 @@ def to_envelope(df: DataFrame, source: CdcSource, *, op_col: str = "op", ts_col:
     carries it in both. ``ts_col`` (epoch ms) stamps the envelope; without it
     the row's own ``timestamp`` (micros) is used.
     """
-    image = F.struct(*[F.col(n).cast(t).alias(n) for n, t in (f.split(" ") for f in AFTER_DDL.split(", "))])
     op = F.col(op_col)
     ts_ms = F.col(ts_col) if ts_col else F.floor(F.col("timestamp") / 1000)
+    image = row_image(F.col)
     after = F.when(op != F.lit("d"), image)
     before = F.when(op.isin("u", "d"), image)  # an object on the wire
+    return _messages(df, source, before, after, op, F.col("id"), F.col("id"), ts_ms, partitions, with_schema)
+
+
+def row_image(value: Callable[[str], Column]) -> Column:
+    """The captured row as the messages carry it; ``value`` gives each of its fields."""
+    return F.struct(*[value(n).cast(t).alias(n) for n, t in (f.split(" ") for f in AFTER_DDL.split(", "))])
+
+
+def change_messages(df: DataFrame, source: CdcSource, *, partitions: int = 1, with_schema: bool = False) -> DataFrame:
+    """Changes with both images -> messages: columns ``before``, ``after`` (row images), ``op``, ``id``, ``lsn``, ``ts_ms``."""
+    return _messages(df, source, *(F.col(c) for c in ("before", "after", "op", "id", "lsn", "ts_ms")), partitions, with_schema)
+
+
+def _messages(df: DataFrame, source: CdcSource, before: Column, after: Column, op: Column, id_: Column, lsn: Column, ts_ms: Column,
+              partitions: int, with_schema: bool) -> DataFrame:
     source_block = F.struct(
         F.lit(CONNECTOR_VERSION).alias("version"), F.lit(source.connector).alias("connector"),
         F.lit(source.server).alias("name"), ts_ms.alias("ts_ms"),
@@ -104,7 +120,7 @@ def to_envelope(df: DataFrame, source: CdcSource, *, op_col: str = "op", ts_col:
         F.lit(source.db).alias("db"), F.lit(None).cast("string").alias("sequence"),
         (ts_ms * 1000).alias("ts_us"), (ts_ms * 1000000).alias("ts_ns"),
         F.lit(source.schema_name or source.db).alias("schema"), F.lit(source.table).alias("table"),
-        F.col("id").alias("txId"), F.col("id").alias("lsn"), F.lit(None).cast("bigint").alias("xmin"),
+        lsn.alias("txId"), lsn.alias("lsn"), F.lit(None).cast("bigint").alias("xmin"),
     )
     payload = F.struct(
         before.alias("before"), after.alias("after"), source_block.alias("source"),
@@ -118,13 +134,13 @@ def to_envelope(df: DataFrame, source: CdcSource, *, op_col: str = "op", ts_col:
         value = F.concat(F.lit('{"schema":' + schema_block(source) + ',"payload":'), body, F.lit("}"))
     else:
         value = F.concat(F.lit('{"payload":'), body, F.lit("}"))
-    key = F.to_json(F.struct(F.col("id").alias("id")))
+    key = F.to_json(F.struct(id_.alias("id")))
     return df.select(
         key.cast("binary").alias("key"),
         value.cast("binary").alias("value"),
         F.lit(source.topic).alias("topic"),
-        F.pmod(F.xxhash64(F.col("id")), F.lit(partitions)).cast("int").alias("partition"),
-        F.col("id").cast("bigint").alias("offset"),
+        F.pmod(F.xxhash64(id_), F.lit(partitions)).cast("int").alias("partition"),
+        lsn.cast("bigint").alias("offset"),
         F.timestamp_millis(ts_ms).alias("timestamp"),
         F.lit(0).alias("timestampType"),
     )

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from capstream.functions.common import explode_rows
 from capstream.sources.source import MYSQL, POSTGRES, CdcSource
-from capstream.plans.envelopes import epoch_micros, is_ntz, to_envelope
+from capstream.plans.envelopes import change_messages, epoch_micros, is_ntz, row_image, to_envelope
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -97,6 +97,39 @@ def source_messages(spark: SparkSession, sf_dir: str, prefix: str, with_schema:
     return to_envelope(source_rows(spark, sf_dir, prefix), src, with_schema=with_schema)
 
 
+#: Changes of one row, in log order: (op, row ids by ``id mod 10``, amount added to the purchase, whether the clerk changes).
+_CHANGES = (("c", range(10), 0, False), ("u", (1, 2, 3, 4), 100, False), ("u", (2, 3, 5), 50, True), ("d", (0, 3, 6), 0, False))
+
+
+def change_feed(spark: SparkSession, sf_dir: str, prefix: str) -> DataFrame:
+    """Messages of a table whose every row was inserted, and some then updated (also to another clerk) or deleted.
+
+    ``lsn`` = 4 x id + step; the images before and after are the row's own at
+    that step. Rows come in no particular order of position.
+    """
+    rows, value = source_rows(spark, sf_dir, prefix), F.pmod(F.col("id"), F.lit(10))
+    steps, amount, moved = [], F.lit(0), F.lit(False)
+    for step, (op, ids, more, moves) in enumerate(_CHANGES):
+        old = (amount, moved)
+        hit = value.isin(*ids)
+        amount, moved = amount + F.when(hit, more).otherwise(0), moved | (hit & F.lit(moves))
+        image = [row_image(lambda c, a=a, m=m: F.col(c) + a if c == "purchase" else F.when(m, F.concat("clerk", F.lit("+"))).otherwise(F.col(c)) if c == "clerk"
+                           else F.col(c)) for a, m in (old, (amount, moved))]
+        steps.append(F.when(hit, F.struct(F.lit(op).alias("op"), (F.col("id") * 4 + step).alias("lsn"), F.when(F.lit(op != "c"), image[0]).alias("before"),
+                                          F.when(F.lit(op != "d"), image[1]).alias("after"))))
+    changes = explode_rows(rows, F.filter(F.array(*steps), lambda x: x.isNotNull()), ("c",), keep=("id", (F.col("timestamp") / 1000).cast("bigint").alias("ts_ms")))
+    return change_messages(changes.select("id", "ts_ms", "c.*"), SOURCES[prefix][0])
+
+
+def current_rows_sql(prefix: str) -> str:
+    """The rows that the change feed leaves."""
+    m = pmod("id", 10)
+    return f"""
+SELECT id, purchase + CASE WHEN {m} IN (1, 2, 3, 4) THEN 100 ELSE 0 END + CASE WHEN {m} IN (2, 3, 5) THEN 50 ELSE 0 END AS purchase,
+       clerk || CASE WHEN {m} IN (2, 3, 5) THEN '+' ELSE '' END AS clerk
+FROM ({ROWS_SQL[prefix]}) r WHERE {m} NOT IN (0, 3, 6)"""
+
+
 # --- SQL text of the same mapping, for the DuckDB oracle ----------------------
 def pmod(x: str, n: int) -> str:
     """``pmod`` in SQL (``%`` truncates toward zero for negative values)."""

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from capstream.functions.parse import parse_events
 from capstream.functions.shape import notification_for
+from capstream.operators import changes as C
 from capstream.operators.aggregate import clerk_totals
 from capstream.plans import standins as S
 from capstream.schema import TOTAL_FIELDS
@@ -25,10 +26,10 @@ from capstream.streaming.versions import VersionedFolder
 MICRO_BATCHES = 4
 
 
-def replay_source(spark: SparkSession, sf_dir: str, prefix: str, batches: int = MICRO_BATCHES):
+def replay_source(spark: SparkSession, sf_dir: str, prefix: str, batches: int = MICRO_BATCHES, messages=S.source_messages):
     """Replay folder of a few files per core and micro-batch, drained in about ``batches`` batches."""
     src, name = S.SOURCES[prefix]
-    msgs = S.source_messages(spark, sf_dir, prefix)
+    msgs = messages(spark, sf_dir, prefix)
     rows = S.table(spark, sf_dir, name).count()  # parquet metadata, no scan
     files = 4 * batches * spark.sparkContext.defaultParallelism
     path = write_replay(msgs, shared_path(spark, f"replay-{prefix}"), files, rows=rows)
@@ -73,6 +74,28 @@ def stream_append_events(spark: SparkSession, sf_dir: str, prefix: str) -> DataF
     return spark.read.parquet(out)
 
 
+def stream_corrected_totals(spark: SparkSession, sf_dir: str, prefix: str) -> DataFrame:
+    """Corrected totals of a change feed that comes in several batches, out of log order."""
+    src = replay_source(spark, sf_dir, prefix, messages=S.change_feed)
+    out = shared_path(spark, f"corrected-{prefix}")
+    totals = C.corrected_totals(C.signed_rows(C.parse_changes(cdc_source(spark, src))), prefix)
+    drain(spark, [sinks.sink_snapshot(totals, out, shared_path(spark, f"ck-corrected-{prefix}"), trigger="available_now")], src)
+    return sinks.read_snapshot(spark, out)
+
+
+def stream_current_rows(spark: SparkSession, sf_dir: str, prefix: str) -> DataFrame:
+    """The last image of every key: each batch's own last images are kept, the newest of them by position is read."""
+    src = replay_source(spark, sf_dir, prefix, messages=S.change_feed)
+    out = VersionedFolder(shared_path(spark, f"images-{prefix}"))
+
+    def keep_last(batch: DataFrame, epoch_id: int) -> None:
+        out.write(C.last_changes(batch), epoch_id)
+
+    changes = C.parse_changes(cdc_source(spark, src))
+    drain(spark, [sinks.fan_out(changes, [keep_last], shared_path(spark, f"ck-images-{prefix}"), trigger="available_now")], src)
+    return C.current_rows(out.read(spark))
+
+
 def stream_notifications(spark: SparkSession, sf_dir: str, prefix: str, mode: str = "update",
                          metrics: tuple[str, ...] = ("count", "sum")) -> DataFrame:
     """G6 without a broker: each micro-batch's ``(key, value)`` messages kept with their epoch.
