@@ -276,6 +276,16 @@ DIGESTS = "doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_
 PARTS = f"chunk long, kind int, {DIGESTS}, groups string, body binary, no int, a int, b int, n long"
 
 
+def packed(numbers: np.ndarray) -> bytes:
+    """Numbers in ascending order as their differences, two bytes each if they fit, else four."""
+    steps = np.diff(np.sort(numbers), prepend=0)
+    return b"\2" + steps.astype("<u2").tobytes() if steps.max(initial=0) < 1 << 16 else b"\4" + steps.astype("<u4").tobytes()
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    return np.cumsum(np.frombuffer(data, "<u2" if data[0] == 2 else "<u4", offset=1), dtype=np.int64)
+
+
 def _chunk(ids: pa.Array, strings: Strings, refs: np.ndarray, offsets: np.ndarray, chunk: int, groups: bool, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
     """A slice's rows: its documents, its strings' links, and its count of every pair."""
     own, refs = np.unique(refs, return_inverse=True)
@@ -295,7 +305,7 @@ def _chunk(ids: pa.Array, strings: Strings, refs: np.ndarray, offsets: np.ndarra
     for i, j, ok in zip(offsets.tolist(), offsets[1:].tolist(), valid, strict=False):
         x = b";".join([told[k] for k in refs[i:j].tolist()]) if ok else b""
         hashes.append(hashlib.sha256(x).hexdigest() if x else "")
-        body.append(refs[i:j].astype("<u4").tobytes() if ok else b"")
+        body.append(packed(refs[i:j]) if ok else None)
         if groups:
             joined.append(x.decode())
     numbered = {c: pa.array(np.where(valid, sums(x[own][refs], offsets), 0)) for c, x in
@@ -352,6 +362,7 @@ def aligned(df: DataFrame, a_file: str, b_file: str, id_col: str = "doc_id", tex
     target = to_arrow_schema(StructType.fromDDL(out))
 
     def add(parts: pa.Table, scores: pa.Table) -> pa.Table:
+        worker_aligner.cache_clear()  # this worker may have run the first pass
         kind = parts["kind"].to_numpy()
         links = np.frombuffer(parts["body"][int(np.flatnonzero(kind == STRINGS)[0])].as_py(), "<u4").astype(np.int64)
         n, numbers = links[1:links[0] + 1], links[links[0] + 1:]
@@ -361,11 +372,12 @@ def aligned(df: DataFrame, a_file: str, b_file: str, id_col: str = "doc_id", tex
         offsets = np.append(0, np.cumsum(n))
         count, best = sums(count[numbers], offsets), sums(best[numbers], offsets)
         docs = parts.filter(pa.array(kind == DOC))
-        body = docs["body"].combine_chunks()
-        refs = [np.frombuffer(x, "<u4") for x in body.to_pylist()]
-        flat = np.concatenate([*refs, np.zeros(0, np.uint32)])
-        at = np.cumsum([0, *map(len, refs)])
-        more = {"n_best": pa.array(sums(best[flat], at)), "count_sum": pa.array(sums(count[flat], at))}
+        total = np.zeros((len(docs), 2), np.int64)
+        for i, body in enumerate(docs["body"]):
+            if body.is_valid:
+                refs = unpacked(body.as_py())
+                total[i] = best[refs].sum(), count[refs].sum()
+        more = {"n_best": pa.array(total[:, 0]), "count_sum": pa.array(total[:, 1])}
         return pa.table([more.get(f.name, docs[f.name] if f.name in docs.column_names else None) for f in target], schema=target)
 
     parts = chunks.where(F.col("kind") != PAIR).select("chunk", "kind", *[f.name for f in target if f.name in chunks.columns], "body")
