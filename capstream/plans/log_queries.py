@@ -10,8 +10,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from capstream.functions.logfields import BYTE_UNITS, DURATION_UNITS, parse_quantity
+from capstream.functions.logfields import BYTE_UNITS, DURATION_UNITS, MASKS, parse_quantity
 from capstream.operators import logs as L
+from capstream.operators import patterns as PT
 from capstream.plans import standins as S
 from capstream.plans.registry import register, round_text, sql_round
 
@@ -223,6 +224,44 @@ SELECT pattern, bucket_start, count, CAST(sum(count) OVER (PARTITION BY pattern)
     lambda spark, d: L.log_patterns(S.event_logs(spark, d), DAY_MS, recent_ms=None))
 
 
+# the tree of the pattern miner over masked lines ``m(masked, bucket_start)``: depth 2
+def _tree_sql(m: str, max_children: int, max_values: int, similarity: float) -> str:
+    def step(level):
+        return f"""
+c{level} AS (SELECT n, path, count(DISTINCT t[{level + 1}]) AS c FROM p{level} WHERE n > {level} GROUP BY n, path),
+p{level + 1} AS (SELECT p.masked, p.t, p.n, CASE WHEN p.n > {level} THEN list_append(p.path,
+                        CASE WHEN c.c > {max_children} THEN '<_>' ELSE p.t[{level + 1}] END) ELSE p.path END AS path
+                 FROM p{level} p LEFT JOIN c{level} c ON p.n = c.n AND p.path = c.path)"""
+    return f"""
+WITH m AS ({m}),
+p0 AS (SELECT DISTINCT masked, string_split(masked, ' ') AS t, len(string_split(masked, ' ')) AS n, CAST([] AS VARCHAR[]) AS path
+       FROM m WHERE masked IS NOT NULL),{step(0)},{step(1)},
+v AS (SELECT n, path, unnest(t) AS v, generate_subscripts(t, 1) AS i FROM p2),
+d AS (SELECT n, path, i, count(DISTINCT v) AS d FROM v GROUP BY n, path, i),
+l AS (SELECT n, path, sum(CASE WHEN d = 1 THEN 1 ELSE 0 END) AS fixed, list(d ORDER BY i) AS d FROM d GROUP BY n, path),
+r AS (SELECT p2.masked, array_to_string([CASE WHEN (CASE WHEN l.fixed >= {similarity} * l.n THEN l.d[i] > 1 ELSE l.d[i] > {max_values} END)
+                                              OR (i <= len(l.path) AND l.path[i] = '<_>') THEN '<_>' ELSE p2.t[i] END FOR i IN range(1, p2.n + 1)], ' ') AS pattern
+      FROM p2 JOIN l ON p2.n = l.n AND p2.path = l.path),
+s AS (SELECT pattern, bucket_start, count(*) AS count FROM m LEFT JOIN r ON m.masked = r.masked GROUP BY 1, 2)
+SELECT pattern, bucket_start, count, CAST(sum(count) OVER (PARTITION BY pattern) AS BIGINT) AS total FROM s"""
+
+
+register("f17_mined_patterns_events", _tree_sql(f"SELECT {_TEMPLATE_SQL} AS masked, {S.bucket_sql('ts', DAY_MS)} AS bucket_start FROM {EV}", 16, 4, 0.5))(
+    lambda spark, d: PT.mined_patterns(S.event_logs(spark, d), DAY_MS))
+
+
+def _masked_sql(line: str) -> str:
+    for rx in MASKS:
+        keep = "\\1" if rx.startswith("([:=])") else ""
+        line = f"regexp_replace({line}, '{rx}', '{keep}<_>', 'g')"
+    return f"regexp_replace({line}, '(<_>)(\\s*<_>)+', '<_>', 'g')"
+
+
+register("f17_mined_patterns_documents", _tree_sql(f"SELECT {_masked_sql('line')} AS masked, {S.bucket_sql('ts', DAY_MS)} AS bucket_start "
+                                                   f"FROM ({S.DOC_LINES_SQL}) x", 3, 2, 0.6))(
+    lambda spark, d: PT.mined_patterns(S.document_logs(spark, d), DAY_MS, max_children=3, max_values=2, similarity=0.6))
+
+
 def _rank(by, desc=True):
     def fn(spark, d):
         e = S.table(spark, d, "events").select(F.concat(F.lit("user:"), F.col("user_id")).alias("series"), "value")
