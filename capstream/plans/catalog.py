@@ -15,6 +15,7 @@ from capstream.functions.parse import (after_image, envelope_meta, event_time, p
                                        schema_field_counts)
 from capstream.functions.shape import HASH_PREFIX, hash_rows_for, notification_for
 from capstream.operators import changes as C
+from capstream.operators import offsets as OF
 from capstream.operators.aggregate import clerk_totals
 from capstream.plans import standins as S
 from capstream.schema import AFTER_DDL, TOTAL_FIELDS
@@ -225,6 +226,33 @@ register("s1_totals_of_current_rows_postgres", _corrected_sql("postgres"))(
         F.col("clerk").alias("postgres_clerk"), F.col("purchase").alias("postgres_purchase")), "postgres", ("count", "sum")))
 
 
+# --- offsets seen and lost: the messages of ``lineitem`` dealt to four topic partitions, one in eleven sent twice ---
+
+def _offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    m = S.table(spark, sf_dir, "lineitem").select(
+        F.lit("mysqltopic.mariadb.customer").alias("topic"), F.pmod("l_orderkey", F.lit(4)).cast("int").alias("partition"),
+        (F.floor(F.col("l_orderkey") / 4) * 8 + F.col("l_linenumber")).alias("offset"))
+    return m.unionByName(m.where(F.col("offset") % 11 == 0))
+
+
+_OFFSETS_SQL = f"""
+WITH m AS (SELECT 'mysqltopic.mariadb.customer' AS topic, CAST({S.pmod('l_orderkey', 4)} AS INTEGER) AS partition,
+                  CAST(floor(l_orderkey / 4) AS BIGINT) * 8 + l_linenumber AS "offset" FROM lineitem),
+a AS (SELECT * FROM m UNION ALL SELECT * FROM m WHERE "offset" % 11 = 0),
+o AS (SELECT topic, partition, "offset", count(*) AS n FROM a GROUP BY ALL),
+g AS (SELECT *, "offset" - row_number() OVER (PARTITION BY topic, partition ORDER BY "offset") AS g FROM o),
+r AS (SELECT topic, partition, min("offset") AS first, max("offset") AS last, CAST(sum(n) AS BIGINT) AS messages FROM g GROUP BY topic, partition, g)"""
+register("a2_offset_ranges", f"{_OFFSETS_SQL} SELECT * FROM r")(lambda spark, d: OF.offset_ranges(_offsets(spark, d)))
+register("a2_offset_gaps", f"""{_OFFSETS_SQL}, x AS (SELECT *, lead(first) OVER (PARTITION BY topic, partition ORDER BY first) AS nxt FROM r)
+SELECT topic, partition, last + 1 AS first_missing, nxt - 1 AS last_missing, nxt - last - 1 AS missing FROM x WHERE nxt IS NOT NULL""")(
+    lambda spark, d: OF.gaps(OF.offset_ranges(_offsets(spark, d))))
+_AUDIT_SQL = f"""{_OFFSETS_SQL}
+SELECT topic, partition, min(first) AS first, max(last) AS last, count(*) AS ranges, CAST(sum(last - first + 1) AS BIGINT) AS offsets,
+       CAST(max(last) - min(first) + 1 - sum(last - first + 1) AS BIGINT) AS missing, CAST(sum(messages) - sum(last - first + 1) AS BIGINT) AS repeats
+FROM r GROUP BY topic, partition"""
+register("a2_offset_audit", _AUDIT_SQL)(lambda spark, d: OF.audit(OF.offset_ranges(_offsets(spark, d))))
+
+
 # ---------------------------------------------------------------------------
 # Streaming runs (file replay, availableNow) checked against the batch SQL
 # ---------------------------------------------------------------------------
@@ -252,6 +280,10 @@ register("s1_stream_current_rows_postgres", S.current_rows_sql("postgres"))(
     lambda spark, d: ST.stream_current_rows(spark, d, "postgres").select("id", "purchase", "clerk"))
 
 
+register("a2_stream_offset_audit", _AUDIT_SQL)(
+    lambda spark, d: ST.stream_offset_audit(spark, d, _offsets(spark, d)))
+
+
 # The other query families register themselves on import.
 from capstream.plans import series_queries  # noqa: E402,F401
 from capstream.plans import log_queries  # noqa: E402,F401

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from capstream.functions.parse import parse_events
 from capstream.functions.shape import notification_for
 from capstream.operators import changes as C
+from capstream.operators import offsets as OF
 from capstream.operators.aggregate import clerk_totals
 from capstream.plans import standins as S
 from capstream.schema import TOTAL_FIELDS
@@ -96,6 +97,19 @@ def stream_current_rows(spark: SparkSession, sf_dir: str, prefix: str) -> DataFr
     return C.current_rows(out.read(spark))
 
 
+def stream_offset_audit(spark: SparkSession, sf_dir: str, offsets: DataFrame) -> DataFrame:
+    """Ranges of every micro-batch of a replay, merged afterwards and audited."""
+    rows = offsets.select(F.lit(None).cast("binary").alias("key"), F.lit(None).cast("binary").alias("value"), "topic", "partition", "offset",
+                          F.timestamp_micros(F.lit(0)).alias("timestamp"), F.lit(0).alias("timestampType"))
+    files = MICRO_BATCHES * spark.sparkContext.defaultParallelism
+    path = shared_path(spark, "replay-offsets")
+    rows.repartition(files).write.parquet(path)  # any order: ranges of batches interleave
+    src = S.SOURCES["mysql"][0].with_(kind="files", path=path, max_files_per_trigger=max(1, files // MICRO_BATCHES))
+    log = VersionedFolder(shared_path(spark, "offset-ranges"))
+    drain(spark, [sinks.fan_out(cdc_source(spark, src), [OF.range_log(log)], shared_path(spark, "ck-offsets"), trigger="available_now")], src)
+    return OF.audit(OF.merge_ranges(log.read(spark).drop("run", "epoch")))
+
+
 def stream_notifications(spark: SparkSession, sf_dir: str, prefix: str, mode: str = "update",
                          metrics: tuple[str, ...] = ("count", "sum")) -> DataFrame:
     """G6 without a broker: each micro-batch's ``(key, value)`` messages kept with their epoch.
