@@ -6,16 +6,19 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from capstream.functions.shape import HASH_PREFIX, hash_rows_for
+from capstream.operators import labelindex as LI
 from capstream.operators import panel as P
 from capstream.operators import serving as V
+from capstream.operators import textindex as TI
 from capstream.operators import timeseries as T
 from capstream.operators.aggregate import clerk_totals
 from capstream.functions.parse import parse_events
 from capstream.plans import standins as S
 from capstream.plans.registry import register, round_text, spark_round_text, sql_round
 from capstream.schema import TOTAL_FIELDS
+from capstream.session import shared_path
 
-HOUR_MS = 3_600_000
+HOUR_MS, DAY_MS = 3_600_000, 86_400_000
 R = 6  # decimals kept for floating results on both sides
 
 _SQL_AGG = {
@@ -250,6 +253,49 @@ register("e10_search_page2",
                               ["doc_id", "n_chars", "lang"], id_col="doc_id"))
 
 
+# --- E10, E5 by an index: built from the whole table, then asked -------------------------------------
+
+def _text_index(spark, d):
+    docs = S.table(spark, d, "documents")
+    return TI.TextIndex(spark, TI.build_text_index(docs, shared_path(spark, "text-index"))), docs
+
+
+_WORDS_SQL = r"(SELECT *, string_split_regex(lower(text), '[^\p{L}\p{N}]+') AS w FROM documents)"
+register("e10_index_all_words",
+         f"SELECT doc_id, lang, n_chars FROM {_WORDS_SQL} WHERE list_has_all(w, ['the', 'license', 'of'])")(
+    lambda spark, d: (lambda index, docs: index.search(docs.select("doc_id", "lang", "n_chars"), ["the", "License", "of"]))(*_text_index(spark, d)))
+register("e10_index_any_word",
+         f"SELECT doc_id, lang, n_chars FROM {_WORDS_SQL} WHERE list_has_any(w, ['license', 'nicht'])")(
+    lambda spark, d: (lambda index, docs: index.search(docs.select("doc_id", "lang", "n_chars"), ["License", "nicht"], any_of=True))(*_text_index(spark, d)))
+register("e10_term_directory",
+         f"SELECT term, count(DISTINCT doc_id) AS rows FROM (SELECT doc_id, unnest(w) AS term FROM {_WORDS_SQL}) WHERE term <> '' GROUP BY term")(
+    lambda spark, d: _text_index(spark, d)[0].directory().select("term", "rows"))
+
+
+def _label_index(spark, d):
+    samples = S.series_by_user(spark, d)
+    return LI.LabelIndex(spark, LI.build_label_index(samples, shared_path(spark, "label-index"))), samples
+
+
+_MATCHERS = [("event_type", "=~", "c.*|view"), ("user", "!=", "3"), ("user", "!~", ".*7")]
+_MATCH_SQL = "regexp_full_match(event_type, 'c.*|view') AND CAST(user_id AS VARCHAR) <> '3' AND NOT regexp_full_match(CAST(user_id AS VARCHAR), '.*7')"
+register("e5_label_index_series", f"SELECT DISTINCT event_type || ':' || user_id AS series FROM events WHERE {_MATCH_SQL}")(
+    lambda spark, d: _label_index(spark, d)[0].series(_MATCHERS).select("series"))
+
+
+def _selected_samples(spark, d):
+    index, samples = _label_index(spark, d)
+    path = shared_path(spark, "label-samples")
+    index.write_samples(samples.drop("labels"), path)
+    return index.read_samples(path, _MATCHERS)
+
+
+register("e1_rollup_of_selected_series", f"""
+SELECT event_type || ':' || user_id AS series, {S.bucket_sql('ts', DAY_MS)} AS bucket_start, count(value) AS value
+FROM events WHERE {_MATCH_SQL} GROUP BY 1, 2""")(
+    lambda spark, d: T.bucket_rollup(_selected_samples(spark, d), "ts", "value", DAY_MS, "count", keys=("series",)))
+
+
 # --- E11-E13: panel ------------------------------------------------------------------------------
 
 register("e12_organize_totals",
