@@ -6,8 +6,8 @@ import re
 ROOT = pathlib.Path(__file__).resolve().parents[1] / "capstream"
 FORBIDDEN = re.compile(r"(?<!\bF)\.(collect|toPandas|toLocalIterator|toArrow|localCheckpoint|checkpoint|first|take|head)\(|\.rdd\b|\.pivot\([^,()]*\)")
 #: One aggregate row, or one line of a small file, read while a frame is built.
-BOUNDED = {"ranking.py": 'i % OVERSAMPLE == middle).alias("p")).toArrow()', "sinks.py": "$.id", "textindex.py": ("# one row of settings", "# of the asked words"),
-           "jdbc.py": "F.col(\"hi\")"}
+BOUNDED = {"ranking.py": ('i % OVERSAMPLE == middle).alias("p")).toArrow()',), "sinks.py": ("$.id",), "textindex.py": ("# one row of settings", "# of the asked words"),
+           "jdbc.py": ("F.col(\"hi\")",)}
 
 
 def test_no_driver_collection_in_library():
@@ -16,7 +16,7 @@ def test_no_driver_collection_in_library():
         if p.relative_to(ROOT).parts[0] == "llm":  # has a list of its own in tests/llm
             continue
         for i, line in enumerate(p.read_text().splitlines(), 1):
-            if FORBIDDEN.search(line) and not any(mark in line for mark in ([m] if isinstance(m := BOUNDED.get(p.name, ()), str) else m)):
+            if FORBIDDEN.search(line) and not any(mark in line for mark in BOUNDED.get(p.name, ())):
                 bad.append(f"{p.relative_to(ROOT)}:{i}: {line.strip()}")
     assert bad == []
 
