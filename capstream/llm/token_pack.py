@@ -20,6 +20,7 @@ the text; an empty table gives no files and no rows; other columns are ignored.
 from __future__ import annotations
 
 import functools
+import json
 import os
 import struct
 import sys
@@ -165,7 +166,8 @@ class CachedEncoder:
     between two characters that are not white space, so a text may be cut
     before each such space and the units between encoded apart with the same
     ids; a unit's pre-tokens, in turn, are encoded apart. Texts with other white
-    space beside a space go to the library whole.
+    space beside a space, or with the text of an added token, go to the library
+    whole; so does every text of a tokenizer with another pre-tokenizer.
     """
 
     def __init__(self, tokenizer_file: str, end_id: int):
@@ -175,7 +177,11 @@ class CachedEncoder:
         import regex
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_file(tokenizer_file)
-        self.tok.encode_special_tokens = True
+        with open(tokenizer_file, encoding="utf-8") as f:
+            spec = json.load(f)
+        own, byte_level = spec.get("pre_tokenizer") or {}, {"type": "ByteLevel", "add_prefix_space": False, "use_regex": True}
+        self.cuttable = spec.get("normalizer") is None and all(own.get(k) == v for k, v in byte_level.items())
+        self.added = [t["content"] for t in spec.get("added_tokens", [])]
         self.bits = max(1, (self.tok.get_vocab_size() - 1).bit_length())
         self.width = id_width(self.bits)
         self.code = "H" if self.width == "<u2" else "I"
@@ -203,7 +209,9 @@ class CachedEncoder:
         return out
 
     def _odd(self, texts: pa.Array, data: np.ndarray, starts: np.ndarray) -> np.ndarray:
-        """Rows with a space before other white space or at their end."""
+        """Rows with a space before other white space or at their end, or with an added token."""
+        if not self.cuttable:
+            return np.ones(len(texts), bool)
         space = np.flatnonzero(data == 32)
         row = np.searchsorted(starts, space, "right") - 1
         follows = np.append(data, 32)[space + 1]
@@ -212,6 +220,8 @@ class CachedEncoder:
         # lead bytes of white space beyond ASCII: look at those texts
         for r in np.unique(row[np.isin(follows, (0xC2, 0xE1, 0xE2, 0xE3))]):
             odd[r] |= any(u[:1].isspace() for u in texts[r].as_py().split(" ")[1:])
+        for content in self.added:
+            odd |= pc.match_substring(texts, content).to_numpy(False)
         return odd
 
     def encode(self, texts: pa.Array) -> Iterator[tuple[np.ndarray, pa.Array]]:

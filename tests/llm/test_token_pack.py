@@ -15,9 +15,7 @@ TEXTS = ["", "  a", " a", "a ", "a  b c", "x\n y", "  z z", "it's he'll  \t z",
 
 
 def library():
-    t = Tokenizer.from_file(FILE)
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(FILE)
 
 
 @pytest.mark.parametrize("bits", [1, 5, 8, 13, 16, 17, 31, 32])
@@ -37,6 +35,16 @@ def test_cached_ids_are_the_librarys(monkeypatch):
         assert [np.frombuffer(got[i], enc.width).tolist() for i in range(len(TEXTS))] == [lib.encode(t, add_special_tokens=False).ids + [0] for t in TEXTS]
 
 
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_special_tokens_and_other_pre_tokenizers(name):
+    lib, enc = Tokenizer.from_file(public_tokenizers.path(name)), CachedEncoder(public_tokenizers.path(name), 0)
+    texts = ["say <|endoftext|> now", "say<|endoftext|>now", "plain words", "<|startoftext|>A  b<|endoftext|>", "|endoftext|", "It's 12 éÉ."]
+    got = {}
+    for rows, ids in enc.encode(pa.array(texts)):
+        got.update(zip(rows.tolist(), ids.to_pylist(), strict=True))
+    assert [np.frombuffer(got[i], enc.width).tolist() for i in range(len(texts))] == [lib.encode(t, add_special_tokens=False).ids + [0] for t in texts]
+
+
 def test_random_access(tmp_path):
     ids = np.random.default_rng(0).integers(0, 50257, 20000).astype(np.uint32)
     w = PackWriter(str(tmp_path), "a.bits", 16, block=64)
