@@ -13,8 +13,7 @@ stay distributed and a hot (source, length) pair is ranked in slices.
 
 Defined results: NULL text has size 0; a NULL source is a source of its own and
 sorts last; documents of size 0 take nothing; a source without words has target
-0; repeated ids are separate documents, ranked by a hash of the id, then of the
-text; an empty table gives an empty result; other columns are carried, those
+0; repeated ids are separate documents, ranked by a hash of id and text; an empty table gives an empty result; other columns are carried, those
 named like a result column are replaced, names starting with ``_`` (in
 ``mixed``: ``_cap_``) are reserved.
 """
@@ -26,6 +25,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from capstream.functions.common import quoted
 from capstream.llm.ranks import BUCKETS, text_key, uniform, with_group_ranks
 from capstream.llm.simhash import one_row, row_key
 from capstream.session import shared_root
@@ -132,10 +132,10 @@ def mix_sources(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
     multiple of ``size`` and at most ``ceil(max_repeat)`` times it.
     """
     carry = [c for c in df.columns if c != text_col] if carry is None else carry
-    carry = [c for c in carry if c not in RESULT and not c.startswith("_")]
+    carry = [c for c in carry if c.lower() not in RESULT and not c.startswith("_")]
     size = F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD)), F.lit(0)).cast("long")
-    h = F.xxhash64(F.lit(seed), text_key(id_col))
-    docs = df.select(*[F.col(c) for c in carry], size.alias("size"), text_key(source_col).alias("_source"), h.alias("_h"),
+    h = F.xxhash64(F.lit(seed), text_key(id_col), F.col(text_col))  # NULL and repeated ids spread by their texts
+    docs = df.select(*[quoted(c) for c in carry], size.alias("size"), text_key(source_col).alias("_source"), h.alias("_h"),
                      F.xxhash64(F.lit(seed), F.col(text_col)).alias("_tie"))
     shared_root(df.sparkSession)  # names the checkpoint folder
     docs = docs.checkpoint()  # texts are read and their words counted once
@@ -150,13 +150,17 @@ def mix_sources(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
                               "_rank", "_stock", buckets)
     times = F.col("_passes") + F.when(F.col("_rank") < F.col("_take"), 1).otherwise(0)
     return (ranked.join(plan, ["_source", "size"])
-            .select(*carry, "size", "source_size", "target", (F.col("size") * times).alias("taken")))
+            .select(*[quoted(c) for c in carry], "size", "source_size", "target", (F.col("size") * times).alias("taken")))
 
 
 def mixed(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
           weights: tuple[float, ...] = (1, 2, 3), max_repeat: float = 3, fraction: float = 1.0, seed: int = 0) -> DataFrame:
-    """The mix itself: every row of ``df`` as often as it was taken (rows without words are never taken)."""
-    key = row_key(F.col(id_col).cast("long"), F.xxhash64(text_col))
+    """The mix itself: every row of ``df`` as often as it was taken (rows without words are never taken).
+
+    Rows that repeat id, text and source are one document here: the one with the
+    smallest hash stands for all, as often as they were taken together.
+    """
+    key = row_key(F.col(id_col).cast("long"), F.xxhash64(text_col), text_key(source_col))
     keyed = df.withColumn("_cap_key", key)
     plan = mix_sources(keyed.withColumn("cap_key", F.col("_cap_key")), id_col, text_col, source_col, weights, max_repeat, fraction, seed, ["cap_key"])
     times = plan.where("taken > 0").groupBy(F.col("cap_key").alias("_cap_key")).agg(F.sum(F.expr("taken div size")).cast("int").alias("_cap_times"))

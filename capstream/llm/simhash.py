@@ -35,6 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from capstream.functions.common import quoted
 from capstream.llm.components import components
 from capstream.session import shared_root
 
@@ -178,7 +179,9 @@ def links(distinct: DataFrame, distance: int = 4) -> DataFrame:
     counts = segment_counts(F.col("fp"))
     cells = F.array(*[F.struct(F.lit(i).cast("short").alias("choice"), counts.bitwiseAND(F.lit(_slab_mask(c))).alias("cell"))
                       for i, c in enumerate(choices)])
-    placed = distinct.select("fp", F.explode(cells).alias("at")).select("at.choice", "at.cell", "fp")
+    # dealt out by number, so that small fingerprints are not put together before each becomes many rows
+    dealt = distinct.repartition(int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions")), "fp")
+    placed = dealt.select("fp", F.explode(cells).alias("at")).select("at.choice", "at.cell", "fp")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None
@@ -234,11 +237,17 @@ def one_of_each(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", w
     return one_row(df.withColumn("_cap_key", row_key(F.col(id_col).cast("long"), F.xxhash64(text_col))).join(kept, "_cap_key", "leftsemi"), "_cap_key").drop("_cap_key")
 
 
-def row_key(id_: Column, text_hash: Column) -> Column:
-    """Names a document by id and text; never NULL."""
-    return F.concat_ws(":", F.coalesce(id_.cast("string"), F.lit("-")), text_hash)
+def row_key(id_: Column, *parts: Column) -> Column:
+    """Names a document by its id and more (text hash, source); never NULL."""
+    return F.concat_ws(":", F.coalesce(id_.cast("string"), F.lit("-")), *parts)
+
+
+def row_hash(df: DataFrame) -> Column:
+    """A hash of a row's columns (maps and variants left out)."""
+    return F.xxhash64(F.lit(0), *[quoted(c) for c, kind in df.dtypes if "map<" not in kind and "variant" not in kind])
 
 
 def one_row(df: DataFrame, key: str) -> DataFrame:
-    """One row of each ``key`` (rows that repeat id and text)."""
-    return df.withColumn("_cap_n", F.row_number().over(Window.partitionBy(key).orderBy(F.lit(0)))).where("_cap_n = 1").drop("_cap_n")
+    """One row of each ``key``, the one with the smallest hash (rows that repeat id and text)."""
+    first = Window.partitionBy(key).orderBy("_cap_hash")
+    return df.withColumn("_cap_hash", row_hash(df)).withColumn("_cap_n", F.row_number().over(first)).where("_cap_n = 1").drop("_cap_n", "_cap_hash")

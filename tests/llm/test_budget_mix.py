@@ -1,3 +1,4 @@
+from pyspark.sql import functions as F
 import re
 
 import numpy as np
@@ -73,3 +74,27 @@ def test_documents(spark):
         if r[5]:
             want[r[0]] = want.get(r[0], 0) + r[5] // r[2]
     assert {r.doc_id: r["count"] for r in mix} == want
+
+
+def test_one_id_and_text_in_two_sources(spark):
+    rows = [(i, f"{'w ' * 6}{i}", s, s.lower()) for s in "AB" for i in range(20)] + [(99, "z " * 40, "A", "a")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string").repartition(4)
+    plan = {(r.doc_id, r.source): r.taken for r in B.mix_sources(df, seed=3).collect()}
+    mix = B.mixed(df, seed=3)
+    assert mix.columns == df.columns
+    got = {(r.doc_id, r.source): r["sum(n)"] for r in mix.withColumn("n", F.size(F.split(F.trim("text"), " "))).groupBy("doc_id", "source").sum("n").collect()}
+    assert got == {k: v for k, v in plan.items() if v}
+    assert {(r.source, r.lang) for r in mix.select("source", "lang").distinct().collect()} == {("A", "a"), ("B", "b")}
+    again = B.mixed(df.repartition(3, "lang"), seed=3)
+    assert mix.exceptAll(again).count() == again.exceptAll(mix).count() == 0
+
+
+def test_clashing_names_and_many_rows_without_an_id(spark):
+    df = spark.range(3000).select(F.lit(None).cast("long").alias("doc_id"), F.concat(F.lit("a b "), F.col("id")).alias("text"), F.lit("s").alias("source"),
+                                  F.col("id").alias("a.b"), F.lit(1).alias("Size"), F.lit(2).alias("TAKEN"))
+    got = B.mix_sources(df, buckets=64)
+    assert got.columns == ["doc_id", "source", "a.b", "size", "source_size", "target", "taken"]
+    assert got.count() == 3000 and {r["size"] for r in got.select("size").distinct().collect()} == {3}
+    from capstream.llm.ranks import text_key, uniform
+    place = F.floor(uniform(F.xxhash64(F.lit(0), text_key("doc_id"), F.col("text"))) * 64)
+    assert df.groupBy(place.alias("p")).count().agg(F.max("count")).collect()[0][0] < 3000 / 20
