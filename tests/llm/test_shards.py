@@ -55,3 +55,12 @@ def test_query(spark, sf):
     got = queries.op1(spark, sf).collect()
     assert {r.doc_id: (r.size, r.text_crc32) for r in got} == {i: (len((t or "").encode()) + 1, zlib.crc32((t or "").encode())) for i, t in docs.items()}
     assert {(r.law, r.grown_shard) for r in got} == {("rows", None)}
+
+
+def test_clashing_names_and_many_rows_without_an_id(spark):
+    df = spark.range(4000).select(F.lit(None).cast("long").alias("doc_id"), F.lit("s").alias("source"), F.col("id").alias("a.b"), F.lit("x").alias("Shard"), F.lit("y").alias("SLOT"))
+    got = shards.interleave_shards(df, 16, seed=3, buckets=64)
+    assert got.columns == ["doc_id", "source", "a.b", "shard", "slot"]
+    rows = got.collect()
+    assert sorted(r["a.b"] for r in rows) == list(range(4000)) and len({(r.shard, r.slot) for r in rows}) == 4000
+    assert [r["a.b"] for r in sorted(rows, key=lambda r: (r.shard, r.slot))] != sorted(r["a.b"] for r in rows)
