@@ -40,6 +40,7 @@ class CharMap:
         self.texts = blob[4 + size:]
         self.first = [self._step(0, c) is not None for c in range(256)] if self.units else [False] * 256
         self.known = functools.lru_cache(1 << 16)(self._longest)
+        self.near = 32
 
     @staticmethod
     def _jump(unit: int) -> int:
@@ -50,21 +51,27 @@ class CharMap:
         child = node ^ self._jump(self.units[node]) ^ byte
         return child if child < len(self.units) and self.units[child] & 0x800000FF == byte else None
 
-    def _longest(self, data: bytes) -> tuple[bytes, int] | None:
+    def _longest(self, data: bytes) -> tuple[tuple[bytes, int] | None, bool]:
+        """The longest key ``data`` begins with, and whether a longer one might go on beyond it."""
         node, found = 0, None
         for n, byte in enumerate(data, 1):
             node = self._step(node, byte)
             if node is None:
-                break
+                return found, False
             if self.units[node] >> 8 & 1:  # a value hangs below
                 at = self.units[node ^ self._jump(self.units[node])] & 0x7FFFFFFF
                 found = self.texts[at:self.texts.index(b"\0", at)], n
-        return found
+        return found, True
 
     def longest(self, data: bytes, at: int) -> tuple[bytes, int] | None:
         if not self.first[data[at]]:
             return None
-        return self.known(data[at:at + 32])
+        length = self.near  # short stretches are remembered; the walk itself goes to the trie's own end
+        found, further = self.known(data[at:at + length])
+        while further and at + length < len(data):
+            length *= 4
+            found, further = self._longest(data[at:at + length])
+        return found
 
 
 class Normalizer:
