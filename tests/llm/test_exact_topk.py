@@ -37,16 +37,28 @@ def test_edges(spark):
     assert run(spark, [(200, [2.0])]) == []
 
 
-def test_scoring_pairs_or_whole_chunks(monkeypatch):
-    r = np.random.default_rng(0)
-    x = np.floor(300 * r.normal(size=(3000, 16)) * r.exponential(size=(3000, 1))).astype(np.int64)
+@pytest.mark.parametrize("width", [1, 2, 3, 16, 64])
+def test_stages_lose_nothing(width):
+    r = np.random.default_rng(width)
+    x = np.floor(300 * r.normal(size=(3000, width)) * r.exponential(size=(3000, 1))).astype(np.int64)
     rot, q = exact_topk.rotation(x), x[:50]
     want = [sorted((-int(s), j) for j, s in enumerate(x @ v))[:6] for v in q]
-    for dense in (0.0, 1.0):
-        monkeypatch.setattr(exact_topk, "DENSE", dense)
-        block = exact_topk.Block(x, np.arange(3000), rot, 4)
-        a, b, s = block.search(q, rot, 4, np.full(50, np.iinfo(np.int64).min), 6)
-        assert [sorted((-s[k], b[k]) for k in np.flatnonzero(a == i)) for i in range(50)] == want
+    block = exact_topk.Block(x, np.arange(3000), rot)
+    a, b, s = block.search(q, exact_topk.first_thresholds(q, x[:500], rot, 6), 6)
+    assert [sorted((-s[k], b[k]) for k in np.flatnonzero(a == i)) for i in range(50)] == want
+    assert block.stages == sorted(set(block.stages)) and 1 <= block.stages[0] <= block.stages[-1] <= max(1, width - 1)
+
+
+def test_few_pairs_of_the_given_table_are_scored():
+    import pyarrow.parquet as pq
+    t = pq.read_table("/root/testdata/sf0.1/embeddings.parquet").to_pylist()
+    x = np.floor(1024 * np.array([r["embedding"] for r in t], np.float64)).astype(np.int64)
+    q, rot = x[[r["vec_id"] % 100 == 0 for r in t]], exact_topk.rotation(x)
+    block = exact_topk.Block(x, np.arange(len(x)), rot)
+    a, b, s = block.search(q, exact_topk.first_thresholds(q, x[:200], rot, 11), 11)
+    want = -np.sort(-(q @ x.T), axis=1)[:, :11]
+    assert [sorted(-s[a == i]) for i in range(len(q))] == (-want).tolist()
+    assert block.scored < 0.2 * len(q) * len(x)
 
 
 @pytest.mark.parametrize("kind", ["unit", "skewed", "copies"])
