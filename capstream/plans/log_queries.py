@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 from capstream.functions.logfields import BYTE_UNITS, DURATION_UNITS, MASKS, parse_quantity
 from capstream.operators import logs as L
 from capstream.operators import patterns as PT
+from capstream.operators import sketches as K
+from capstream.operators.timeseries import bucket_of
 from capstream.plans import standins as S
 from capstream.plans.registry import register, round_text, sql_round
 
@@ -290,6 +292,47 @@ SELECT series, score, row_number() OVER (ORDER BY score, series) AS place FROM (
 register("f18_rank_series_name",
          "SELECT DISTINCT 'user:' || user_id AS series, CAST(NULL AS DOUBLE) AS score FROM events")(_rank("name"))
 
+# --- sketches: estimates within their stated error of the exact answers --------------------------
+
+def _distinct_by_sketch(spark, d):
+    logs = S.event_logs(spark, d).select("ts", "labels")
+    days = K.united(K.label_sketches(logs, HOUR_MS), ("label",), DAY_MS)  # hours, then days, then all
+    exact = logs.select(F.explode("labels").alias("label", "value")).groupBy("label").agg(F.count_distinct("value").alias("n_values"))
+    return K.distinct_counts(K.united(days, ("label",)), "estimate").join(exact, "label").select(
+        "label", "n_values", (F.abs(F.col("estimate") - F.col("n_values")) <= K.distinct_error() * F.col("n_values")).alias("within"))
+
+
+_LABELS_SQL = f"(SELECT unnest(['service_name', 'cluster', 'region']) AS label, unnest([service_name, cluster, region]) AS value FROM {EV})"
+register("f13_distinct_values_by_sketch", f"""
+SELECT label, count(DISTINCT value) AS n_values, TRUE AS within FROM {_LABELS_SQL} WHERE value IS NOT NULL GROUP BY label""")(_distinct_by_sketch)
+
+
+def _users_by_sketch(spark, d):
+    e = S.table(spark, d, "events")
+    est = K.distinct_counts(K.united(K.distinct_sketches(e, ("event_type",), "user_id", HOUR_MS), ("event_type",), DAY_MS), "estimate")
+    exact = e.groupBy("event_type", bucket_of(e, "ts", DAY_MS).alias("bucket_start")).agg(F.count_distinct("user_id").alias("n_users"))
+    return est.join(exact, ["event_type", "bucket_start"]).select(
+        "event_type", "bucket_start", "n_users", (F.abs(F.col("estimate") - F.col("n_users")) <= K.distinct_error() * F.col("n_users")).alias("within"))
+
+
+register("f15_distinct_users_per_day_by_sketch", f"""
+SELECT event_type, {S.bucket_sql('ts', DAY_MS)} AS bucket_start, count(DISTINCT user_id) AS n_users, TRUE AS within FROM events
+GROUP BY 1, 2""")(_users_by_sketch)
+
+
+def _percentiles_by_sketch(spark, d):
+    e = S.table(spark, d, "events").select("event_type", "ts", "value")
+    marks = K.percentiles(K.merged(K.value_sketches(e, ("event_type",), "value", HOUR_MS), ("event_type",)), p10=0.1, p50=0.5, p90=0.9)
+    ranked = e.join(marks, "event_type").groupBy("event_type").agg(
+        F.count("value").alias("n"), *[F.avg(c.cast("double")).alias(f"{p}_{side}") for p in ("p10", "p50", "p90")
+                                       for side, c in (("below", F.col("value") < F.col(p)), ("upto", F.col("value") <= F.col(p)))])
+    fits = [F.col(f"{p}_below").between(0, q + K.rank_error()) & (F.col(f"{p}_upto") >= q - K.rank_error()) for p, q in (("p10", 0.1), ("p50", 0.5), ("p90", 0.9))]
+    return ranked.select("event_type", "n", *[f.alias(f"{p}_within") for p, f in zip(("p10", "p50", "p90"), fits, strict=True)])
+
+
+register("f18_percentiles_by_sketch", """
+SELECT event_type, count(value) AS n, TRUE AS p10_within, TRUE AS p50_within, TRUE AS p90_within FROM events GROUP BY 1""")(_percentiles_by_sketch)
+
 register("f19_normalize_level", f"""
 SELECT CASE WHEN regexp_full_match(level, '(?i)info') THEN 'info' WHEN regexp_full_match(level, '(?i)debug') THEN 'debug'
             WHEN regexp_full_match(level, '(?i)(warn|warning)') THEN 'warn'

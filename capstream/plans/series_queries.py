@@ -14,6 +14,7 @@ from capstream.operators import timeseries as T
 from capstream.operators.aggregate import clerk_totals
 from capstream.functions.parse import parse_events
 from capstream.plans import standins as S
+from capstream.plans import streams as ST
 from capstream.plans.registry import register, round_text, spark_round_text, sql_round
 from capstream.schema import TOTAL_FIELDS
 from capstream.session import shared_path
@@ -332,6 +333,15 @@ QUALIFY row_number() OVER (PARTITION BY event_type ORDER BY ts DESC, event_id DE
                                      ("event_type",), "ts", 1500, tiebreak="event_id"))
 
 
+register("e14_stream_rolling_buffer", """
+SELECT event_type, ts, event_id, value FROM events WHERE ts IS NOT NULL AND event_id IS NOT NULL
+QUALIFY row_number() OVER (PARTITION BY event_type ORDER BY ts DESC, event_id DESC) <= 20""")(
+    lambda spark, d: ST.stream_rolling_buffer(spark, d, 20))
+register("f7_stream_live_volume", f"""
+SELECT event_type, {S.bucket_sql('ts', HOUR_MS)} AS bucket_start, count(*) AS count, CAST(coalesce(sum(strlen(props)), 0) AS BIGINT) AS bytes
+FROM events WHERE ts IS NOT NULL GROUP BY 1, 2""")(lambda spark, d: ST.stream_live_volume(spark, d))
+
+
 # --- E15, E16 ----------------------------------------------------------------------------------------
 
 register("e15_values_list",

@@ -20,7 +20,7 @@ from capstream.plans import standins as S
 from capstream.schema import TOTAL_FIELDS
 from capstream.session import remove_path, shared_path
 from capstream.sources.kafka import cdc_source, write_replay
-from capstream.streaming import sinks
+from capstream.streaming import live, sinks
 from capstream.streaming.runner import progress_summary, run
 from capstream.streaming.versions import VersionedFolder
 
@@ -110,6 +110,44 @@ def stream_offset_audit(spark: SparkSession, sf_dir: str, offsets: DataFrame) ->
     return OF.audit(OF.merge_ranges(log.read(spark).drop("run", "epoch")))
 
 
+def _arrivals(spark: SparkSession, sf_dir: str, name: str, steps: int = 6) -> str:
+    """A replay of ``events`` in order of arrival, up to a day after their time, as ``steps`` files; two more end the stream."""
+    e = S.table(spark, sf_dir, "events").where("ts is not null").withColumn("ts", F.col("ts").cast("timestamp"))
+    e = e.withColumn("arrival", F.timestamp_add("HOUR", F.pmod("event_id", F.lit(5)) * 6, F.col("ts")))
+    at = F.unix_micros("arrival")
+    cuts = e.select(F.percentile_approx(at, F.array(*[F.lit(i / steps) for i in range(1, steps)])).alias("p"))  # scalar subquery
+    path = shared_path(spark, name)
+    placed = e.withColumn("cuts", cuts.scalar()).withColumn("at", at)
+    placed = placed.withColumn("slot", F.size(F.filter("cuts", lambda c: c <= F.col("at")))).drop("cuts", "at", "arrival")
+    for i in range(steps):  # one write each: files are taken in order of their times
+        placed.where(F.col("slot") == i).drop("slot").coalesce(1).write.mode("append").parquet(path)
+    for _ in range(2):  # the first moves the watermark, the second makes a batch that closes windows by it
+        end = e.agg(F.timestamp_add("DAY", F.lit(30), F.max("ts")).alias("ts"))
+        end.select(*[F.col("ts") if c == "ts" else F.lit(None).cast(e.schema[c].dataType).alias(c) for c in e.columns if c != "arrival"]).coalesce(1).write.mode("append").parquet(path)
+    return path
+
+
+def stream_live_volume(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hourly volumes per event type of a replay whose rows come up to a day late, in append mode."""
+    path, out = _arrivals(spark, sf_dir, "arrivals"), shared_path(spark, "live-volume")
+    rows = spark.readStream.schema(spark.read.parquet(path).schema).option("maxFilesPerTrigger", 1).parquet(path)
+    q = sinks.sink_files(live.live_volume(rows, "1 hour", "2 days", ("event_type",), line="props"), out, shared_path(spark, "ck-live"), trigger="available_now")
+    run(spark, [q])
+    remove_path(spark, path)
+    return spark.read.parquet(out).withColumn("bucket_start", F.col("bucket_start").cast("timestamp_ntz"))
+
+
+def stream_rolling_buffer(spark: SparkSession, sf_dir: str, n: int) -> DataFrame:
+    """The newest ``n`` points per event type after a replay in several micro-batches."""
+    path, folder = _arrivals(spark, sf_dir, "points"), VersionedFolder(shared_path(spark, "buffer"))
+    rows = spark.readStream.schema(spark.read.parquet(path).schema).option("maxFilesPerTrigger", 2).parquet(path).where("event_id is not null")
+    q = sinks.fan_out(rows.select("event_type", "ts", "event_id", "value"), [live.rolling_buffer(folder, ("event_type",), "ts", n, "event_id")],
+                      shared_path(spark, "ck-buffer"), trigger="available_now")
+    run(spark, [q])
+    remove_path(spark, path)
+    return folder.newest(spark).withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+
+
 def stream_notifications(spark: SparkSession, sf_dir: str, prefix: str, mode: str = "update",
                          metrics: tuple[str, ...] = ("count", "sum")) -> DataFrame:
     """G6 without a broker: each micro-batch's ``(key, value)`` messages kept with their epoch.
