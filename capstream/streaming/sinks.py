@@ -140,25 +140,28 @@ class TableHashWriter(HashWriter):
 
     A replayed epoch overwrites its folder; a recreated checkpoint starts a new
     run, whose values win over all earlier ones. Every ``compact_every`` batches
-    the current values are written as one folder of a new run and the folders
-    before it are deleted, so reads do not grow with the stream's age.
+    the current values are written as one folder of a new run, so reads do not
+    grow with the stream's age. What a compaction replaced is deleted by the next
+    one: readers that have listed the folders have that long to finish.
     """
 
     def __init__(self, path: str, compact_every: int = 100):
         self.path, self.compact_every = path, compact_every
         self._folder = VersionedFolder(path)
+        self._compacted: tuple[int, int] = (0, 0)  # the last compaction's own folder
 
     def write_batch(self, rows: DataFrame, epoch_id: int) -> None:
         self._folder.write(rows, epoch_id)
-        if len(self._folder.complete(rows.sparkSession)) >= self.compact_every:
+        if sum(v > self._compacted for v in self._folder.complete(rows.sparkSession)) >= self.compact_every:
             self.compact(rows.sparkSession)
 
     def compact(self, spark) -> None:
         old = self._folder.complete(spark)
         after = VersionedFolder(self.path)
         after.write(self.read(spark), 0)
+        after.delete(spark, [v for v in old if v < self._compacted])
+        self._compacted = (after.begin(spark), 0)
         self._folder = VersionedFolder(self.path)  # the next batch begins a run after the compacted one
-        self._folder.delete(spark, old)
 
     def read(self, spark) -> DataFrame:
         t = self._folder.read(spark)
@@ -265,8 +268,8 @@ class JdbcAppend:
             if again and self._exists(spark):  # the first batch of all creates the table
                 self._execute(spark, f"DELETE FROM {self.table} WHERE {self.batch_col} = ?", (key,))
             self._last = epoch_id
-        if self.num_partitions:
-            batch = batch.coalesce(self.num_partitions)  # bound concurrent connections
+        if self.num_partitions:  # bound concurrent connections, not the tasks that read and parse
+            batch = batch.repartition(self.num_partitions)
         self._write(batch)
 
 
@@ -314,14 +317,21 @@ def read_snapshot(spark, path: str) -> DataFrame:
     return VersionedFolder(path).newest(spark)
 
 
-def append_sink(path: str) -> BatchFn:
+def append_sink(path: str, checkpoint: str | None = None) -> BatchFn:
     """A replay-safe table sink for ``fan_out``: every epoch is written to its own folder, overwriting.
 
-    Read the rows with ``spark.read.parquet(path)`` (the folder's ``epoch`` is a
-    column). The table belongs to one checkpoint, whose epochs name the folders.
+    Read the rows with ``spark.read.parquet(path)``; the folders ``run`` and
+    ``epoch`` are columns. With ``checkpoint`` (the query's) the run is its query id,
+    so a recreated checkpoint, whose epochs begin at 0 again, overwrites nothing.
+    Without it the table belongs to one checkpoint for good.
     """
+    run: list[str] = []
+
     def write(batch: DataFrame, epoch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path.rstrip('/')}/epoch={int(epoch_id)}")
+        if checkpoint and not run:
+            run.append(checkpoint_run_id(batch.sparkSession, checkpoint))
+        top = f"{path.rstrip('/')}/run={run[0]}" if run else path.rstrip("/")
+        batch.write.mode("overwrite").parquet(f"{top}/epoch={int(epoch_id)}")
     return write
 
 

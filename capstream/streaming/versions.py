@@ -47,7 +47,11 @@ class VersionedFolder:
         return self._run
 
     def write(self, rows: DataFrame, epoch_id: int) -> None:
-        rows.write.mode("overwrite").parquet(self.folder(self.begin(rows.sparkSession), epoch_id))
+        spark = rows.sparkSession
+        path = self.folder(self.begin(spark), epoch_id)
+        rows.write.mode("overwrite").option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true").parquet(path)
+        if "_SUCCESS" not in self._names(spark, path):
+            raise RuntimeError(f"{path}: the committer marks no complete folders, so nothing here could ever be read")
 
     def read(self, spark: SparkSession, versions: list[tuple[int, int]] | None = None) -> DataFrame:
         """Rows of the complete folders with their ``run`` and ``epoch``."""

@@ -109,9 +109,15 @@ def test_hash_store_survives_replays_and_a_new_checkpoint(spark):
     new.write_batch(batch(a="99"), 0)
     assert now() == {"a": "99", "b": "7"}
     new.write_batch(batch(c="1"), 1)  # third folder: compacted
-    assert now() == {"a": "99", "b": "7", "c": "1"} and len(sinks.VersionedFolder(path).complete(spark)) == 1
-    new.write_batch(batch(a="100"), 2)
-    assert now() == {"a": "100", "b": "7", "c": "1"}
+    assert now() == {"a": "99", "b": "7", "c": "1"}
+    listed = sinks.VersionedFolder(path).complete(spark)  # a reader that has listed the folders now
+    for epoch in (2, 3):
+        new.write_batch(batch(a="100"), epoch)
+        assert now() == {"a": "100", "b": "7", "c": "1"}
+    assert set(listed) <= set(sinks.VersionedFolder(path).complete(spark))
+    new.write_batch(batch(a="101"), 4)  # the second compaction deletes what the first replaced
+    kept = sinks.VersionedFolder(path).complete(spark)
+    assert now() == {"a": "101", "b": "7", "c": "1"} and kept[0] == listed[-1] and len(kept) == 5
 
 
 def test_replayed_epochs_do_not_duplicate_rows(spark):
@@ -120,6 +126,13 @@ def test_replayed_epochs_do_not_duplicate_rows(spark):
     for epoch in (0, 1, 1):
         write(df, epoch)
     assert spark.read.parquet(path).drop("epoch").count() == 6
+    path = tempfile.mkdtemp() + "/runs"
+    for run_id in ("first", "second"):  # a recreated checkpoint
+        ck = tempfile.mkdtemp()
+        with open(f"{ck}/metadata", "w") as f:
+            f.write('{"id": "%s"}' % run_id)
+        sinks.append_sink(path, ck)(df, 0)
+    assert spark.read.parquet(path).groupBy("run").count().count() == 2 and spark.read.parquet(path).count() == 6
 
 
 def test_snapshot_readers_see_only_complete_versions(spark):
