@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from capstream.functions.shape import HASH_PREFIX, hash_rows_for
+from capstream.operators import documents as D
 from capstream.operators import labelindex as LI
 from capstream.operators import panel as P
 from capstream.operators import serving as V
@@ -231,6 +232,32 @@ FROM events""")(
         V.json_at("props", "$", "objlen").alias("n_keys")))
 
 
+register("e9_variant_at_props", """
+SELECT event_id, json_extract_string(props, '$.k') AS k_text,
+       CASE json_type(props, '$.k') WHEN 'UBIGINT' THEN 'integer' WHEN 'BIGINT' THEN 'integer'
+            WHEN 'DOUBLE' THEN 'number' WHEN 'VARCHAR' THEN 'string' WHEN 'BOOLEAN' THEN 'boolean'
+            WHEN 'OBJECT' THEN 'object' WHEN 'ARRAY' THEN 'array' WHEN 'NULL' THEN 'null' END AS k_type,
+       CASE WHEN json_type(props) = 'OBJECT' THEN array_to_string(list_sort(json_keys(props)), ',') END AS keys,
+       CASE WHEN json_type(props) = 'OBJECT' THEN CAST(len(json_keys(props)) AS BIGINT) END AS n_keys
+FROM events""")(
+    lambda spark, d: D.parsed(S.table(spark, d, "events").select("event_id", "props"), "props").select(
+        "event_id", D.variant_at("doc", "$.k").alias("k_text"), D.variant_at("doc", "$.k", "type").alias("k_type"),
+        F.array_join(D.variant_at("doc", "$", "objkeys"), ",").alias("keys"), D.variant_at("doc", "$", "objlen").alias("n_keys")))
+
+
+def _hot_props(spark, d):
+    path, hot = shared_path(spark, "documents"), {"k": ("$.k", "bigint")}
+    D.write_documents(S.table(spark, d, "events").select("event_id", "event_type", "props"), path, "props", hot)
+    return D.Documents(spark, path, hot)
+
+
+register("e9_hot_path_totals", """
+SELECT event_type, count(k) AS n, CAST(sum(k) AS BIGINT) AS total, max(k) AS largest FROM (
+  SELECT event_type, CASE WHEN json_type(props, '$.k') IN ('UBIGINT', 'BIGINT') THEN CAST(json_extract(props, '$.k') AS BIGINT) END AS k FROM events)
+GROUP BY event_type""")(
+    lambda spark, d: (lambda docs: docs.df.groupBy("event_type").agg(
+        F.count(docs.value("k", "bigint")).alias("n"), F.sum(docs.value("k", "bigint")).alias("total"),
+        F.max(docs.value("k", "bigint")).alias("largest")))(_hot_props(spark, d)))
 register("e9_json_array_length", """
 SELECT event_id, CAST(json_array_length(CASE WHEN user_id % 3 = 0 THEN '{"a": []}' ELSE '{"a": [1, ' || user_id || ', {"b": [2]}]}' END, '$.a')
                       AS BIGINT) AS n_items FROM events""")(
