@@ -23,15 +23,19 @@ rows; other columns are ignored by ``find`` and kept by ``redact``.
 from __future__ import annotations
 
 import functools
+import hashlib
+import json
 import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from capstream.llm.textvec import SPACE, hashes, row_sums, slices, words
+from capstream.session import shared_root
 
 KINDS = ("email", "ip", "card", "phone")
 LABELS = ("", "email", "phone")
@@ -263,8 +267,8 @@ ENDS = "com org net edu de fr es io".split()
 SYLLABLES = "th er on an re he in ed nd ha at en es of or nt ea ti to io le is ou ar as de rt ve ción mente keit schen tion é".split()
 
 
-def training_table(copies: int = 40, seed: int = 1) -> list[list[tuple[str, int]]]:
-    """(word, label) lists: every example filled in ``copies`` times."""
+def training_table(copies: int = 40, seed: int = 1, lines: list[str] | None = None) -> list[list[tuple[str, int]]]:
+    """(word, label) lists: every example (of ``lines``, if given) filled in ``copies`` times."""
     r = np.random.default_rng(seed)
 
     def fill(m: re.Match) -> str:
@@ -277,7 +281,7 @@ def training_table(copies: int = 40, seed: int = 1) -> list[list[tuple[str, int]
         return str(r.choice({"n": NAMES, "m": NAMES, "h": HOSTS, "t": ENDS}[what]))
 
     out = []
-    for line in EXAMPLES.strip().split("\n"):
+    for line in lines or EXAMPLES.strip().split("\n"):
         for _ in range(copies):
             sentence, label = [], 0
             for word in re.sub(r"\{(\w+)\}", fill, line).split():
@@ -434,6 +438,25 @@ def plausible(span: bytes, kind: int) -> bool:
     return 7 <= sum(48 <= c <= 57 for c in span) <= 15 if kind == 3 else WRITTEN.search(span) is not None
 
 
+def kept(spark: SparkSession, copies: int = 40, seed: int = 1) -> Crf:
+    """The field trained on ``training_table(copies, seed)``; its weights are kept under the shared folder and trained once for it."""
+    table = training_table(copies, seed)
+    name = hashlib.sha256(repr((table, FEATURES, RADIX)).encode()).hexdigest()[:24]
+    if name not in _TRAINED:
+        path = f"{shared_root(spark)}/pii-crf-{name}.json"
+        try:
+            told = json.loads(spark.read.text(path, wholetext=True).first()[0])  # one row of weights
+            _TRAINED[name] = Crf(np.array(told["weights"]), np.array(told["transitions"]))
+        except AnalysisException:  # not there yet
+            model = _TRAINED[name] = train(table)
+            text = json.dumps({"weights": model.weights.tolist(), "transitions": model.transitions.tolist()})
+            spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(path)
+    return _TRAINED[name]
+
+
+_TRAINED: dict[str, Crf] = {}
+
+
 def field_spans(data: np.ndarray, starts: np.ndarray, model: Crf) -> dict[int, list[tuple[int, int, int]]]:
     """Row -> (start, kind number, end) in bytes of the row, of the field's spans."""
     begin, end, row, code = shapes(data, starts)

@@ -143,7 +143,7 @@ def pii_digest(found: DataFrame) -> DataFrame:
 
 @_register("op5_pii_crf")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pii_digest(pii_crf.find(_table(spark, sf_dir, "documents"), pii_crf.train()))
+    return pii_digest(pii_crf.find(_table(spark, sf_dir, "documents"), pii_crf.kept(spark)))
 
 
 @_register("op6_quality_gam")
