@@ -29,7 +29,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Replace personal data by its kind; ``n_chars`` follows the text."""
-    clean = pii_crf.redact(docs, pii_crf.train())
+    clean = pii_crf.redact(docs, pii_crf.kept(spark))
     length = F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(F.length("text")).cast(docs.schema["n_chars"].dataType)
     return clean.withColumn("n_chars", length)
 
