@@ -124,7 +124,7 @@ def test_ranks_by_text_then_other_columns(spark, text):
         by = [F.col(c).asc() if up else F.col(c).desc() for c, up in order]
         want = df.select("id", (F.row_number().over(Window.partitionBy("k").orderBy(*by)) - 1).alias("rank"))
         want = {r.id: r["rank"] for r in want.collect()}
-        for first in (None, 3, 5000):
+        for first in (None, 3):
             got = {r.id: r["rank"] for r in V.rank_within(df, "k", order, first=first).select("id", "rank").collect()}
             assert got == {i: n for i, n in want.items() if first is None or n < first}, (order, first)
         assert with_slices(df, order).groupBy("_slice").count().agg(F.max("count")).first()[0] < 20_000 / 20, order
