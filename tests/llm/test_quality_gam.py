@@ -70,3 +70,32 @@ def test_edges(spark):
     labels = spark.createDataFrame([(1, 1), (2, None), (None, 0), (3, 7), (77, 0)], "doc_id long, quality int")
     m = G.fit(df, labels)
     assert G.score(df, m, ["doc_id"], "doc_id long").where(F.col("score").between(0, 1)).count() == len(rows)
+
+
+def slow_score(m, x):
+    from bisect import bisect_right
+    from math import exp
+    bins = [bisect_right(e.tolist(), v) for e, v in zip(m.edges, x)]
+    part = [b * G.PAIR_BINS // len(t) for b, t in zip(bins, m.tables)]
+    s = m.base + sum(t[b] for t, b in zip(m.tables, bins)) + sum(t[part[i], part[j]] for (i, j), t in zip(m.pairs, m.pair_tables))
+    return 1 / (1 + exp(-s))
+
+
+def test_score_is_the_sum_of_table_entries():
+    r = np.random.default_rng(2)
+    x = np.round(r.random((900, len(G.MEASURES))), 2).astype(np.float32)
+    m = G.Gam(x, (x[:, 2] + x[:, 3] * x[:, 4] > 0.8).astype(float))
+    assert len(m.pairs) == len(m.pair_tables) > 0
+    assert np.allclose(m.score(x[:200]), [slow_score(m, v) for v in x[:200]])
+
+
+def test_query_scores_every_document(spark, sf):
+    from capstream.llm import queries
+    docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
+    m = G.fit(docs, labels)
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    got = {r.doc_id: r for r in queries.op6(spark, sf).collect()}
+    assert got.keys() == texts.keys() and all(r.predicted == (r.score >= 0.3) for r in got.values())
+    some = sorted(texts)[::7]
+    want = m.score(np.array([slow(texts[i]) for i in some], np.float32))
+    assert np.mean(np.isclose([got[i].score for i in some], want, atol=1e-6)) > 0.98  # a measure may round across a bin's edge
