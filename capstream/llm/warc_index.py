@@ -2,7 +2,8 @@
 
 Writing: each task streams its pages into a gzip-per-record WARC file; of pages
 with equal payloads of ``REVISIT_FROM`` bytes or more, one is stored and the
-others become revisit records that refer to it.
+others become revisit records that refer to it by its URL, and by its page id in
+a field of ours. Record ids are UUIDs of the record's place, so no two are alike.
 
 Index: captures are keyed by reversed-host URL and page id, sorted by range over
 all tasks, and packed ``LINES`` at a time into compressed blocks. An index part
@@ -25,6 +26,7 @@ from __future__ import annotations
 import base64
 import json
 import struct
+import uuid
 import zlib
 from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
@@ -74,18 +76,27 @@ def _member(head: list[tuple[str, str]], block: bytes) -> bytes:
     return z.compress(_header([*head, ("Content-Length", str(len(block)))])) + z.compress(block) + z.compress(b"\r\n\r\n") + z.flush()
 
 
-def _name(page_id: int | None) -> str:
-    return f"<urn:page:{'none' if page_id is None else page_id}>"
+def _record_id(place: str) -> str:
+    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, place)}>"
 
 
-def record(page_id: int | None, url: str | None, payload: bytes | None, size: int, sha1: str, refers_to: int | None) -> bytes:
-    """One gzip member; a revisit keeps the HTTP head of the full payload and no body."""
-    head = [("WARC-Type", "response" if refers_to is None else "revisit"), ("WARC-Record-ID", _name(page_id)),
-            ("WARC-Target-URI", "about:blank" if url is None else quote(url, safe="!#$&'()*+,/:;=?@[]~%")),
-            ("WARC-Date", "2024-01-01T00:00:00Z"), ("Content-Type", "application/http; msgtype=response"),
+def _target(url: str | None) -> str:
+    return "about:blank" if url is None else quote(url, safe="!#$&'()*+,/:;=?@[]~%")
+
+
+DATE = "2024-01-01T00:00:00Z"
+
+
+def record(page_id: int | None, url: str | None, payload: bytes | None, size: int, sha1: str, refers_to: int | None, refers_url: str | None, place: str) -> bytes:
+    """One gzip member; a revisit keeps the HTTP head of the full payload and no body. ``place``: the file and the offset it goes to."""
+    head = [("WARC-Type", "response" if refers_to is None else "revisit"), ("WARC-Record-ID", _record_id(place)),
+            ("WARC-Target-URI", _target(url)), ("WARC-Date", DATE), ("Content-Type", "application/http; msgtype=response"),
             ("WARC-Payload-Digest", "sha1:" + base64.b32encode(bytes.fromhex(sha1)).decode())]
+    if page_id is not None:
+        head += [("X-Page-ID", str(page_id))]
     if refers_to is not None:
-        head += [("WARC-Profile", "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"), ("WARC-Refers-To", _name(refers_to))]
+        head += [("WARC-Profile", "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"), ("WARC-Refers-To-Target-URI", _target(refers_url)),
+                 ("WARC-Refers-To-Date", DATE), ("X-Refers-To-Page-ID", str(refers_to))]
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {size}\r\n\r\n".encode()
     return _member(head, http + (payload if refers_to is None else b""))
 
@@ -98,10 +109,10 @@ def parse_record(data: bytes) -> dict:
     block = rest[:int(fields["Content-Length"])]
     http, _, payload = block.partition(b"\r\n\r\n")
     size = dict(x.split(": ", 1) for x in http.decode().split("\r\n")[1:])["Content-Length"]
-    number = lambda name: None if name is None or name == _name(None) else int(name[10:-1])
-    return {"type": fields["WARC-Type"], "page_id": number(fields["WARC-Record-ID"]), "url": fields["WARC-Target-URI"],
+    number = lambda name: int(fields[name]) if name in fields else None
+    return {"type": fields["WARC-Type"], "record_id": fields["WARC-Record-ID"], "page_id": number("X-Page-ID"), "url": fields["WARC-Target-URI"],
             "digest": base64.b32decode(fields["WARC-Payload-Digest"][5:]).hex(), "payload_bytes": int(size),
-            "refers_to": number(fields.get("WARC-Refers-To")), "payload": payload if fields["WARC-Type"] == "response" else None}
+            "refers_to": number("X-Refers-To-Page-ID"), "payload": payload if fields["WARC-Type"] == "response" else None}
 
 
 def write_archives(df: DataFrame, folder: str, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> str:
@@ -110,25 +121,25 @@ def write_archives(df: DataFrame, folder: str, id_col: str = "page_id", url_col:
     pages = df.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).alias("url"), html.alias("html")).select(
         "page_id", "url", "html", F.octet_length("html").cast("long").alias("size"), F.sha1("html").alias("sha1"))
     # a row per repeated payload, summed before the shuffle; a hot payload is a skewed join, split at run time
-    kept = (pages.where(F.col("size") >= REVISIT_FROM).groupBy("sha1").agg(F.max("page_id").alias("keep"), F.count(F.lit(1)).alias("n"))
-            .where("n > 1 and keep is not null").select("sha1", "keep"))
+    kept = (pages.where(F.col("size") >= REVISIT_FROM).groupBy("sha1").agg(F.max(F.struct("page_id", "url")).alias("k"), F.count(F.lit(1)).alias("n"))
+            .where("n > 1 and k.page_id is not null").select("sha1", F.col("k.page_id").alias("keep"), F.col("k.url").alias("keep_url")))
     again = F.when(~F.col("page_id").eqNullSafe(F.col("keep")), F.col("keep"))
     rows = (pages.join(kept, "sha1", "left").withColumn("refers_to", again)
-            .select("page_id", "url", F.when(F.col("refers_to").isNull(), F.col("html")).alias("html"), "size", "sha1", "refers_to"))
+            .select("page_id", "url", F.when(F.col("refers_to").isNull(), F.col("html")).alias("html"), "size", "sha1", "refers_to", "keep_url"))
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out, path, at = None, "", 0
         for b in batches:
-            cols = [b.column(i).to_pylist() for i in (0, 1, 3, 4, 5)]
+            cols = [b.column(i).to_pylist() for i in (0, 1, 3, 4, 5, 6)]
             keys, files, offsets, lengths = [], [], [], []
-            for i, (page, url, size, sha1, refers) in enumerate(zip(*cols, strict=True)):
+            for i, (page, url, size, sha1, refers, refers_url) in enumerate(zip(*cols, strict=True)):
                 if out is None:
                     out, path = create(folder, attempt_name("pages", ".warc.gz"))
-                    info = _member([("WARC-Type", "warcinfo"), ("WARC-Record-ID", "<urn:file:info>"), ("WARC-Date", "2024-01-01T00:00:00Z"),
+                    info = _member([("WARC-Type", "warcinfo"), ("WARC-Record-ID", _record_id(path)), ("WARC-Date", DATE),
                                     ("Content-Type", "application/warc-fields")], b"format: WARC File Format 1.1\r\n")
                     out.write(info)
                     at = len(info)
-                data = record(page, url, b.column(2)[i].as_py(), size, sha1, refers)
+                data = record(page, url, b.column(2)[i].as_py(), size, sha1, refers, refers_url, f"{path}#{at}")
                 out.write(data)
                 keys.append(capture_key(url, page))
                 files.append(path)

@@ -36,9 +36,9 @@ def test_keys():
 
 
 def test_record():
-    r = parse_record(record(7, "http://a/\r\n x", b"ab\r\n\r\ncd", 8, hashlib.sha1(b"ab\r\n\r\ncd").hexdigest(), None))
+    r = parse_record(record(7, "http://a/\r\n x", b"ab\r\n\r\ncd", 8, hashlib.sha1(b"ab\r\n\r\ncd").hexdigest(), None, None, "f#1"))
     assert (r["type"], r["page_id"], r["payload"], r["payload_bytes"], r["refers_to"]) == ("response", 7, b"ab\r\n\r\ncd", 8, None)
-    r = parse_record(record(None, None, None, 5000, "00" * 20, -3))
+    r = parse_record(record(None, None, None, 5000, "00" * 20, -3, "http://b", "f#2"))
     assert (r["type"], r["page_id"], r["payload"], r["payload_bytes"], r["refers_to"]) == ("revisit", None, None, 5000, -3)
 
 
@@ -51,6 +51,8 @@ def test_archive(spark, lines, monkeypatch):
     df = spark.createDataFrame([(*r, "k") for r in rows], "page_id long, url string, html string, key string")
     top = archive(df)
     assert rows_of(queries.read_back(spark, top, df)) == brute(rows)
+    ids = [r.id for r in fetch(lookup(spark, top, df), lambda r: {"id": r["record_id"]}, "id string").collect()]
+    assert len(ids) == len(set(ids)) == len(rows)
     # all captures of one URL, over block borders, with their whole payloads
     urls = spark.createDataFrame([("http://hot.com/",), ("https://a.com/x",), ("http://none.com",)], "url string")
     got = fetch(lookup(spark, top, urls, by_page=False), lambda r: {"p": r["page_id"], "h": None if r["payload"] is None else r["payload"].decode()},
