@@ -7,6 +7,11 @@ word's postings lie in one of ``buckets`` folders, sorted by word and block, so
 that a search reads the folders and row groups of its words alone. A word in
 every row is many blocks of bounded size, spread over files.
 
+``search_text`` answers ``serving.search`` (any text as a term, anywhere in the row's
+text) from the same index: the pieces of a term that are letters and digits lie
+inside words, so the directory's words that hold a piece lead to all rows that
+could match; the terms are then looked up in those rows' texts alone.
+
 A conjunction intersects the lists block by block: blocks that lack one of the
 words drop out before any list is looked at. The directory says in how many
 rows and blocks a word stands.
@@ -16,6 +21,8 @@ NULL texts and NULL ids are not indexed; rows that share an id are one entry.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -93,6 +100,29 @@ class TextIndex:
         return df.join(self.ids(terms, any_of), quoted(id_col) == F.col("id"), "leftsemi")
 
 
+    def candidates(self, pieces: list[str]) -> DataFrame:
+        """``id`` of the rows in which every piece is part of a word."""
+        told = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(p).alias("p")) for i, p in enumerate(pieces)])
+        words = (self._table("terms").select("bucket", "term", F.explode(F.filter(told, lambda x: F.contains(F.col("term"), x["p"]))).alias("x"))
+                 .select("bucket", "term", F.col("x.i").alias("i")))
+        ids = self._table("postings").join(words, ["bucket", "term"]).select("i", "block", F.explode("ids").alias("_o")).distinct()
+        return (ids.groupBy("block", "_o").agg(F.count(F.lit(1)).alias("k")).where(F.col("k") == len(pieces))
+                .select((F.col("block") * self.block + F.col("_o")).alias("id")))
+
+    def search_text(self, df: DataFrame, terms: list[str], text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
+        """The rows of ``df`` whose text holds every term, as ``serving.search`` finds them.
+
+        A term without a letter or digit has no piece and is looked up in every
+        text that the other terms leave.
+        """
+        low = [t.lower() for t in terms]
+        pieces = list(dict.fromkeys(p for t in low for p in re.split(r"[\W_]+", t) if p))
+        rows = df.join(self.candidates(pieces), quoted(id_col) == F.col("id"), "leftsemi") if pieces else df
+        for t in low:  # pieces need not stand together, and rows that share an id are one entry
+            rows = rows.where(F.lower(quoted(text_col)).contains(t))
+        return rows
+
+
 def _lower(terms: list[str]) -> list[str]:
     return list(dict.fromkeys(t.lower() for t in terms))
 

@@ -295,6 +295,11 @@ register("e10_index_all_words",
 register("e10_index_any_word",
          f"SELECT doc_id, lang, n_chars FROM {_WORDS_SQL} WHERE list_has_any(w, ['license', 'nicht'])")(
     lambda spark, d: (lambda index, docs: index.search(docs.select("doc_id", "lang", "n_chars"), ["License", "nicht"], any_of=True))(*_text_index(spark, d)))
+register("e10_index_search_page1",
+         f"SELECT doc_id, n_chars, lang FROM documents WHERE {_SEARCH_WHERE} "
+         "ORDER BY n_chars DESC, doc_id LIMIT 10")(
+    lambda spark, d: (lambda index, docs: V.search(index.search_text(docs, ["License", "the"]), "text", [], "n_chars", True, 0, 10,
+                                                   ["doc_id", "n_chars", "lang"], id_col="doc_id"))(*_text_index(spark, d)))
 register("e10_term_directory",
          f"SELECT term, count(DISTINCT doc_id) AS rows FROM (SELECT doc_id, unnest(w) AS term FROM {_WORDS_SQL}) WHERE term <> '' GROUP BY term")(
     lambda spark, d: _text_index(spark, d)[0].directory().select("term", "rows"))

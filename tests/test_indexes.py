@@ -35,6 +35,13 @@ def test_search_equals_the_scan(index, texts, terms, any_of):
     assert {r.doc_id for r in index.search(texts, terms, any_of=any_of).collect()} == want
 
 
+@pytest.mark.parametrize("terms", [["a"], ["LPH", "et"], ["gamma-delta"], ["ry al"], ["x1", "y"], ["_under"], ["-"], ["nowhere"], ["éT", "every a"], []])
+def test_text_search_equals_the_scan(index, texts, terms):
+    from capstream.operators.serving import search
+    want = sorted(r.doc_id for r in search(texts.where("doc_id is not null"), "text", terms).collect())
+    assert sorted(r.doc_id for r in index.search_text(texts.where("doc_id is not null"), terms).collect()) == want
+
+
 def test_directory(index):
     d = {r.term: (r.rows, r.blocks) for r in index.directory().collect()}
     assert d["every"][0] == 900 and d["every"][1] == len(range(-128, 2600, 128)) and "nowhere" not in d
