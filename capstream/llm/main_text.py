@@ -54,10 +54,12 @@ COMMENT_WORDS = frozenset("comment comments commentlist disqus respond replies r
 MARKED_WORDS = COMMENT_WORDS | frozenset(
     "ad ads adbox adslot advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies consent gdpr notice notices "
     "disclaimer popup modal overlay newsletter subscribe subscription signup nav navbar navigation menu menubar breadcrumb breadcrumbs pagination pager "
-    "masthead topbar footer sidebar aside widget widgets related recommended recommendations teaser teasers share sharing social login search toolbar "
+    "alert alerts masthead topbar footer sidebar aside widget widgets related recommended recommendations teaser teasers share sharing social login search toolbar "
     "skip copyright".split())
 ARTICLE_CLASSES = frozenset("article-body articlebody article-content post-body post-content entry-content story-body main-content".split())
 MARKED_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
+#: Words beside which "header" is the article's own.
+OWN_HEADER = frozenset("article post entry content section story".split())
 #: Words beside which a marking word speaks of a layout ("with-sidebar").
 LAYOUT_WORDS = frozenset("with has no without".split())
 
@@ -69,8 +71,8 @@ WORDS = re.compile(r"[A-Za-z][a-z]*|[A-Z]+(?![a-z])")
 
 
 @functools.lru_cache(4096)
-def _marks(attrs: str) -> tuple[bool, bool, bool]:
-    """(marked as something else than the article, as comments, as the article) by class, id and role."""
+def _marks(attrs: str) -> tuple[bool, bool, bool, bool]:
+    """(marked as something else than the article, as comments, as the article, as a header) by class, id and role."""
     words, classes, other, article = set(), set(), False, False
     for name, a, b, c, hidden in ATTRIBUTE.findall(attrs):
         name, value = name.lower(), a or b or c
@@ -91,18 +93,19 @@ def _marks(attrs: str) -> tuple[bool, bool, bool]:
             article |= value == "articleBody"
         elif name == "style":
             other |= "display:none" in value.replace(" ", "").lower()
-    return other or bool(words & MARKED_WORDS), bool(words & COMMENT_WORDS), article or bool(classes & ARTICLE_CLASSES)
+    return other or bool(words & MARKED_WORDS), bool(words & COMMENT_WORDS), article or bool(classes & ARTICLE_CLASSES), "header" in words and not words & OWN_HEADER
 
 
 class _Element:
-    """An open element: ``dropped`` by its name, ``marked`` by its attributes, inside an article or a page header."""
+    """An open element: ``dropped`` by its name, ``marked`` by its attributes, inside an article (``top``: the outermost) or a header."""
 
-    __slots__ = ("article", "dropped", "header", "link", "marked", "name", "up")
+    __slots__ = ("article", "dropped", "header", "link", "marked", "name", "top", "up")
 
     def __init__(self, name: str, up: _Element | None):
         self.name, self.up = name, up
         self.marked = False
         self.dropped, self.article, self.header, self.link = (up.dropped, up.article, up.header, up.link) if up else (False,) * 4
+        self.top = up.top if up else None
 
     def gone(self) -> bool:
         """Whether it, or an element around it, is no part of the article."""
@@ -192,27 +195,44 @@ def _open(name: str, attrs: str, stack: list[_Element], flush) -> None:
             flush()
         return
     e = _Element(name, stack[-1])
-    marked, comments, article = _marks(attrs) if len(attrs) > 4 and name not in ("html", "body", "a") else (False, False, False)
+    marked, comments, article, header = _marks(attrs) if len(attrs) > 4 and name not in ("html", "body", "a") else (False,) * 4
     if name in ARTICLE or article:
         if not (comments or (marked and name not in ARTICLE)):
             e.article = True
-            up = e.up
-            while up is not None:  # what holds an article is a layout, whatever its words
-                up.marked = False
-                up = up.up
+            e.top = e.top or e
         else:
             e.marked = True
     else:
         e.marked = marked
         e.dropped |= name in STRIPPED
-        e.header |= name == "header"
+        e.header |= header or name == "header"
     e.link |= name == "a"
     stack.append(e)
     if name not in INLINE:
         flush(name in HEADINGS)
 
 
+def _articles_in_marked_parts(lines: list[_Line]) -> None:
+    """When no article stands outside marked parts, and little else does, what holds the longest one is a layout, whatever its words."""
+    held: dict[_Element, int] = {}
+    outside = 0
+    for line in lines:
+        size = sum(map(len, line.parts))
+        if not line.element.gone():
+            if line.element.article:
+                return
+            outside += 0 if line.element.header else size - line.linked
+        elif line.element.article:
+            held[line.element.top] = held.get(line.element.top, 0) + size
+    if held and 2 * outside < max(held.values()):
+        up = max(held, key=held.get).up
+        while up is not None:
+            up.marked = False
+            up = up.up
+
+
 def _weighed(lines: list[_Line]) -> list[tuple[str, int, bool, bool]]:
+    _articles_in_marked_parts(lines)
     out, last_inside, gap = [], None, False
     for line in lines:
         e = line.element

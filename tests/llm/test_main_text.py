@@ -55,10 +55,13 @@ AROUND = ["<nav><ul><li><a href='/'>Home</a></li><li><a href=/x>Other pages</a><
           "<script>if (a < b) document.write('<p>no</p>');</script>", "<style>p > b {margin: 0}</style>", f"<!-- <p>{LONG}</p> -->",
           f'<section class="comments"><article class="comment"><p>{LONG}</p></article><div class="comment"><p>{LONG}</p></div></section>',
           f'<div class="sidebar widget"><h2>More</h2><p>{LONG}</p></div>', f"<noscript><p>{LONG}</p></noscript>", f'<div role="complementary"><p>{LONG}</p></div>',
-          f'<p style="display: none">{LONG}</p>', "<ul class='breadcrumb'><li>Here</li></ul>", "<template><p>never</p></template>"]
+          f'<p style="display: none">{LONG}</p>', "<ul class='breadcrumb'><li>Here</li></ul>", "<template><p>never</p></template>",
+          f'<section class="related"><h2>Read on</h2><article><h3>Another</h3><p>{LONG} {LONG}</p></article></section>', f'<div id="header"><p>{LONG}</p></div>',
+          f'<div class="alert alert-info">{LONG}</div>']
 
 
-@pytest.mark.parametrize("wrap", ["<article>{}</article>", "<main>{}</main>", "<div class='page with-sidebar'><article>{}</article></div>", "<div>{}</div>",
+@pytest.mark.parametrize("wrap", ["<article>{}</article>", "<main>{}</main>", "<div class='page with-sidebar'><article>{}</article></div>", "<div class='menu page'><article>{}</article></div>",
+                                  "<div class='post'><div class='post-header'></div>{}</div>", "<div>{}</div>",
                                   "<div class='entry-content'>{}</div>", "<div class=x><div role='main'>{}</div></div>", "{}"])
 def test_only_the_article_stays(wrap):
     for part in AROUND:
