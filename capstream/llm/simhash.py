@@ -179,8 +179,9 @@ def links(distinct: DataFrame, distance: int = 4) -> DataFrame:
     counts = segment_counts(F.col("fp"))
     cells = F.array(*[F.struct(F.lit(i).cast("short").alias("choice"), counts.bitwiseAND(F.lit(_slab_mask(c))).alias("cell"))
                       for i, c in enumerate(choices)])
-    # dealt out by number, so that small fingerprints are not put together before each becomes many rows
-    dealt = distinct.repartition(int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions")), "fp")
+    # dealt out anew by a stated number (by another hash, or the planner would keep the few large partitions of ``distinct``),
+    # as each small row becomes many
+    dealt = distinct.repartition(int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions")), F.xxhash64("fp"))
     placed = dealt.select("fp", F.explode(cells).alias("at")).select("at.choice", "at.cell", "fp")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

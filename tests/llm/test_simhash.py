@@ -2,6 +2,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
 from capstream.llm import simhash
@@ -74,3 +75,10 @@ def test_documents(spark, sf):
     got = sorted((str(r.doc_id), r.fingerprint, str(r.component_id)) for r in simhash.near_duplicates(df).collect())
     assert got == want
     assert simhash.near_duplicates(df.limit(0)).count() == 0
+
+
+def test_fingerprints_are_dealt_out_before_they_multiply(spark, capsys):
+    distinct = spark.range(1000).select(F.xxhash64("id").alias("fp")).distinct()
+    simhash.links(distinct).explain("formatted")
+    p = capsys.readouterr().out
+    assert "REPARTITION_BY_NUM" in p and p.count("Exchange") > 4
