@@ -56,6 +56,42 @@ def test_ranges_gaps_and_repeats(spark):
     assert O.audit(O.offset_ranges(df.limit(0))).collect() == []
 
 
+def overlapping(ranges):
+    out = {}
+    for key, first, last, messages in sorted(ranges, key=lambda r: (r[0] is not None, r[0] or "", r[1], r[2])):
+        runs = out.setdefault(key, [])
+        if runs and first <= runs[-1][1] + 1:
+            runs[-1] = (runs[-1][0], max(runs[-1][1], last), runs[-1][2] + messages)
+        else:
+            runs.append((first, last, messages))
+    return out
+
+
+def test_ranges_longer_than_blocks_merge(spark):
+    rng = random.Random(3)
+    for longest in (3, 40, 400):
+        starts = [rng.randrange(-300, 3000) for _ in range(300)]
+        rows = [(rng.choice(["a", "b", None]), a, a + rng.choice([0, 1, rng.randrange(longest)]), rng.randrange(1, 4)) for a in starts]
+        df = spark.createDataFrame(rows, "topic string, first long, last long, messages long").repartition(3)
+        want = overlapping(rows)
+        merged = O.merge_ranges(df, ("topic",), block=16).persist()
+        got = {}
+        for r in merged.collect():
+            got.setdefault(r.topic, []).append((r["first"], r["last"], r.messages))
+        assert {k: sorted(v) for k, v in got.items()} == want
+        missing = sorted((str(k), x[1] + 1, y[0] - 1) for k, runs in want.items() for x, y in zip(runs, runs[1:], strict=False))
+        assert sorted((str(r.topic), r.first_missing, r.last_missing) for r in O.gaps(merged, ("topic",), block=16).collect()) == missing
+        merged.unpersist()
+
+
+def test_ranges_of_one_key_are_spread_over_tasks(spark):
+    df = spark.range(0, 40_000, 2).select(F.lit("t").alias("topic"), F.lit(0).alias("partition"), F.col("id").alias("offset"))
+    ranges = O.offset_ranges(df, block=256)
+    for found, n in ((ranges, 20_000), (O.merge_ranges(ranges, block=256), 20_000), (O.gaps(ranges, block=256), 19_999)):
+        held = [r["count"] for r in found.groupBy(F.spark_partition_id()).count().collect()]
+        assert sum(held) == n and max(held) < n / 5
+
+
 def test_stream_reports_planted_losses(spark, tmp_path):
     df = spark.range(1000).where("id not between 300 and 349 and id <> 777").select(F.lit(0).alias("partition"), "id")
     twice = df.unionByName(df.where("id between 100 and 109")).select(
