@@ -310,3 +310,16 @@ def test_state_partitions_apply_to_started_queries_only(spark, sf):
     run(spark, [q])
     ops = q.lastProgress["stateOperators"]
     assert ops and ops[0]["numStateStoreInstances"] == 3
+
+
+def test_replay_files_keep_little_of_the_schema_block(spark, sf, tmp_path):
+    import pathlib
+
+    from capstream.plans import standins as S
+    from capstream.sources.kafka import write_replay
+    messages = S.source_messages(spark, sf, "postgres")
+    for rows in (None, messages.count()):
+        path = write_replay(messages, str(tmp_path / f"replay-{rows}"), 4, rows=rows)
+        back = spark.read.parquet(path)
+        assert back.exceptAll(messages).isEmpty() and back.count() == messages.count()
+        assert sum(p.stat().st_size for p in pathlib.Path(path).glob("*.parquet")) < 150 * messages.count()
