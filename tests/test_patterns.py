@@ -48,6 +48,25 @@ def test_equals_the_rule_for_any_order(spark):
         assert tree(spark, lines, rng.randrange(1, 7), **kw) == want
 
 
+def test_many_and_few_tokens_at_a_position(spark):
+    rng = random.Random(5)
+    lines = [f"k{rng.randrange(2)} {rng.randrange(10**6)} {rng.choice('abcde')} {rng.choice('xy')} same" for _ in range(2000)]
+    for kw in ({}, {"max_values": 1}, {"max_values": 0, "similarity": 0.9}, {"max_values": 100, "similarity": 0.9}):
+        assert tree(spark, lines, **kw) == brute(lines, **kw)
+
+
+def test_lines_are_written_once(spark, monkeypatch):
+    sizes, write = {}, P._written
+    monkeypatch.setattr(P, "_written", lambda df, name: sizes.setdefault(name, write(df, name)))
+    words = [f"w{i}" for i in range(3000)]
+    rng = random.Random(6)
+    rows = [(i, " ".join(rng.choice(words).translate(str.maketrans("0123456789", "abcdefghij")) for _ in range(12))) for i in range(4000)]
+    df = spark.createDataFrame(rows, "s int, line string").select(F.timestamp_add("SECOND", "s", F.expr("TIMESTAMP_NTZ'2024-01-01 00:00:00'")).alias("ts"), "line")
+    assert sum(r["count"] for r in P.mined_patterns(df, 60_000).select("pattern", "count").collect()) == 4000
+    assert sizes.pop("masked-lines").count() == 4000
+    assert sizes and all(t.count() < 100 for t in sizes.values())
+
+
 def test_counts_per_step(spark):
     df = spark.createDataFrame([(1, "GET /a 10ms"), (2, "GET /a 25ms"), (90, "GET /b 1ms"), (3, None)], "s int, line string").select(
         F.timestamp_add("SECOND", "s", F.expr("TIMESTAMP_NTZ'2024-01-01 00:00:00'")).alias("ts"), "line")
