@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from capstream.functions.common import explode_rows
+from capstream.functions.common import explode_rows, let
 from capstream.functions.logfields import PLACEHOLDER, mask_template
 from capstream.operators.timeseries import bucket_of
 from capstream.session import shared_path
@@ -62,7 +62,7 @@ def template_tree(lines: DataFrame, masked: str = "masked", depth: int = 2, max_
     spots = _written(explode_rows(there, tokens, ("_v",), keep=("_n", "_path"), pos="_i").groupBy("_n", "_path", "_i")
                      .agg((F.bit_count(bits) > enough).alias("_many")), "template-spots")
     open_spots = _written(spots.where(~F.col("_many")).groupBy("_n", "_path").agg(F.sort_array(F.collect_list("_i")).alias("_open")), "template-open")
-    left = F.transform("_open", lambda i: F.struct(i.alias("_i"), F.get(tokens, i).alias("_v")))
+    left = let(tokens, lambda t: F.transform("_open", lambda i: F.struct(i.alias("_i"), F.get(t, i).alias("_v"))))
     counted = (explode_rows(there.join(open_spots, ["_n", "_path"]), left, ("_x",), keep=("_n", "_path")).select("_n", "_path", "_x._i", "_x._v").distinct()
                .groupBy("_n", "_path", "_i").agg(F.count(F.lit(1)).alias("_d")))
     values = counted.unionByName(spots.where("_many").select("_n", "_path", "_i", F.lit(enough + 1).cast("bigint").alias("_d")))
